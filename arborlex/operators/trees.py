@@ -95,6 +95,8 @@ def annotate(actions: DataFrame) -> DataFrame:
     )
     return a.withColumn(
         "open_name", F.last(F.when(k == "O", F.col("name")), ignorenulls=True).over(w_lvl)
+    ).withColumn(
+        "open_pos", F.last(F.when(k == "O", F.col("pos")), ignorenulls=True).over(w_lvl)
     )
 
 
@@ -153,6 +155,13 @@ def accepted(actions: DataFrame) -> DataFrame:
     return with_errors(actions).where(F.col("n_err") == 0).drop("err", "n_err")
 
 
+def matches(actions: DataFrame) -> DataFrame:
+    """T5: each closer of a valid sentence with the position of its opener."""
+    a = accepted(actions)
+    return a.where(F.col("kind") == "C").select(
+        "sent_id", F.col("pos").alias("close_pos"), F.col("open_pos").cast("int").alias("open_pos"), "name")
+
+
 def expand(actions: DataFrame, annotated: bool = False) -> DataFrame:
     """Duplicate closers, emit ``inputs``/``labels``/``position_ids`` in long form.
 
@@ -258,23 +267,53 @@ def mask_degree(inputs: DataFrame, intervals: DataFrame | None = None) -> DataFr
     return s.select("sent_id", F.col("at").alias("qi"), deg.cast("int").alias("degree"))
 
 
+def _row_parts(ks: Column, n: Column, one: Column, zero: Column, gap) -> Column:
+    """Pieces of a dense row from sorted distinct column indexes ``ks``: O(n) per row."""
+    def seg(k, i):
+        prev = F.when(i == 0, F.lit(-1)).otherwise(F.element_at(ks, i))
+        return gap(zero, k - prev - 1, one)
+    last = F.coalesce(F.try_element_at(ks, F.lit(-1)), F.lit(-1))
+    return F.transform(ks, seg), n - 1 - last
+
+
+def dense_row_text(ks: Column, n: Column) -> Column:
+    """``[1.0, 0.0, ...]`` text of one mask row (Python float list)."""
+    def gap(zero, cnt, one):
+        return F.concat(F.repeat(zero, cnt), one)
+    segs, tail = _row_parts(ks, n, F.lit("1.0"), F.lit("0.0, "), gap)
+    body = F.concat(F.array_join(segs, ", "), F.repeat(F.lit(", 0.0"), tail))
+    all_zero = F.array_join(F.array_repeat(F.lit("0.0"), n), ", ")
+    return F.concat(F.lit("["), F.when(F.size(ks) == 0, all_zero).otherwise(body), F.lit("]"))
+
+
+def dense_row(ks: Column, n: Column) -> Column:
+    """One mask row as ``ARRAY<FLOAT>``."""
+    def gap(zero, cnt, one):
+        return F.concat(F.array_repeat(zero, cnt), F.array(one))
+    segs, tail = _row_parts(ks, n, F.lit(1.0).cast("float"), F.lit(0.0).cast("float"), gap)
+    return F.concat(F.flatten(segs), F.array_repeat(F.lit(0.0).cast("float"), tail))
+
+
+def _mask_rows(inputs: DataFrame, edges: DataFrame) -> DataFrame:
+    rows = edges.groupBy("sent_id", "qi").agg(F.array_sort(F.collect_set("ki")).alias("ks"))
+    cells = inputs.select("sent_id", F.col("idx").alias("qi"), "n_in").join(rows, ["sent_id", "qi"], "left")
+    return cells.withColumn("ks", F.coalesce(F.col("ks"), F.array().cast("array<int>")))
+
+
 def dense_mask(inputs: DataFrame, edges: DataFrame) -> DataFrame:
     """One row per sentence with the n x n float mask (export only; n^2 per sentence)."""
-    rows = edges.groupBy("sent_id", "qi").agg(F.collect_set("ki").alias("ks"))
-    lens = inputs.groupBy("sent_id").agg(F.max("n_in").alias("n_in"))
-    grid = inputs.select("sent_id", F.col("idx").alias("qi")).join(rows, ["sent_id", "qi"], "left").join(
-        lens, "sent_id")
-    dense_row = F.transform(
-        F.sequence(F.lit(0), F.col("n_in") - 1),
-        lambda c: F.when(F.coalesce(F.array_contains(F.col("ks"), c), F.lit(False)), F.lit(1.0))
-        .otherwise(F.lit(0.0)).cast("float"),
-    )
-    per = grid.select("sent_id", "qi", dense_row.alias("row"))
+    per = _mask_rows(inputs, edges).select("sent_id", "qi", dense_row(F.col("ks"), F.col("n_in")).alias("row"))
     return per.groupBy("sent_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("qi", "row"))), lambda x: x["row"]).alias("mask")
     )
 
 
+def dense_mask_text(inputs: DataFrame, edges: DataFrame) -> DataFrame:
+    """Each dense row as Python-style float-list text ``(sent_id, qi, row_text)``."""
+    return _mask_rows(inputs, edges).select(
+        "sent_id", "qi", dense_row_text(F.col("ks"), F.col("n_in")).alias("row_text"))
+
+
 def examples(inputs: DataFrame, edges: DataFrame) -> DataFrame:
     """``(sent_id, inputs, labels, position_ids, attention_mask[1][n][n])``."""
     seqs = inputs.groupBy("sent_id").agg(F.array_sort(F.collect_list(F.struct("idx", "tok", "label", "pid"))).alias("s"))
@@ -296,13 +335,7 @@ def row_texts(inputs: DataFrame, edges: DataFrame) -> DataFrame:
     ``text`` is ``str(inputs)\\nstr(labels)\\nstr(position_ids)\\nstr(mask)``; the salted
     MD5 of these lines joined in sentence order is the reference's dataset hash.
     """
-    rows = edges.groupBy("sent_id", "qi").agg(F.collect_set("ki").alias("ks"))
-    cells = inputs.select("sent_id", F.col("idx").alias("qi"), "n_in").join(rows, ["sent_id", "qi"], "left")
-    cell_txt = F.transform(
-        F.sequence(F.lit(0), F.col("n_in") - 1),
-        lambda c: F.when(F.coalesce(F.array_contains(F.col("ks"), c), F.lit(False)), F.lit("1.0")).otherwise(F.lit("0.0")),
-    )
-    mrows = cells.select("sent_id", "qi", py_list(cell_txt).alias("r"))
+    mrows = dense_mask_text(inputs, edges).withColumnRenamed("row_text", "r")
     mask_txt = mrows.groupBy("sent_id").agg(
         py_list(F.transform(F.array_sort(F.collect_list(F.struct("qi", "r"))), lambda x: x["r"])).alias("mask_text")
     )
