@@ -30,3 +30,40 @@ def dense_index(df: DataFrame, order: list[Column], start: int = 0, name: str =
         name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local") + F.lit(start)).cast("bigint")
     )
     return out.drop("_part", "_local", "_off")
+
+
+def grouped_index(df: DataFrame, group: list[str], order: list[Column], start: int = 0,
+                  name: str = "rank") -> DataFrame:
+    """Dense position of each row inside its group, for groups of any size.
+
+    Rows are range-partitioned by (group, order); a group spanning several sorted
+    partitions is numbered per partition and shifted by the counts of its earlier
+    pieces (one small row per (partition, group) piece), so no group is ever held
+    by a single task.
+    """
+    gcols = [F.col(g) for g in group]
+    keyed = df.orderBy(*gcols, *order).withColumn("_part", F.spark_partition_id())
+    local = keyed.withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_part", *group).orderBy(*order)) - 1)
+    pieces = keyed.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_n"))
+    offs = pieces.select(
+        "_part", *group,
+        F.sum("_n").over(Window.partitionBy(*group).orderBy("_part")
+                         .rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    out = local.join(offs, ["_part", *group]).withColumn(
+        name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local") + F.lit(start)).cast("bigint"))
+    return out.drop("_part", "_local", "_off")
+
+
+def running_total(df: DataFrame, order: list[Column], value: str, name: str = "cum") -> DataFrame:
+    """Inclusive running sum of ``value`` over a total ``order`` without a single-task window."""
+    keyed = df.orderBy(*order).withColumn("_part", F.spark_partition_id())
+    local = keyed.withColumn(
+        "_local", F.sum(value).over(Window.partitionBy("_part").orderBy(*order)
+                                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    sizes = keyed.groupBy("_part").agg(F.sum(value).alias("_s"))
+    offs = sizes.select("_part", F.sum("_s").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    out = local.join(F.broadcast(offs), "_part").withColumn(
+        name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local"))
+    return out.drop("_part", "_local", "_off")

@@ -1 +1,459 @@
-"""More registered queries (vocabulary, batching, metrics, chat, counts, sampling)."""
+"""Registered queries: vocabulary, batching, metrics, chat, counts and sampling."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.columns import manhattan, nearest_int, sign
+from ..operators import batching as B
+from ..operators import chat as C
+from ..operators import counts as K
+from ..operators import metrics as M
+from ..operators import sampling as S
+from ..operators import trees as T
+from ..operators import vocab as V
+from .catalog import _t, nav_actions, query
+
+N_TOPICS = 10
+SAMPLE_K = 83          # size of the seeded evaluation sample
+SEED = "42"
+TOPK = 5
+BERNOULLI_P = 0.1
+
+
+# ------------------------------------------------------------------ vocabulary
+
+def docs_corpus(spark, d) -> DataFrame:
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("sent_id"), "text")
+
+
+def docs_vocab(spark, d) -> DataFrame:
+    return V.train_word_vocab(docs_corpus(spark, d))
+
+
+@query("vocab_train")
+def vocab_train(spark, d):
+    """V1-V3: word vocabulary of the documents (specials first, size limit 30000)."""
+    return docs_vocab(spark, d)
+
+
+@query("vocab_size")
+def vocab_size(spark, d):
+    """V4."""
+    return V.vocab_size(docs_vocab(spark, d))
+
+
+@query("vocab_encode")
+def vocab_encode(spark, d):
+    """V5-V7: framed documents -> ids; per document token count, unknown count and an id checksum."""
+    acts = V.tokenize(docs_corpus(spark, d), docs_vocab(spark, d))
+    ids = V.encode(acts, docs_vocab(spark, d))
+    return ids.groupBy(F.col("sent_id").alias("doc_id")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
+        F.count_if(F.col("token_id") == 0).cast("bigint").alias("n_unk"),
+        F.sum(F.col("token_id") * (F.col("pos") + 1)).cast("bigint").alias("id_checksum"),
+    )
+
+
+def bench_ids(spark, d) -> DataFrame:
+    bench = _t(spark, d, "benchmark").select(F.col("item_id").alias("sent_id"), "text")
+    vocab = docs_vocab(spark, d)
+    return V.encode(V.tokenize(bench, vocab), vocab)
+
+
+@query("vocab_decode")
+def vocab_decode(spark, d):
+    """V9: benchmark passages encoded with the document vocabulary, decoded without specials."""
+    return V.decode(bench_ids(spark, d), docs_vocab(spark, d)).select(
+        F.col("sent_id").alias("item_id"), "text")
+
+
+@query("vocab_unk")
+def vocab_unk(spark, d):
+    """V6: unknown-word counts of the benchmark passages under the document vocabulary."""
+    ids = bench_ids(spark, d).where(F.col("tok") != T.BOS).where(F.col("tok") != T.EOS)
+    return ids.groupBy(F.col("sent_id").alias("item_id")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_words"),
+        F.count_if(F.col("token_id") == 0).cast("bigint").alias("n_unk"))
+
+
+def prefix_merges(vocab: DataFrame) -> DataFrame:
+    """A merge list derived from a vocabulary: each token of 2+ characters is its prefix + last
+    character, ranked by token id (used to exercise the merge cleanup on real tables)."""
+    n = F.length("token")
+    return vocab.where(n >= 2).select(
+        F.col("id").alias("rank"), F.expr("substring(token, 1, length(token) - 1)").alias("a"),
+        F.expr("substring(token, length(token), 1)").alias("b"))
+
+
+@query("vocab_clean")
+def vocab_clean(spark, d):
+    """Document vocabulary without multi-digit tokens, renumbered in old order."""
+    return V.clean_vocab(docs_vocab(spark, d))
+
+
+@query("merge_clean")
+def merge_clean(spark, d):
+    """V11 on the prefix merge list of the document vocabulary."""
+    vocab = docs_vocab(spark, d)
+    return V.clean_merges(prefix_merges(vocab), V.clean_vocab(vocab))
+
+
+@query("vocab_audit")
+def vocab_audit(spark, d):
+    """V12."""
+    vocab = docs_vocab(spark, d)
+    return V.audit_vocab(vocab, V.clean_vocab(vocab))
+
+
+@query("merge_audit")
+def merge_audit(spark, d):
+    """V13."""
+    vocab = docs_vocab(spark, d)
+    m = prefix_merges(vocab)
+    return V.audit_merges(m, V.clean_merges(m, V.clean_vocab(vocab)))
+
+
+# ------------------------------------------------------------------ batching
+
+def nav_examples(spark, d) -> DataFrame:
+    """Nav trees as id sequences: vocabulary trained on the nav token text."""
+    acts = nav_actions(spark, d)
+    corpus = acts.where(~F.col("tok").isin(T.BOS, T.EOS)).groupBy("sent_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"]),
+                     " ").alias("text"))
+    vocab = V.train_word_vocab(corpus)
+    inp = T.expand(acts)
+    ids = V.encode(V.encode(inp, vocab, tok_col="tok").withColumnRenamed("token_id", "input_id"), vocab,
+                   tok_col="label").withColumnRenamed("token_id", "label_id")
+    pad_id = V.SPECIALS.index(T.PAD)
+    seq = ids.groupBy("sent_id").agg(F.array_sort(F.collect_list(F.struct("idx", "input_id", "label_id", "pid")))
+                                     .alias("s"))
+    return seq.select(
+        "sent_id",
+        F.transform("s", lambda x: x["input_id"]).alias("input_ids"),
+        V.mask_labels(F.transform("s", lambda x: x["label_id"]), pad_id).alias("labels"),
+        F.transform("s", lambda x: x["pid"].cast("bigint")).alias("position_ids"),
+    )
+
+
+@query("pad_batches")
+def pad_batches(spark, d):
+    """B1-B4 (+V7/V8): nav examples padded per batch of 16."""
+    pad_id = V.SPECIALS.index(T.PAD)
+    p = B.pad_batches(nav_examples(spark, d), pad_id)
+
+    def txt(c):
+        return F.array_join(F.col(c).cast("array<string>"), " ").alias(c)
+    return p.select("batch_id", "sent_id", F.col("max_len").cast("int").alias("max_len"),
+                    txt("input_ids"), txt("labels"), txt("position_ids"))
+
+
+# ------------------------------------------------------------------ metrics
+
+def topic_scores(spark, d) -> DataFrame:
+    emb = _t(spark, d, "embeddings")
+    return M.softmax_scores(emb, "vec_id", "embedding", N_TOPICS)
+
+
+def topic_pairs(spark, d) -> DataFrame:
+    top = M.top1(topic_scores(spark, d), id_col="vec_id")
+    gold = _t(spark, d, "embeddings").select("vec_id", F.col("label").alias("gold"))
+    return top.join(gold, "vec_id").select(F.col("vec_id").alias("item_id"), F.col("label").alias("pred"), "gold",
+                                           "score")
+
+
+@query("top1_label")
+def top1_label(spark, d):
+    """E1 over softmax scores of the first ten embedding logits."""
+    t = M.top1(topic_scores(spark, d), id_col="vec_id")
+    return t.select("vec_id", "label", F.round("score", 6).alias("score"))
+
+
+@query("label_names")
+def label_names(spark, d):
+    """E4."""
+    t = M.top1(topic_scores(spark, d), id_col="vec_id")
+    return M.label_names(t).select("vec_id", "label", "label_name")
+
+
+@query("prediction_contract")
+def prediction_contract(spark, d):
+    """E3."""
+    return M.prediction_contract(M.label_names(M.top1(topic_scores(spark, d), id_col="vec_id")))
+
+
+@query("accuracy")
+def accuracy(spark, d):
+    """E5."""
+    a = M.accuracy(topic_pairs(spark, d))
+    return a.select("n", "n_correct", F.round("accuracy", 6).alias("accuracy"))
+
+
+@query("macro_f1")
+def macro_f1(spark, d):
+    """E6."""
+    return M.macro_f1(topic_pairs(spark, d)).select(F.round("macro_f1", 6).alias("macro_f1"))
+
+
+@query("per_class_f1")
+def per_class_f1(spark, d):
+    """E6 detail: per-class counts and F1 over the label union."""
+    f = M.per_class_f1(topic_pairs(spark, d))
+    return f.select(F.col("label").cast("int").alias("label"), F.col("tp").cast("bigint").alias("tp"),
+                    F.col("np").cast("bigint").alias("np"), F.col("ng").cast("bigint").alias("ng"),
+                    F.round("f1", 6).alias("f1"))
+
+
+@query("threshold_points")
+def threshold_points(spark, d):
+    """One point per accuracy threshold met."""
+    a = M.accuracy(topic_pairs(spark, d))
+    return a.select(F.round("accuracy", 6).alias("accuracy"),
+                    M.threshold_points(F.col("accuracy"), M.ACCURACY_THRESHOLDS).alias("points"))
+
+
+@query("loss_points")
+def loss_points(spark, d):
+    """Two points per loss threshold met; loss = mean negative log-probability of the gold label."""
+    s = topic_scores(spark, d)
+    gold = _t(spark, d, "embeddings").select("vec_id", F.col("label").alias("gold"))
+    p = s.join(gold, (s.vec_id == gold.vec_id) & (s.label == gold.gold)).agg(F.avg(-F.log("score")).alias("loss"))
+    return p.select(F.round("loss", 6).alias("loss"),
+                    M.threshold_points(F.col("loss"), M.LOSS_THRESHOLDS, higher_is_better=False, weight=2)
+                    .alias("points"))
+
+
+@query("failure_example")
+def failure_example(spark, d):
+    """E10."""
+    return M.failure_example(topic_pairs(spark, d)).select(F.col("item_id").alias("vec_id"), "pred", "gold")
+
+
+@query("tolerance")
+def tolerance(spark, d):
+    """Per-class F1 on even vs odd ids, compared within 1e-3."""
+    p = topic_pairs(spark, d).withColumn("half", F.when(F.col("item_id") % 2 == 0, "even").otherwise("odd"))
+    f = M.per_class_f1(p, by=["half"])
+    e = f.where(F.col("half") == "even").select("label", F.col("f1").alias("f1_even"))
+    o = f.where(F.col("half") == "odd").select("label", F.col("f1").alias("f1_odd"))
+    j = e.join(o, "label", "full").select(
+        F.col("label").cast("int").alias("label"),
+        F.coalesce("f1_even", F.lit(0.0)).alias("a"), F.coalesce("f1_odd", F.lit(0.0)).alias("b"))
+    return j.select("label", F.round("a", 6).alias("f1_even"), F.round("b", 6).alias("f1_odd"),
+                    M.within_tolerance(F.col("a"), F.col("b")).alias("within"))
+
+
+@query("rounded_report")
+def rounded_report(spark, d):
+    """Accuracy to 2 places, macro F1 to 4."""
+    pairs = topic_pairs(spark, d)
+    a = M.accuracy(pairs).select(M.rounded(F.col("accuracy"), 2).alias("accuracy_2"))
+    f = M.macro_f1(pairs).select(M.rounded(F.col("macro_f1"), 4).alias("macro_f1_4"))
+    return V.one_row(a, f)
+
+
+@query("seeded_sample")
+def seeded_sample(spark, d):
+    """83 documents drawn without replacement with seed "42"."""
+    return M.seeded_sample(_t(spark, d, "documents"), "doc_id", SAMPLE_K, SEED).select("doc_id", "u")
+
+
+# ------------------------------------------------------------------ chat
+
+def turns(spark, d) -> DataFrame:
+    return _t(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+
+
+@query("chat_render")
+def chat_render(spark, d):
+    """C1 with the assistant generation prompt."""
+    return C.render(turns(spark, d))
+
+
+@query("chat_audit")
+def chat_audit(spark, d):
+    """C2."""
+    t = turns(spark, d)
+    return C.audit(C.render(t), t)
+
+
+@query("chat_last")
+def chat_last(spark, d):
+    """C3."""
+    return C.last_reply(turns(spark, d))
+
+
+@query("chat_refusal")
+def chat_refusal(spark, d):
+    """C4 on every assistant turn."""
+    t = turns(spark, d).where(F.col("role") == "assistant")
+    return t.select("conv_id", "turn", C.is_refusal(F.col("text")).alias("is_refusal"))
+
+
+@query("chat_keyword")
+def chat_keyword(spark, d):
+    """Does any assistant reply mention the first word of the first user message?"""
+    t = turns(spark, d)
+    first_user = t.where(F.col("role") == "user").groupBy("conv_id").agg(
+        F.min_by("text", "turn").alias("q")).select("conv_id", F.element_at(F.split("q", " "), 1).alias("keyword"))
+    replies = t.where(F.col("role") == "assistant").select("conv_id", "text")
+    j = first_user.join(replies, "conv_id", "left")
+    return j.groupBy("conv_id", "keyword").agg(
+        F.coalesce(F.bool_or(C.has_keyword(F.col("text"), F.col("keyword"))), F.lit(False)).alias("found"))
+
+
+@query("chat_append")
+def chat_append(spark, d):
+    """Append a user follow-up to every conversation."""
+    t = turns(spark, d)
+    msgs = t.select("conv_id").distinct().select("conv_id", F.lit("user").alias("role"),
+                                                 F.lit("Please continue.").alias("text"))
+    return C.append_turn(t, msgs)
+
+
+@query("chat_strip")
+def chat_strip(spark, d):
+    """Render up to the last assistant turn, strip the prompt prefix, keep 128 new tokens."""
+    t = turns(spark, d)
+    last = t.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
+    t = t.join(last, "conv_id")
+    convs = t.where(F.col("turn") == F.col("last_turn")).where(F.col("role") == "assistant").select("conv_id")
+    t = t.join(convs, "conv_id", "left_semi")
+    prompt = C.render(t.where(F.col("turn") < F.col("last_turn")).drop("last_turn"))
+    full = C.render(t.drop("last_turn"), add_generation_prompt=False).withColumnRenamed("prompt", "full")
+    j = prompt.join(full, "conv_id")
+    new_text = F.expr("substring(full, length(prompt) + 1)")
+    toks = F.filter(F.split(new_text, r"\s+"), lambda w: w != "")
+    kept = C.strip_prompt(toks, F.lit(0))
+    return j.select("conv_id", F.array_join(kept, " ").alias("reply"), F.size(kept).alias("n_new"))
+
+
+# ------------------------------------------------------------------ counts
+
+def lang_counts(spark, d) -> DataFrame:
+    docs = _t(spark, d, "documents").select("lang", V.split_words(F.col("text")).alias("w"))
+    return K.increment_all(docs, "lang", "w")
+
+
+def doc_counts(spark, d) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", V.split_words(F.col("text")).alias("w"))
+    return K.increment_all(docs, "doc_id", "w")
+
+
+def bench_counts(spark, d, grp: str = "benchmark") -> DataFrame:
+    b = _t(spark, d, "benchmark").select(F.lit(grp).alias("g"), V.split_words(F.col("text")).alias("w"))
+    return K.increment_all(b, "g", "w")
+
+
+@query("count_increment")
+def count_increment(spark, d):
+    """K1: word counts per language."""
+    return lang_counts(spark, d)
+
+
+@query("count_argmax")
+def count_argmax(spark, d):
+    """K2: most frequent word of each document."""
+    return K.argmax(doc_counts(spark, d)).select(F.col("grp").alias("doc_id"), "key")
+
+
+@query("count_topk")
+def count_topk(spark, d):
+    """K3: five most frequent words per language."""
+    return K.top_k(lang_counts(spark, d), TOPK)
+
+
+@query("count_sorted")
+def count_sorted(spark, d):
+    """K3: every word of every language ranked by count."""
+    return K.sorted_keys(lang_counts(spark, d))
+
+
+@query("count_total")
+def count_total(spark, d):
+    """K4."""
+    return K.total(lang_counts(spark, d))
+
+
+@query("count_norm")
+def count_norm(spark, d):
+    """K5."""
+    return K.normalize(lang_counts(spark, d)).select("grp", "key", F.round("value", 9).alias("value"))
+
+
+@query("count_scale")
+def count_scale(spark, d):
+    """K6."""
+    return K.divide_all(lang_counts(spark, d), 2.0)
+
+
+@query("count_dot")
+def count_dot(spark, d):
+    """K7: each language's counts . the benchmark's counts."""
+    return K.dot(lang_counts(spark, d), bench_counts(spark, d)).select("grp_a", "grp_b", "dot")
+
+
+def _all_docs(spark, d) -> DataFrame:
+    docs = _t(spark, d, "documents").select(F.lit("corpus").alias("g"), V.split_words(F.col("text")).alias("w"))
+    return K.increment_all(docs, "g", "w")
+
+
+@query("count_add")
+def count_add(spark, d):
+    """K8: corpus counts + benchmark counts."""
+    return K.add(_all_docs(spark, d), bench_counts(spark, d, "corpus"))
+
+
+@query("count_sub")
+def count_sub(spark, d):
+    """K9: corpus counts - benchmark counts (zeros kept)."""
+    return K.subtract(_all_docs(spark, d), bench_counts(spark, d, "corpus"))
+
+
+# ------------------------------------------------------------------ sampling and helpers
+
+def event_dist(spark, d) -> DataFrame:
+    return _t(spark, d, "events").select(F.col("event_type").alias("value"), F.col("value").alias("weight"))
+
+
+@query("weighted_draw")
+def weighted_draw(spark, d):
+    """One event type per user, drawn by total event value."""
+    users = _t(spark, d, "events").select("user_id").distinct()
+    r = S.weighted_draw(users, "user_id", event_dist(spark, d), seed=SEED)
+    return r.select("user_id", F.col("value").alias("event_type"))
+
+
+@query("value_probability")
+def value_probability(spark, d):
+    """K11."""
+    p = S.value_probability(event_dist(spark, d))
+    return p.select(F.col("value").alias("event_type"), F.round("probability", 9).alias("probability"))
+
+
+@query("bernoulli")
+def bernoulli(spark, d):
+    """Events kept with probability 0.1."""
+    return S.bernoulli(_t(spark, d, "events"), "event_id", BERNOULLI_P, SEED).select("event_id")
+
+
+@query("transpose")
+def transpose(spark, d):
+    """K13 + K14: ones of the dense nav masks as coordinates, transposed."""
+    inp = T.expand(nav_actions(spark, d))
+    dm = T.dense_mask(inp, T.mask_edges(inp))
+    return S.transpose(S.to_coordinates(dm, "sent_id", "mask", 1.0))
+
+
+@query("scalar_helpers")
+def scalar_helpers(spark, d):
+    """K16 over lineitem."""
+    li = _t(spark, d, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.round(manhattan(F.col("l_quantity"), F.col("l_discount"), F.col("l_tax"), F.lit(0.0)), 6).alias("l1"),
+        nearest_int(F.col("l_extendedprice") / 1000).alias("nearest"),
+        sign(F.col("l_quantity") - 25).alias("sgn"),
+    )

@@ -1,3 +1,277 @@
-"""More oracle SQL."""
+"""DuckDB oracle SQL: vocabulary, batching, metrics, chat, counts, sampling."""
 
-from .oracle import SQL  # noqa: F401
+from __future__ import annotations
+
+from .oracle import NAV_ACTS, SQL, TREE_CHAIN, _with
+
+# Unicode White_Space as an RE2 class (RE2's \s is ASCII only and lacks \v).
+WS = r"'[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'"
+NL = "chr(10)"
+
+
+def words(col: str) -> str:
+    return f"list_filter(string_split_regex({col}, {WS}), lambda x: x <> '')"
+
+
+def vocab_cte(corpus_sql: str, name: str = "vocab") -> str:
+    """Word vocabulary: specials 0-3, then (count desc, token asc), 30000 entries at most."""
+    return f"""
+{name}_w AS (SELECT unnest({words('text')}) AS token FROM ({corpus_sql})),
+{name}_c AS (SELECT token, count(*) AS cnt FROM {name}_w
+            WHERE token NOT IN ('<unk>', '<s>', '</s>', '<pad>') GROUP BY token),
+{name}_l AS (SELECT token, row_number() OVER (ORDER BY cnt DESC, token) AS rn FROM {name}_c),
+{name} AS (
+  SELECT * FROM (VALUES ('<unk>', 0::BIGINT), ('<s>', 1::BIGINT), ('</s>', 2::BIGINT), ('<pad>', 3::BIGINT)) v(token, id)
+  UNION ALL SELECT token, (rn + 3)::BIGINT FROM {name}_l WHERE rn <= 29996
+)"""
+
+
+DOCS_VOCAB = vocab_cte("SELECT text FROM documents")
+CLEAN_VOCAB = """
+cv AS (
+  SELECT token, (row_number() OVER (ORDER BY id) - 1)::BIGINT AS id
+  FROM vocab WHERE NOT regexp_matches(token, '[0-9²³¹]{2}')
+)"""
+PREFIX_MERGES = """
+pm AS (
+  SELECT id AS rank, substr(token, 1, length(token) - 1) AS a, substr(token, length(token), 1) AS b
+  FROM vocab WHERE length(token) >= 2
+),
+cm AS (
+  SELECT rank, a, b FROM pm
+  WHERE NOT regexp_matches(a || b, '[0-9²³¹]{2}')
+    AND a IN (SELECT token FROM cv) AND b IN (SELECT token FROM cv)
+)"""
+
+SQL["vocab_train"] = _with(DOCS_VOCAB) + "\nSELECT token, id FROM vocab"
+SQL["vocab_size"] = _with(DOCS_VOCAB) + "\nSELECT count(*)::BIGINT AS vocab_size FROM vocab"
+SQL["vocab_encode"] = _with(DOCS_VOCAB, f"""
+toks AS (SELECT doc_id, ['<s>'] || {words('text')} || ['</s>'] AS a FROM documents),
+ex AS (SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS tok FROM toks)""") + """
+SELECT doc_id, count(*)::BIGINT AS n_tokens, count_if(coalesce(v.id, 0) = 0)::BIGINT AS n_unk,
+       sum(coalesce(v.id, 0) * (pos + 1))::BIGINT AS id_checksum
+FROM ex LEFT JOIN vocab v ON v.token = ex.tok GROUP BY doc_id"""
+BENCH_IDS = f"""
+btoks AS (SELECT item_id, ['<s>'] || {words('text')} || ['</s>'] AS a FROM benchmark),
+bex AS (SELECT item_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS tok FROM btoks),
+bids AS (SELECT item_id, pos, bex.tok, coalesce(v.id, 0) AS token_id FROM bex LEFT JOIN vocab v ON v.token = bex.tok)"""
+SQL["vocab_decode"] = _with(DOCS_VOCAB, BENCH_IDS) + """
+SELECT item_id, string_agg(v.token, ' ' ORDER BY pos) AS text
+FROM bids JOIN vocab v ON v.id = bids.token_id
+WHERE v.token NOT IN ('<unk>', '<s>', '</s>', '<pad>')
+GROUP BY item_id"""
+SQL["vocab_unk"] = _with(DOCS_VOCAB, BENCH_IDS) + """
+SELECT item_id, count(*)::BIGINT AS n_words, count_if(token_id = 0)::BIGINT AS n_unk
+FROM bids WHERE tok NOT IN ('<s>', '</s>') GROUP BY item_id"""
+SQL["vocab_clean"] = _with(DOCS_VOCAB, CLEAN_VOCAB) + "\nSELECT token, id FROM cv"
+SQL["merge_clean"] = _with(DOCS_VOCAB, CLEAN_VOCAB, PREFIX_MERGES) + "\nSELECT rank, a, b FROM cm"
+SQL["vocab_audit"] = _with(DOCS_VOCAB, CLEAN_VOCAB) + """,
+j AS (SELECT cv.token, cv.id AS nid, v.id AS oid FROM cv LEFT JOIN vocab v USING (token)),
+r AS (SELECT nid, row_number() OVER (ORDER BY oid, nid) - 1 AS rk FROM j WHERE oid IS NOT NULL)
+SELECT (count(*) = 0 OR (min(nid) = 0 AND max(nid) = count(*) - 1 AND count(DISTINCT nid) = count(*))) AS dense_ids,
+       count_if(oid IS NULL) = 0 AS subset_of_old,
+       (SELECT count_if(rk <> nid) FROM r) = 0 AS order_kept
+FROM j"""
+SQL["merge_audit"] = _with(DOCS_VOCAB, CLEAN_VOCAB, PREFIX_MERGES) + """,
+j AS (SELECT cm.rank AS nr, pm.rank AS orank FROM cm JOIN pm USING (a, b)),
+r AS (SELECT row_number() OVER (ORDER BY orank, nr) AS r1, row_number() OVER (ORDER BY nr, orank) AS r2 FROM j)
+SELECT (SELECT count(*) FROM (SELECT a, b FROM cm GROUP BY a, b HAVING count(*) > 1)) = 0 AS no_repeats,
+       (SELECT count(*) FROM cm WHERE NOT EXISTS (SELECT 1 FROM pm WHERE pm.a = cm.a AND pm.b = cm.b)) = 0
+         AS subset_of_old,
+       (SELECT count_if(r1 <> r2) FROM r) = 0 AS order_kept"""
+
+# ---------------------------------------------------------------- batching
+SQL["pad_batches"] = _with(NAV_ACTS, TREE_CHAIN, vocab_cte(
+    "SELECT string_agg(tok, ' ' ORDER BY pos) AS text FROM acts WHERE tok NOT IN ('<s>', '</s>') GROUP BY sent_id",
+    name="nv")) + """,
+ids AS (
+  SELECT i.sent_id, i.idx, i.pid, coalesce(a.id, 0) AS input_id, coalesce(b.id, 0) AS label_id
+  FROM inp i LEFT JOIN nv a ON a.token = i.tok LEFT JOIN nv b ON b.token = i.label
+),
+seq AS (
+  SELECT sent_id,
+         list(input_id ORDER BY idx) AS input_ids,
+         list(CASE WHEN label_id = 3 THEN -100 ELSE label_id END ORDER BY idx) AS labels,
+         list(pid ORDER BY idx) AS position_ids,
+         count(*) AS n
+  FROM ids GROUP BY sent_id
+),
+bt AS (SELECT *, (row_number() OVER (ORDER BY sent_id) - 1) // 16 AS batch_id FROM seq),
+mx AS (SELECT *, max(n) OVER (PARTITION BY batch_id) AS max_len FROM bt)
+SELECT batch_id::BIGINT AS batch_id, sent_id, max_len::INT AS max_len,
+       array_to_string(list_resize(input_ids, max_len, 3), ' ') AS input_ids,
+       array_to_string(list_resize(labels, max_len, -100), ' ') AS labels,
+       array_to_string(list_resize(position_ids, max_len, 0), ' ') AS position_ids
+FROM mx"""
+
+# ---------------------------------------------------------------- metrics
+SCORES = """
+lg AS (SELECT vec_id, list_transform(embedding[1:10], lambda x: x::DOUBLE) AS l FROM embeddings),
+lm AS (SELECT vec_id, list_transform(l, lambda x: exp(x - list_max(l))) AS e FROM lg),
+scores AS (
+  SELECT vec_id, (generate_subscripts(e, 1) - 1)::INT AS label, unnest(list_transform(e, lambda x: x / list_sum(e)))
+         AS score FROM lm
+),
+top AS (
+  SELECT vec_id, label, score FROM scores
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) = 1
+),
+pairs AS (SELECT t.vec_id AS item_id, t.label AS pred, e.label AS gold, t.score FROM top t JOIN embeddings e USING (vec_id)),
+pc AS (
+  SELECT label, sum(tp) AS tp, sum(np) AS np, sum(ng) AS ng, 2.0 * sum(tp) / (sum(np) + sum(ng)) AS f1 FROM (
+    SELECT pred AS label, (pred = gold)::INT AS tp, 1 AS np, 0 AS ng FROM pairs
+    UNION ALL SELECT gold, 0, 0, 1 FROM pairs) GROUP BY label
+),
+acc AS (SELECT count(*)::BIGINT AS n, count_if(pred = gold)::BIGINT AS n_correct,
+               avg((pred = gold)::INT::DOUBLE) AS accuracy FROM pairs)"""
+LABELS = """
+names AS (SELECT * FROM (VALUES (0, 'Society & Culture'), (1, 'Science & Mathematics'), (2, 'Health'),
+  (3, 'Education & Reference'), (4, 'Computers & Internet'), (5, 'Sports'), (6, 'Business & Finance'),
+  (7, 'Entertainment & Music'), (8, 'Family & Relationships'), (9, 'Politics & Government')) n(label_id, label_name))"""
+
+SQL["top1_label"] = _with(SCORES) + "\nSELECT vec_id, label, round(score, 6) AS score FROM top"
+SQL["label_names"] = _with(SCORES, LABELS) + \
+    "\nSELECT vec_id, label, label_name FROM top LEFT JOIN names ON names.label_id = top.label"
+SQL["prediction_contract"] = _with(SCORES, LABELS) + """
+SELECT count(*)::BIGINT AS n, count_if(label_name IS NULL)::BIGINT AS bad_label,
+       count_if(score IS NULL OR score < 0 OR score > 1)::BIGINT AS bad_score
+FROM top LEFT JOIN names ON names.label_id = top.label"""
+SQL["accuracy"] = _with(SCORES) + "\nSELECT n, n_correct, round(accuracy, 6) AS accuracy FROM acc"
+SQL["macro_f1"] = _with(SCORES) + "\nSELECT round(avg(f1), 6) AS macro_f1 FROM pc"
+SQL["per_class_f1"] = _with(SCORES) + """
+SELECT label::INT AS label, tp::BIGINT AS tp, np::BIGINT AS np, ng::BIGINT AS ng, round(f1, 6) AS f1 FROM pc"""
+SQL["threshold_points"] = _with(SCORES) + """
+SELECT round(accuracy, 6) AS accuracy,
+       (SELECT count(*) FROM (VALUES (0.30), (0.35), (0.50)) t(x) WHERE acc.accuracy >= x)::INT AS points
+FROM acc"""
+SQL["loss_points"] = _with(SCORES) + """,
+loss AS (SELECT avg(-ln(s.score)) AS loss FROM scores s JOIN embeddings e ON e.vec_id = s.vec_id AND e.label = s.label)
+SELECT round(loss, 6) AS loss, (2 * (SELECT count(*) FROM (VALUES (3.0)) t(x) WHERE loss.loss <= x))::INT AS points
+FROM loss"""
+SQL["failure_example"] = _with(SCORES) + \
+    "\nSELECT item_id AS vec_id, pred, gold FROM pairs WHERE pred <> gold ORDER BY item_id DESC LIMIT 1"
+SQL["tolerance"] = _with(SCORES) + """,
+hp AS (SELECT *, CASE WHEN item_id % 2 = 0 THEN 'even' ELSE 'odd' END AS half FROM pairs),
+hf AS (
+  SELECT half, label, 2.0 * sum(tp) / (sum(np) + sum(ng)) AS f1 FROM (
+    SELECT half, pred AS label, (pred = gold)::INT AS tp, 1 AS np, 0 AS ng FROM hp
+    UNION ALL SELECT half, gold, 0, 0, 1 FROM hp) GROUP BY half, label
+),
+j AS (
+  SELECT coalesce(e.label, o.label)::INT AS label, coalesce(e.f1, 0.0) AS a, coalesce(o.f1, 0.0) AS b
+  FROM (SELECT * FROM hf WHERE half = 'even') e FULL JOIN (SELECT * FROM hf WHERE half = 'odd') o USING (label)
+)
+SELECT label, round(a, 6) AS f1_even, round(b, 6) AS f1_odd, abs(a - b) <= 0.001 AS within FROM j"""
+SQL["rounded_report"] = _with(SCORES) + """
+SELECT round(accuracy, 2) AS accuracy_2, (SELECT round(avg(f1), 4) FROM pc) AS macro_f1_4 FROM acc"""
+SQL["seeded_sample"] = """
+SELECT doc_id, ('0x' || substr(md5('42|' || doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 AS u
+FROM documents ORDER BY u, doc_id LIMIT 83"""
+
+# ---------------------------------------------------------------- chat
+BLOCK = f"'<|im_start|>' || role || {NL} || text || '<|im_end|>' || {NL}"
+DEFAULT_BLOCK = (f"'<|im_start|>system' || {NL} || 'You are a helpful AI assistant named SmolLM, trained by Hugging "
+                 f"Face<|im_end|>' || {NL}")
+
+
+def render_sql(src: str, gen: bool) -> str:
+    tail = f" || '<|im_start|>assistant' || {NL}" if gen else ""
+    return f"""
+SELECT conv_id,
+  CASE WHEN arg_min(role, turn) <> 'system' THEN {DEFAULT_BLOCK} ELSE '' END
+  || string_agg({BLOCK}, '' ORDER BY turn){tail} AS prompt
+FROM {src} GROUP BY conv_id"""
+
+
+SQL["chat_render"] = render_sql("conversations", True)
+SQL["chat_audit"] = f"""
+WITH r AS ({render_sql("conversations", True)}),
+c AS (SELECT t.conv_id, bool_and(contains(r.prompt, t.text)) AS all_contained
+      FROM conversations t JOIN r USING (conv_id) GROUP BY t.conv_id)
+SELECT r.conv_id, starts_with(prompt, '<|im_start|>system') AS starts_with_system,
+       (length(prompt) - length(replace(prompt, '<|im_start|>system', ''))) / length('<|im_start|>system') < 2
+         AS one_system_block,
+       coalesce(c.all_contained, true) AS all_contained
+FROM r LEFT JOIN c USING (conv_id)"""
+SQL["chat_last"] = """
+SELECT conv_id, arg_max(role, turn) AS last_role, arg_max(text, turn) AS last_text FROM conversations GROUP BY conv_id"""
+_KW = ["As an AI", "I don't", "I cannot", "I am not", "I won't", "I will not", "I do not", "I can't", "not to"]
+SQL["chat_refusal"] = "SELECT conv_id, turn, (" + " OR ".join(
+    "contains(text, '" + k.replace("'", "''") + "')" for k in _KW) + \
+    ") AS is_refusal FROM conversations WHERE role = 'assistant'"
+SQL["chat_keyword"] = """
+WITH fu AS (SELECT conv_id, string_split(arg_min(text, turn), ' ')[1] AS keyword
+            FROM conversations WHERE role = 'user' GROUP BY conv_id)
+SELECT fu.conv_id, fu.keyword, coalesce(bool_or(contains(lower(c.text), lower(fu.keyword))), false) AS found
+FROM fu LEFT JOIN conversations c ON c.conv_id = fu.conv_id AND c.role = 'assistant'
+GROUP BY fu.conv_id, fu.keyword"""
+SQL["chat_append"] = """
+SELECT conv_id, turn, role, text FROM conversations
+UNION ALL SELECT conv_id, max(turn) + 1, 'user', 'Please continue.' FROM conversations GROUP BY conv_id"""
+SQL["chat_strip"] = f"""
+WITH lt AS (SELECT conv_id, max(turn) AS last_turn FROM conversations GROUP BY conv_id),
+t AS (SELECT c.*, lt.last_turn FROM conversations c JOIN lt USING (conv_id)
+      WHERE c.conv_id IN (SELECT conv_id FROM conversations c2 JOIN lt USING (conv_id)
+                          WHERE c2.turn = lt.last_turn AND c2.role = 'assistant')),
+p AS ({render_sql("(SELECT * FROM t WHERE turn < last_turn)", True)}),
+f AS ({render_sql("t", False)}),
+j AS (SELECT p.conv_id, list_filter(string_split_regex(substr(f.prompt, length(p.prompt) + 1), '\\s+'),
+                                    lambda w: w <> '')[1:128] AS toks
+      FROM p JOIN f USING (conv_id))
+SELECT conv_id, array_to_string(toks, ' ') AS reply, len(toks)::INT AS n_new FROM j"""
+
+# ---------------------------------------------------------------- counts
+LANG_COUNTS = f"""
+lc AS (SELECT lang AS grp, w AS key, count(*)::DOUBLE AS value
+       FROM (SELECT lang, unnest({words('text')}) AS w FROM documents) GROUP BY 1, 2)"""
+SQL["count_increment"] = _with(LANG_COUNTS) + "\nSELECT grp, key, value FROM lc"
+SQL["count_argmax"] = f"""
+WITH dc AS (SELECT doc_id, w AS key, count(*)::DOUBLE AS value
+            FROM (SELECT doc_id, unnest({words('text')}) AS w FROM documents) GROUP BY 1, 2)
+SELECT doc_id, key FROM dc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY value DESC, key) = 1"""
+SQL["count_topk"] = _with(LANG_COUNTS) + """
+SELECT grp, rank::INT AS rank, key, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY value DESC, key) AS rank FROM lc) WHERE rank <= 5"""
+SQL["count_sorted"] = _with(LANG_COUNTS) + """
+SELECT grp, (row_number() OVER (PARTITION BY grp ORDER BY value DESC, key))::INT AS rank, key, value FROM lc"""
+SQL["count_total"] = _with(LANG_COUNTS) + "\nSELECT grp, sum(value) AS total FROM lc GROUP BY grp"
+SQL["count_norm"] = _with(LANG_COUNTS) + """
+SELECT grp, key, round(CASE WHEN total = 0 THEN value ELSE value / total END, 9) AS value
+FROM lc JOIN (SELECT grp, sum(value) AS total FROM lc GROUP BY grp) USING (grp)"""
+SQL["count_scale"] = _with(LANG_COUNTS) + "\nSELECT grp, key, value / 2.0 AS value FROM lc"
+BENCH_COUNTS = f"""
+bc AS (SELECT w AS key, count(*)::DOUBLE AS value
+       FROM (SELECT unnest({words('text')}) AS w FROM benchmark) GROUP BY 1),
+ac AS (SELECT w AS key, count(*)::DOUBLE AS value
+       FROM (SELECT unnest({words('text')}) AS w FROM documents) GROUP BY 1)"""
+SQL["count_dot"] = _with(LANG_COUNTS, BENCH_COUNTS) + """
+SELECT lc.grp AS grp_a, 'benchmark' AS grp_b, sum(lc.value * bc.value) AS dot FROM lc JOIN bc USING (key) GROUP BY lc.grp"""
+SQL["count_add"] = _with(BENCH_COUNTS) + """
+SELECT 'corpus' AS grp, key, sum(value) AS value FROM (SELECT * FROM ac UNION ALL SELECT * FROM bc) GROUP BY key"""
+SQL["count_sub"] = _with(BENCH_COUNTS) + """
+SELECT 'corpus' AS grp, key, sum(value) AS value
+FROM (SELECT * FROM ac UNION ALL SELECT key, -value FROM bc) GROUP BY key"""
+
+# ---------------------------------------------------------------- sampling
+BANDS = """
+ew AS (SELECT event_type, sum(value) AS w FROM events GROUP BY event_type),
+bands AS (
+  SELECT event_type, w, (sum(w) OVER (ORDER BY event_type) - w) / sum(w) OVER () AS lo,
+         sum(w) OVER (ORDER BY event_type) / sum(w) OVER () AS hi, w / sum(w) OVER () AS p
+  FROM ew
+)"""
+SQL["weighted_draw"] = _with(BANDS) + """,
+users AS (SELECT DISTINCT user_id,
+          ('0x' || substr(md5('42|' || user_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 AS u FROM events)
+SELECT user_id, event_type FROM users JOIN bands ON u >= lo AND u < hi WHERE hi > lo"""
+SQL["value_probability"] = _with(BANDS) + "\nSELECT event_type, round(p, 9) AS probability FROM bands"
+SQL["bernoulli"] = """
+SELECT event_id FROM events
+WHERE ('0x' || substr(md5('42|' || event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < 0.1"""
+SQL["transpose"] = _with(NAV_ACTS, TREE_CHAIN) + "\nSELECT sent_id, ki AS row, qi AS col FROM edges"
+SQL["scalar_helpers"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round(abs(l_quantity - l_tax) + abs(l_discount - 0.0), 6) AS l1,
+       trunc(l_extendedprice / 1000 + 0.5)::INT AS nearest,
+       CASE WHEN l_quantity - 25 >= 0 THEN 1 ELSE -1 END AS sgn
+FROM lineitem"""
