@@ -457,3 +457,48 @@ def scalar_helpers(spark, d):
         nearest_int(F.col("l_extendedprice") / 1000).alias("nearest"),
         sign(F.col("l_quantity") - 25).alias("sgn"),
     )
+
+
+# ------------------------------------------------------------------ model-backed (rows-only checks)
+
+def prefix_bpe_model(spark, d, top_words: int = 2000):
+    """A byte-level BPE model derived from the corpus: the most frequent alphanumeric words,
+    each built left to right from its ``Ġ``-prefixed spelling (ASCII only, so bytes = chars)."""
+    from ..operators.bpe import byte_alphabet
+    vocab = docs_vocab(spark, d).where(F.col("id") >= len(V.SPECIALS)).where(
+        F.col("token").rlike("^[A-Za-z0-9]+$")).orderBy("id").limit(top_words)
+    s = F.concat(F.lit("Ġ"), F.col("token"))
+    steps = vocab.select("id", F.posexplode(F.sequence(F.lit(2), F.length(s))).alias("j", "i"), s.alias("s"))
+    m = steps.select(
+        "id", "j", F.expr("substring(s, 1, i - 1)").alias("a"), F.expr("substring(s, i, 1)").alias("b"))
+    first = m.groupBy("a", "b").agg(F.min(F.struct("id", "j")).alias("k"))
+    merges = first.select(F.col("k.id").alias("wid"), F.col("k.j").alias("j"), "a", "b")
+    from ..functions.ranking import dense_index
+    merges = dense_index(merges, [F.col("wid"), F.col("j")], name="rank").select("rank", "a", "b")
+    alphabet = spark.createDataFrame([(c,) for c in byte_alphabet()], "token string")
+    products = merges.select(F.concat("a", "b").alias("token"))
+    tokens = alphabet.unionByName(products).distinct()
+    vocab_out = dense_index(tokens, [F.col("token")], name="id")
+    return vocab_out, merges
+
+
+@query("bpe_encode")
+def bpe_encode(spark, d):
+    """V14 (+V10/V11): clean the derived model, then byte-level BPE over every document."""
+    from ..operators import bpe as P
+    vocab, merges = prefix_bpe_model(spark, d)
+    cv = V.clean_vocab(vocab)
+    cm = V.clean_merges(merges, cv)
+    enc = P.bpe_encode(_t(spark, d, "documents"), cv, cm)
+    return enc.groupBy("doc_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
+                                     F.count_distinct("pt_pos").cast("bigint").alias("n_pretokens"))
+
+
+@query("text_classifier")
+def text_classifier(spark, d):
+    """Quality classifier trained on the labelled documents, scored on all documents."""
+    from ..operators import classify as CL
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    model = CL.fit_text_classifier(docs, _t(spark, d, "labels"), "quality")
+    s = CL.score(docs, model)
+    return s.select("doc_id", "label", F.round("score", 6).alias("score"))
