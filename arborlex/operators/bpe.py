@@ -59,12 +59,17 @@ def merge_word(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[st
     return symbols
 
 
+def _bounded_rows(df: DataFrame, what: str) -> list:
+    rows = df.limit(MAX_MODEL_ROWS + 1).collect()
+    if len(rows) > MAX_MODEL_ROWS:
+        raise ValueError(f"BPE {what} has more than {MAX_MODEL_ROWS} rows; above the broadcast bound")
+    return rows
+
+
 def _model(vocab: DataFrame, merges: DataFrame) -> tuple[set[str], dict[tuple[str, str], int]]:
-    n = vocab.count() + merges.count()
-    if n > MAX_MODEL_ROWS:
-        raise ValueError(f"BPE model has {n} rows; above the broadcast bound {MAX_MODEL_ROWS}")
-    toks = {r.token for r in vocab.select("token").collect()}
-    ranks = {(r.a, r.b): int(r.rank) for r in merges.select("rank", "a", "b").collect()}
+    """The model tables, size-checked, as driver-side lookups for one broadcast."""
+    toks = {r.token for r in _bounded_rows(vocab.select("token"), "vocabulary")}
+    ranks = {(r.a, r.b): int(r.rank) for r in _bounded_rows(merges.select("rank", "a", "b"), "merge list")}
     return toks, ranks
 
 

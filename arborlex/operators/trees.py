@@ -58,7 +58,9 @@ def annotate(actions: DataFrame) -> DataFrame:
     w_pos = _w_pos()
     run = w_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w_pos.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    a = actions.repartition("sent_id").select(
+    # no explicit repartition: the window requirement adds one exchange on sent_id only
+    # when the input is not already partitioned that way
+    a = actions.select(
         "sent_id", "pos", "tok",
         delta.alias("delta"),
         is_c.alias("is_c"),
@@ -221,18 +223,27 @@ def mask_edges(inputs: DataFrame, intervals: DataFrame | None = None) -> DataFra
     self:    every row but </s>
     COMPOSE: a closer sees the keys that die at it
     STACK:   any other row sees the keys live at it (k < q < death)
-    STACK candidates come from each key's own live range, so work is proportional to
-    the edges produced; the join on (sent_id, idx) also spreads a long sentence.
+    Each key lists its candidate rows ``ki+1 .. death`` once (work proportional to
+    the edges produced, never all pairs of a sentence); one join on (sent_id, qi)
+    with the row kinds keeps COMPOSE and STACK edges and also spreads long sentences.
+    Pass a materialised ``inputs`` (see :func:`materialize`): it is read twice.
     """
     iv = intervals if intervals is not None else mask_intervals(inputs)
-    self_e = inputs.where(F.col("kind") != "E").select("sent_id", F.col("idx").alias("qi"), F.col("idx").alias("ki"))
-    compose = iv.where(F.col("death") < F.col("n_in")).select("sent_id", F.col("death").alias("qi"), "ki")
-    cand = iv.where(F.col("death") > F.col("ki") + 1).select(
-        "sent_id", "ki", F.explode(F.sequence(F.col("ki") + 1, F.col("death") - 1)).alias("qi")
-    )
-    stack_rows = inputs.where(~F.col("kind").isin("C", "E")).select("sent_id", F.col("idx").alias("qi"))
-    stack = cand.join(stack_rows, ["sent_id", "qi"], "inner").select("sent_id", "qi", "ki")
-    return self_e.unionByName(compose).unionByName(stack)
+    rows = inputs.select("sent_id", F.col("idx").alias("qi"), F.col("kind").alias("qkind"))
+    self_e = rows.where(F.col("qkind") != "E").select("sent_id", "qi", F.col("qi").alias("ki"))
+    last = F.least(F.col("death"), F.col("n_in") - 1)
+    cand = iv.where(last >= F.col("ki") + 1).select(
+        "sent_id", "ki", "death", F.explode(F.sequence(F.col("ki") + 1, last)).alias("qi"))
+    keep = ((F.col("qi") < F.col("death")) & ~F.col("qkind").isin("C", "E")) | (
+        (F.col("qi") == F.col("death")) & (F.col("qkind") == "C"))
+    live = cand.join(rows, ["sent_id", "qi"]).where(keep).select("sent_id", "qi", "ki")
+    return self_e.unionByName(live)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage once for a table read by several branches (reliable checkpoint)."""
+    from ..session import cut_lineage
+    return cut_lineage(df)
 
 
 def mask_degree(inputs: DataFrame, intervals: DataFrame | None = None) -> DataFrame:

@@ -100,40 +100,40 @@ def tree_mask_intervals(spark, d):
 @query("tree_mask_edges")
 def tree_mask_edges(spark, d):
     """T9 edges on the nav trees."""
-    return T.mask_edges(T.expand(nav_actions(spark, d)))
+    return T.mask_edges(T.materialize(T.expand(nav_actions(spark, d))))
 
 
 @query("tree_mask_degree")
 def tree_mask_degree(spark, d):
     """Row sums of the order-tree mask, computed by a sweep (no edge expansion)."""
-    return T.mask_degree(T.expand(order_actions(spark, d)))
+    return T.mask_degree(T.materialize(T.expand(order_actions(spark, d))))
 
 
 @query("tree_dense_mask")
 def tree_dense_mask(spark, d):
     """T10/T11 + K13 export: every dense row as Python-style float text, nav trees."""
-    inp = T.expand(nav_actions(spark, d))
+    inp = T.materialize(T.expand(nav_actions(spark, d)))
     return T.dense_mask_text(inp, T.mask_edges(inp))
 
 
 @query("tree_example")
 def tree_example(spark, d):
     """The four example columns per nav tree, as Python-style text."""
-    inp = T.expand(nav_actions(spark, d))
+    inp = T.materialize(T.expand(nav_actions(spark, d)))
     return T.row_texts(inp, T.mask_edges(inp)).select("sent_id", "text")
 
 
 @query("tree_fingerprint")
 def tree_fingerprint(spark, d):
     """T14 + K15: salted MD5 of each nav example (parallel form of the dataset hash)."""
-    inp = T.expand(nav_actions(spark, d))
+    inp = T.materialize(T.expand(nav_actions(spark, d)))
     return T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp)))
 
 
 @query("tree_dataset_digest")
 def tree_dataset_digest(spark, d):
     """T14 at scale, order tree: count and order-free XOR-free sum digest of per-sentence hashes."""
-    inp = T.expand(order_actions(spark, d))
+    inp = T.materialize(T.expand(order_actions(spark, d)))
     fp = T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp)))
     h = F.conv(F.substring("fingerprint", 1, 8), 16, 10).cast("bigint")
     return fp.agg(F.count(F.lit(1)).cast("bigint").alias("n_sentences"), F.sum(h).cast("bigint").alias("digest"))

@@ -442,7 +442,7 @@ def bernoulli(spark, d):
 @query("transpose")
 def transpose(spark, d):
     """K13 + K14: ones of the dense nav masks as coordinates, transposed."""
-    inp = T.expand(nav_actions(spark, d))
+    inp = T.materialize(T.expand(nav_actions(spark, d)))
     dm = T.dense_mask(inp, T.mask_edges(inp))
     return S.transpose(S.to_coordinates(dm, "sent_id", "mask", 1.0))
 
@@ -474,7 +474,9 @@ def prefix_bpe_model(spark, d, top_words: int = 2000):
     first = m.groupBy("a", "b").agg(F.min(F.struct("id", "j")).alias("k"))
     merges = first.select(F.col("k.id").alias("wid"), F.col("k.j").alias("j"), "a", "b")
     from ..functions.ranking import dense_index
-    merges = dense_index(merges, [F.col("wid"), F.col("j")], name="rank").select("rank", "a", "b")
+    from ..session import cut_lineage
+    # the model is read several times (cleanup, broadcast): materialise it once
+    merges = cut_lineage(dense_index(merges, [F.col("wid"), F.col("j")], name="rank").select("rank", "a", "b"))
     alphabet = spark.createDataFrame([(c,) for c in byte_alphabet()], "token string")
     products = merges.select(F.concat("a", "b").alias("token"))
     tokens = alphabet.unionByName(products).distinct()

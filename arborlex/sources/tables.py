@@ -10,10 +10,22 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A driver table.  With ``spread``, a scan that yields fewer splits than the
+    session's parallelism (one file with one row group) is dealt round-robin over
+    the cores before any per-row work; with many files (the large-scale case) the
+    scan is left as it is and no shuffle is added."""
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df) if spread else df
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def read_split(spark: SparkSession, path: str, split: str | None = None, split_col: str = "split") -> DataFrame:
