@@ -12,12 +12,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _sorted_parts(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Range-sorted rows tagged with their sorted partition, materialised once.
+
+    The partition tag is read by two branches (local numbering and per-partition
+    counts); a reliable checkpoint fixes it, whatever AQE or re-sampling would do on
+    a recomputation.
+    """
+    from ..session import cut_lineage
+    return cut_lineage(df.orderBy(*order).withColumn("_part", F.spark_partition_id()))
+
+
 def dense_index(df: DataFrame, order: list[Column], start: int = 0, name: str = "id") -> DataFrame:
     """Add ``name`` = start + 0-based position of each row in the total ``order``.
 
     ``order`` must be a total order (break ties by a unique column).
     """
-    keyed = df.orderBy(*order).withColumn("_part", F.spark_partition_id())
+    keyed = _sorted_parts(df, order)
     local = keyed.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     )
@@ -42,7 +53,7 @@ def grouped_index(df: DataFrame, group: list[str], order: list[Column], start: i
     by a single task.
     """
     gcols = [F.col(g) for g in group]
-    keyed = df.orderBy(*gcols, *order).withColumn("_part", F.spark_partition_id())
+    keyed = _sorted_parts(df, [*gcols, *order])
     local = keyed.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part", *group).orderBy(*order)) - 1)
     pieces = keyed.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_n"))
@@ -50,6 +61,7 @@ def grouped_index(df: DataFrame, group: list[str], order: list[Column], start: i
         "_part", *group,
         F.sum("_n").over(Window.partitionBy(*group).orderBy("_part")
                          .rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    # co-partitioned with `local` (both hash-partitioned on (_part, group)): no extra shuffle
     out = local.join(offs, ["_part", *group]).withColumn(
         name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local") + F.lit(start)).cast("bigint"))
     return out.drop("_part", "_local", "_off")
@@ -57,7 +69,7 @@ def grouped_index(df: DataFrame, group: list[str], order: list[Column], start: i
 
 def running_total(df: DataFrame, order: list[Column], value: str, name: str = "cum") -> DataFrame:
     """Inclusive running sum of ``value`` over a total ``order`` without a single-task window."""
-    keyed = df.orderBy(*order).withColumn("_part", F.spark_partition_id())
+    keyed = _sorted_parts(df, order)
     local = keyed.withColumn(
         "_local", F.sum(value).over(Window.partitionBy("_part").orderBy(*order)
                                     .rowsBetween(Window.unboundedPreceding, Window.currentRow)))

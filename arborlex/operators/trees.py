@@ -17,14 +17,8 @@ from ..functions.columns import py_list, py_str, salted_md5
 
 # Fixed values (reserved tokens and the ignored-label marker).
 BOS, EOS, PAD, UNK = "<s>", "</s>", "<pad>", "<unk>"
-
-
-def _w_sent():
-    return Window.partitionBy("sent_id")
-
-
-def _w_pos():
-    return Window.partitionBy("sent_id").orderBy("pos")
+# Positions per scan chunk: sentences up to this length are one chunk (carries are empty).
+DEFAULT_CHUNK = 1 << 16
 
 
 # Codes in order of test (first error wins); `reserved` is our own last check.
@@ -47,29 +41,85 @@ def frame(tokens: Column) -> Column:
     return F.concat(F.array(F.lit(BOS)), tokens, F.array(F.lit(EOS)))
 
 
-def annotate(actions: DataFrame) -> DataFrame:
-    """T1 + T4 + T5: token kind, running depth, position id and the open name a closer must match."""
+def has_rows(df: DataFrame) -> bool:
+    """Runtime check used to pick a plan (one short job)."""
+    return len(df.limit(1).collect()) > 0
+
+
+def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK, chunked: bool | None = None) -> DataFrame:
+    """T1 + T4 + T5: token kind, running depth, position id and the open name a closer must match.
+
+    Two-level scans: windows run inside ``(sent_id, chunk)`` with ``chunk = pos div chunk``;
+    per-chunk summaries carry depth, closer counts, the next chunk's first token and the
+    latest opener of every level across chunk borders.  Both carry tables are joined on
+    ``(sent_id, chunk)``, the partitioning the windows already use, so a sentence of any
+    length is split over tasks and the token table is shuffled once.
+
+    ``chunked=None`` checks at run time whether any sentence is longer than one chunk;
+    when none is, every sentence is a bounded group and the carries are skipped.
+    """
+    if chunked is None:
+        chunked = has_rows(actions.where(F.col("pos") >= chunk))
     tok = F.col("tok")
     opens = tok.startswith("(") & ~tok.endswith(")")
     closes = tok.endswith(")") & ~tok.startswith("(")
     delta = F.when(opens, 1).when(closes, -1).otherwise(0)
     is_c = F.when(closes, 1).otherwise(0)
 
-    w_pos = _w_pos()
-    run = w_pos.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = w_pos.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # no explicit repartition: the window requirement adds one exchange on sent_id only
-    # when the input is not already partitioned that way
+    w_loc = Window.partitionBy("sent_id", "chunk").orderBy("pos")
+    run = w_loc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     a = actions.select(
-        "sent_id", "pos", "tok",
-        delta.alias("delta"),
-        is_c.alias("is_c"),
-        F.sum(delta).over(run).alias("d_after"),
-        (F.sum(is_c).over(run) - is_c).alias("c_before"),
-        F.sum(is_c).over(whole).alias("c_total"),
-        F.count(F.lit(1)).over(whole).alias("n"),
-        F.lead("tok").over(w_pos).alias("next_tok"),
+        "sent_id", "pos", "tok", (F.col("pos") / F.lit(chunk)).cast("int").alias("chunk"),
+        delta.alias("delta"), is_c.alias("is_c"),
+    )
+    if not chunked:
+        whole = w_loc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        a = a.select(
+            "sent_id", "pos", "tok", "chunk", "delta", "is_c",
+            F.sum("delta").over(run).alias("d_after"),
+            (F.sum("is_c").over(run) - F.col("is_c")).alias("c_before"),
+            F.sum("is_c").over(whole).alias("c_total"),
+            F.count(F.lit(1)).over(whole).alias("n"),
+            F.lead("tok").over(w_loc).alias("next_tok"),
+        )
+        return _kinds_and_open(a, chunked=False)
+    a = a.select(
+        "*",
+        F.sum("delta").over(run).alias("loc_d"),
+        F.sum("is_c").over(run).alias("loc_c"),
+        F.lead("tok").over(w_loc).alias("loc_next"),
+        F.lead("pos").over(w_loc).isNull().alias("chunk_end"),
+    )
+    # carry table: one row per chunk
+    cs = a.groupBy("sent_id", "chunk").agg(
+        F.sum("delta").alias("d_tot"), F.sum("is_c").alias("c_tot"), F.count(F.lit(1)).alias("n_ch"),
+        F.min_by("tok", "pos").alias("first_tok"),
     )
+    wc = Window.partitionBy("sent_id").orderBy("chunk")
+    before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    every = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = cs.select(
+        "sent_id", "chunk",
+        F.coalesce(F.sum("d_tot").over(before), F.lit(0)).alias("d_off"),
+        F.coalesce(F.sum("c_tot").over(before), F.lit(0)).alias("c_off"),
+        F.sum("c_tot").over(every).alias("c_total"),
+        F.sum("n_ch").over(every).alias("n"),
+        F.lead("first_tok").over(wc).alias("next_first"),
+    )
+    a = a.join(carry, ["sent_id", "chunk"]).select(
+        "sent_id", "pos", "tok", "chunk", "delta", "is_c",
+        (F.col("d_off") + F.col("loc_d")).alias("d_after"),
+        (F.col("c_off") + F.col("loc_c") - F.col("is_c")).alias("c_before"),
+        "c_total", "n",
+        F.when(F.col("chunk_end"), F.col("next_first")).otherwise(F.col("loc_next")).alias("next_tok"),
+    )
+    # read by two branches below (opener carry and main path): cut lineage once
+    from ..session import cut_lineage
+    return _kinds_and_open(cut_lineage(a), chunked=True)
+
+
+def _kinds_and_open(a: DataFrame, chunked: bool) -> DataFrame:
+    tok = F.col("tok")
     pos, n = F.col("pos"), F.col("n")
     kind = (
         F.when(tok.isNull() | (tok == ""), "X")
@@ -90,16 +140,22 @@ def annotate(actions: DataFrame) -> DataFrame:
         "pid",
         F.when(k.isin("B", "E"), 0).when(k == "O", F.col("d_before")).otherwise(F.col("d_after")),
     )
-    # The stack top for a closer is the latest opener on the closer's level.
-    w_lvl = (
-        Window.partitionBy("sent_id", "pid").orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return a.withColumn(
-        "open_name", F.last(F.when(k == "O", F.col("name")), ignorenulls=True).over(w_lvl)
-    ).withColumn(
-        "open_pos", F.last(F.when(k == "O", F.col("pos")), ignorenulls=True).over(w_lvl)
-    )
+    # The stack top for a closer is the latest opener on the closer's level: first inside
+    # the chunk, else carried from earlier chunks through a per-chunk map level -> opener.
+    opener = F.when(k == "O", F.struct(F.col("pos").alias("p"), F.col("name").alias("nm")))
+    w_lvl = Window.partitionBy("sent_id", "pid", "chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    a = a.withColumn("loc_open", F.last(opener, ignorenulls=True).over(w_lvl))
+    if not chunked:
+        return a.withColumn("open_name", F.col("loc_open")["nm"]).withColumn(
+            "open_pos", F.col("loc_open")["p"]).drop("loc_open")
+    last_o = a.groupBy("sent_id", "pid", "chunk").agg(F.max(opener).alias("last_o"))
+    w_prev = Window.partitionBy("sent_id", "pid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last_o.select("sent_id", "pid", "chunk", F.last("last_o", ignorenulls=True).over(w_prev).alias("c_o"))
+    omap = carried.where(F.col("c_o").isNotNull()).groupBy("sent_id", "chunk").agg(
+        F.map_from_entries(F.collect_list(F.struct("pid", "c_o"))).alias("omap"))
+    a = a.join(omap, ["sent_id", "chunk"], "left")
+    op = F.coalesce(F.col("loc_open"), F.try_element_at(F.col("omap"), F.col("pid")))
+    return a.withColumn("open_name", op["nm"]).withColumn("open_pos", op["p"]).drop("loc_open", "omap")
 
 
 def _error(a: DataFrame) -> Column:
@@ -134,16 +190,26 @@ def _error(a: DataFrame) -> Column:
     )
 
 
-def with_errors(actions: DataFrame) -> DataFrame:
-    """Annotated rows plus ``err`` (row candidate) and ``n_err`` (per sentence)."""
-    a = annotate(actions)
+def with_errors(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Annotated rows plus ``err`` (row candidate) and ``n_err`` (errors in the sentence).
+
+    The sentence count is summed over per-chunk counts and joined back on
+    ``(sent_id, chunk)``, so no window spans a whole sentence.
+    """
+    long_ = has_rows(actions.where(F.col("pos") >= chunk))
+    a = annotate(actions, chunk, chunked=long_)
     a = a.withColumn("err", _error(a))
-    return a.withColumn("n_err", F.count("err").over(_w_sent()))
+    if not long_:
+        return a.withColumn("n_err", F.count("err").over(Window.partitionBy("sent_id", "chunk")))
+    per = a.groupBy("sent_id", "chunk").agg(F.count("err").alias("e"))
+    tot = per.select("sent_id", "chunk", F.sum("e").over(Window.partitionBy("sent_id")).alias("n_err"))
+    return a.join(tot, ["sent_id", "chunk"])
 
 
-def validate(actions: DataFrame) -> DataFrame:
+def validate(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """T2/T3 reject table: one row ``(sent_id, pos, code)`` per invalid sentence, first error wins."""
-    a = with_errors(actions)
+    a = annotate(actions, chunk)
+    a = a.withColumn("err", _error(a))
     return (
         a.where(F.col("err").isNotNull())
         .groupBy("sent_id")
@@ -152,28 +218,29 @@ def validate(actions: DataFrame) -> DataFrame:
     )
 
 
-def accepted(actions: DataFrame) -> DataFrame:
-    """T3 accept side: annotated rows of sentences without any error (no join needed)."""
-    return with_errors(actions).where(F.col("n_err") == 0).drop("err", "n_err")
+def accepted(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """T3 accept side: annotated rows of sentences without any error."""
+    return with_errors(actions, chunk).where(F.col("n_err") == 0).drop("err", "n_err")
 
 
-def matches(actions: DataFrame) -> DataFrame:
+def matches(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """T5: each closer of a valid sentence with the position of its opener."""
-    a = accepted(actions)
+    a = accepted(actions, chunk)
     return a.where(F.col("kind") == "C").select(
         "sent_id", F.col("pos").alias("close_pos"), F.col("open_pos").cast("int").alias("open_pos"), "name")
 
 
-def expand(actions: DataFrame, annotated: bool = False) -> DataFrame:
+def expand(actions: DataFrame, annotated: bool = False, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Duplicate closers, emit ``inputs``/``labels``/``position_ids`` in long form.
 
-    Output ``(sent_id, idx, kind, tok, label, pid, n_in)``; kind ``D`` marks the copy.
+    Output ``(sent_id, idx, kind, tok, label, pid, n_in, chunk)``; kind ``D`` marks the copy,
+    ``chunk`` is the scan chunk of the source position (chunks are contiguous in ``idx``).
     ``idx = pos + closers before + copy`` needs no second sort.
     """
-    a = actions if annotated else accepted(actions)
+    a = actions if annotated else accepted(actions, chunk)
     copies = F.when(F.col("kind") == "C", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     e = a.select(
-        "sent_id", "pos", "tok", "kind", "pid", "c_before",
+        "sent_id", "pos", "tok", "kind", "pid", "c_before", "chunk",
         (F.col("n") + F.col("c_total")).alias("n_in"),
         F.explode(copies).alias("copy"),
     )
@@ -186,6 +253,7 @@ def expand(actions: DataFrame, annotated: bool = False) -> DataFrame:
         F.when(dup, PAD).otherwise(F.col("tok")).alias("label"),
         F.col("pid").cast("int").alias("pid"),
         F.col("n_in").cast("int").alias("n_in"),
+        "chunk",
     )
 
 
@@ -194,6 +262,8 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
 
     <s> lives to the end; an opener dies at its own closer; a terminal or closer dies
     at the closer of its parent (next closer one level up).  ``death = n_in`` means never.
+    The "next closer on a level" scan runs inside ``(sent_id, level, chunk)``; the first
+    closer of later chunks is carried back through a per-chunk map level -> index.
     """
     k, pid = F.col("kind"), F.col("pid")
     probe = lambda lvl: F.struct(lvl.alias("level"), F.lit(True).alias("probe"))
@@ -205,16 +275,24 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
         .when(k == "C", F.array(probe(pid - 1), closer))
     )
     r = inputs.where(k.isin("B", "O", "T", "C")).select(
-        "sent_id", "idx", "kind", "n_in", F.explode(parts).alias("p")
-    ).select("sent_id", "idx", "kind", "n_in", F.col("p.level").alias("level"), F.col("p.probe").alias("probe"))
-    w = Window.partitionBy("sent_id", "level").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
-    nxt = F.min(F.when(~F.col("probe"), F.col("idx"))).over(w)
-    return (
-        r.withColumn("nxt", nxt)
-        .where(F.col("probe"))
-        .select("sent_id", F.col("idx").alias("ki"), "kind",
-                F.coalesce(F.col("nxt"), F.col("n_in")).cast("int").alias("death"), "n_in")
-    )
+        "sent_id", "idx", "kind", "n_in", "chunk", F.explode(parts).alias("p")
+    ).select("sent_id", "idx", "kind", "n_in", "chunk", F.col("p.level").alias("level"),
+             F.col("p.probe").alias("probe"))
+    closer_idx = F.when(~F.col("probe"), F.col("idx"))
+    w = Window.partitionBy("sent_id", "level", "chunk").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
+    r = r.withColumn("loc_nxt", F.min(closer_idx).over(w))
+    if not has_rows(inputs.where(F.col("chunk") > 0)):
+        return r.where(F.col("probe")).select(
+            "sent_id", F.col("idx").alias("ki"), "kind",
+            F.coalesce(F.col("loc_nxt"), F.col("n_in")).cast("int").alias("death"), "n_in")
+    first_c = r.groupBy("sent_id", "level", "chunk").agg(F.min(closer_idx).alias("first_c"))
+    w_next = Window.partitionBy("sent_id", "level").orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
+    carried = first_c.select("sent_id", "level", "chunk", F.min("first_c").over(w_next).alias("c_c"))
+    cmap = carried.where(F.col("c_c").isNotNull()).groupBy("sent_id", "chunk").agg(
+        F.map_from_entries(F.collect_list(F.struct("level", "c_c"))).alias("cmap"))
+    r = r.where(F.col("probe")).join(cmap, ["sent_id", "chunk"], "left")
+    death = F.coalesce(F.col("loc_nxt"), F.try_element_at(F.col("cmap"), F.col("level")), F.col("n_in"))
+    return r.select("sent_id", F.col("idx").alias("ki"), "kind", death.cast("int").alias("death"), "n_in")
 
 
 def mask_edges(inputs: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
@@ -246,11 +324,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def mask_degree(inputs: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
+def mask_degree(inputs: DataFrame, intervals: DataFrame | None = None, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Row sums of the mask ``(sent_id, qi, degree)`` without materialising edges.
 
     A sweep over key births (+1 at k+1) and deaths (-1 at death): the running sum at q
-    counts keys live at q; deaths at q count a closer's COMPOSE keys.
+    counts keys live at q; deaths at q count a closer's COMPOSE keys.  The sweep is a
+    two-level scan over ``(sent_id, at div chunk)``.
     """
     iv = intervals if intervals is not None else mask_intervals(inputs)
     ev = iv.select(
@@ -259,22 +338,31 @@ def mask_degree(inputs: DataFrame, intervals: DataFrame | None = None) -> DataFr
             F.struct((F.col("ki") + 1).alias("at"), F.lit(1).alias("d"), F.lit(0).alias("dies")),
             F.struct(F.col("death").alias("at"), F.lit(-1).alias("d"), F.lit(1).alias("dies")),
         )).alias("e"),
-    ).select("sent_id", F.col("e.at").alias("at"), "e.d", "e.dies")
+    ).select("sent_id", F.col("e.at").alias("at"), "e.d", "e.dies", F.lit(None).cast("string").alias("kind"))
     probes = inputs.select(
         "sent_id", F.col("idx").alias("at"), F.lit(0).alias("d"), F.lit(0).alias("dies"), "kind"
     )
-    ev = ev.withColumn("kind", F.lit(None).cast("string"))
-    allr = ev.unionByName(probes)
-    w_run = Window.partitionBy("sent_id").orderBy("at", F.col("kind").isNotNull()).rowsBetween(
+    allr = ev.unionByName(probes).withColumn("dc", (F.col("at") / F.lit(chunk)).cast("int"))
+    w_run = Window.partitionBy("sent_id", "dc").orderBy("at", F.col("kind").isNotNull()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    w_at = Window.partitionBy("sent_id", "at")
+    w_at = Window.partitionBy("sent_id", "dc", "at")
     s = allr.select(
-        "sent_id", "at", "kind",
-        F.sum("d").over(w_run).alias("live"),
+        "sent_id", "dc", "at", "kind", "d",
+        F.sum("d").over(w_run).alias("loc_live"),
         F.sum("dies").over(w_at).alias("composed"),
-    ).where(F.col("kind").isNotNull())
+    )
+    k = F.col("kind")
+    if not has_rows(inputs.where(F.col("n_in") > chunk)):
+        live = F.col("loc_live")
+        deg = F.when(k == "E", 0).when(k == "C", F.col("composed") + 1).otherwise(live + 1)
+        return s.where(k.isNotNull()).select("sent_id", F.col("at").alias("qi"), deg.cast("int").alias("degree"))
+    tot = s.groupBy("sent_id", "dc").agg(F.sum("d").alias("d_tot"))
+    off = tot.select("sent_id", "dc", F.coalesce(F.sum("d_tot").over(
+        Window.partitionBy("sent_id").orderBy("dc").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    s = s.where(F.col("kind").isNotNull()).join(off, ["sent_id", "dc"])
     k = F.col("kind")
-    deg = F.when(k == "E", 0).when(k == "C", F.col("composed") + 1).otherwise(F.col("live") + 1)
+    live = F.col("off") + F.col("loc_live")
+    deg = F.when(k == "E", 0).when(k == "C", F.col("composed") + 1).otherwise(live + 1)
     return s.select("sent_id", F.col("at").alias("qi"), deg.cast("int").alias("degree"))
 
 

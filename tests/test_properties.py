@@ -76,8 +76,8 @@ def simulate(actions):
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.integers(min_value=0, max_value=10_000))
-def test_trees_match_stack_simulation(spark, seed):
+@given(st.integers(min_value=0, max_value=10_000), st.sampled_from([T.DEFAULT_CHUNK, 2, 5]))
+def test_trees_match_stack_simulation(spark, seed, chunk):
     rng = random.Random(seed)
     seqs = []
     for _ in range(12):
@@ -85,12 +85,12 @@ def test_trees_match_stack_simulation(spark, seed):
         seqs.append(["<s>"] + roots + ["</s>"])
     df = spark.createDataFrame(list(enumerate(seqs)), "sent_id bigint, actions array<string>")
     acts = T.from_arrays(df)
-    assert T.validate(acts).count() == 0
-    inp = T.expand(acts)
+    assert T.validate(acts, chunk).count() == 0
+    inp = T.expand(acts, chunk=chunk)
     edges = T.mask_edges(inp)
     ex = {r.sent_id: r for r in T.examples(inp, edges).collect()}
     deg = {}
-    for r in T.mask_degree(inp).collect():
+    for r in T.mask_degree(inp, chunk=chunk).collect():
         deg.setdefault(r.sent_id, {})[r.qi] = r.degree
     for sid, seq in enumerate(seqs):
         inputs, labels, pos, rows = simulate(seq)

@@ -33,8 +33,8 @@ def _acts(spark, seqs):
     return T.from_arrays(df)
 
 
-def _examples(spark, seqs):
-    inp = T.expand(_acts(spark, seqs))
+def _examples(spark, seqs, chunk=T.DEFAULT_CHUNK):
+    inp = T.expand(_acts(spark, seqs), chunk=chunk)
     ex = T.examples(inp, T.mask_edges(inp)).orderBy("sent_id").collect()
     return ex
 
@@ -53,10 +53,12 @@ def test_readme_sample(spark):
 
 @needs_ref
 @pytest.mark.parametrize("case", ["01-sample", "10-more-samples"])
-def test_preprocessing_goldens(spark, case):
+@pytest.mark.parametrize("chunk", [T.DEFAULT_CHUNK, 3])
+def test_preprocessing_goldens(spark, case, chunk):
+    """chunk=3 splits every sentence into many scan chunks (exercises the carries)."""
     seqs = G.literal(f"test_cases/q5/{case}.test", "actions")
     sol = f"test_cases/q5/{case}.solution"
-    got = _examples(spark, seqs)
+    got = _examples(spark, seqs, chunk)
     assert [r.inputs for r in got] == G.literal(sol, "inputs")
     assert [r.labels for r in got] == G.literal(sol, "labels")
     assert [r.position_ids for r in got] == G.literal(sol, "position_ids")
@@ -64,14 +66,16 @@ def test_preprocessing_goldens(spark, case):
 
 
 @needs_ref
-def test_reject_goldens(spark):
+@pytest.mark.parametrize("chunk", [T.DEFAULT_CHUNK, 2])
+def test_reject_goldens(spark, chunk):
     seqs = [G.preamble_actions(f"test_cases/q5/{c}.test") for c in REJECTS]
-    rej = {r.sent_id: (r.code, r.pos) for r in T.validate(_acts(spark, seqs)).collect()}
+    rej = {r.sent_id: (r.code, r.pos) for r in T.validate(_acts(spark, seqs), chunk).collect()}
     assert rej == {i: v for i, v in enumerate(REJECTS.values())}
     assert T.expand(_acts(spark, seqs)).count() == 0
 
 
-def test_code_per_rule(spark):
+@pytest.mark.parametrize("chunk", [T.DEFAULT_CHUNK, 2])
+def test_code_per_rule(spark, chunk):
     cases = {
         "short": ['<s>'],
         "frame": ['<s>', '(S', 'a', 'S)'],
@@ -85,11 +89,11 @@ def test_code_per_rule(spark):
         "unclosed": ['<s>', '(S', 'a', '</s>'],
         "reserved": ['<s>', '(S', '<s>', 'S)', '</s>'],
     }
-    got = {r.sent_id: r.code for r in T.validate(_acts(spark, list(cases.values()))).collect()}
+    got = {r.sent_id: r.code for r in T.validate(_acts(spark, list(cases.values())), chunk).collect()}
     assert got == {i: c for i, c in enumerate(cases)}
     # allowed: several roots, and the bare frame
     ok = [['<s>', '(A', 'x', 'A)', '(B', 'y', 'B)', '</s>'], ['<s>', '</s>']]
-    assert T.validate(_acts(spark, ok)).count() == 0
+    assert T.validate(_acts(spark, ok), chunk).count() == 0
 
 
 @needs_ref
