@@ -9,7 +9,7 @@ Tables:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import dense_index
@@ -50,8 +50,11 @@ def train_word_vocab(corpus: DataFrame, text_col: str = "text", vocab_size: int
     order = [F.col("count").desc(), F.col("token").asc()]
     k = len(specials)
     if vocab_size is not None:
-        counts = counts.orderBy(*order).limit(max(vocab_size - k, 0))
-    learned = dense_index(counts, order, start=k).select("token", "id")
+        # a top-k: at most vocab_size rows, so one window numbers them (bounded)
+        top = counts.orderBy(*order).limit(max(vocab_size - k, 0))
+        learned = top.select("token", (F.row_number().over(Window.orderBy(*order)) - 1 + k).cast("bigint").alias("id"))
+    else:
+        learned = dense_index(counts, order, start=k).select("token", "id")
     spec = spark.createDataFrame([(t, i) for i, t in enumerate(specials)], "token string, id bigint")
     return spec.unionByName(learned)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import manhattan, nearest_int, sign
@@ -463,24 +463,24 @@ def scalar_helpers(spark, d):
 
 def prefix_bpe_model(spark, d, top_words: int = 2000):
     """A byte-level BPE model derived from the corpus: the most frequent alphanumeric words,
-    each built left to right from its ``Ġ``-prefixed spelling (ASCII only, so bytes = chars)."""
+    each built left to right from its ``Ġ``-prefixed spelling (ASCII only, so bytes = chars).
+    Everything here is bounded by ``top_words`` (a top-k), so plain windows number it."""
     from ..operators.bpe import byte_alphabet
-    vocab = docs_vocab(spark, d).where(F.col("id") >= len(V.SPECIALS)).where(
-        F.col("token").rlike("^[A-Za-z0-9]+$")).orderBy("id").limit(top_words)
-    s = F.concat(F.lit("Ġ"), F.col("token"))
-    steps = vocab.select("id", F.posexplode(F.sequence(F.lit(2), F.length(s))).alias("j", "i"), s.alias("s"))
-    m = steps.select(
-        "id", "j", F.expr("substring(s, 1, i - 1)").alias("a"), F.expr("substring(s, i, 1)").alias("b"))
-    first = m.groupBy("a", "b").agg(F.min(F.struct("id", "j")).alias("k"))
-    merges = first.select(F.col("k.id").alias("wid"), F.col("k.j").alias("j"), "a", "b")
-    from ..functions.ranking import dense_index
     from ..session import cut_lineage
+    order = [F.col("count").desc(), F.col("token").asc()]
+    words = V.word_counts(docs_corpus(spark, d)).where(F.col("token").rlike("^[A-Za-z0-9]+$"))
+    top = words.orderBy(*order).limit(top_words).select("token", F.row_number().over(Window.orderBy(*order))
+                                                         .alias("wid"))
+    s = F.concat(F.lit("Ġ"), F.col("token"))
+    steps = top.select("wid", F.posexplode(F.sequence(F.lit(2), F.length(s))).alias("j", "i"), s.alias("s"))
+    m = steps.select("wid", "j", F.expr("substring(s, 1, i - 1)").alias("a"), F.expr("substring(s, i, 1)").alias("b"))
+    first = m.groupBy("a", "b").agg(F.min(F.struct("wid", "j")).alias("k"))
+    ranked = first.select((F.row_number().over(Window.orderBy("k")) - 1).cast("bigint").alias("rank"), "a", "b")
     # the model is read several times (cleanup, broadcast): materialise it once
-    merges = cut_lineage(dense_index(merges, [F.col("wid"), F.col("j")], name="rank").select("rank", "a", "b"))
+    merges = cut_lineage(ranked)
     alphabet = spark.createDataFrame([(c,) for c in byte_alphabet()], "token string")
-    products = merges.select(F.concat("a", "b").alias("token"))
-    tokens = alphabet.unionByName(products).distinct()
-    vocab_out = dense_index(tokens, [F.col("token")], name="id")
+    tokens = alphabet.unionByName(merges.select(F.concat("a", "b").alias("token"))).distinct()
+    vocab_out = tokens.select("token", (F.row_number().over(Window.orderBy("token")) - 1).cast("bigint").alias("id"))
     return vocab_out, merges
 
 
