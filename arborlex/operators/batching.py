@@ -47,8 +47,8 @@ def pad_batches(examples: DataFrame, pad_id: int, batch_size: int = DEFAULT_BATC
 def stack_batches(padded: DataFrame) -> DataFrame:
     """One row per batch with ordered lists of the padded columns (bounded by batch size)."""
     s = F.array_sort(F.collect_list(F.struct("sent_id", "input_ids", "labels", "position_ids")))
-    return padded.groupBy("batch_id").agg(s.alias("rows")).select(
-        "batch_id",
+    return padded.groupBy("batch_id").agg(s.alias("rows"), F.max("max_len").alias("max_len")).select(
+        "batch_id", "max_len",
         F.transform("rows", lambda r: r["sent_id"]).alias("sent_ids"),
         F.transform("rows", lambda r: r["input_ids"]).alias("input_ids"),
         F.transform("rows", lambda r: r["labels"]).alias("labels"),

@@ -44,6 +44,12 @@ def vocab_size(spark, d):
     return V.vocab_size(docs_vocab(spark, d))
 
 
+@query("vocab_specials")
+def vocab_specials(spark, d):
+    """V3: ids of the pad/bos/eos/unk roles."""
+    return V.special_ids(docs_vocab(spark, d))
+
+
 @query("vocab_encode")
 def vocab_encode(spark, d):
     """V5-V7: framed documents -> ids; per document token count, unknown count and an id checksum."""
@@ -150,6 +156,28 @@ def pad_batches(spark, d):
                     txt("input_ids"), txt("labels"), txt("position_ids"))
 
 
+@query("batch_stack")
+def batch_stack(spark, d):
+    """One row per batch with its examples in order."""
+    pad_id = V.SPECIALS.index(T.PAD)
+    st = B.stack_batches(B.pad_batches(nav_examples(spark, d), pad_id))
+    return st.select(
+        "batch_id", F.array_join(F.col("sent_ids").cast("array<string>"), " ").alias("sent_ids"),
+        F.size("sent_ids").cast("int").alias("n_rows"), F.col("max_len").cast("int").alias("max_len"))
+
+
+@query("batch_mask_padded")
+def batch_mask_padded(spark, d):
+    """Dense nav masks zero-padded on both axes to their batch length."""
+    pad_id = V.SPECIALS.index(T.PAD)
+    lens = B.pad_batches(nav_examples(spark, d), pad_id).select("sent_id", "max_len")
+    inp = T.materialize(T.expand(nav_actions(spark, d)))
+    dm = T.dense_mask(inp, T.mask_edges(inp)).join(lens, "sent_id")
+    padded = dm.select("sent_id", F.posexplode(B.padded_dense_mask(F.col("mask"), F.col("max_len"))).alias("qi", "r"))
+    return padded.select("sent_id", F.col("qi").cast("int").alias("qi"),
+                         F.array_join(F.col("r").cast("array<string>"), " ").alias("row_text"))
+
+
 # ------------------------------------------------------------------ metrics
 
 def topic_scores(spark, d) -> DataFrame:

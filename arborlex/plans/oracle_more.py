@@ -45,6 +45,10 @@ cm AS (
 
 SQL["vocab_train"] = _with(DOCS_VOCAB) + "\nSELECT token, id FROM vocab"
 SQL["vocab_size"] = _with(DOCS_VOCAB) + "\nSELECT count(*)::BIGINT AS vocab_size FROM vocab"
+SQL["vocab_specials"] = _with(DOCS_VOCAB) + """
+SELECT max(CASE WHEN token = '<pad>' THEN id END) AS pad_id, max(CASE WHEN token = '<s>' THEN id END) AS bos_id,
+       max(CASE WHEN token = '</s>' THEN id END) AS eos_id, max(CASE WHEN token = '<unk>' THEN id END) AS unk_id
+FROM vocab"""
 SQL["vocab_encode"] = _with(DOCS_VOCAB, f"""
 toks AS (SELECT doc_id, ['<s>'] || {words('text')} || ['</s>'] AS a FROM documents),
 ex AS (SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS tok FROM toks)""") + """
@@ -81,7 +85,7 @@ SELECT (SELECT count(*) FROM (SELECT a, b FROM cm GROUP BY a, b HAVING count(*)
        (SELECT count_if(r1 <> r2) FROM r) = 0 AS order_kept"""
 
 # ---------------------------------------------------------------- batching
-SQL["pad_batches"] = _with(NAV_ACTS, TREE_CHAIN, vocab_cte(
+PAD_CTES = _with(NAV_ACTS, TREE_CHAIN, vocab_cte(
     "SELECT string_agg(tok, ' ' ORDER BY pos) AS text FROM acts WHERE tok NOT IN ('<s>', '</s>') GROUP BY sent_id",
     name="nv")) + """,
 ids AS (
@@ -97,12 +101,26 @@ seq AS (
   FROM ids GROUP BY sent_id
 ),
 bt AS (SELECT *, (row_number() OVER (ORDER BY sent_id) - 1) // 16 AS batch_id FROM seq),
-mx AS (SELECT *, max(n) OVER (PARTITION BY batch_id) AS max_len FROM bt)
+mx AS (SELECT *, max(n) OVER (PARTITION BY batch_id) AS max_len FROM bt)"""
+SQL["pad_batches"] = PAD_CTES + """
 SELECT batch_id::BIGINT AS batch_id, sent_id, max_len::INT AS max_len,
        array_to_string(list_resize(input_ids, max_len, 3), ' ') AS input_ids,
        array_to_string(list_resize(labels, max_len, -100), ' ') AS labels,
        array_to_string(list_resize(position_ids, max_len, 0), ' ') AS position_ids
 FROM mx"""
+SQL["batch_stack"] = PAD_CTES + """
+SELECT batch_id::BIGINT AS batch_id, string_agg(sent_id::VARCHAR, ' ' ORDER BY sent_id) AS sent_ids,
+       count(*)::INT AS n_rows, max(max_len)::INT AS max_len
+FROM mx GROUP BY batch_id"""
+SQL["batch_mask_padded"] = PAD_CTES + """,
+pg AS (SELECT sent_id, max_len, unnest(range(max_len)) AS q FROM mx),
+pc AS (SELECT sent_id, max_len, q, unnest(range(max_len)) AS k FROM pg),
+pe AS (
+  SELECT pc.sent_id, pc.q, pc.k, e.ki IS NOT NULL AS on_
+  FROM pc LEFT JOIN edges e ON e.sent_id = pc.sent_id AND e.qi = pc.q AND e.ki = pc.k
+)
+SELECT sent_id, q::INT AS qi, string_agg(CASE WHEN on_ THEN '1.0' ELSE '0.0' END, ' ' ORDER BY k) AS row_text
+FROM pe GROUP BY sent_id, q"""
 
 # ---------------------------------------------------------------- metrics
 SCORES = """
