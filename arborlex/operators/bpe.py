@@ -37,26 +37,27 @@ def to_byte_symbols(text: str, alphabet: list[str]) -> str:
 
 
 def merge_word(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Apply merges by rank (lowest first, leftmost on ties) until none applies."""
-    while len(symbols) > 1:
+    """Merge the lowest-ranked adjacent pair (leftmost on ties) until none is in the table.
+
+    Pair ranks are kept in a list and only the two neighbours of a merge are looked up again.
+    """
+    if len(symbols) < 2:
+        return symbols
+    symbols = list(symbols)
+    pr = [ranks.get((symbols[i], symbols[i + 1])) for i in range(len(symbols) - 1)]
+    while True:
         best, at = None, -1
-        for i in range(len(symbols) - 1):
-            r = ranks.get((symbols[i], symbols[i + 1]))
+        for i, r in enumerate(pr):
             if r is not None and (best is None or r < best):
                 best, at = r, i
         if best is None:
-            break
-        pair = (symbols[at], symbols[at + 1])
-        merged, i = [], 0
-        while i < len(symbols):
-            if i < len(symbols) - 1 and (symbols[i], symbols[i + 1]) == pair:
-                merged.append(pair[0] + pair[1])
-                i += 2
-            else:
-                merged.append(symbols[i])
-                i += 1
-        symbols = merged
-    return symbols
+            return symbols
+        symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+        del pr[at]
+        if at > 0:
+            pr[at - 1] = ranks.get((symbols[at - 1], symbols[at]))
+        if at < len(symbols) - 1:
+            pr[at] = ranks.get((symbols[at], symbols[at + 1]))
 
 
 def _bounded_rows(df: DataFrame, what: str) -> list:
