@@ -6,9 +6,7 @@ from pyspark.sql import functions as F
 from arborlex.operators import chat as C
 from arborlex.operators import metrics as M
 
-from . import goldens as G
-
-needs_ref = pytest.mark.skipif(not G.available(), reason="reference fixtures absent")
+from . import golden_values as GV
 
 
 def _pairs(spark, cases):
@@ -21,18 +19,13 @@ def test_macro_f1_docstring(spark):
     assert abs(f.macro_f1 - 0.43333333333333335) < 1e-12
 
 
-@needs_ref
-@pytest.mark.parametrize("case", ["01-sample", "02-complex"])
-def test_macro_f1_goldens(spark, case):
-    t = f"test_cases/q3/{case}.test"
-    preds, golds = G.literal(t, "preds"), G.literal(t, "golds")
-    expect = G.literal(f"test_cases/q3/{case}.solution", "result" if case == "01-sample" else "results") \
-        if case != "01-sample" else [0.4333]
-    got = M.macro_f1(_pairs(spark, list(zip(preds, golds))), by=["case_id"]).orderBy("case_id").collect()
-    exp_df = spark.createDataFrame(list(enumerate(map(float, expect))), "case_id bigint, expected double")
-    res = M.macro_f1(_pairs(spark, list(zip(preds, golds))), by=["case_id"]).join(exp_df, "case_id")
+def test_macro_f1_goldens(spark):
+    cases = [([0, 2, 1, 0, 0, 2], [0, 1, 2, 0, 1, 2])] + [(c["preds"], c["golds"]) for c in GV.F1_CASES]
+    expect = [0.4333] + GV.F1_EXPECTED
+    exp_df = spark.createDataFrame(list(enumerate(expect)), "case_id bigint, expected double")
+    res = M.macro_f1(_pairs(spark, cases), by=["case_id"]).join(exp_df, "case_id")
     ok = res.select(M.within_tolerance(F.col("macro_f1"), F.col("expected")).alias("ok")).collect()
-    assert len(got) == len(expect) and all(r.ok for r in ok)
+    assert len(ok) == len(expect) and all(r.ok for r in ok)
 
 
 def test_accuracy_points_failure(spark):
@@ -82,13 +75,10 @@ def test_render_readme_example(spark):
     assert "".join(p.piece for p in pieces) + "<|im_start|>assistant\n" == README_PROMPT
 
 
-@needs_ref
-@pytest.mark.parametrize("case", ["01-sample", "02-normal", "03-refusals"])
-def test_chat_audit_goldens(spark, case):
-    dialogs = G.literal(f"test_cases/q4/{case}.test", "dialogs")
-    t = _turns(spark, dialogs)
+def test_chat_audit_goldens(spark):
+    t = _turns(spark, GV.DIALOGS)
     a = C.audit(C.render(t), t).collect()
-    assert len(a) == len(dialogs)
+    assert len(a) == len(GV.DIALOGS)
     assert all(r.starts_with_system and r.one_system_block and r.all_contained for r in a)
 
 

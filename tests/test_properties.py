@@ -11,6 +11,8 @@ from arborlex.operators import counts as K
 from arborlex.operators import sampling as S
 from arborlex.operators import trees as T
 
+from .treesim import simulate
+
 NTS = ["S", "NP", "VP", "PP"]
 WORDS = ["a", "b", "it's", 'q"x', "c\\d"]
 
@@ -26,55 +28,6 @@ def random_tree(rng, depth=0):
     return [f"({nt}"] + kids + [f"{nt})"]
 
 
-def simulate(actions):
-    """Stack semantics written directly: returns inputs, labels, positions, attended sets."""
-    inputs, labels, pos, rows = [], [], [], []
-    stack, depth = [], 0
-    opener_at = []
-    for tok in actions:
-        if tok == "<s>":
-            kinds = [("B", tok)]
-        elif tok == "</s>":
-            kinds = [("E", tok)]
-        elif tok.startswith("("):
-            kinds = [("O", tok)]
-        elif tok.endswith(")"):
-            kinds = [("C", tok), ("D", tok)]
-        else:
-            kinds = [("T", tok)]
-        for k, t in kinds:
-            i = len(inputs)
-            inputs.append(t)
-            labels.append("<pad>" if k == "D" else t)
-            if k == "O":
-                pos.append(depth)
-                depth += 1
-            elif k == "C":
-                depth -= 1
-                pos.append(depth)
-            elif k == "D":
-                pos.append(depth)
-            elif k == "T":
-                pos.append(depth)
-            else:
-                pos.append(0)
-            if k == "E":
-                rows.append(set())
-            elif k == "C":
-                start = opener_at.pop()
-                cut = stack.index(start)
-                rows.append(set(stack[cut:]) | {i})
-                stack = stack[:cut] + [i]
-            elif k == "D":
-                rows.append(set(stack) | {i})
-            else:
-                rows.append(set(stack) | {i})
-                stack.append(i)
-                if k == "O":
-                    opener_at.append(i)
-    return inputs, labels, pos, rows
-
-
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(min_value=0, max_value=10_000), st.sampled_from([T.DEFAULT_CHUNK, 2, 5]))
 def test_trees_match_stack_simulation(spark, seed, chunk):
