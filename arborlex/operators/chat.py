@@ -56,11 +56,12 @@ def audit(prompts: DataFrame, turns: DataFrame) -> DataFrame:
         ((F.length("prompt") - F.length(F.replace(F.col("prompt"), F.lit(sys_tag), F.lit("")))) / len(sys_tag) < 2)
         .alias("one_system_block"),
     )
-    contained = turns.join(p.select("conv_id", "prompt"), "conv_id").groupBy("conv_id").agg(
-        F.bool_and(F.col("prompt").contains(F.col("text"))).alias("all_contained"))
-    return p.drop("prompt").join(contained, "conv_id", "left").select(
-        "conv_id", "starts_with_system", "one_system_block",
-        F.coalesce("all_contained", F.lit(True)).alias("all_contained"))
+    # one row per conversation (its messages next to its prompt): linear in the conversation,
+    # where joining the prompt to every turn would copy it once per turn
+    msgs = turns.groupBy("conv_id").agg(F.collect_list("text").alias("texts"))
+    j = p.join(msgs, "conv_id", "left")
+    contained = F.coalesce(F.forall(F.col("texts"), lambda t: F.col("prompt").contains(t)), F.lit(True))
+    return j.select("conv_id", "starts_with_system", "one_system_block", contained.alias("all_contained"))
 
 
 def last_reply(turns: DataFrame) -> DataFrame:
