@@ -2,10 +2,12 @@
 
 Long form throughout: ``actions(sent_id, pos, tok)`` with ``pos`` dense from 0.
 Every step is a window, aggregate or generator over rows hash-partitioned by
-``sent_id``; windows over ``(sent_id, level)`` reuse that partitioning, so the
-whole chain shuffles the token table once.  The mask is kept compact as one
-``death`` value per key (a live interval); edges are only materialised on
-export, and edge generation is output-sensitive (no all-pairs step).
+``(sent_id, chunk)`` with ``chunk = pos div DEFAULT_CHUNK``; windows over
+``(sent_id, level, chunk)`` reuse that partitioning, and small per-chunk carry
+tables join back on the same keys, so the token table is shuffled once and a
+long sentence is spread over tasks.  The mask is kept compact as one ``death``
+value per key (a live interval); edges are only materialised on export, and edge
+generation is output-sensitive (no all-pairs step).
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import py_list, salted_md5
+from ..functions.columns import salted_md5
 from ..operators import trees as T
 from ..sources.tables import table
 from . import inputs as I
