@@ -37,11 +37,13 @@ def order_actions(spark, d):
 
 
 def nav_actions(spark, d):
-    return I.nav_tree(_t(spark, d, "pages"))
+    """Tag trees of the nav fragments, tokenised once (the regex work is not repeated by
+    the plan-choice check)."""
+    return T.materialize(I.nav_tree(_t(spark, d, "pages")))
 
 
 def page_actions(spark, d):
-    return I.page_tree(_t(spark, d, "pages"))
+    return T.materialize(I.page_tree(_t(spark, d, "pages")))
 
 
 # ---------------------------------------------------------------- trees

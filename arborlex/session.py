@@ -34,15 +34,26 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only if unset (local runs)."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    A scratch folder is created only when the setting is absent (local tests and bench).
+    The folder is registered with the context once; without a reachable context
+    (Spark Connect) the server-side setting is used as it is.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpoints go where the server is configured
+        return spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="arborlex-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
