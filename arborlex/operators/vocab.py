@@ -93,6 +93,21 @@ def tokenize(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col
     )
 
 
+def tokenize_ids(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "sent_id",
+                 bounded_vocab: bool = True, unk_id: int = 0) -> DataFrame:
+    """V6 + V7 in one lookup: framed tokens with ``<unk>`` mapping and their ids."""
+    words = corpus.select(
+        F.col(id_col).cast("bigint").alias("sent_id"),
+        F.posexplode(frame(split_words(F.col(text_col)))).alias("pos", "tok"),
+    )
+    j = words.join(_lookup(vocab, bounded_vocab), words.tok == F.col("_tok"), "left")
+    return j.select(
+        "sent_id", F.col("pos").cast("int").alias("pos"),
+        F.when(F.col("_tok").isNull(), F.lit(UNK)).otherwise(F.col("tok")).alias("tok"),
+        F.coalesce(F.col("_id"), F.lit(unk_id)).cast("bigint").alias("token_id"),
+    )
+
+
 def encode(tokens: DataFrame, vocab: DataFrame, tok_col: str = "tok", bounded_vocab: bool = True,
            unk_id: int = 0) -> DataFrame:
     """V7: token column -> id column (unknown -> the ``<unk>`` id)."""

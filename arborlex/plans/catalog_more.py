@@ -53,8 +53,7 @@ def vocab_specials(spark, d):
 @query("vocab_encode")
 def vocab_encode(spark, d):
     """V5-V7: framed documents -> ids; per document token count, unknown count and an id checksum."""
-    acts = V.tokenize(docs_corpus(spark, d), docs_vocab(spark, d))
-    ids = V.encode(acts, docs_vocab(spark, d))
+    ids = V.tokenize_ids(docs_corpus(spark, d), docs_vocab(spark, d))
     return ids.groupBy(F.col("sent_id").alias("doc_id")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
         F.count_if(F.col("token_id") == 0).cast("bigint").alias("n_unk"),
@@ -64,8 +63,7 @@ def vocab_encode(spark, d):
 
 def bench_ids(spark, d) -> DataFrame:
     bench = _t(spark, d, "benchmark").select(F.col("item_id").alias("sent_id"), "text")
-    vocab = docs_vocab(spark, d)
-    return V.encode(V.tokenize(bench, vocab), vocab)
+    return V.tokenize_ids(bench, docs_vocab(spark, d))
 
 
 @query("vocab_decode")
