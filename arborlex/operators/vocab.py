@@ -70,17 +70,25 @@ def special_ids(vocab: DataFrame) -> DataFrame:
     return vocab.agg(*[F.max(F.when(F.col("token") == t, F.col("id"))).alias(r) for r, t in roles.items()])
 
 
-def _lookup(vocab: DataFrame, bounded: bool) -> DataFrame:
+BROADCAST_MAX_ROWS = 1_000_000  # vocabulary rows allowed in one broadcast
+
+
+def _lookup(vocab: DataFrame, bounded: bool | None) -> DataFrame:
+    """The vocabulary as a join side.  Broadcast when its size is bounded: ``True`` when the
+    caller knows it (a trained vocabulary has a size limit), ``None`` checks it at run time;
+    beyond the bound the join is a shuffle join left to AQE."""
     v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
+    if bounded is None:
+        bounded = vocab.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
     return F.broadcast(v) if bounded else v
 
 
 def tokenize(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "sent_id",
-             bounded_vocab: bool = True) -> DataFrame:
+             bounded_vocab: bool | None = None) -> DataFrame:
     """V6 (+V5): text -> framed actions in long form; unknown words become ``<unk>``.
 
-    ``bounded_vocab`` says the vocabulary has a size limit, so it is broadcast;
-    otherwise the join is left to AQE (it may hit hot tokens: skew join is on).
+    ``bounded_vocab=True`` says the vocabulary has a size limit, so it is broadcast; ``None``
+    checks its size first; beyond the bound the join is left to AQE (skew join is on).
     """
     words = corpus.select(
         F.col(id_col).cast("bigint").alias("sent_id"),
@@ -94,7 +102,7 @@ def tokenize(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col
 
 
 def tokenize_ids(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "sent_id",
-                 bounded_vocab: bool = True, unk_id: int = 0) -> DataFrame:
+                 bounded_vocab: bool | None = None, unk_id: int = 0) -> DataFrame:
     """V6 + V7 in one lookup: framed tokens with ``<unk>`` mapping and their ids."""
     words = corpus.select(
         F.col(id_col).cast("bigint").alias("sent_id"),
@@ -108,7 +116,7 @@ def tokenize_ids(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id
     )
 
 
-def encode(tokens: DataFrame, vocab: DataFrame, tok_col: str = "tok", bounded_vocab: bool = True,
+def encode(tokens: DataFrame, vocab: DataFrame, tok_col: str = "tok", bounded_vocab: bool | None = None,
            unk_id: int = 0) -> DataFrame:
     """V7: token column -> id column (unknown -> the ``<unk>`` id)."""
     j = tokens.join(_lookup(vocab, bounded_vocab), tokens[tok_col] == F.col("_tok"), "left")
@@ -130,7 +138,7 @@ def mask_labels(label_ids: Column, pad_id: int | Column) -> Column:
 
 
 def decode(ids: DataFrame, vocab: DataFrame, group_col: str = "sent_id", order_col: str = "pos",
-           id_col: str = "token_id", bounded_vocab: bool = True) -> DataFrame:
+           id_col: str = "token_id", bounded_vocab: bool | None = None) -> DataFrame:
     """V9: ids -> space-joined text per group, skipping special tokens."""
     v = vocab.where(~F.col("token").isin(*SPECIALS))
     j = ids.join(_lookup(v, bounded_vocab), ids[id_col] == F.col("_id"), "inner")

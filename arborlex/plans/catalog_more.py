@@ -53,7 +53,7 @@ def vocab_specials(spark, d):
 @query("vocab_encode")
 def vocab_encode(spark, d):
     """V5-V7: framed documents -> ids; per document token count, unknown count and an id checksum."""
-    ids = V.tokenize_ids(docs_corpus(spark, d), docs_vocab(spark, d))
+    ids = V.tokenize_ids(docs_corpus(spark, d), docs_vocab(spark, d), bounded_vocab=True)
     return ids.groupBy(F.col("sent_id").alias("doc_id")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
         F.count_if(F.col("token_id") == 0).cast("bigint").alias("n_unk"),
@@ -63,13 +63,13 @@ def vocab_encode(spark, d):
 
 def bench_ids(spark, d) -> DataFrame:
     bench = _t(spark, d, "benchmark").select(F.col("item_id").alias("sent_id"), "text")
-    return V.tokenize_ids(bench, docs_vocab(spark, d))
+    return V.tokenize_ids(bench, docs_vocab(spark, d), bounded_vocab=True)
 
 
 @query("vocab_decode")
 def vocab_decode(spark, d):
     """V9: benchmark passages encoded with the document vocabulary, decoded without specials."""
-    return V.decode(bench_ids(spark, d), docs_vocab(spark, d)).select(
+    return V.decode(bench_ids(spark, d), docs_vocab(spark, d), bounded_vocab=True).select(
         F.col("sent_id").alias("item_id"), "text")
 
 
@@ -129,8 +129,8 @@ def nav_examples(spark, d) -> DataFrame:
                      " ").alias("text"))
     vocab = V.train_word_vocab(corpus)
     inp = T.expand(acts)
-    ids = V.encode(V.encode(inp, vocab, tok_col="tok").withColumnRenamed("token_id", "input_id"), vocab,
-                   tok_col="label").withColumnRenamed("token_id", "label_id")
+    ids = V.encode(V.encode(inp, vocab, tok_col="tok", bounded_vocab=True).withColumnRenamed("token_id", "input_id"),
+                   vocab, tok_col="label", bounded_vocab=True).withColumnRenamed("token_id", "label_id")
     pad_id = V.SPECIALS.index(T.PAD)
     seq = ids.groupBy("sent_id").agg(F.array_sort(F.collect_list(F.struct("idx", "input_id", "label_id", "pid")))
                                      .alias("s"))
