@@ -32,32 +32,44 @@ def byte_alphabet() -> list[str]:
     return out
 
 
-def to_byte_symbols(text: str, alphabet: list[str]) -> str:
-    return "".join(alphabet[b] for b in text.encode("utf-8"))
-
-
-def merge_word(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Merge the lowest-ranked adjacent pair (leftmost on ties) until none is in the table.
-
-    Pair ranks are kept in a list and only the two neighbours of a merge are looked up again.
-    """
-    if len(symbols) < 2:
-        return symbols
-    symbols = list(symbols)
-    pr = [ranks.get((symbols[i], symbols[i + 1])) for i in range(len(symbols) - 1)]
-    while True:
-        best, at = None, -1
-        for i, r in enumerate(pr):
-            if r is not None and (best is None or r < best):
-                best, at = r, i
-        if best is None:
+def make_encoder(model):
+    """The Arrow batch function ``pd.Series[str] -> pd.Series[list[str]]`` over a broadcast
+    ``(vocab set, pair ranks, byte alphabet)``.  It is a closure made on the driver, so it
+    is shipped to the Python workers by value (nothing to install on executors)."""
+
+    def merge_word(symbols: list[str], ranks: dict) -> list[str]:
+        # merge the lowest-ranked adjacent pair (leftmost on ties) until none is in the table;
+        # pair ranks sit in a list and only the two neighbours of a merge are looked up again
+        if len(symbols) < 2:
             return symbols
-        symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
-        del pr[at]
-        if at > 0:
-            pr[at - 1] = ranks.get((symbols[at - 1], symbols[at]))
-        if at < len(symbols) - 1:
-            pr[at] = ranks.get((symbols[at], symbols[at + 1]))
+        pr = [ranks.get((symbols[i], symbols[i + 1])) for i in range(len(symbols) - 1)]
+        while True:
+            best, at = None, -1
+            for i, r in enumerate(pr):
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
+            if best is None:
+                return symbols
+            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+            del pr[at]
+            if at > 0:
+                pr[at - 1] = ranks.get((symbols[at - 1], symbols[at]))
+            if at < len(symbols) - 1:
+                pr[at] = ranks.get((symbols[at], symbols[at + 1]))
+
+    def encode_batch(pretokens: pd.Series) -> pd.Series:
+        import pandas
+
+        vocab, ranks, alphabet = model.value
+        out = []
+        for pt in pretokens:
+            # bytes -> printable symbols; symbols missing from the vocabulary are dropped
+            # (no unknown token is configured)
+            syms = [c for c in (alphabet[b] for b in pt.encode("utf-8")) if c in vocab]
+            out.append(merge_word(syms, ranks))
+        return pandas.Series(out)
+
+    return encode_batch
 
 
 def _bounded_rows(df: DataFrame, what: str) -> list:
@@ -87,16 +99,7 @@ def bpe_pieces(distinct_pretokens: DataFrame, vocab: DataFrame, merges: DataFram
     spark = distinct_pretokens.sparkSession
     toks, ranks = _model(vocab, merges)
     bc = spark.sparkContext.broadcast((toks, ranks, byte_alphabet()))
-
-    @F.pandas_udf(Tp.ArrayType(Tp.StringType()))
-    def encode(pts: pd.Series) -> pd.Series:
-        vocab_set, rank_of, alphabet = bc.value
-        out = []
-        for pt in pts:
-            # symbols missing from the vocabulary are dropped (no unknown token configured)
-            syms = [c for c in to_byte_symbols(pt, alphabet) if c in vocab_set]
-            out.append(merge_word(syms, rank_of))
-        return pd.Series(out)
+    encode = F.pandas_udf(make_encoder(bc), returnType=Tp.ArrayType(Tp.StringType()))
 
     return distinct_pretokens.select("pretoken", encode(F.col("pretoken")).alias("pieces"))
 
