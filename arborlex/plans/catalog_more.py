@@ -452,6 +452,14 @@ def weighted_draw(spark, d):
     return r.select("user_id", F.col("value").alias("event_type"))
 
 
+@query("weighted_draw_inclusive")
+def weighted_draw_inclusive(spark, d):
+    """K10, the single-draw rule: the first value whose cumulative weight reaches the draw (u <= cdf)."""
+    users = _t(spark, d, "events").select("user_id").distinct()
+    r = S.weighted_draw(users, "user_id", event_dist(spark, d), seed=SEED, inclusive_upper=True)
+    return r.select("user_id", F.col("value").alias("event_type"))
+
+
 @query("value_probability")
 def value_probability(spark, d):
     """K11."""

@@ -282,6 +282,10 @@ SQL["weighted_draw"] = _with(BANDS) + """,
 users AS (SELECT DISTINCT user_id,
           ('0x' || substr(md5('42|' || user_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 AS u FROM events)
 SELECT user_id, event_type FROM users JOIN bands ON u >= lo AND u < hi WHERE hi > lo"""
+SQL["weighted_draw_inclusive"] = _with(BANDS) + """,
+users AS (SELECT DISTINCT user_id,
+          ('0x' || substr(md5('42|' || user_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 AS u FROM events)
+SELECT user_id, event_type FROM users JOIN bands ON (u > lo AND u <= hi) OR (u = 0 AND lo = 0) WHERE hi > lo"""
 SQL["value_probability"] = _with(BANDS) + "\nSELECT event_type, round(p, 9) AS probability FROM bands"
 SQL["bernoulli"] = """
 SELECT event_id FROM events
