@@ -32,6 +32,13 @@ def docs_vocab(spark, d) -> DataFrame:
     return V.train_word_vocab(docs_corpus(spark, d))
 
 
+@query("text_lines")
+def text_lines(spark, d):
+    """Every line of every document as its own row (the line-per-row text source)."""
+    from ..sources.text import split_lines
+    return split_lines(_t(spark, d, "documents").select("doc_id", "text"), "doc_id")
+
+
 @query("vocab_train")
 def vocab_train(spark, d):
     """V1-V3: word vocabulary of the documents (specials first, size limit 30000)."""

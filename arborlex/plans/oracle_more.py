@@ -43,6 +43,9 @@ cm AS (
     AND a IN (SELECT token FROM cv) AND b IN (SELECT token FROM cv)
 )"""
 
+SQL["text_lines"] = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)
+SELECT doc_id, (generate_subscripts(ls, 1) - 1)::INT AS line_no, unnest(ls) AS text FROM l"""
 SQL["vocab_train"] = _with(DOCS_VOCAB) + "\nSELECT token, id FROM vocab"
 SQL["vocab_size"] = _with(DOCS_VOCAB) + "\nSELECT count(*)::BIGINT AS vocab_size FROM vocab"
 SQL["vocab_specials"] = _with(DOCS_VOCAB) + """

@@ -21,6 +21,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return _numbered_lines(spark, path).select(F.col("line_no").alias("sent_id"), F.col("value").alias("text"))
 
 
+def split_lines(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """S1 on a text column: one row per line ``(id, line_no, text)``, line order kept."""
+    return df.select(F.col(id_col), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "text")).select(
+        id_col, F.col("line_no").cast("int").alias("line_no"), "text")
+
+
 def read_vocab_json(spark: SparkSession, path: str) -> DataFrame:
     """A JSON object ``{token: id}`` -> ``(token, id)``."""
     doc = spark.read.text(path, wholetext=True)
