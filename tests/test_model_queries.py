@@ -80,3 +80,24 @@ def test_text_classifier_query(spark):
     n_docs = pq.read_metadata(f"{SF}/documents.parquet").num_rows
     assert len(rows) == n_docs
     assert all(r.label in (0, 1) and 0.5 <= r.score <= 1.0 for r in rows)
+
+
+@needs_data
+def test_chunked_plan_equals_single_chunk_on_driver_tables(spark):
+    """Hot-sentence path on real sentences: tiny chunks force carries across many chunk borders."""
+    from arborlex.operators import trees as T
+    from arborlex.plans import catalog as C
+
+    acts = C.order_actions(spark, SF)
+    pages = C.page_actions(spark, SF)
+
+    def run(chunk):
+        inp = T.materialize(T.expand(acts, chunk=chunk))
+        return (
+            set(map(tuple, inp.select("sent_id", "idx", "kind", "tok", "label", "pid").collect())),
+            set(map(tuple, T.mask_intervals(inp).select("sent_id", "ki", "death").collect())),
+            set(map(tuple, T.mask_degree(inp, chunk=chunk).collect())),
+            set(map(tuple, T.validate(pages, chunk).collect())),
+        )
+
+    assert run(T.DEFAULT_CHUNK) == run(7)
