@@ -1 +1,11 @@
-"""Operators for training-data pipelines; nothing else in the library imports this subpackage."""
+"""Operators for training-data pipelines; nothing else in the library imports this subpackage.
+
+Functions that run in Python workers are shipped by value, so executors need no copy of the
+package (numpy, pandas and pyarrow must be there).
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

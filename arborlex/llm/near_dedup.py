@@ -9,9 +9,10 @@ agree on ``min_depth`` values at least, and where an order is dense the nearest
 agree on ever more values, so a sparse region is searched shallow and a dense one deep.
 
 Candidates are confirmed on the full sets by exact integer arithmetic, and the links' components
-come from distributed star steps.  A second pass over the same orders looks only at neighbours
-of *different* components, jumping over runs of one component, so that a class whose only
-partner stands behind a crowd of already joined copies is still compared with it.
+come from distributed star steps.  Further passes over the same orders look only at neighbours
+of *different* components, up and down, until one finds no new link.  A run of one component takes one place in the window, so
+a class whose only partner stands behind a crowd of already joined copies is still compared with
+the crowd, row by row, and each row still makes a fixed number of pairs at most.
 
 Edge cases.  Null text counts as empty.  Empty sets link with nothing.  Rows of equal sets are
 one class however many there are (repeated doc_ids included).  A null doc_id never becomes a
@@ -172,22 +173,23 @@ def _neighbours(reach: int, min_depth: int, num: int, den: int, across: bool):
 
 
 def candidates(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH,
-               across: bool = False) -> DataFrame:
+               across: bool = False, down: bool = False) -> DataFrame:
     """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp)``.
 
-    The orders are range-partitioned and sorted here.  Pairs over a partition boundary come from
+    The orders are range-partitioned and sorted here, descending with ``down``.  Pairs over a partition boundary come from
     the last rows before it and the first rows after it, a few times ``reach`` rows each.
     """
     parts = 4 * shuffle_parts(order.sparkSession)
-    order = (order.select("tree", "label", "node", "n", "comp").repartitionByRange(parts, "tree", "label", "node")
-             .sortWithinPartitions("tree", "label", "node"))
+    keys = [F.col(c).desc() if down else F.col(c) for c in ("tree", "label", "node")]
+    order = (order.select("tree", "label", "node", "n", "comp").repartitionByRange(parts, *keys)
+             .sortWithinPartitions(*keys))
     found = written(order.mapInArrow(_neighbours(reach, min_depth, num, den, across), _FOUND_SCHEMA), "neighbours")
     edges = found.where("edge is not null").select("edge", "tree", "label", F.col("a").alias("node"), "n", "comp")
 
     def meet(pdf):
         window, out = _Window(reach, min_depth, num, den, across), []
         rows = pdf[["tree", "label", "node", "n", "comp"]].itertuples(index=False, name=None)
-        for row in sorted(rows, key=lambda r: r[:3]):
+        for row in sorted(rows, key=lambda r: r[:3], reverse=down):
             out += [(row[2], q) for q in window.partners(row)]
             window.push(row)
         return pd.DataFrame(out, columns=["a", "b"])
@@ -233,14 +235,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     texts = texts.join(wanted.select(F.col("doc_id").alias("_want")),
                        F.col("doc_id").eqNullSafe(F.col("_want")), "left_semi")
     values = written(sets(texts, k), "sets").dropDuplicates(["node"])
-    links = written(confirm(first, values, num, den), "confirmed")
-    roots = connected_components(links)
-    # second look: neighbours of different components only
-    joined = order.join(ids, "node", "left_semi").join(roots, "node", "left").select(
-        "tree", "label", "node", "n", F.coalesce("root", "node").alias("comp"))
-    second = candidates(joined, num, den, reach=2 * REACH, across=True).join(first, ["a", "b"], "left_anti")
-    more = written(confirm(second, values, num, den), "confirmed")
-    roots = written(connected_components(links.unionByName(more)), "roots")
+    roots = connected_components(written(confirm(first, values, num, den), "confirmed"))
+    # further looks, at neighbours of different components, until one finds no new link
+    seen = first
+    while True:
+        joined = written(order.join(ids, "node", "left_semi").join(roots, "node", "left").select(
+            "tree", "label", "node", "n", F.coalesce("root", "node").alias("comp")), "joined")
+        across = candidates(joined, num, den, 2 * REACH, across=True).unionByName(
+            candidates(joined, num, den, 2 * REACH, across=True, down=True)).distinct()
+        fresh = written(across.join(seen, ["a", "b"], "left_anti"), "pairs")
+        links = written(confirm(fresh, values, num, den), "confirmed")
+        if links.isEmpty():
+            break
+        seen = seen.unionByName(fresh)
+        roots = connected_components(links.unionByName(roots.toDF("a", "b")))
     # smallest doc_id of each component, then back to the rows
     comp = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     comp = written(comp, "membership")
