@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe noscript".split())
 BLOCK = frozenset(
@@ -228,6 +230,6 @@ def extract(pages: DataFrame) -> DataFrame:
                                               pa.array([len(t) for t in texts], pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])
 
-    rows = pages.select(F.col("page_id").cast("bigint"), "url", "html", host(F.col("url")).alias("host"))
+    rows = bounded(pages).select(F.col("page_id").cast("bigint"), "url", "html", host(F.col("url")).alias("host"))
     return rows.join(host_paths(pages), "host", "left").select("page_id", "url", "html", "path").mapInArrow(
         run, "page_id bigint, url string, text string, n_chars bigint")

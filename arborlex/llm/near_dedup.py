@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, mix64, shingles, shuffle_parts, written
+from .common import bounded, byte_slices, mix64, shingles, shuffle_parts, written
 from .components import connected_components
 
 TREES, DEPTH = 16, 8
@@ -73,7 +73,7 @@ def signatures(docs: DataFrame, k: int, trees: int = TREES, depth: int = DEPTH)
                     pa.array([signature(s, mult, add).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ], names=["doc_id", "node", "n_shingles", "sig"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+    return bounded(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         run, "doc_id bigint, node binary, n_shingles bigint, sig binary")
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, mix64, word_hashes, word_spans
+from .common import bounded, byte_slices, mix64, word_hashes, word_spans
 
 HALF = 1 << 15
 #: Rows of each class that the hinge-loss fit may use; the log-count ratios use all rows.
@@ -88,7 +88,7 @@ def class_counts(rows: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(np.where(place == 2 * HALF, -1, place)),
                                           pa.array(total[1, place]), pa.array(total[0, place])], names=["place", "n1", "n0"])
 
-    return rows.select("text", "label").mapInArrow(run, "place bigint, n1 bigint, n0 bigint").groupBy("place").agg(
+    return bounded(rows).select("text", "label").mapInArrow(run, "place bigint, n1 bigint, n0 bigint").groupBy("place").agg(
         F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
@@ -100,7 +100,7 @@ def _sparse(rows: DataFrame) -> DataFrame:
                 found += [np.flatnonzero(x).astype("<u4").tobytes() for x in indicators(texts[lo:hi])]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1)], names=["places", "label"])
 
-    return rows.select("text", "label").mapInArrow(run, "places binary, label int")
+    return bounded(rows).select("text", "label").mapInArrow(run, "places binary, label int")
 
 
 def dual_descent(x: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 20,
@@ -222,7 +222,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(_bytes(batch.column(1))))],
                                              names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, score double")
+    return bounded(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, score double")
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -233,7 +233,7 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
         for batch in batches:
             yield batch.filter(pa.array(model.scores(_bytes(batch.column(at))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, mix64, word_hashes
+from .common import bounded, byte_slices, mix64, word_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA, SEED = 1.5, 3
@@ -326,7 +326,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, key: str = "do
                     pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(ids)), pa.array(digests)],
                     names=["doc_id", "n_pieces", "n_bytes", "ids", "decoded_sha256"])
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), "text").mapInArrow(
+    return bounded(docs).select(F.col(key).cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, n_pieces bigint, n_bytes bigint, ids array<int>, decoded_sha256 string")
 
 
@@ -341,4 +341,4 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFram
             texts = decode_ids(vocabulary.value, counts, np.concatenate([np.zeros(0, np.int64), *lists]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.decode() for t in texts])], names=["doc_id", "text"])
 
-    return encoded.select(F.col("doc_id").cast("bigint"), "ids").mapInArrow(run, "doc_id bigint, text string")
+    return bounded(encoded).select(F.col("doc_id").cast("bigint"), "ids").mapInArrow(run, "doc_id bigint, text string")

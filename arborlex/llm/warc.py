@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, shuffle_parts, written
+from .common import bounded, fresh_path, shuffle_parts, written
 
 LEAST = 1000
 CHUNK = 1 << 16
@@ -107,7 +107,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
                                           pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64())],
                                          names=["archive", "records", "bytes"])
 
-    rows = records.select("page_id", "url", F.col("payload").cast("binary"), "bytes", "sha1", "refers_to")
+    rows = bounded(records).select("page_id", "url", F.col("payload").cast("binary"), "bytes", "sha1", "refers_to")
     return written(rows.mapInArrow(run, "archive string, records bigint, bytes bigint"), "manifest")
 
 
