@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import bounded, byte_slices, mix64, word_hashes, word_spans
 
 HALF = 1 << 15
-#: Rows of each class that the hinge-loss fit may use; the log-count ratios use all rows.
-SAMPLE_ROWS = 3000
+#: Labelled rows of each class that the log-count ratios and the hinge-loss fit may use.
+RATIO_ROWS, SAMPLE_ROWS = 20_000, 3000
 THRESHOLD = 0.7
 
 
@@ -170,15 +170,21 @@ class Model:
         return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, cost: float = 10.0,
-        beta: float = 0.25) -> Model:
-    """Fit on the labelled rows of ``docs`` that are not held out."""
-    known = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    rows = docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(known, "doc_id")
-    counts = class_counts(rows).collect()  # a row per place of the fixed hashed space
-    n1, n0 = next(((r.n1, r.n0) for r in counts if r.place < 0), (0, 0))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", ratio_rows: int = RATIO_ROWS,
+        sample_rows: int = SAMPLE_ROWS, cost: float = 10.0, beta: float = 0.25) -> Model:
+    """Fit on labelled rows of ``docs`` that are not held out."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
+        "doc_id", F.col(label).cast("int").alias("label"))
+    sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
         return Model(offset=float(np.log((n1 + 1) / (n0 + 1))))
+
+    def drawn(n: int) -> DataFrame:
+        ids = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c in (0, 1)]
+        return docs.select("doc_id", "text").join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")
+
+    counts = class_counts(drawn(ratio_rows)).collect()  # a row per place of the fixed hashed space
     p, q = np.ones(2 * HALF), np.ones(2 * HALF)
     for r in counts:
         if r.place >= 0:
@@ -186,12 +192,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
             q[r.place] += r.n0
     scale = np.log(p / p.sum()) - np.log(q / q.sum())
     scale[(p == 1) & (q == 1)] = 0
-    order = (F.xxhash64("doc_id"), F.xxhash64("text"))
-    drawn = [rows.where(F.col("label") == c).orderBy(*order).limit(sample_rows) for c in (0, 1)]
-    sample = _sparse(drawn[0].unionByName(drawn[1])).collect()
+    sample = sorted(_sparse(drawn(sample_rows)).collect())  # the order of arrival must not matter
     x = [np.frombuffer(r.places, "<u4") for r in sample]
     y = np.array([r.label for r in sample])
-    take = {c: (y == c).sum() for c in (0, 1)}
+    take = {c: int((y == c).sum()) for c in (0, 1)}
+    if not all(take.values()):
+        return Model(offset=float(np.log((n1 + 1) / (n0 + 1))))
     weight = np.where(y == 1, n1 / take[1], n0 / take[0])  # back to the shares of all training rows
     turn = np.zeros(len(y), np.int64)
     for c in (0, 1):
