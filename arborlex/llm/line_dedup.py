@@ -33,17 +33,17 @@ def _digest(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def _keyed(docs: DataFrame, host: str) -> DataFrame:
-    """docs with ``_host`` (never null) and ``_page`` (the text's digest)."""
-    return docs.withColumn("_host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit(""))).withColumn(
-        "_page", _digest(F.coalesce("text", F.lit(""))))
+def _key(host: str) -> tuple[Column, Column]:
+    """``_host`` (never null) and ``_page`` (the text's digest)."""
+    return (F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")).alias("_host"),
+            _digest(F.coalesce("text", F.lit(""))).alias("_page"))
 
 
 def _pages(docs: DataFrame, host: str) -> DataFrame:
     """(_host, _page, lines): every distinct text of a host with its distinct line digests."""
     bare = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), _bare), lambda x: x != "")
     lines = F.array_distinct(F.transform(bare, _digest))
-    return _keyed(docs.select(host, "text"), host).select("_host", "_page", lines.alias("lines")).groupBy(
+    return docs.select(*_key(host), lines.alias("lines")).groupBy(
         "_host", "_page").agg(F.first("lines").alias("lines"))
 
 
@@ -64,18 +64,20 @@ def line_ratios(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO,
                      min_pages: int = MIN_PAGES) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and the number of lines before and
-    after in ``_n_lines`` and ``_n_dropped``."""
+    after in ``_n_lines`` and ``_n_dropped`` (columns of these two names are replaced)."""
     pages = written(_pages(docs, host), "pages")
     lines = _boilerplate(pages, ratio, min_pages).select("_host", "line")
     drops = pages.select("_host", "_page", F.explode("lines").alias("line")).join(lines, ["_host", "line"]).groupBy(
         "_host", "_page").agg(F.collect_set("line").alias("_drop"))
-    all_lines = F.split("text", "\n", -1)
+    keep = [c for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
+    # the row travels as one struct, so that no column of it can clash with those made here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_doc"), *_key(host))
+    all_lines = F.split("_doc.text", "\n", -1)
     stays = F.filter(all_lines, lambda x: ~F.array_contains("_drop", _digest(_bare(x))))
-    # the left side's rows of a hot page can be split by the adaptive plan: nothing else needs them together
-    out = _keyed(docs, host).join(drops, ["_host", "_page"], "left").withColumn(
-        "_stays", F.when(F.col("_drop").isNotNull(), stays))
+    # rows of a hot page can be split by the adaptive plan: nothing after the join needs them together
+    out = rows.join(drops, ["_host", "_page"], "left").withColumn("_stays", F.when(F.col("_drop").isNotNull(), stays))
     return out.select(
-        *[F.coalesce(F.array_join("_stays", "\n"), F.col("text")).alias("text") if c == "text" else F.col(c)
-          for c in docs.columns],
+        *[(F.coalesce(F.array_join("_stays", "\n"), F.col("_doc.text")) if c == "text" else F.col("_doc")[c]).alias(c)
+          for c in keep],
         F.coalesce(F.size(all_lines), F.lit(0)).alias("_n_lines"),
         F.when(F.col("_stays").isNotNull(), F.size(all_lines) - F.size("_stays")).otherwise(0).alias("_n_dropped"))

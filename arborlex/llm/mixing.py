@@ -161,10 +161,12 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         F.col("source").alias("_s"), F.col("doc_id").alias("_d"), F.col("digest").alias("_h"),
         F.expr("filter(arrays_zip(words, shard), x -> x.words > 0 and 2 * x.words >= size * n)").alias("_draws")
     ).where(F.size("_draws") > 0)
-    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = rows.join(draws, F.col("source").cast("string").eqNullSafe(F.col("_s"))
-                     & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")))
-    rows = rows.select(*docs.columns, "_hash", F.posexplode("_draws").alias("_turn", "_draw"))
-    shuffled = F.xxhash64(F.lit(seed + 1), "_turn", "doc_id", "_hash")
-    return rows.withColumn("_shard", F.col("_draw.shard")).withColumn("_order", shuffled).repartitionByRange(
-        shuffle_parts(docs.sparkSession), "_shard", "_order").sortWithinPartitions("_shard", "_order").select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    rows = rows.join(draws, F.col("_doc.source").cast("string").eqNullSafe(F.col("_s"))
+                     & F.col("_doc.doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")))
+    rows = rows.select("_doc", "_hash", F.posexplode("_draws").alias("_turn", "_draw"))
+    rows = rows.withColumn("_shard", F.col("_draw.shard")).withColumn(
+        "_order", F.xxhash64(F.lit(seed + 1), "_turn", "_doc.doc_id", "_hash"))
+    return rows.repartitionByRange(shuffle_parts(docs.sparkSession), "_shard", "_order").sortWithinPartitions(
+        "_shard", "_order").select("_doc.*")
