@@ -44,7 +44,7 @@ def manhattan(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 def nearest_int(x: Column) -> Column:
     """Nearest grid point, ``int(x + 0.5)`` (truncation toward zero)."""
-    return (x + F.lit(0.5)).cast("int")
+    return (x + F.lit(0.5)).cast("bigint")
 
 
 def sign(x: Column) -> Column:

@@ -37,13 +37,13 @@ def top_k(counts: DataFrame, k: int, salts: int = 16) -> DataFrame:
     first = salted.withColumn("_r", F.row_number().over(Window.partitionBy("grp", "_s").orderBy(*order))).where(
         F.col("_r") <= k)
     final = first.withColumn("rank", F.row_number().over(Window.partitionBy("grp").orderBy(*order)))
-    return final.where(F.col("rank") <= k).select("grp", F.col("rank").cast("int").alias("rank"), "key", "value")
+    return final.where(F.col("rank") <= k).select("grp", F.col("rank").cast("bigint").alias("rank"), "key", "value")
 
 
 def sorted_keys(counts: DataFrame) -> DataFrame:
     """K3 full order: rank of every key within its group, any group size."""
     r = grouped_index(counts, ["grp"], [F.col("value").desc(), F.col("key").asc()], start=1, name="rank")
-    return r.select("grp", F.col("rank").cast("int").alias("rank"), "key", "value")
+    return r.select("grp", F.col("rank").cast("bigint").alias("rank"), "key", "value")
 
 
 def total(counts: DataFrame) -> DataFrame:

@@ -33,6 +33,35 @@ def softmax_scores(df: DataFrame, id_col: str, vec_col: str, n_labels: int) -> D
         id_col, F.col("label").cast("int").alias("label"), "score")
 
 
+def centroid_scores(df: DataFrame, vec_col: str, label_col: str, n_labels: int) -> DataFrame:
+    """``df`` with ``scores``: for labels 0 to ``n_labels - 1``, the softmax of minus the squared distance
+    to the label's mean vector, over all places of the vector; a label without rows scores 0.
+
+    The means are one row of ``n_labels`` vectors, which is all that is broadcast.
+    """
+    means = df.select(F.col(label_col).alias("_l"), F.posexplode(vec_col).alias("_i", "_x")).groupBy("_l", "_i").agg(
+        F.avg(F.col("_x").cast("double")).alias("_m"))
+    rows = means.groupBy("_l").agg(F.array_sort(F.collect_list(F.struct("_i", "_m"))).alias("_v"))
+    table = rows.where(F.col("_l").between(0, n_labels - 1)).agg(
+        F.map_from_entries(F.collect_list(F.struct("_l", F.col("_v._m").alias("_v")))).alias("_c")).withColumn("_k", F.lit(1))
+    labels = F.array(*[F.lit(i) for i in range(n_labels)])
+    far = F.transform(labels, lambda i: F.aggregate(
+        F.zip_with(F.col(vec_col), F.element_at("_c", i), lambda x, m: (x.cast("double") - m) * (x.cast("double") - m)),
+        F.lit(0.0), lambda a, x: a + x))
+    out = df.withColumn("_k", F.lit(1)).join(F.broadcast(table), "_k").withColumn("_far", far)
+    share = F.transform("_far", lambda x: F.coalesce(F.exp(F.array_min("_far") - x), F.lit(0.0)))
+    out = out.withColumn("_e", share)
+    total = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
+    return out.select(*df.columns, F.transform("_e", lambda x: x / total).alias("scores"))
+
+
+def top1_of_array(df: DataFrame, scores: str = "scores") -> DataFrame:
+    """E1 inside the row: ``label`` and ``score`` of the best entry of an array of scores; ties go to
+    the smallest label.  Nothing is shuffled."""
+    best = F.array_max(scores)
+    return df.withColumn("label", (F.array_position(scores, best) - 1).cast("int")).withColumn("score", best)
+
+
 def top1(scores: DataFrame, id_col: str = "item_id") -> DataFrame:
     """Best ``(label, score)`` per item; ties go to the smallest label."""
     best = F.min_by(F.struct("label", "score"), F.struct((-F.col("score")).alias("s"), F.col("label").alias("l")))

@@ -16,13 +16,16 @@ from ..functions.ranking import running_total
 
 
 def cdf_bands(dist: DataFrame, value: str = "value", weight: str = "weight") -> DataFrame:
-    """Normalised CDF bands ``(value, lo, hi, p)`` in value order (the order of sorted items)."""
+    """Normalised CDF bands ``(value, lo, hi, p)`` in value order (the order of sorted items).
+
+    The last band ends at 1 exactly, whatever the rounding of the sums, so no draw falls behind it.
+    """
     w = dist.groupBy(value).agg(F.sum(weight).alias("_w"))
     cum = running_total(w, [F.col(value).asc()], "_w", name="_hi")
-    tot = w.agg(F.sum("_w").alias("_tot"))
+    tot = w.agg(F.sum("_w").alias("_tot"), F.max(F.when(F.col("_w") > 0, F.col(value))).alias("_last"))
     j = cum.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
     return j.select(value, ((F.col("_hi") - F.col("_w")) / F.col("_tot")).alias("lo"),
-                    (F.col("_hi") / F.col("_tot")).alias("hi"), (F.col("_w") / F.col("_tot")).alias("p"))
+                    F.when(F.col(value) >= F.col("_last"), F.lit(1.0)).otherwise(F.col("_hi") / F.col("_tot")).alias("hi"), (F.col("_w") / F.col("_tot")).alias("p"))
 
 
 def weighted_draw(draws: DataFrame, key: str, dist: DataFrame, value: str = "value", weight: str = "weight",

@@ -458,3 +458,19 @@ def row_texts(inputs: DataFrame, edges: DataFrame) -> DataFrame:
 def sentence_fingerprints(texts: DataFrame) -> DataFrame:
     """T14 at scale: salted MD5 per sentence (order-free, fully parallel)."""
     return texts.select("sent_id", salted_md5(F.col("text")).alias("fingerprint"))
+
+
+def ordered_digest(fingerprints: DataFrame, bucket: int = 1024) -> DataFrame:
+    """Number of examples and MD5 over (sent_id, fingerprint) in id order, folded per bucket of
+    ``bucket`` consecutive ids and then over the buckets' digests in order.
+
+    A bucket is bounded by its width; the last fold holds one digest for each bucket.
+    """
+    def fold(order: str, line: str) -> Column:
+        lines = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.expr(line).alias("line")))), lambda x: x["line"])
+        return F.md5(F.concat_ws("\n", lines))
+
+    per = fingerprints.withColumn("_b", F.floor(F.col("sent_id") / bucket)).groupBy("_b").agg(
+        fold("sent_id", "concat(sent_id, ':', fingerprint)").alias("_d"), F.count(F.lit(1)).alias("_n"))
+    return per.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_sentences"),
+                   fold("_b", "concat(_b, ':', _d)").alias("digest"))

@@ -37,13 +37,12 @@ def word_counts(corpus: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def train_word_vocab(corpus: DataFrame, text_col: str = "text", vocab_size: int | None = 30000,
+def train_word_vocab(corpus: DataFrame, text_col: str = "text", vocab_size: int | None = None,
                      specials: tuple[str, ...] = SPECIALS) -> DataFrame:
     """V2/V3: specials get ids 0..k-1, learned words follow by (count desc, token asc).
 
-    ``vocab_size`` is the trainer's size limit (specials included); with a limit the
-    learned part is a top-k (bounded, broadcastable), without one it is numbered by
-    a distributed sort.
+    ``vocab_size`` is an optional size limit (specials included); with a limit the learned
+    part is a top-k, without one (the default) it is numbered by a distributed sort.
     """
     spark = corpus.sparkSession
     counts = word_counts(corpus, text_col).where(~F.col("token").isin(*specials))
@@ -70,31 +69,21 @@ def special_ids(vocab: DataFrame) -> DataFrame:
     return vocab.agg(*[F.max(F.when(F.col("token") == t, F.col("id"))).alias(r) for r, t in roles.items()])
 
 
-BROADCAST_MAX_ROWS = 1_000_000  # vocabulary rows allowed in one broadcast
+def _lookup(vocab: DataFrame) -> DataFrame:
+    """The vocabulary as a join side; the join strategy is left to the adaptive plan."""
+    return vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
 
 
-def _lookup(vocab: DataFrame, bounded: bool | None) -> DataFrame:
-    """The vocabulary as a join side.  Broadcast when its size is bounded: ``True`` when the
-    caller knows it (a trained vocabulary has a size limit), ``None`` checks it at run time;
-    beyond the bound the join is a shuffle join left to AQE."""
-    v = vocab.select(F.col("token").alias("_tok"), F.col("id").alias("_id"))
-    if bounded is None:
-        bounded = vocab.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
-    return F.broadcast(v) if bounded else v
-
-
-def tokenize(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "sent_id",
-             bounded_vocab: bool | None = None) -> DataFrame:
+def tokenize(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "sent_id") -> DataFrame:
     """V6 (+V5): text -> framed actions in long form; unknown words become ``<unk>``.
 
-    ``bounded_vocab=True`` says the vocabulary has a size limit, so it is broadcast; ``None``
-    checks its size first; beyond the bound the join is left to AQE (skew join is on).
+    The join is left to the adaptive plan (skew join is on): the vocabulary has no size bound.
     """
     words = corpus.select(
         F.col(id_col).cast("bigint").alias("sent_id"),
         F.posexplode(frame(split_words(F.col(text_col)))).alias("pos", "tok"),
     )
-    j = words.join(_lookup(vocab, bounded_vocab), words.tok == F.col("_tok"), "left")
+    j = words.join(_lookup(vocab), words.tok == F.col("_tok"), "left")
     return j.select(
         "sent_id", F.col("pos").cast("int").alias("pos"),
         F.when(F.col("_tok").isNull(), F.lit(UNK)).otherwise(F.col("tok")).alias("tok"),
@@ -102,13 +91,13 @@ def tokenize(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col
 
 
 def tokenize_ids(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "sent_id",
-                 bounded_vocab: bool | None = None, unk_id: int = 0) -> DataFrame:
+                 unk_id: int = 0) -> DataFrame:
     """V6 + V7 in one lookup: framed tokens with ``<unk>`` mapping and their ids."""
     words = corpus.select(
         F.col(id_col).cast("bigint").alias("sent_id"),
         F.posexplode(frame(split_words(F.col(text_col)))).alias("pos", "tok"),
     )
-    j = words.join(_lookup(vocab, bounded_vocab), words.tok == F.col("_tok"), "left")
+    j = words.join(_lookup(vocab), words.tok == F.col("_tok"), "left")
     return j.select(
         "sent_id", F.col("pos").cast("int").alias("pos"),
         F.when(F.col("_tok").isNull(), F.lit(UNK)).otherwise(F.col("tok")).alias("tok"),
@@ -116,10 +105,10 @@ def tokenize_ids(corpus: DataFrame, vocab: DataFrame, text_col: str = "text", id
     )
 
 
-def encode(tokens: DataFrame, vocab: DataFrame, tok_col: str = "tok", bounded_vocab: bool | None = None,
+def encode(tokens: DataFrame, vocab: DataFrame, tok_col: str = "tok",
            unk_id: int = 0) -> DataFrame:
     """V7: token column -> id column (unknown -> the ``<unk>`` id)."""
-    j = tokens.join(_lookup(vocab, bounded_vocab), tokens[tok_col] == F.col("_tok"), "left")
+    j = tokens.join(_lookup(vocab), tokens[tok_col] == F.col("_tok"), "left")
     return j.withColumn("token_id", F.coalesce(F.col("_id"), F.lit(unk_id)).cast("bigint")).drop("_tok", "_id")
 
 
@@ -138,10 +127,10 @@ def mask_labels(label_ids: Column, pad_id: int | Column) -> Column:
 
 
 def decode(ids: DataFrame, vocab: DataFrame, group_col: str = "sent_id", order_col: str = "pos",
-           id_col: str = "token_id", bounded_vocab: bool | None = None) -> DataFrame:
+           id_col: str = "token_id") -> DataFrame:
     """V9: ids -> space-joined text per group, skipping special tokens."""
     v = vocab.where(~F.col("token").isin(*SPECIALS))
-    j = ids.join(_lookup(v, bounded_vocab), ids[id_col] == F.col("_id"), "inner")
+    j = ids.join(_lookup(v), ids[id_col] == F.col("_id"), "inner")
     return j.groupBy(group_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order_col, "_tok"))), lambda x: x["_tok"]),
                      " ").alias("text")

@@ -36,28 +36,32 @@ def order_actions(spark, d):
     return T.materialize(I.order_tree(_t(spark, d, "orders"), _t(spark, d, "lineitem")))
 
 
-def nav_actions(spark, d):
-    """Tag trees of the nav fragments, tokenised once (the regex work is not repeated by
-    the plan-choice check)."""
-    return T.materialize(I.nav_tree(_t(spark, d, "pages")))
-
-
 def page_actions(spark, d):
     return T.materialize(I.page_tree(_t(spark, d, "pages")))
 
 
 # ---------------------------------------------------------------- trees
 
+def broken_actions(spark, d):
+    return T.materialize(I.broken_order_tree(order_actions(spark, d)))
+
+
 @query("tree_rejects")
 def tree_rejects(spark, d):
+    """T2/T3 on order trees of which eleven in twelve are broken, each in its own way: first error."""
+    return T.validate(broken_actions(spark, d))
+
+
+@query("tree_rejects_pages")
+def tree_rejects_pages(spark, d):
     """T2/T3 on whole pages: first error per page."""
     return T.validate(page_actions(spark, d))
 
 
 @query("tree_validate")
 def tree_validate(spark, d):
-    """T1-T3 on nav fragments: status of every page (``ok`` or the first error)."""
-    acts = nav_actions(spark, d)
+    """T1-T3 on the partly broken order trees: status of every tree (``ok`` or the first error)."""
+    acts = broken_actions(spark, d)
     sents = acts.select("sent_id").distinct()
     rej = T.validate(acts)
     return sents.join(rej, "sent_id", "left").select(
@@ -91,8 +95,8 @@ def tree_positions(spark, d):
 
 @query("tree_match")
 def tree_match(spark, d):
-    """T5: closer -> opener positions in the nav trees."""
-    return T.matches(nav_actions(spark, d))
+    """T5: closer -> opener positions in the order trees."""
+    return T.matches(order_actions(spark, d))
 
 
 @query("tree_mask_intervals")
@@ -103,8 +107,8 @@ def tree_mask_intervals(spark, d):
 
 @query("tree_mask_edges")
 def tree_mask_edges(spark, d):
-    """T9 edges on the nav trees."""
-    return T.mask_edges(T.materialize(T.expand(nav_actions(spark, d))))
+    """T9 edges on the order trees."""
+    return T.mask_edges(T.materialize(T.expand(order_actions(spark, d))))
 
 
 @query("tree_mask_degree")
@@ -115,32 +119,32 @@ def tree_mask_degree(spark, d):
 
 @query("tree_dense_mask")
 def tree_dense_mask(spark, d):
-    """T10/T11 + K13 export: every dense row as Python-style float text, nav trees."""
-    inp = T.materialize(T.expand(nav_actions(spark, d)))
+    """T10/T11 + K13 export: every dense row as Python-style float text, order trees."""
+    inp = T.materialize(T.expand(order_actions(spark, d)))
     return T.dense_mask_text(inp, T.mask_edges(inp))
 
 
 @query("tree_example")
 def tree_example(spark, d):
-    """The four example columns per nav tree, as Python-style text."""
-    inp = T.materialize(T.expand(nav_actions(spark, d)))
+    """The four example columns per order tree, as Python-style text."""
+    inp = T.materialize(T.expand(order_actions(spark, d)))
     return T.row_texts(inp, T.mask_edges(inp)).select("sent_id", "text")
 
 
 @query("tree_fingerprint")
 def tree_fingerprint(spark, d):
-    """T14 + K15: salted MD5 of each nav example (parallel form of the dataset hash)."""
-    inp = T.materialize(T.expand(nav_actions(spark, d)))
+    """T14 + K15: salted MD5 of each order-tree example (parallel form of the dataset hash)."""
+    inp = T.materialize(T.expand(order_actions(spark, d)))
     return T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp)))
 
 
 @query("tree_dataset_digest")
 def tree_dataset_digest(spark, d):
-    """T14 at scale, order tree: count and order-free XOR-free sum digest of per-sentence hashes."""
+    """T14 at scale, order tree: hashes of the examples folded in order, per bucket of ids and then
+    over the buckets, so that swapping two examples changes the digest."""
     inp = T.materialize(T.expand(order_actions(spark, d)))
     fp = T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp)))
-    h = F.conv(F.substring("fingerprint", 1, 8), 16, 10).cast("bigint")
-    return fp.agg(F.count(F.lit(1)).cast("bigint").alias("n_sentences"), F.sum(h).cast("bigint").alias("digest"))
+    return T.ordered_digest(fp)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

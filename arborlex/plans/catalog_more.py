@@ -13,7 +13,7 @@ from ..operators import metrics as M
 from ..operators import sampling as S
 from ..operators import trees as T
 from ..operators import vocab as V
-from .catalog import _t, nav_actions, query
+from .catalog import _t, order_actions, query
 
 N_TOPICS = 10
 SAMPLE_K = 83          # size of the seeded evaluation sample
@@ -41,7 +41,7 @@ def text_lines(spark, d):
 
 @query("vocab_train")
 def vocab_train(spark, d):
-    """V1-V3: word vocabulary of the documents (specials first, size limit 30000)."""
+    """V1-V3: word vocabulary of the documents (specials first, no size limit)."""
     return docs_vocab(spark, d)
 
 
@@ -60,7 +60,7 @@ def vocab_specials(spark, d):
 @query("vocab_encode")
 def vocab_encode(spark, d):
     """V5-V7: framed documents -> ids; per document token count, unknown count and an id checksum."""
-    ids = V.tokenize_ids(docs_corpus(spark, d), docs_vocab(spark, d), bounded_vocab=True)
+    ids = V.tokenize_ids(docs_corpus(spark, d), docs_vocab(spark, d))
     return ids.groupBy(F.col("sent_id").alias("doc_id")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
         F.count_if(F.col("token_id") == 0).cast("bigint").alias("n_unk"),
@@ -70,13 +70,13 @@ def vocab_encode(spark, d):
 
 def bench_ids(spark, d) -> DataFrame:
     bench = _t(spark, d, "benchmark").select(F.col("item_id").alias("sent_id"), "text")
-    return V.tokenize_ids(bench, docs_vocab(spark, d), bounded_vocab=True)
+    return V.tokenize_ids(bench, docs_vocab(spark, d))
 
 
 @query("vocab_decode")
 def vocab_decode(spark, d):
     """V9: benchmark passages encoded with the document vocabulary, decoded without specials."""
-    return V.decode(bench_ids(spark, d), docs_vocab(spark, d), bounded_vocab=True).select(
+    return V.decode(bench_ids(spark, d), docs_vocab(spark, d)).select(
         F.col("sent_id").alias("item_id"), "text")
 
 
@@ -128,16 +128,13 @@ def merge_audit(spark, d):
 
 # ------------------------------------------------------------------ batching
 
-def nav_examples(spark, d) -> DataFrame:
-    """Nav trees as id sequences: vocabulary trained on the nav token text."""
-    acts = nav_actions(spark, d)
-    corpus = acts.where(~F.col("tok").isin(T.BOS, T.EOS)).groupBy("sent_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"]),
-                     " ").alias("text"))
-    vocab = V.train_word_vocab(corpus)
+def order_examples(spark, d) -> DataFrame:
+    """Order trees as id sequences: vocabulary trained on the tree tokens themselves."""
+    acts = order_actions(spark, d)
+    vocab = V.train_word_vocab(acts.select(F.col("tok").alias("text")))  # tokens hold no white space
     inp = T.expand(acts)
-    ids = V.encode(V.encode(inp, vocab, tok_col="tok", bounded_vocab=True).withColumnRenamed("token_id", "input_id"),
-                   vocab, tok_col="label", bounded_vocab=True).withColumnRenamed("token_id", "label_id")
+    ids = V.encode(V.encode(inp, vocab, tok_col="tok").withColumnRenamed("token_id", "input_id"),
+                   vocab, tok_col="label").withColumnRenamed("token_id", "label_id")
     pad_id = V.SPECIALS.index(T.PAD)
     seq = ids.groupBy("sent_id").agg(F.array_sort(F.collect_list(F.struct("idx", "input_id", "label_id", "pid")))
                                      .alias("s"))
@@ -151,9 +148,9 @@ def nav_examples(spark, d) -> DataFrame:
 
 @query("pad_batches")
 def pad_batches(spark, d):
-    """B1-B4 (+V7/V8): nav examples padded per batch of 16."""
+    """B1-B4 (+V7/V8): order-tree examples padded per batch of 16."""
     pad_id = V.SPECIALS.index(T.PAD)
-    p = B.pad_batches(nav_examples(spark, d), pad_id)
+    p = B.pad_batches(order_examples(spark, d), pad_id)
 
     def txt(c):
         return F.array_join(F.col(c).cast("array<string>"), " ").alias(c)
@@ -165,7 +162,7 @@ def pad_batches(spark, d):
 def batch_stack(spark, d):
     """One row per batch with its examples in order."""
     pad_id = V.SPECIALS.index(T.PAD)
-    st = B.stack_batches(B.pad_batches(nav_examples(spark, d), pad_id))
+    st = B.stack_batches(B.pad_batches(order_examples(spark, d), pad_id))
     return st.select(
         "batch_id", F.array_join(F.col("sent_ids").cast("array<string>"), " ").alias("sent_ids"),
         F.size("sent_ids").cast("int").alias("n_rows"), F.col("max_len").cast("int").alias("max_len"))
@@ -173,10 +170,10 @@ def batch_stack(spark, d):
 
 @query("batch_mask_padded")
 def batch_mask_padded(spark, d):
-    """Dense nav masks zero-padded on both axes to their batch length."""
+    """Dense order-tree masks zero-padded on both axes to their batch length."""
     pad_id = V.SPECIALS.index(T.PAD)
-    lens = B.pad_batches(nav_examples(spark, d), pad_id).select("sent_id", "max_len")
-    inp = T.materialize(T.expand(nav_actions(spark, d)))
+    lens = B.pad_batches(order_examples(spark, d), pad_id).select("sent_id", "max_len")
+    inp = T.materialize(T.expand(order_actions(spark, d)))
     dm = T.dense_mask(inp, T.mask_edges(inp)).join(lens, "sent_id")
     padded = dm.select("sent_id", F.posexplode(B.padded_dense_mask(F.col("mask"), F.col("max_len"))).alias("qi", "r"))
     return padded.select("sent_id", F.col("qi").cast("int").alias("qi"),
@@ -186,35 +183,38 @@ def batch_mask_padded(spark, d):
 # ------------------------------------------------------------------ metrics
 
 def topic_scores(spark, d) -> DataFrame:
-    emb = _t(spark, d, "embeddings")
-    return M.softmax_scores(emb, "vec_id", "embedding", N_TOPICS)
+    """(vec_id, gold, scores): for each topic the share of exp(-squared distance to its centroid)
+    over all floats of the vector."""
+    emb = _t(spark, d, "embeddings").select("vec_id", "embedding", F.col("label").alias("gold"))
+    return M.centroid_scores(emb, "embedding", "gold", N_TOPICS)
+
+
+def topic_top(spark, d) -> DataFrame:
+    return M.top1_of_array(topic_scores(spark, d))
 
 
 def topic_pairs(spark, d) -> DataFrame:
-    top = M.top1(topic_scores(spark, d), id_col="vec_id")
-    gold = _t(spark, d, "embeddings").select("vec_id", F.col("label").alias("gold"))
-    return top.join(gold, "vec_id").select(F.col("vec_id").alias("item_id"), F.col("label").alias("pred"), "gold",
-                                           "score")
+    return topic_top(spark, d).select(F.col("vec_id").alias("item_id"), F.col("label").alias("pred"), "gold", "score")
 
 
 @query("top1_label")
 def top1_label(spark, d):
-    """E1 over softmax scores of the first ten embedding logits."""
-    t = M.top1(topic_scores(spark, d), id_col="vec_id")
+    """E1 over softmax scores of the distances to the topic centroids."""
+    t = topic_top(spark, d)
     return t.select("vec_id", "label", F.round("score", 6).alias("score"))
 
 
 @query("label_names")
 def label_names(spark, d):
     """E4."""
-    t = M.top1(topic_scores(spark, d), id_col="vec_id")
+    t = topic_top(spark, d)
     return M.label_names(t).select("vec_id", "label", "label_name")
 
 
 @query("prediction_contract")
 def prediction_contract(spark, d):
     """E3."""
-    return M.prediction_contract(M.label_names(M.top1(topic_scores(spark, d), id_col="vec_id")))
+    return M.prediction_contract(M.label_names(topic_top(spark, d)))
 
 
 @query("accuracy")
@@ -250,9 +250,7 @@ def threshold_points(spark, d):
 @query("loss_points")
 def loss_points(spark, d):
     """Two points per loss threshold met; loss = mean negative log-probability of the gold label."""
-    s = topic_scores(spark, d)
-    gold = _t(spark, d, "embeddings").select("vec_id", F.col("label").alias("gold"))
-    p = s.join(gold, (s.vec_id == gold.vec_id) & (s.label == gold.gold)).agg(F.avg(-F.log("score")).alias("loss"))
+    p = topic_scores(spark, d).agg(F.avg(-F.log(F.get("scores", F.col("gold")))).alias("loss"))
     return p.select(F.round("loss", 6).alias("loss"),
                     M.threshold_points(F.col("loss"), M.LOSS_THRESHOLDS, higher_is_better=False, weight=2)
                     .alias("points"))
@@ -327,10 +325,11 @@ def chat_refusal(spark, d):
 
 @query("chat_keyword")
 def chat_keyword(spark, d):
-    """Does any assistant reply mention the first word of the first user message?"""
+    """Does any assistant reply mention a word of the first user message, for each of its words?"""
     t = turns(spark, d)
     first_user = t.where(F.col("role") == "user").groupBy("conv_id").agg(
-        F.min_by("text", "turn").alias("q")).select("conv_id", F.element_at(F.split("q", " "), 1).alias("keyword"))
+        F.min_by("text", "turn").alias("q")).select(
+            "conv_id", F.explode(F.array_distinct(V.split_words(F.col("q")))).alias("keyword"))
     replies = t.where(F.col("role") == "assistant").select("conv_id", "text")
     j = first_user.join(replies, "conv_id", "left")
     return j.groupBy("conv_id", "keyword").agg(
@@ -348,18 +347,17 @@ def chat_append(spark, d):
 
 @query("chat_strip")
 def chat_strip(spark, d):
-    """Render up to the last assistant turn, strip the prompt prefix, keep 128 new tokens."""
+    """C7 on every conversation: what its last turn adds to the rendered turns before it (the prompt),
+    cut at the prompt's real length in tokens, 128 new tokens at most.  Tokens are the words of the
+    rendered text (a block ends with a line break, so the prompt's words begin the output's)."""
     t = turns(spark, d)
     last = t.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
     t = t.join(last, "conv_id")
-    convs = t.where(F.col("turn") == F.col("last_turn")).where(F.col("role") == "assistant").select("conv_id")
-    t = t.join(convs, "conv_id", "left_semi")
-    prompt = C.render(t.where(F.col("turn") < F.col("last_turn")).drop("last_turn"))
+    prompt = C.render(t.where(F.col("turn") < F.col("last_turn")).drop("last_turn"), add_generation_prompt=False)
     full = C.render(t.drop("last_turn"), add_generation_prompt=False).withColumnRenamed("prompt", "full")
-    j = prompt.join(full, "conv_id")
-    new_text = F.expr("substring(full, length(prompt) + 1)")
-    toks = F.filter(F.split(new_text, r"\s+"), lambda w: w != "")
-    kept = C.strip_prompt(toks, F.lit(0))
+    j = full.join(prompt, "conv_id", "left")
+    n_prompt = F.coalesce(F.size(V.split_words(F.col("prompt"))), F.lit(0))
+    kept = C.strip_prompt(V.split_words(F.col("full")), F.when(F.col("prompt").isNull(), F.lit(0)).otherwise(n_prompt))
     return j.select("conv_id", F.array_join(kept, " ").alias("reply"), F.size(kept).alias("n_new"))
 
 
@@ -482,10 +480,9 @@ def bernoulli(spark, d):
 
 @query("transpose")
 def transpose(spark, d):
-    """K13 + K14: ones of the dense nav masks as coordinates, transposed."""
-    inp = T.materialize(T.expand(nav_actions(spark, d)))
-    dm = T.dense_mask(inp, T.mask_edges(inp))
-    return S.transpose(S.to_coordinates(dm, "sent_id", "mask", 1.0))
+    """K13 + K14: the order-tree masks' ones are kept as coordinates (the edges), transposed."""
+    inp = T.materialize(T.expand(order_actions(spark, d)))
+    return S.transpose(T.mask_edges(inp).select("sent_id", F.col("qi").alias("row"), F.col("ki").alias("col")))
 
 
 @query("scalar_helpers")

@@ -1,7 +1,7 @@
 """Bracketed action sequences derived from the driver tables.
 
 * order tree: per customer ``<s> (C (O p.. p.. O) (O .. O) C) </s>`` from orders x lineitem
-* nav tree:   the ``<nav>`` fragment of each page as a tag tree
+* broken tree: order trees broken in eleven ways, for the reject path
 * page tree:  the whole page after dropping comments, scripts, styles and void tags
               (real pages leave tags open, so this feeds the reject path)
 
@@ -17,7 +17,6 @@ from ..functions.ranking import grouped_index
 from ..operators.trees import BOS, EOS, frame
 
 # Fixed patterns for the HTML-to-bracket mapping (mirrored in the DuckDB oracle).
-NAV_RE = r"(?s)<nav>(.*?)</nav>"
 PIECE_RE = r"<[^>]*>|[^<]+"
 CLOSE_NAME_RE = r"^</\s*([A-Za-z0-9]+)"
 OPEN_NAME_RE = r"^<\s*([A-Za-z0-9]+)"
@@ -60,6 +59,21 @@ def order_tree(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                          "tok")
 
 
+def broken_order_tree(acts: DataFrame) -> DataFrame:
+    """Order trees of which every twelfth stays whole and the others are broken by the remainder of
+    their id (see ``BREAKS``); remainder 9 keeps its first token only."""
+    m, tok = F.col("sent_id") % 12, F.col("tok")
+    for rest, (at, new) in BREAKS.items():
+        here = F.col("pos") == at if isinstance(at, int) else F.col("tok") == at
+        tok = F.when((m == rest) & here, F.lit(new)).otherwise(tok)
+    return acts.where((m != 9) | (F.col("pos") == 0)).withColumn("tok", tok)
+
+
+#: Remainder of the id by 12: (position or token replaced, token put there).
+BREAKS = {1: ("C)", "end"), 2: ("C)", "X)"), 3: (3, ""), 4: (3, "(x)"), 5: (3, "("), 6: (3, " "), 7: (0, "x"), 8: (3, "<s>"),
+          10: (1, "t"), 11: (3, "O)")}
+
+
 def html_tokens(fragment: Column) -> Column:
     """Tag tree tokens of an HTML fragment: ``<x ..>`` -> ``(x``, ``</x>`` -> ``x)``, words as terminals.
 
@@ -85,11 +99,6 @@ def _explode_actions(df: DataFrame, toks: Column) -> DataFrame:
     ).select("sent_id", F.col("pos").cast("int").alias("pos"), "tok")
 
 
-def nav_tree(pages: DataFrame) -> DataFrame:
-    nav = F.regexp_extract(F.col("html"), NAV_RE, 1)
-    return _explode_actions(pages, html_tokens(nav))
-
-
 def page_tree(pages: DataFrame) -> DataFrame:
     body = F.regexp_replace(F.col("html"), DROP_RE, "")
     return _explode_actions(pages, html_tokens(body))

@@ -6,7 +6,7 @@ SQL over the pre-registered views, for the correctness gate at small scale.
 
 from __future__ import annotations
 
-from .inputs import CLOSE_NAME_RE, DROP_RE, NAV_RE, OPEN_NAME_RE, PIECE_RE
+from .inputs import BREAKS, CLOSE_NAME_RE, DROP_RE, OPEN_NAME_RE, PIECE_RE
 
 SQL: dict[str, str] = {}
 
@@ -53,7 +53,10 @@ acts AS (
 )"""
 
 
-NAV_ACTS = _html_acts(f"regexp_extract(html, {_q(NAV_RE)}, 1)")
+_BREAK = " ".join(f"WHEN sent_id % 12 = {m} AND " + (f"pos = {at}" if isinstance(at, int) else f"tok = '{at}'") + f" THEN '{new}'"
+                  for m, (at, new) in BREAKS.items())
+BROKEN_ACTS = ORDER_ACTS.replace("acts AS (", "acts0 AS (") + f""",
+acts AS (SELECT sent_id, pos, CASE {_BREAK} ELSE tok END AS tok FROM acts0 WHERE sent_id % 12 <> 9 OR pos = 0)"""
 PAGE_ACTS = _html_acts(f"regexp_replace(html, {_q(DROP_RE)}, '', 'g')")
 
 # annotate -> errors -> accepted -> inputs -> intervals -> edges
@@ -187,8 +190,9 @@ def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts)
 
 
-SQL["tree_rejects"] = _with(PAGE_ACTS, TREE_CHAIN) + "\nSELECT sent_id, pos, code FROM rejects"
-SQL["tree_validate"] = _with(NAV_ACTS, TREE_CHAIN) + """
+SQL["tree_rejects"] = _with(BROKEN_ACTS, TREE_CHAIN) + "\nSELECT sent_id, pos, code FROM rejects"
+SQL["tree_rejects_pages"] = _with(PAGE_ACTS, TREE_CHAIN) + "\nSELECT sent_id, pos, code FROM rejects"
+SQL["tree_validate"] = _with(BROKEN_ACTS, TREE_CHAIN) + """
 SELECT s.sent_id, coalesce(r.code, 'ok') AS code, r.pos AS err_pos
 FROM (SELECT DISTINCT sent_id FROM acts) s LEFT JOIN rejects r USING (sent_id)"""
 SQL["tree_expand"] = _with(ORDER_ACTS, TREE_CHAIN) + \
@@ -197,22 +201,25 @@ SQL["tree_labels"] = _with(ORDER_ACTS, TREE_CHAIN) + \
     "\nSELECT sent_id, string_agg(label, ' ' ORDER BY idx) AS labels FROM inp GROUP BY sent_id"
 SQL["tree_positions"] = _with(ORDER_ACTS, TREE_CHAIN) + \
     "\nSELECT sent_id, string_agg(pid::VARCHAR, ' ' ORDER BY idx) AS position_ids FROM inp GROUP BY sent_id"
-SQL["tree_match"] = _with(NAV_ACTS, TREE_CHAIN) + \
+SQL["tree_match"] = _with(ORDER_ACTS, TREE_CHAIN) + \
     "\nSELECT sent_id, pos AS close_pos, open_pos::INT AS open_pos, name FROM acc WHERE kind = 'C'"
 SQL["tree_mask_intervals"] = _with(ORDER_ACTS, TREE_CHAIN) + "\nSELECT sent_id, ki, death FROM iv"
-SQL["tree_mask_edges"] = _with(NAV_ACTS, TREE_CHAIN) + "\nSELECT sent_id, qi, ki FROM edges"
+SQL["tree_mask_edges"] = _with(ORDER_ACTS, TREE_CHAIN) + "\nSELECT sent_id, qi, ki FROM edges"
 SQL["tree_mask_degree"] = _with(ORDER_ACTS, TREE_CHAIN) + """
 SELECT i.sent_id, i.idx AS qi, count(e.ki)::INT AS degree
 FROM inp i LEFT JOIN edges e ON e.sent_id = i.sent_id AND e.qi = i.idx
 GROUP BY i.sent_id, i.idx"""
-SQL["tree_dense_mask"] = _with(NAV_ACTS, TREE_CHAIN, ROW_TEXTS) + "\nSELECT sent_id, qi, r AS row_text FROM mrows"
-SQL["tree_example"] = _with(NAV_ACTS, TREE_CHAIN, ROW_TEXTS) + "\nSELECT sent_id, text FROM texts"
-SQL["tree_fingerprint"] = _with(NAV_ACTS, TREE_CHAIN, ROW_TEXTS) + \
+SQL["tree_dense_mask"] = _with(ORDER_ACTS, TREE_CHAIN, ROW_TEXTS) + "\nSELECT sent_id, qi, r AS row_text FROM mrows"
+SQL["tree_example"] = _with(ORDER_ACTS, TREE_CHAIN, ROW_TEXTS) + "\nSELECT sent_id, text FROM texts"
+SQL["tree_fingerprint"] = _with(ORDER_ACTS, TREE_CHAIN, ROW_TEXTS) + \
     "\nSELECT sent_id, md5('i-love-nlp' || text) AS fingerprint FROM texts"
-SQL["tree_dataset_digest"] = _with(ORDER_ACTS, TREE_CHAIN, ROW_TEXTS) + """
-SELECT count(*)::BIGINT AS n_sentences,
-       sum(('0x' || substr(md5('i-love-nlp' || text), 1, 8))::BIGINT)::BIGINT AS digest
-FROM texts"""
+SQL["tree_dataset_digest"] = _with(ORDER_ACTS, TREE_CHAIN, ROW_TEXTS) + """,
+buckets AS (
+  SELECT sent_id // 1024 AS b, count(*) AS n,
+         md5(string_agg(sent_id || ':' || md5('i-love-nlp' || text), chr(10) ORDER BY sent_id)) AS d
+  FROM texts GROUP BY 1
+)
+SELECT sum(n)::BIGINT AS n_sentences, md5(string_agg(b || ':' || d, chr(10) ORDER BY b)) AS digest FROM buckets"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import NAV_ACTS, SQL, TREE_CHAIN, _with
+from .oracle import ORDER_ACTS, SQL, TREE_CHAIN, _with
 
 # Unicode White_Space as an RE2 class (RE2's \s is ASCII only and lacks \v).
 WS = r"'[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'"
@@ -14,7 +14,7 @@ def words(col: str) -> str:
 
 
 def vocab_cte(corpus_sql: str, name: str = "vocab") -> str:
-    """Word vocabulary: specials 0-3, then (count desc, token asc), 30000 entries at most."""
+    """Word vocabulary: specials 0-3, then (count desc, token asc), no limit."""
     return f"""
 {name}_w AS (SELECT unnest({words('text')}) AS token FROM ({corpus_sql})),
 {name}_c AS (SELECT token, count(*) AS cnt FROM {name}_w
@@ -22,7 +22,7 @@ def vocab_cte(corpus_sql: str, name: str = "vocab") -> str:
 {name}_l AS (SELECT token, row_number() OVER (ORDER BY cnt DESC, token) AS rn FROM {name}_c),
 {name} AS (
   SELECT * FROM (VALUES ('<unk>', 0::BIGINT), ('<s>', 1::BIGINT), ('</s>', 2::BIGINT), ('<pad>', 3::BIGINT)) v(token, id)
-  UNION ALL SELECT token, (rn + 3)::BIGINT FROM {name}_l WHERE rn <= 29996
+  UNION ALL SELECT token, (rn + 3)::BIGINT FROM {name}_l
 )"""
 
 
@@ -88,8 +88,8 @@ SELECT (SELECT count(*) FROM (SELECT a, b FROM cm GROUP BY a, b HAVING count(*)
        (SELECT count_if(r1 <> r2) FROM r) = 0 AS order_kept"""
 
 # ---------------------------------------------------------------- batching
-PAD_CTES = _with(NAV_ACTS, TREE_CHAIN, vocab_cte(
-    "SELECT string_agg(tok, ' ' ORDER BY pos) AS text FROM acts WHERE tok NOT IN ('<s>', '</s>') GROUP BY sent_id",
+PAD_CTES = _with(ORDER_ACTS, TREE_CHAIN, vocab_cte(
+    "SELECT tok AS text FROM acts",
     name="nv")) + """,
 ids AS (
   SELECT i.sent_id, i.idx, i.pid, coalesce(a.id, 0) AS input_id, coalesce(b.id, 0) AS label_id
@@ -127,12 +127,11 @@ FROM pe GROUP BY sent_id, q"""
 
 # ---------------------------------------------------------------- metrics
 SCORES = """
-lg AS (SELECT vec_id, list_transform(embedding[1:10], lambda x: x::DOUBLE) AS l FROM embeddings),
-lm AS (SELECT vec_id, list_transform(l, lambda x: exp(x - list_max(l))) AS e FROM lg),
-scores AS (
-  SELECT vec_id, (generate_subscripts(e, 1) - 1)::INT AS label, unnest(list_transform(e, lambda x: x / list_sum(e)))
-         AS score FROM lm
-),
+fl AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+ce AS (SELECT label, i, avg(x) AS m FROM fl WHERE label BETWEEN 0 AND 9 GROUP BY label, i),
+di AS (SELECT vec_id, ce.label::INT AS label, sum((x - m) * (x - m)) AS far FROM fl JOIN ce USING (i) GROUP BY vec_id, ce.label),
+ex AS (SELECT vec_id, label, exp(min(far) OVER (PARTITION BY vec_id) - far) AS e FROM di),
+scores AS (SELECT vec_id, label, e / sum(e) OVER (PARTITION BY vec_id) AS score FROM ex),
 top AS (
   SELECT vec_id, label, score FROM scores
   QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) = 1
@@ -220,9 +219,9 @@ _KW = ["As an AI", "I don't", "I cannot", "I am not", "I won't", "I will not", "
 SQL["chat_refusal"] = "SELECT conv_id, turn, (" + " OR ".join(
     "contains(text, '" + k.replace("'", "''") + "')" for k in _KW) + \
     ") AS is_refusal FROM conversations WHERE role = 'assistant'"
-SQL["chat_keyword"] = """
-WITH fu AS (SELECT conv_id, string_split(arg_min(text, turn), ' ')[1] AS keyword
-            FROM conversations WHERE role = 'user' GROUP BY conv_id)
+SQL["chat_keyword"] = f"""
+WITH fq AS (SELECT conv_id, arg_min(text, turn) AS q FROM conversations WHERE role = 'user' GROUP BY conv_id),
+fu AS (SELECT conv_id, unnest(list_distinct({words('q')})) AS keyword FROM fq)
 SELECT fu.conv_id, fu.keyword, coalesce(bool_or(contains(lower(c.text), lower(fu.keyword))), false) AS found
 FROM fu LEFT JOIN conversations c ON c.conv_id = fu.conv_id AND c.role = 'assistant'
 GROUP BY fu.conv_id, fu.keyword"""
@@ -231,15 +230,12 @@ SELECT conv_id, turn, role, text FROM conversations
 UNION ALL SELECT conv_id, max(turn) + 1, 'user', 'Please continue.' FROM conversations GROUP BY conv_id"""
 SQL["chat_strip"] = f"""
 WITH lt AS (SELECT conv_id, max(turn) AS last_turn FROM conversations GROUP BY conv_id),
-t AS (SELECT c.*, lt.last_turn FROM conversations c JOIN lt USING (conv_id)
-      WHERE c.conv_id IN (SELECT conv_id FROM conversations c2 JOIN lt USING (conv_id)
-                          WHERE c2.turn = lt.last_turn AND c2.role = 'assistant')),
-p AS ({render_sql("(SELECT * FROM t WHERE turn < last_turn)", True)}),
+t AS (SELECT c.*, lt.last_turn FROM conversations c JOIN lt USING (conv_id)),
+p AS ({render_sql("(SELECT * FROM t WHERE turn < last_turn)", False)}),
 f AS ({render_sql("t", False)}),
-j AS (SELECT p.conv_id, list_filter(string_split_regex(substr(f.prompt, length(p.prompt) + 1), '\\s+'),
-                                    lambda w: w <> '')[1:128] AS toks
-      FROM p JOIN f USING (conv_id))
-SELECT conv_id, array_to_string(toks, ' ') AS reply, len(toks)::INT AS n_new FROM j"""
+j AS (SELECT f.conv_id, {words("f.prompt")} AS a, coalesce(len({words("p.prompt")}), 0) AS n FROM f LEFT JOIN p USING (conv_id)),
+k AS (SELECT conv_id, a[n + 1:n + 128] AS toks FROM j)
+SELECT conv_id, array_to_string(toks, ' ') AS reply, len(toks)::INT AS n_new FROM k"""
 
 # ---------------------------------------------------------------- counts
 LANG_COUNTS = f"""
@@ -251,10 +247,10 @@ WITH dc AS (SELECT doc_id, w AS key, count(*)::DOUBLE AS value
             FROM (SELECT doc_id, unnest({words('text')}) AS w FROM documents) GROUP BY 1, 2)
 SELECT doc_id, key FROM dc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY value DESC, key) = 1"""
 SQL["count_topk"] = _with(LANG_COUNTS) + """
-SELECT grp, rank::INT AS rank, key, value FROM (
+SELECT grp, rank::BIGINT AS rank, key, value FROM (
   SELECT *, row_number() OVER (PARTITION BY grp ORDER BY value DESC, key) AS rank FROM lc) WHERE rank <= 5"""
 SQL["count_sorted"] = _with(LANG_COUNTS) + """
-SELECT grp, (row_number() OVER (PARTITION BY grp ORDER BY value DESC, key))::INT AS rank, key, value FROM lc"""
+SELECT grp, (row_number() OVER (PARTITION BY grp ORDER BY value DESC, key))::BIGINT AS rank, key, value FROM lc"""
 SQL["count_total"] = _with(LANG_COUNTS) + "\nSELECT grp, sum(value) AS total FROM lc GROUP BY grp"
 SQL["count_norm"] = _with(LANG_COUNTS) + """
 SELECT grp, key, round(CASE WHEN total = 0 THEN value ELSE value / total END, 9) AS value
@@ -278,7 +274,8 @@ BANDS = """
 ew AS (SELECT event_type, sum(value) AS w FROM events GROUP BY event_type),
 bands AS (
   SELECT event_type, w, (sum(w) OVER (ORDER BY event_type) - w) / sum(w) OVER () AS lo,
-         sum(w) OVER (ORDER BY event_type) / sum(w) OVER () AS hi, w / sum(w) OVER () AS p
+         CASE WHEN event_type >= (SELECT max(event_type) FROM ew WHERE w > 0) THEN 1.0
+              ELSE sum(w) OVER (ORDER BY event_type) / sum(w) OVER () END AS hi, w / sum(w) OVER () AS p
   FROM ew
 )"""
 SQL["weighted_draw"] = _with(BANDS) + """,
@@ -293,10 +290,10 @@ SQL["value_probability"] = _with(BANDS) + "\nSELECT event_type, round(p, 9) AS p
 SQL["bernoulli"] = """
 SELECT event_id FROM events
 WHERE ('0x' || substr(md5('42|' || event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < 0.1"""
-SQL["transpose"] = _with(NAV_ACTS, TREE_CHAIN) + "\nSELECT sent_id, ki AS row, qi AS col FROM edges"
+SQL["transpose"] = _with(ORDER_ACTS, TREE_CHAIN) + "\nSELECT sent_id, ki AS row, qi AS col FROM edges"
 SQL["scalar_helpers"] = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        round(abs(l_quantity - l_tax) + abs(l_discount - 0.0), 6) AS l1,
-       trunc(l_extendedprice / 1000 + 0.5)::INT AS nearest,
+       trunc(l_extendedprice / 1000 + 0.5)::BIGINT AS nearest,
        CASE WHEN l_quantity - 25 >= 0 THEN 1 ELSE -1 END AS sgn
 FROM lineitem"""

@@ -37,7 +37,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A scratch folder is created only when the setting is absent (local tests and bench).
+    A scratch folder is created only when the setting is absent and the session is local (tests
+    and bench); on a cluster the setting must name a folder that all executors share.
     The folder is registered with the context once; without a reachable context
     (Spark Connect) the server-side setting is used as it is.
     """
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="arborlex-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
