@@ -20,6 +20,7 @@ SAMPLE_K = 83          # size of the seeded evaluation sample
 SEED = "42"
 TOPK = 5
 BERNOULLI_P = 0.1
+OWN_KEYWORDS = ("ths", "heit", "ment", "ciones")  # for C4 with a list of the caller's own
 
 
 # ------------------------------------------------------------------ vocabulary
@@ -318,9 +319,10 @@ def chat_last(spark, d):
 
 @query("chat_refusal")
 def chat_refusal(spark, d):
-    """C4 on every assistant turn."""
+    """C4 on every assistant turn: the fixed keywords, and a list of the caller's own."""
     t = turns(spark, d).where(F.col("role") == "assistant")
-    return t.select("conv_id", "turn", C.is_refusal(F.col("text")).alias("is_refusal"))
+    return t.select("conv_id", "turn", C.is_refusal(F.col("text")).alias("is_refusal"),
+                    C.is_refusal(F.col("text"), OWN_KEYWORDS).alias("has_own"))
 
 
 @query("chat_keyword")
@@ -542,3 +544,37 @@ def text_classifier(spark, d):
     model = CL.fit_text_classifier(docs, _t(spark, d, "labels"), "quality")
     s = CL.score(docs, model)
     return s.select("doc_id", "label", F.round("score", 6).alias("score"))
+
+
+def nb_pairs(spark, d) -> DataFrame:
+    """(item_id, pred, gold) of the exact classifier on the labelled documents."""
+    gold = _t(spark, d, "labels").select(F.col("doc_id").alias("item_id"), F.col("quality").alias("gold"))
+    pred = nb_classifier(spark, d).select(F.col("doc_id").alias("item_id"), F.col("label").alias("pred"))
+    return pred.join(gold, "item_id")
+
+
+@query("nb_classifier")
+def nb_classifier(spark, d):
+    """A word-count classifier of quality, fitted on all labelled documents, over all documents."""
+    from ..operators import classify as CL
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    odds = CL.naive_bayes_log_odds(docs, CL.naive_bayes_weights(docs, _t(spark, d, "labels"), "quality"))
+    return odds.select("doc_id", (F.col("log_odds") > 0).cast("int").alias("label"), F.round("log_odds", 4).alias("log_odds"))
+
+
+@query("nb_report")
+def nb_report(spark, d):
+    """E5, E6, E8 on the classifier of E2."""
+    from ..session import cut_lineage
+    pairs = cut_lineage(nb_pairs(spark, d))
+    acc = M.accuracy(pairs).select("n", "n_correct", F.round("accuracy", 6).alias("accuracy"), M.threshold_points(
+        F.col("accuracy"), M.ACCURACY_THRESHOLDS).alias("points"))
+    return V.one_row(acc, M.macro_f1(pairs).select(F.round("macro_f1", 6).alias("macro_f1")))
+
+
+@query("nb_failure")
+def nb_failure(spark, d):
+    """E10 on the classifier of E2: one misjudged document with its text."""
+    f = M.failure_example(nb_pairs(spark, d)).select(F.col("item_id").alias("doc_id"), "pred", "gold")
+    return _t(spark, d, "documents").select("doc_id", "text").join(F.broadcast(f), "doc_id").select(
+        "doc_id", "pred", "gold", "text")

@@ -218,7 +218,8 @@ SELECT conv_id, arg_max(role, turn) AS last_role, arg_max(text, turn) AS last_te
 _KW = ["As an AI", "I don't", "I cannot", "I am not", "I won't", "I will not", "I do not", "I can't", "not to"]
 SQL["chat_refusal"] = "SELECT conv_id, turn, (" + " OR ".join(
     "contains(text, '" + k.replace("'", "''") + "')" for k in _KW) + \
-    ") AS is_refusal FROM conversations WHERE role = 'assistant'"
+    ") AS is_refusal, (" + " OR ".join(f"contains(text, '{k}')" for k in ("ths", "heit", "ment", "ciones")) + \
+    ") AS has_own FROM conversations WHERE role = 'assistant'"
 SQL["chat_keyword"] = f"""
 WITH fq AS (SELECT conv_id, arg_min(text, turn) AS q FROM conversations WHERE role = 'user' GROUP BY conv_id),
 fu AS (SELECT conv_id, unnest(list_distinct({words('q')})) AS keyword FROM fq)
@@ -297,3 +298,28 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        trunc(l_extendedprice / 1000 + 0.5)::BIGINT AS nearest,
        CASE WHEN l_quantity - 25 >= 0 THEN 1 ELSE -1 END AS sgn
 FROM lineitem"""
+
+# ---------------------------------------------------------------- classifier
+NB = _with(f"""
+nw AS (SELECT quality AS y, unnest({words('text')}) AS token FROM documents JOIN labels USING (doc_id)),
+nc AS (SELECT token, sum(y) AS c1, sum(1 - y) AS c0 FROM nw GROUP BY token),
+nt AS (SELECT sum(c1) AS n1, sum(c0) AS n0, count(*) AS v FROM nc),
+np AS (SELECT ln(sum(quality) / sum(1 - quality)) AS prior FROM documents JOIN labels USING (doc_id)),
+wt AS (SELECT token, ln((c1 + 1) / (n1 + v)) - ln((c0 + 1) / (n0 + v)) AS weight FROM nc, nt),
+dw AS (SELECT doc_id, unnest({words('text')}) AS token FROM documents),
+ds AS (SELECT doc_id, sum(weight) AS s FROM dw JOIN wt USING (token) GROUP BY doc_id),
+od AS (SELECT doc_id, prior + coalesce(s, 0) AS log_odds FROM documents LEFT JOIN ds USING (doc_id), np),
+nbp AS (SELECT doc_id AS item_id, (log_odds > 0)::INT AS pred, quality AS gold FROM od JOIN labels USING (doc_id))""")
+SQL["nb_classifier"] = NB + "\nSELECT doc_id, (log_odds > 0)::INT AS label, round(log_odds, 4) AS log_odds FROM od"
+SQL["nb_report"] = NB + """,
+pc AS (SELECT label, 2.0 * sum(tp) / (sum(np_) + sum(ng)) AS f1 FROM (
+    SELECT pred AS label, (pred = gold)::INT AS tp, 1 AS np_, 0 AS ng FROM nbp
+    UNION ALL SELECT gold, 0, 0, 1 FROM nbp) GROUP BY label),
+acc AS (SELECT count(*)::BIGINT AS n, count_if(pred = gold)::BIGINT AS n_correct, avg((pred = gold)::INT::DOUBLE) AS accuracy FROM nbp)
+SELECT n, n_correct, round(accuracy, 6) AS accuracy,
+       (SELECT count(*) FROM (VALUES (0.30), (0.35), (0.50)) t(x) WHERE acc.accuracy >= x)::INT AS points,
+       (SELECT round(avg(f1), 6) FROM pc) AS macro_f1
+FROM acc"""
+SQL["nb_failure"] = NB + """
+SELECT item_id AS doc_id, pred, gold, text FROM nbp JOIN documents ON doc_id = item_id
+WHERE pred <> gold ORDER BY item_id DESC LIMIT 1"""
