@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import manhattan, nearest_int, sign
@@ -501,39 +501,39 @@ def scalar_helpers(spark, d):
 
 # ------------------------------------------------------------------ model-backed (rows-only checks)
 
-def prefix_bpe_model(spark, d, top_words: int = 2000):
-    """A byte-level BPE model derived from the corpus: the most frequent alphanumeric words,
-    each built left to right from its ``Ġ``-prefixed spelling (ASCII only, so bytes = chars).
-    Everything here is bounded by ``top_words`` (a top-k), so plain windows number it."""
-    from ..operators.bpe import byte_alphabet
-    from ..session import cut_lineage
-    order = [F.col("count").desc(), F.col("token").asc()]
-    words = V.word_counts(docs_corpus(spark, d)).where(F.col("token").rlike("^[A-Za-z0-9]+$"))
-    top = words.orderBy(*order).limit(top_words).select("token", F.row_number().over(Window.orderBy(*order))
-                                                         .alias("wid"))
-    s = F.concat(F.lit("Ġ"), F.col("token"))
-    steps = top.select("wid", F.posexplode(F.sequence(F.lit(2), F.length(s))).alias("j", "i"), s.alias("s"))
-    m = steps.select("wid", "j", F.expr("substring(s, 1, i - 1)").alias("a"), F.expr("substring(s, i, 1)").alias("b"))
-    first = m.groupBy("a", "b").agg(F.min(F.struct("wid", "j")).alias("k"))
-    ranked = first.select((F.row_number().over(Window.orderBy("k")) - 1).cast("bigint").alias("rank"), "a", "b")
-    # the model is read several times (cleanup, broadcast): materialise it once
-    merges = cut_lineage(ranked)
-    alphabet = spark.createDataFrame([(c,) for c in byte_alphabet()], "token string")
-    tokens = alphabet.unionByName(merges.select(F.concat("a", "b").alias("token"))).distinct()
-    vocab_out = tokens.select("token", (F.row_number().over(Window.orderBy("token")) - 1).cast("bigint").alias("id"))
-    return vocab_out, merges
-
-
 @query("bpe_encode")
 def bpe_encode(spark, d):
-    """V14 (+V10/V11): clean the derived model, then byte-level BPE over every document."""
+    """V14 (+V10/V11): clean the corpus's own pair model, then byte-level BPE over every document: numbers
+    of pieces and pre-tokens, and the digest of the ordered pieces."""
     from ..operators import bpe as P
-    vocab, merges = prefix_bpe_model(spark, d)
+    docs = _t(spark, d, "documents")
+    vocab, merges = P.pair_model(docs)
     cv = V.clean_vocab(vocab)
-    cm = V.clean_merges(merges, cv)
-    enc = P.bpe_encode(_t(spark, d, "documents"), cv, cm)
-    return enc.groupBy("doc_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
-                                     F.count_distinct("pt_pos").cast("bigint").alias("n_pretokens"))
+    enc = P.bpe_rows(docs, cv, V.clean_merges(merges, cv))
+    pieces = F.flatten("pieces")
+    return enc.select("doc_id", F.size(pieces).cast("bigint").alias("n_tokens"), F.size("pieces").cast("bigint").alias("n_pretokens"),
+                      F.md5(F.array_join(pieces, " ")).alias("pieces_md5"))
+
+
+@query("batch_full")
+def batch_full(spark, d):
+    """B6 with T11: one row per batch with all four columns, the mask of each example padded on both axes."""
+    pad_id = V.SPECIALS.index(T.PAD)
+    rows = batch_mask_padded(spark, d).groupBy("sent_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("qi", "row_text"))), lambda x: x["row_text"]), "|").alias("mask"))
+    ex = B.pad_batches(order_examples(spark, d), pad_id).join(rows, "sent_id")
+
+    def txt(c):
+        return F.array_join(F.col(c).cast("array<string>"), " ").alias(c)
+
+    def stacked(c):
+        return F.array_join(F.transform("r", lambda x: x[c]), ";")
+    ex = ex.select("batch_id", "sent_id", txt("input_ids"), txt("labels"), txt("position_ids"), "mask")
+    st = ex.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct(
+        "sent_id", "input_ids", "labels", "position_ids", "mask"))).alias("r"))
+    return st.select("batch_id", F.size("r").alias("n_rows"), stacked("input_ids").alias("input_ids"),
+                     stacked("labels").alias("labels"), stacked("position_ids").alias("position_ids"),
+                     F.md5(stacked("mask")).alias("attention_mask_md5"))
 
 
 @query("text_classifier")

@@ -125,6 +125,21 @@ pe AS (
 SELECT sent_id, q::INT AS qi, string_agg(CASE WHEN on_ THEN '1.0' ELSE '0.0' END, ' ' ORDER BY k) AS row_text
 FROM pe GROUP BY sent_id, q"""
 
+SQL["batch_full"] = PAD_CTES + """,
+pg AS (SELECT sent_id, max_len, unnest(range(max_len)) AS q FROM mx),
+pc AS (SELECT sent_id, max_len, q, unnest(range(max_len)) AS k FROM pg),
+mr AS (
+  SELECT pc.sent_id, pc.q, string_agg(CASE WHEN e.ki IS NULL THEN '0.0' ELSE '1.0' END, ' ' ORDER BY pc.k) AS r
+  FROM pc LEFT JOIN edges e ON e.sent_id = pc.sent_id AND e.qi = pc.q AND e.ki = pc.k GROUP BY pc.sent_id, pc.q
+),
+pm AS (SELECT sent_id, string_agg(r, '|' ORDER BY q) AS mask FROM mr GROUP BY sent_id)
+SELECT batch_id::BIGINT AS batch_id, count(*)::INT AS n_rows,
+       string_agg(array_to_string(list_resize(input_ids, max_len, 3), ' '), ';' ORDER BY sent_id) AS input_ids,
+       string_agg(array_to_string(list_resize(labels, max_len, -100), ' '), ';' ORDER BY sent_id) AS labels,
+       string_agg(array_to_string(list_resize(position_ids, max_len, 0), ' '), ';' ORDER BY sent_id) AS position_ids,
+       md5(string_agg(mask, ';' ORDER BY sent_id)) AS attention_mask_md5
+FROM mx JOIN pm USING (sent_id) GROUP BY batch_id"""
+
 # ---------------------------------------------------------------- metrics
 SCORES = """
 fl AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),

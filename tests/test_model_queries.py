@@ -1,5 +1,6 @@
 """Rows-only queries checked against brute force on the smallest driver tables."""
 
+import hashlib
 import os
 import re
 from collections import Counter
@@ -46,15 +47,14 @@ def test_bpe_encode_query_brute_force(spark):
     from arborlex.plans.catalog_more import bpe_encode
 
     docs = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
-    counts = Counter(w for d in docs for w in d["text"].split() if re.fullmatch(r"[A-Za-z0-9]+", w))
-    counts.pop("<unk>", None)
-    top = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:2000]
-    ranks = {}
-    for w, _ in top:
-        s = "Ġ" + w
-        for i in range(1, len(s)):
-            ranks.setdefault((s[:i], s[i]), len(ranks))
     alpha = _alphabet()
+    counts = Counter()
+    for d in docs:
+        for pt in regex.findall(GPT2_PRETOKEN, d["text"]):
+            raw = pt.encode("utf-8")
+            counts.update(zip(raw, raw[1:]))
+    best = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))
+    ranks = {(alpha[a], alpha[b]): i for i, ((a, b), _) in enumerate(best)}
     vocab = set(alpha.values()) | {a + b for a, b in ranks}
     multi = re.compile("[0-9²³¹]{2}")
     vocab = {t for t in vocab if not multi.search(t)}
@@ -62,13 +62,12 @@ def test_bpe_encode_query_brute_force(spark):
     expect = {}
     for d in docs:
         pts = regex.findall(GPT2_PRETOKEN, d["text"])
-        n = 0
+        pieces = []
         for pt in pts:
             syms = [alpha[b] for b in pt.encode("utf-8") if alpha[b] in vocab]
-            n += len(_bpe_all_occurrences(syms, kept))
-        if pts:
-            expect[d["doc_id"]] = (n, len(pts))
-    got = {r.doc_id: (r.n_tokens, r.n_pretokens) for r in bpe_encode(spark, SF).collect()}
+            pieces += _bpe_all_occurrences(syms, kept)
+        expect[d["doc_id"]] = (len(pieces), len(pts), hashlib.md5(" ".join(pieces).encode()).hexdigest())
+    got = {r.doc_id: (r.n_tokens, r.n_pretokens, r.pieces_md5) for r in bpe_encode(spark, SF).collect()}
     assert got == expect
 
 
