@@ -5,7 +5,8 @@ from __future__ import annotations
 from .oracle import ORDER_ACTS, SQL, TREE_CHAIN, _with
 
 # Unicode White_Space as an RE2 class (RE2's \s is ASCII only and lacks \v).
-WS = r"'[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'"
+WS_CHARS = r"\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WS = f"'[{WS_CHARS}]+'"
 NL = "chr(10)"
 
 
@@ -338,3 +339,60 @@ FROM acc"""
 SQL["nb_failure"] = NB + """
 SELECT item_id AS doc_id, pred, gold, text FROM nbp JOIN documents ON doc_id = item_id
 WHERE pred <> gold ORDER BY item_id DESC LIMIT 1"""
+
+# ---------------------------------------------------------------- byte pairs
+SQL["bpe_encode"] = rf"""WITH RECURSIVE seg AS (
+  SELECT doc_id, unnest(a) AS s, generate_subscripts(a, 1) AS o
+  FROM (SELECT doc_id, regexp_extract_all(text, '[{WS_CHARS}]?[^{WS_CHARS}]+|[{WS_CHARS}]+') AS a FROM documents)
+),
+near AS (SELECT doc_id, o, s, regexp_full_match(s, '[{WS_CHARS}]+') AS blank, lag(s) OVER d AS p, lead(s) OVER d IS NULL AS last
+         FROM seg WINDOW d AS (PARTITION BY doc_id ORDER BY o)),
+-- a blank run before a word gives its last blank to the word
+part AS (SELECT doc_id, o, CASE WHEN blank AND NOT last THEN left(s, length(s) - 1)
+                                WHEN NOT blank AND regexp_full_match(p, '[{WS_CHARS}]+') THEN right(p, 1) || s ELSE s END AS s FROM near),
+tok AS (
+  SELECT doc_id, o, unnest(a) AS pt, generate_subscripts(a, 1) AS j
+  FROM (SELECT doc_id, o, regexp_extract_all(
+    s, '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WS_CHARS}\p{{L}}\p{{N}}]+|[{WS_CHARS}]+') AS a FROM part)
+),
+words AS MATERIALIZED (SELECT pt, count(*) AS n, row_number() OVER () AS w FROM tok GROUP BY pt),
+bytes AS MATERIALIZED (
+  SELECT w, n, i, substring(h, 2 * i - 1, 2) AS x, CASE WHEN 2 * i < length(h) THEN substring(h, 2 * i - 1, 4) END AS pair
+  FROM (SELECT w, n, h, unnest(range(1, length(h) // 2 + 1)) AS i FROM (SELECT w, n, hex(encode(pt)) AS h FROM words))
+),
+ranks AS (SELECT pair, row_number() OVER (ORDER BY sum(n) DESC, pair) - 1 AS rank FROM bytes WHERE pair IS NOT NULL GROUP BY pair),
+alphabet AS (
+  SELECT printf('%02X', b) AS x, chr((CASE WHEN keep THEN b
+    ELSE 255 + row_number() OVER (PARTITION BY keep ORDER BY b) END)::INT) AS c
+  FROM (SELECT b, b BETWEEN 33 AND 126 OR b BETWEEN 161 AND 172 OR b >= 174 AS keep FROM range(256) t(b))
+),
+kept AS (
+  SELECT pair, rank FROM ranks JOIN alphabet l ON l.x = left(pair, 2) JOIN alphabet r ON r.x = right(pair, 2)
+  WHERE NOT regexp_matches(l.c || r.c, '[0-9²³¹]{{2}}')
+),
+-- each round joins the pairs that rank below both neighbours (the left one on ties) and drops those beside them
+st(w, i, rank, joined) AS (
+  SELECT w, i, rank, false FROM bytes JOIN kept USING (pair)
+  UNION ALL
+  SELECT w, i, rank, joined FROM (
+    SELECT *, coalesce(lag(joined) OVER d AND lag(i) OVER d = i - 1, false) OR
+              coalesce(lead(joined) OVER d AND lead(i) OVER d = i + 1, false) AS beside
+    FROM (SELECT w, i, rank, NOT coalesce(lag(i) OVER d = i - 1 AND lag(rank) OVER d <= rank, false) AND
+                 NOT coalesce(lead(i) OVER d = i + 1 AND lead(rank) OVER d < rank, false) AS joined
+          FROM st WHERE NOT joined WINDOW d AS (PARTITION BY w ORDER BY i))
+    WINDOW d AS (PARTITION BY w ORDER BY i))
+  WHERE NOT beside
+),
+joins AS (SELECT w, i FROM st WHERE joined),
+pieces AS (
+  SELECT b.w, count(*) AS k, string_agg(a.c || coalesce(a2.c, ''), ' ' ORDER BY b.i) AS t
+  FROM bytes b JOIN alphabet a ON a.x = b.x LEFT JOIN joins j ON j.w = b.w AND j.i = b.i
+  LEFT JOIN joins before ON before.w = b.w AND before.i = b.i - 1
+  LEFT JOIN alphabet a2 ON j.i IS NOT NULL AND a2.x = right(b.pair, 2)
+  WHERE before.i IS NULL GROUP BY b.w
+),
+done AS (SELECT doc_id, sum(k) AS n_tokens, count(*) AS n_pretokens, string_agg(t, ' ' ORDER BY o, j) AS t
+         FROM tok JOIN words USING (pt) JOIN pieces USING (w) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_tokens, 0)::BIGINT AS n_tokens, coalesce(n_pretokens, 0)::BIGINT AS n_pretokens,
+       md5(coalesce(t, '')) AS pieces_md5
+FROM documents d LEFT JOIN done USING (doc_id)"""
