@@ -21,6 +21,8 @@ from ..functions.columns import py_list, py_str, salted_md5
 BOS, EOS, PAD, UNK = "<s>", "</s>", "<pad>", "<unk>"
 # Positions per scan chunk: sentences up to this length are one chunk (carries are empty).
 DEFAULT_CHUNK = 1 << 16
+# Rows per piece of a live interval when edges are expanded.
+EDGE_SPAN = 256
 
 
 # Codes in order of test (first error wins); `reserved` is our own last check.
@@ -43,25 +45,15 @@ def frame(tokens: Column) -> Column:
     return F.concat(F.array(F.lit(BOS)), tokens, F.array(F.lit(EOS)))
 
 
-def has_rows(df: DataFrame) -> bool:
-    """Runtime check used to pick a plan (one short job)."""
-    return len(df.limit(1).collect()) > 0
-
-
-def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK, chunked: bool | None = None) -> DataFrame:
+def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """T1 + T4 + T5: token kind, running depth, position id and the open name a closer must match.
 
     Two-level scans: windows run inside ``(sent_id, chunk)`` with ``chunk = pos div chunk``;
     per-chunk summaries carry depth, closer counts, the next chunk's first token and the
     latest opener of every level across chunk borders.  Both carry tables are joined on
     ``(sent_id, chunk)``, the partitioning the windows already use, so a sentence of any
-    length is split over tasks and the token table is shuffled once.
-
-    ``chunked=None`` checks at run time whether any sentence is longer than one chunk;
-    when none is, every sentence is a bounded group and the carries are skipped.
+    length is split over tasks and the token table is shuffled once.  Every input takes this plan.
     """
-    if chunked is None:
-        chunked = has_rows(actions.where(F.col("pos") >= chunk))
     tok = F.col("tok")
     opens = tok.startswith("(") & ~tok.endswith(")")
     closes = tok.endswith(")") & ~tok.startswith("(")
@@ -74,17 +66,6 @@ def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK, chunked: bool | Non
         "sent_id", "pos", "tok", (F.col("pos") / F.lit(chunk)).cast("int").alias("chunk"),
         delta.alias("delta"), is_c.alias("is_c"),
     )
-    if not chunked:
-        whole = w_loc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        a = a.select(
-            "sent_id", "pos", "tok", "chunk", "delta", "is_c",
-            F.sum("delta").over(run).alias("d_after"),
-            (F.sum("is_c").over(run) - F.col("is_c")).alias("c_before"),
-            F.sum("is_c").over(whole).alias("c_total"),
-            F.count(F.lit(1)).over(whole).alias("n"),
-            F.lead("tok").over(w_loc).alias("next_tok"),
-        )
-        return _kinds_and_open(a, chunked=False)
     a = a.select(
         "*",
         F.sum("delta").over(run).alias("loc_d"),
@@ -115,12 +96,10 @@ def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK, chunked: bool | Non
         "c_total", "n",
         F.when(F.col("chunk_end"), F.col("next_first")).otherwise(F.col("loc_next")).alias("next_tok"),
     )
-    # read by two branches below (opener carry and main path): cut lineage once
-    from ..session import cut_lineage
-    return _kinds_and_open(cut_lineage(a), chunked=True)
+    return _kinds_and_open(a)
 
 
-def _kinds_and_open(a: DataFrame, chunked: bool) -> DataFrame:
+def _kinds_and_open(a: DataFrame) -> DataFrame:
     tok = F.col("tok")
     pos, n = F.col("pos"), F.col("n")
     kind = (
@@ -147,9 +126,6 @@ def _kinds_and_open(a: DataFrame, chunked: bool) -> DataFrame:
     opener = F.when(k == "O", F.struct(F.col("pos").alias("p"), F.col("name").alias("nm")))
     w_lvl = Window.partitionBy("sent_id", "pid", "chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     a = a.withColumn("loc_open", F.last(opener, ignorenulls=True).over(w_lvl))
-    if not chunked:
-        return a.withColumn("open_name", F.col("loc_open")["nm"]).withColumn(
-            "open_pos", F.col("loc_open")["p"]).drop("loc_open")
     last_o = a.groupBy("sent_id", "pid", "chunk").agg(F.max(opener).alias("last_o"))
     w_prev = Window.partitionBy("sent_id", "pid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = last_o.select("sent_id", "pid", "chunk", F.last("last_o", ignorenulls=True).over(w_prev).alias("c_o"))
@@ -198,11 +174,8 @@ def with_errors(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     The sentence count is summed over per-chunk counts and joined back on
     ``(sent_id, chunk)``, so no window spans a whole sentence.
     """
-    long_ = has_rows(actions.where(F.col("pos") >= chunk))
-    a = annotate(actions, chunk, chunked=long_)
+    a = annotate(actions, chunk)
     a = a.withColumn("err", _error(a))
-    if not long_:
-        return a.withColumn("n_err", F.count("err").over(Window.partitionBy("sent_id", "chunk")))
     per = a.groupBy("sent_id", "chunk").agg(F.count("err").alias("e"))
     tot = per.select("sent_id", "chunk", F.sum("e").over(Window.partitionBy("sent_id")).alias("n_err"))
     return a.join(tot, ["sent_id", "chunk"])
@@ -283,10 +256,6 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
     closer_idx = F.when(~F.col("probe"), F.col("idx"))
     w = Window.partitionBy("sent_id", "level", "chunk").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
     r = r.withColumn("loc_nxt", F.min(closer_idx).over(w))
-    if not has_rows(inputs.where(F.col("chunk") > 0)):
-        return r.where(F.col("probe")).select(
-            "sent_id", F.col("idx").alias("ki"), "kind",
-            F.coalesce(F.col("loc_nxt"), F.col("n_in")).cast("int").alias("death"), "n_in")
     first_c = r.groupBy("sent_id", "level", "chunk").agg(F.min(closer_idx).alias("first_c"))
     w_next = Window.partitionBy("sent_id", "level").orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
     carried = first_c.select("sent_id", "level", "chunk", F.min("first_c").over(w_next).alias("c_c"))
@@ -303,21 +272,26 @@ def mask_edges(inputs: DataFrame, intervals: DataFrame | None = None) -> DataFra
     self:    every row but </s>
     COMPOSE: a closer sees the keys that die at it
     STACK:   any other row sees the keys live at it (k < q < death)
-    Each key lists its candidate rows ``ki+1 .. death`` once (work proportional to
-    the edges produced, never all pairs of a sentence); one join on (sent_id, qi)
-    with the row kinds keeps COMPOSE and STACK edges and also spreads long sentences.
+    COMPOSE edges are the deaths themselves.  For STACK edges each live interval is cut at multiples of
+    ``EDGE_SPAN``; a piece meets the closers of its span (one row, joined on ``(sent_id, span)``) and is
+    expanded without them, so pieces are shuffled, not edges, and a long sentence is spread over its spans.
     Pass a materialised ``inputs`` (see :func:`materialize`): it is read twice.
     """
     iv = intervals if intervals is not None else mask_intervals(inputs)
-    rows = inputs.select("sent_id", F.col("idx").alias("qi"), F.col("kind").alias("qkind"))
-    self_e = rows.where(F.col("qkind") != "E").select("sent_id", "qi", F.col("qi").alias("ki"))
-    last = F.least(F.col("death"), F.col("n_in") - 1)
-    cand = iv.where(last >= F.col("ki") + 1).select(
-        "sent_id", "ki", "death", F.explode(F.sequence(F.col("ki") + 1, last)).alias("qi"))
-    keep = ((F.col("qi") < F.col("death")) & ~F.col("qkind").isin("C", "E")) | (
-        (F.col("qi") == F.col("death")) & (F.col("qkind") == "C"))
-    live = cand.join(rows, ["sent_id", "qi"]).where(keep).select("sent_id", "qi", "ki")
-    return self_e.unionByName(live)
+    at = F.col("idx")
+    self_e = inputs.where(F.col("kind") != "E").select("sent_id", at.alias("qi"), at.alias("ki"))
+    compose = iv.where(F.col("death") < F.col("n_in")).select("sent_id", F.col("death").alias("qi"), "ki")
+    span = lambda c: F.floor(c / F.lit(EDGE_SPAN)).cast("int")
+    last = F.least(F.col("death"), F.col("n_in") - 1) - 1
+    pieces = iv.where(last >= F.col("ki") + 1).select(
+        "sent_id", "ki", last.alias("last"), F.explode(F.sequence(span(F.col("ki") + 1), span(last))).alias("span"))
+    closers = inputs.where(F.col("kind") == "C").select("sent_id", "idx", span(at).alias("span")).groupBy(
+        "sent_id", "span").agg(F.collect_list("idx").alias("closers"))
+    first = F.col("span") * EDGE_SPAN
+    rows = F.sequence(F.greatest(F.col("ki") + 1, first), F.least("last", first + EDGE_SPAN - 1))
+    stack = pieces.join(closers, ["sent_id", "span"], "left").select("sent_id", F.explode(F.array_except(
+        rows, F.coalesce("closers", F.array().cast("array<int>")))).alias("qi"), "ki")
+    return self_e.unionByName(compose).unionByName(stack)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -329,41 +303,30 @@ def materialize(df: DataFrame) -> DataFrame:
 def mask_degree(inputs: DataFrame, intervals: DataFrame | None = None, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Row sums of the mask ``(sent_id, qi, degree)`` without materialising edges.
 
-    A sweep over key births (+1 at k+1) and deaths (-1 at death): the running sum at q
-    counts keys live at q; deaths at q count a closer's COMPOSE keys.  The sweep is a
-    two-level scan over ``(sent_id, at div chunk)``.
+    Deaths are counted per index first (partial sums, so a closer at which very many keys die is no
+    hot key; keys that never die are left out).  The keys born before ``q`` less those dead by ``q`` are
+    live at ``q``; deaths at ``q`` count a closer's COMPOSE keys.  The running sums are a two-level
+    scan over ``(sent_id, at div chunk)``, which holds at most two rows for each index.
     """
     iv = intervals if intervals is not None else mask_intervals(inputs)
-    ev = iv.select(
-        "sent_id",
-        F.explode(F.array(
-            F.struct((F.col("ki") + 1).alias("at"), F.lit(1).alias("d"), F.lit(0).alias("dies")),
-            F.struct(F.col("death").alias("at"), F.lit(-1).alias("d"), F.lit(1).alias("dies")),
-        )).alias("e"),
-    ).select("sent_id", F.col("e.at").alias("at"), "e.d", "e.dies", F.lit(None).cast("string").alias("kind"))
-    probes = inputs.select(
-        "sent_id", F.col("idx").alias("at"), F.lit(0).alias("d"), F.lit(0).alias("dies"), "kind"
-    )
-    allr = ev.unionByName(probes).withColumn("dc", (F.col("at") / F.lit(chunk)).cast("int"))
-    w_run = Window.partitionBy("sent_id", "dc").orderBy("at", F.col("kind").isNotNull()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    w_at = Window.partitionBy("sent_id", "dc", "at")
-    s = allr.select(
-        "sent_id", "dc", "at", "kind", "d",
-        F.sum("d").over(w_run).alias("loc_live"),
-        F.sum("dies").over(w_at).alias("composed"),
-    )
-    k = F.col("kind")
-    if not has_rows(inputs.where(F.col("n_in") > chunk)):
-        live = F.col("loc_live")
-        deg = F.when(k == "E", 0).when(k == "C", F.col("composed") + 1).otherwise(live + 1)
-        return s.where(k.isNotNull()).select("sent_id", F.col("at").alias("qi"), deg.cast("int").alias("degree"))
-    tot = s.groupBy("sent_id", "dc").agg(F.sum("d").alias("d_tot"))
+    dead = iv.where(F.col("death") < F.col("n_in")).groupBy("sent_id", F.col("death").alias("at")).agg(
+        F.count(F.lit(1)).alias("dies")).select(
+        "sent_id", "at", F.lit(None).cast("string").alias("kind"), F.lit(0).alias("born"), "dies")
+    rows = inputs.select("sent_id", F.col("idx").alias("at"), "kind",
+                         F.col("kind").isin("B", "O", "T", "C").cast("int").alias("born"), F.lit(0).cast("bigint").alias("dies"))
+    s = rows.unionByName(dead).withColumn("dc", F.floor(F.col("at") / F.lit(chunk)).cast("int"))
+    w = Window.partitionBy("sent_id", "dc").orderBy("at", F.col("kind").isNotNull())
+    s = s.select(
+        "sent_id", "dc", "at", "kind", "born", "dies",
+        F.coalesce(F.sum("born").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("loc_born"),
+        F.sum("dies").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("loc_dead"),
+        F.when(F.lag("at").over(w) == F.col("at"), F.lag("dies").over(w)).otherwise(0).alias("composed"))
+    tot = s.groupBy("sent_id", "dc").agg((F.sum("born") - F.sum("dies")).alias("d_tot"))
     off = tot.select("sent_id", "dc", F.coalesce(F.sum("d_tot").over(
         Window.partitionBy("sent_id").orderBy("dc").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
     s = s.where(F.col("kind").isNotNull()).join(off, ["sent_id", "dc"])
     k = F.col("kind")
-    live = F.col("off") + F.col("loc_live")
+    live = F.col("off") + F.col("loc_born") - F.col("loc_dead")
     deg = F.when(k == "E", 0).when(k == "C", F.col("composed") + 1).otherwise(live + 1)
     return s.select("sent_id", F.col("at").alias("qi"), deg.cast("int").alias("degree"))
 

@@ -31,8 +31,7 @@ def _t(spark, d, name):
 
 
 def order_actions(spark, d):
-    """Derived once and cut from its lineage: the join + per-customer numbering is read by
-    the plan-choice check and by the tree pipeline."""
+    """Derived once and cut from its lineage: the tokens and the carries between their chunks read it."""
     return T.materialize(I.order_tree(_t(spark, d, "orders"), _t(spark, d, "lineitem")))
 
 
