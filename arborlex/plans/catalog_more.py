@@ -40,6 +40,13 @@ def text_lines(spark, d):
     return split_lines(_t(spark, d, "documents").select("doc_id", "text"), "doc_id")
 
 
+@query("vocab_json")
+def vocab_json(spark, d):
+    """The entries of every event's JSON object of names and numbers."""
+    from ..sources.text import vocab_entries
+    return vocab_entries(_t(spark, d, "events"), "props", "event_id")
+
+
 @query("vocab_train")
 def vocab_train(spark, d):
     """V1-V3: word vocabulary of the documents (specials first, no size limit)."""

@@ -47,6 +47,9 @@ cm AS (
 SQL["text_lines"] = """
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)
 SELECT doc_id, (generate_subscripts(ls, 1) - 1)::INT AS line_no, unnest(ls) AS text FROM l"""
+SQL["vocab_json"] = """
+WITH k AS (SELECT event_id, props, unnest(json_keys(props)) AS token FROM events)
+SELECT event_id, token, (props ->> token)::BIGINT AS id FROM k"""
 SQL["vocab_train"] = _with(DOCS_VOCAB) + "\nSELECT token, id FROM vocab"
 SQL["vocab_size"] = _with(DOCS_VOCAB) + "\nSELECT count(*)::BIGINT AS vocab_size FROM vocab"
 SQL["vocab_specials"] = _with(DOCS_VOCAB) + """

@@ -27,11 +27,14 @@ def split_lines(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame
         id_col, F.col("line_no").cast("int").alias("line_no"), "text")
 
 
+def vocab_entries(df: DataFrame, json_col: str, *keep: str) -> DataFrame:
+    """S2 on a text column: each JSON object ``{token: id}`` -> its rows ``(token, id)`` beside the columns kept."""
+    return df.select(*keep, F.explode(F.from_json(F.col(json_col), "map<string,bigint>")).alias("token", "id"))
+
+
 def read_vocab_json(spark: SparkSession, path: str) -> DataFrame:
     """A JSON object ``{token: id}`` -> ``(token, id)``."""
-    doc = spark.read.text(path, wholetext=True)
-    m = F.from_json(F.col("value"), "map<string,bigint>")
-    return doc.select(F.explode(m).alias("token", "id"))
+    return vocab_entries(spark.read.text(path, wholetext=True), "value")
 
 
 def read_merges(spark: SparkSession, path: str) -> DataFrame:
