@@ -25,7 +25,6 @@ import hashlib
 from collections import deque
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,17 +99,11 @@ def forest(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFr
                        "node", "n")
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Leading 4-byte values that two labels share."""
-    n = 0
-    while n < len(a) and a[n:n + 4] == b[n:n + 4]:
-        n += 4
-    return n // 4
-
-
-_FOUND = ["a", "b", "edge", "tree", "label", "n", "comp"]
-_FOUND_SCHEMA = "a binary, b binary, edge bigint, tree int, label binary, n bigint, comp binary"
-_FOUND_TYPES = [pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
+_FOUND_SCHEMA = ("kind string, a binary, b binary, part int, tree int, label binary, n bigint, comp binary, left bigint, "
+                 "room bigint, joins binary")
+_FOUND = [c.split()[0] for c in _FOUND_SCHEMA.split(", ")]
+_FOUND_TYPES = [pa.string(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64(),
+                pa.int64(), pa.binary()]
 
 
 def _found(rows) -> pa.RecordBatch:
@@ -121,82 +114,143 @@ def _found(rows) -> pa.RecordBatch:
 class _Window:
     """The rows before a row in its sorted order that it is compared with.
 
-    Rows are (tree, label, node, n, comp).  Up to ``reach`` nearest rows that share ``min_depth``
-    values and could reach the similarity by their sizes are partners; rows whose sizes rule them
-    out take no place of another, so four times as many rows are held.  With ``across``, rows of
-    one component are no partners, and a run of them takes one place.
+    Rows are (tree, label, node, n, comp).  Only rows of the latest row's *region* are held: those of
+    its tree that share ``min_depth`` values with it.  Up to ``reach`` nearest rows that could reach the
+    similarity by their sizes are partners; four times as many rows are held.  With ``across``, rows of
+    one component are no partners, and a run of them takes one place.  ``lost`` tells that rows of the
+    region have left the window, ``whole`` that the region began with the window.
     """
 
     def __init__(self, reach: int, min_depth: int, num: int, den: int, across: bool):
         self.reach, self.min_depth, self.num, self.den, self.across = reach, min_depth, num, den, across
         self.rows: deque = deque()
-
-    def partners(self, row) -> list[bytes]:
-        out = []
-        for q in reversed(self.rows):
-            if q[0] != row[0] or _common(q[1], row[1]) < self.min_depth:
-                break
+        self.lost, self.whole = False, True
+
+    def enter(self, row) -> None:
+        """Rows of another region than the row's leave."""
+        if self.rows:
+            last, width = self.rows[-1], 4 * self.min_depth
+            if last[0] != row[0] or last[1][:width] != row[1][:width]:
+                self.rows.clear()
+                self.lost, self.whole = False, False
+
+    def partners(self, row, rows=None, most: int | None = None) -> tuple[list[bytes], bool]:
+        """The partners among the held rows (or ``rows``), and whether there is one more than ``most``."""
+        out, most = [], self.reach if most is None else most
+        for q in reversed(self.rows if rows is None else rows):
             small, large = (row[3], q[3]) if row[3] < q[3] else (q[3], row[3])
             if self.den * small >= self.num * large and not (self.across and row[4] == q[4]) and row[2] != q[2]:
+                if len(out) == most:
+                    return out, True
                 out.append(q[2])
-                if len(out) == self.reach:
-                    break
-        return out
+        return out, False
 
     def push(self, row) -> None:
-        if self.across and self.rows and self.rows[-1][0] == row[0] and self.rows[-1][4] == row[4]:
+        if self.across and self.rows and self.rows[-1][4] == row[4]:
             self.rows.pop()
         self.rows.append(row)
         if len(self.rows) > 4 * self.reach:
             self.rows.popleft()
+            self.lost = True
 
 
 def _neighbours(reach: int, min_depth: int, num: int, den: int, across: bool):
-    """Candidate pairs of a sorted partition; its first and last rows come out too, with the
-    number of the partition boundary they stand at, for pairs that straddle it."""
+    """Candidate pairs of a sorted partition (kind ``pair``).  Rows that the windows of partitions before
+    could add partners to come out as ``head``, with the partners and places that are left to them and the
+    component that the partition began with; the last window comes out as ``tail``; one ``cut`` tells that
+    a row had more partners than the window gave it."""
     def run(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        window, head = _Window(reach, min_depth, num, den, across), []
+        window, any_cut = _Window(reach, min_depth, num, den, across), False
         for batch in batches:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += [(row[2], q, None, None, None, None, None) for q in window.partners(row)]
+                window.enter(row)
+                found, cut = window.partners(row)
+                out += [("pair", row[2], q, *[None] * 8) for q in found]
+                if cut or window.lost:
+                    any_cut = True
+                elif window.whole:
+                    out.append(("head", row[2], None, part, row[0], row[1], row[3], row[4], reach - len(found),
+                                4 * reach - len(window.rows), window.rows[0][4] if window.rows else None))
                 window.push(row)
-                if len(head) < 4 * reach:
-                    head.append(row)
             yield _found(out)
-        yield _found([(r[2], None, edge, r[0], r[1], r[3], r[4])
-                      for edge, rows in ((part - 1, head), (part, window.rows)) for r in rows])
+        yield _found([("tail", r[2], None, part, r[0], r[1], r[3], r[4], int(window.lost), None, None) for r in window.rows]
+                     + [("cut", *[None] * 10)] * any_cut)
 
     return run
 
 
-def candidates(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH,
-               across: bool = False, down: bool = False) -> DataFrame:
-    """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp)``.
+def _incoming(tails, make, down: bool) -> dict:
+    """The window that each partition begins with, by folding the last windows of those before it in order."""
+    parts: dict = {}
+    for r in tails:
+        parts.setdefault(r.part, []).append(((r.tree, bytes(r.label), bytes(r.a), r.n, r.comp and bytes(r.comp)), r.left))
+    window, out = make(), {}
+    for part in sorted(parts):
+        out[part] = (list(window.rows), window.lost)
+        for row, lost in sorted(parts[part], key=lambda x: x[0][:3], reverse=down):
+            window.enter(row)
+            window.push(row)
+        window.lost = window.lost or bool(lost)
+    return out
+
+
+def _over_boundaries(make, incoming: dict):
+    """Pairs of ``head`` rows with the window their partition begins with; a pair without b tells of a cut."""
+    def run(batches):
+        window = make()
+        for batch in batches:
+            out = []
+            for _, node, _, part, tree, label, n, comp, left, room, joins in zip(
+                    *(c.to_pylist() for c in batch.columns), strict=True):
+                row = (tree, label, node, n, comp)
+                rows, lost = incoming[part]
+                if not rows or rows[-1][0] != tree or rows[-1][1][:4 * window.min_depth] != label[:4 * window.min_depth]:
+                    continue
+                # a run that goes over the boundary takes one place
+                if window.across and room < 4 * window.reach and rows[-1][4] == joins:
+                    rows = rows[:-1]
+                held = rows[max(0, len(rows) - room):]
+                found, cut = window.partners(row, held, left)
+                out += [(node, q) for q in found]
+                if cut or lost or len(held) < len(rows):
+                    out.append((node, None))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def look(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH, across: bool = False,
+         down: bool = False) -> tuple[DataFrame, bool]:
+    """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp)``, and
+    whether any row has more neighbours of ``min_depth`` common values than it was compared with.
 
-    The orders are range-partitioned and sorted here, descending with ``down``.  Pairs over a partition boundary come from
-    the last rows before it and the first rows after it, a few times ``reach`` rows each.
+    The orders are range-partitioned and sorted here, descending with ``down``.  The windows go on over
+    partition boundaries, however many a region or a run covers: the last windows (4 * ``reach`` rows a
+    partition) are folded in order, and the rows that need them are looked at once more.
     """
     parts = 4 * shuffle_parts(order.sparkSession)
     keys = [F.col(c).desc() if down else F.col(c) for c in ("tree", "label", "node")]
     order = (order.select("tree", "label", "node", "n", "comp").repartitionByRange(parts, *keys)
              .sortWithinPartitions(*keys))
     found = written(order.mapInArrow(_neighbours(reach, min_depth, num, den, across), _FOUND_SCHEMA), "neighbours")
-    edges = found.where("edge is not null").select("edge", "tree", "label", F.col("a").alias("node"), "n", "comp")
 
-    def meet(pdf):
-        window, out = _Window(reach, min_depth, num, den, across), []
-        rows = pdf[["tree", "label", "node", "n", "comp"]].itertuples(index=False, name=None)
-        for row in sorted(rows, key=lambda r: r[:3], reverse=down):
-            out += [(row[2], q) for q in window.partners(row)]
-            window.push(row)
-        return pd.DataFrame(out, columns=["a", "b"])
+    def make():
+        return _Window(reach, min_depth, num, den, across)
+
+    incoming = _incoming(found.where("kind = 'tail'").collect(), make, down)
+    over = written(found.where("kind = 'head'").mapInArrow(_over_boundaries(make, incoming), "a binary, b binary"), "over")
+    cut = not found.where("kind = 'cut'").isEmpty() or not over.where("b is null").isEmpty()
+    pairs = found.where("kind = 'pair'").select("a", "b").unionByName(over.where("b is not null"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), cut
+
 
-    pairs = found.where("edge is null").select("a", "b").unionByName(
-        edges.groupBy("edge").applyInPandas(meet, "a binary, b binary"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def candidates(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH,
+               across: bool = False, down: bool = False) -> DataFrame:
+    """The pairs of ``look``."""
+    return look(order, num, den, reach, min_depth, across, down)[0]
 
 
 def confirm(pairs: DataFrame, values: DataFrame, num: int, den: int) -> DataFrame:

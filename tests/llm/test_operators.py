@@ -173,6 +173,20 @@ def test_sorted_order_window_reaches_over_boundaries(spark):
     assert got == {(bytes([i]), bytes([i + 1])) for i in range(49)}
 
 
+@pytest.mark.parametrize("down", [False, True])
+def test_run_of_one_component_goes_over_many_partitions(spark, down):
+    """Every row of a crowd meets the classes standing beside it, wherever the partitions are cut."""
+    n = 1000
+    node = lambda i: i.to_bytes(2, "big")
+    comp = lambda i: b"x" if i == 0 else b"y" if i == n + 1 else b"crowd"
+    rows = [(0, bytes([0, 0, 0, 1] * 3) + bytes(4), node(i), 10, comp(i)) for i in range(n + 2)]
+    order = spark.createDataFrame(rows, "tree int, label binary, node binary, n bigint, comp binary")
+    got = {(bytes(r.a), bytes(r.b)) for r in near_dedup.candidates(order, 80, 100, 4, across=True, down=down).collect()}
+    beside = {(node(i), node(n + 1)) for i in range(1, n + 1)} if down else {(node(0), node(i)) for i in range(1, n + 1)}
+    last = (node(0), node(1)) if down else (node(n), node(n + 1))
+    assert got == beside | {last, (node(0), node(n + 1))}
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(50)]
