@@ -10,9 +10,12 @@ agree on ever more values, so a sparse region is searched shallow and a dense on
 
 Candidates are confirmed on the full sets by exact integer arithmetic, and the links' components
 come from distributed star steps.  Further passes over the same orders look only at neighbours
-of *different* components, up and down, until one finds no new link.  A run of one component takes one place in the window, so
+of *different* components, up and down.  A run of one component takes one place in the window, so
 a class whose only partner stands behind a crowd of already joined copies is still compared with
-the crowd, row by row, and each row still makes a fixed number of pairs at most.
+the crowd, row by row.  A pass that finds no new link but whose windows left out rows that share
+``min_depth`` values is repeated with windows ``WIDER`` times as large, so refused pairs and rows of
+other sizes hide nothing for good; the passes end when one finds no new link and left nothing out.
+A dense region of classes that don't link thus makes up to all its pairs.
 
 Edge cases.  Null text counts as empty.  Empty sets link with nothing.  Rows of equal sets are
 one class however many there are (repeated doc_ids included).  A null doc_id never becomes a
@@ -33,7 +36,7 @@ from .common import bounded, byte_slices, mix64, shingles, shuffle_parts, writte
 from .components import connected_components
 
 TREES, DEPTH = 16, 8
-MIN_DEPTH, REACH = 3, 2
+MIN_DEPTH, REACH, WIDER = 3, 2, 8
 
 
 def _constants(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +161,8 @@ def _neighbours(reach: int, min_depth: int, num: int, den: int, across: bool):
     """Candidate pairs of a sorted partition (kind ``pair``).  Rows that the windows of partitions before
     could add partners to come out as ``head``, with the partners and places that are left to them and the
     component that the partition began with; the last window comes out as ``tail``; one ``cut`` tells that
-    a row had more partners than the window gave it."""
+    a row had more partners than the window gave it.  Without ``across``, ``beside`` names the classes that
+    share a region with another (or could, at the ends of a partition)."""
     def run(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
@@ -167,6 +171,8 @@ def _neighbours(reach: int, min_depth: int, num: int, den: int, across: bool):
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 window.enter(row)
+                if not across and (window.rows or window.whole):
+                    out += [("beside", r[2], *[None] * 9) for r in [row, *([window.rows[0]] if len(window.rows) == 1 else [])]]
                 found, cut = window.partners(row)
                 out += [("pair", row[2], q, *[None] * 8) for q in found]
                 if cut or window.lost:
@@ -177,7 +183,7 @@ def _neighbours(reach: int, min_depth: int, num: int, den: int, across: bool):
                 window.push(row)
             yield _found(out)
         yield _found([("tail", r[2], None, part, r[0], r[1], r[3], r[4], int(window.lost), None, None) for r in window.rows]
-                     + [("cut", *[None] * 10)] * any_cut)
+                     + [("beside", r[2], *[None] * 9) for r in window.rows if not across] + [("cut", *[None] * 10)] * any_cut)
 
     return run
 
@@ -223,9 +229,10 @@ def _over_boundaries(make, incoming: dict):
 
 
 def look(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH, across: bool = False,
-         down: bool = False) -> tuple[DataFrame, bool]:
-    """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp)``, and
-    whether any row has more neighbours of ``min_depth`` common values than it was compared with.
+         down: bool = False) -> tuple[DataFrame, bool, DataFrame]:
+    """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp)``,
+    whether any row has more neighbours of ``min_depth`` common values than it was compared with, and
+    (without ``across``) every class that has such neighbours at all.
 
     The orders are range-partitioned and sorted here, descending with ``down``.  The windows go on over
     partition boundaries, however many a region or a run covers: the last windows (4 * ``reach`` rows a
@@ -244,7 +251,8 @@ def look(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: in
     over = written(found.where("kind = 'head'").mapInArrow(_over_boundaries(make, incoming), "a binary, b binary"), "over")
     cut = not found.where("kind = 'cut'").isEmpty() or not over.where("b is null").isEmpty()
     pairs = found.where("kind = 'pair'").select("a", "b").unionByName(over.where("b is not null"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), cut
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), cut, (
+        found.where("kind = 'beside'").select(F.col("a").alias("node")).distinct())
 
 
 def candidates(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH,
@@ -282,27 +290,29 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     classes = written(rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
     order = forest(classes, trees, depth)
-    first = written(candidates(order.withColumn("comp", F.lit(None).cast("binary")), num, den), "pairs")
-    ids = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    first, _, beside = look(order.withColumn("comp", F.lit(None).cast("binary")), num, den)
+    first, ids = written(first, "pairs"), written(beside, "beside")
     wanted = ids.join(classes.select("node", "doc_id"), "node").select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
     texts = texts.join(wanted.select(F.col("doc_id").alias("_want")),
                        F.col("doc_id").eqNullSafe(F.col("_want")), "left_semi")
     values = written(sets(texts, k), "sets").dropDuplicates(["node"])
     roots = connected_components(written(confirm(first, values, num, den), "confirmed"))
-    # further looks, at neighbours of different components, until one finds no new link
-    seen = first
+    # further looks, at neighbours of different components, until one finds no new link and leaves nothing out
+    seen, reach = first, 2 * REACH
     while True:
         joined = written(order.join(ids, "node", "left_semi").join(roots, "node", "left").select(
             "tree", "label", "node", "n", F.coalesce("root", "node").alias("comp")), "joined")
-        across = candidates(joined, num, den, 2 * REACH, across=True).unionByName(
-            candidates(joined, num, den, 2 * REACH, across=True, down=True)).distinct()
-        fresh = written(across.join(seen, ["a", "b"], "left_anti"), "pairs")
+        (up, cut_up, _), (down, cut_down, _) = (look(joined, num, den, reach, across=True, down=x) for x in (False, True))
+        fresh = written(up.unionByName(down).distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
         links = written(confirm(fresh, values, num, den), "confirmed")
-        if links.isEmpty():
+        if not links.isEmpty():
+            roots = connected_components(links.unionByName(roots.toDF("a", "b")))
+        elif not (cut_up or cut_down):
             break
+        else:
+            reach *= WIDER
         seen = seen.unionByName(fresh)
-        roots = connected_components(links.unionByName(roots.toDF("a", "b")))
     # smallest doc_id of each component, then back to the rows
     comp = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     comp = written(comp, "membership")

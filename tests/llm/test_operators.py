@@ -187,6 +187,44 @@ def test_run_of_one_component_goes_over_many_partitions(spark, down):
     assert got == beside | {last, (node(0), node(n + 1))}
 
 
+@pytest.mark.parametrize("size", [20, 80])
+def test_near_dedup_partner_behind_a_crowd(spark, size):
+    """Two near copies in one region of the only order, many rows that link with nothing between them: of sizes that don't fit,
+    or of the same size, each one refused."""
+    rng = random.Random(12)
+    mult, add = near_dedup._constants(3)
+    base = words(rng, 40, 9000)
+
+    def sets_of(text):
+        return common.shingles([text.encode()], 1)[0]
+
+    label = near_dedup.signature(sets_of(" ".join(base)), mult, add).tobytes()
+
+    def text(more, n, tag):
+        while True:
+            t = " ".join(base + more + [f"{tag}{rng.randrange(10**9)}" for _ in range(n)])
+            if near_dedup.signature(sets_of(t), mult, add).tobytes() == label:
+                return t
+
+    shared = text([], 80, "shared").split()[40:]
+    crowd = [text([], size, "own") for _ in range(100)]
+    order = lambda t: near_dedup.set_digest(sets_of(t))
+    twins = sorted((text(shared, 1, "twin") for _ in range(12)), key=order)
+    rows = list(enumerate([*crowd, twins[0], twins[-1]]))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 1, 80, 100, 1, 3)
+    assert [(r.doc_id, r.component_id) for r in got.where("doc_id <> component_id").collect()] == [(101, 100)]
+
+
+def test_cut_windows_are_told(spark):
+    """A look tells whether a row's window left out rows of its region, sizes that don't fit included."""
+    rows = [(0, bytes([0, 0, 0, 1] * 3) + bytes([0, 0, 0, i]), bytes([i]), 10 if i in (0, 19) else 100 + i * 50, bytes([i]))
+            for i in range(20)]
+    order = spark.createDataFrame(rows, "tree int, label binary, node binary, n bigint, comp binary")
+    wide, narrow = (near_dedup.look(order, 95, 100, reach, across=True) for reach in (8, 2))
+    assert (bytes([0]), bytes([19])) in {(bytes(r.a), bytes(r.b)) for r in wide[0].collect()} and not wide[1]
+    assert narrow[1]
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(50)]
