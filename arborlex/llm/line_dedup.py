@@ -47,9 +47,15 @@ def _pages(docs: DataFrame, host: str) -> DataFrame:
         "_host", "_page").agg(F.first("lines").alias("lines"))
 
 
-def _boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
+def _boilerplate(pages: DataFrame, ratio: float, min_pages: int, families: DataFrame | None = None) -> DataFrame:
+    lines = pages.select("_host", F.explode("lines").alias("line"))
+    if families is not None:  # the pages of a family count once
+        pages = pages.join(families.select("_page", "_family"), "_page", "left").withColumn(
+            "_family", F.coalesce("_family", "_page"))
+        lines = pages.select("_host", "_family", F.explode("lines").alias("line")).distinct()
+        pages = pages.select("_host", "_family").distinct()
     totals = pages.groupBy("_host").agg(F.count(F.lit(1)).alias("pages"))
-    seen = pages.select("_host", F.explode("lines").alias("line")).groupBy("_host", "line").agg(
+    seen = lines.groupBy("_host", "line").agg(
         F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     return seen.join(totals, "_host").where(F.col("n") > ratio * F.col("pages")).select("_host", "line", "n", "pages")
 
@@ -62,11 +68,12 @@ def line_ratios(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
+                     min_pages: int = MIN_PAGES, families: DataFrame | None = None) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and the number of lines before and
-    after in ``_n_lines`` and ``_n_dropped`` (columns of these two names are replaced)."""
+    after in ``_n_lines`` and ``_n_dropped`` (columns of these two names are replaced).  Pages of one family in
+    ``families(_page, _family)`` (a text's binary MD5, once each) count as one page."""
     pages = written(_pages(docs, host), "pages")
-    lines = _boilerplate(pages, ratio, min_pages).select("_host", "line")
+    lines = _boilerplate(pages, ratio, min_pages, families).select("_host", "line")
     drops = pages.select("_host", "_page", F.explode("lines").alias("line")).join(lines, ["_host", "line"]).groupBy(
         "_host", "_page").agg(F.collect_set("line").alias("_drop"))
     keep = [c for c in docs.columns if c not in ("_n_lines", "_n_dropped")]

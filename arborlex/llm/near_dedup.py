@@ -61,7 +61,7 @@ def _texts(column) -> list[bytes]:
 
 
 def signatures(docs: DataFrame, k: int, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """(doc_id, node, n_shingles, sig) of every row; node and sig are null for an empty set."""
+    """(doc_id, node, n_shingles, sig, digest) of every row; node and sig are null for an empty set, digest is the text's MD5."""
     def run(batches):
         mult, add = _constants(trees * depth)
         for batch in batches:
@@ -73,10 +73,11 @@ def signatures(docs: DataFrame, k: int, trees: int = TREES, depth: int = DEPTH)
                     pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([signature(s, mult, add).tobytes() if len(s) else None for s in sets], pa.binary()),
-                ], names=["doc_id", "node", "n_shingles", "sig"])
+                    pa.array([hashlib.md5(t, usedforsecurity=False).digest() for t in texts[lo:hi]], pa.binary()),
+                ], names=["doc_id", "node", "n_shingles", "sig", "digest"])
 
     return bounded(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        run, "doc_id bigint, node binary, n_shingles bigint, sig binary")
+        run, "doc_id bigint, node binary, n_shingles bigint, sig binary, digest binary")
 
 
 def sets(docs: DataFrame, k: int) -> DataFrame:
@@ -278,14 +279,9 @@ def confirm(pairs: DataFrame, values: DataFrame, num: int, den: int) -> DataFram
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: int = TREES,
-                    depth: int = DEPTH) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs(doc_id, text, ...)``.
-
-    Documents are linked when den * intersection >= num * union of their k-word shingle sets.
-    ``component_id`` is the smallest doc_id of the component, ``kept`` marks the row whose doc_id
-    it is.  A row without shingles is its own component.
-    """
+def members(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+    """(doc_id, n_shingles, digest, root, component_id) of every row: its text's MD5, its component's class and
+    smallest doc_id (both null for a row without shingles)."""
     rows = written(signatures(docs, k, trees, depth), "signatures")
     classes = written(rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
@@ -317,10 +313,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     comp = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     comp = written(comp, "membership")
     low = comp.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_node = comp.select("node", "root").join(low, "root").select("node", "component_id")
-    return rows.select("doc_id", "n_shingles", "node").join(by_node, "node", "left").select(
+    by_node = comp.select("node", "root").join(low, "root").select("node", "root", "component_id")
+    return rows.select("doc_id", "n_shingles", "digest", "node").join(by_node, "node", "left").select(
+        "doc_id", "n_shingles", "digest", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: int = TREES,
+                    depth: int = DEPTH) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs(doc_id, text, ...)``.
+
+    Documents are linked when den * intersection >= num * union of their k-word shingle sets.
+    ``component_id`` is the smallest doc_id of the component, ``kept`` marks the row whose doc_id
+    it is.  A row without shingles is its own component.
+    """
+    return members(docs, k, num, den, trees, depth).select(
         "doc_id", "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce(F.when(F.col("node").isNull(), F.lit(True)).otherwise(F.col("doc_id") == F.col("component_id")),
+        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce(F.when(F.col("root").isNull(), F.lit(True)).otherwise(F.col("doc_id") == F.col("component_id")),
                    F.lit(False)).alias("kept"))
 

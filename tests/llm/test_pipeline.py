@@ -12,6 +12,22 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
 
 
+def rows_of(spark, rows):
+    return spark.createDataFrame([(d, t, "en", s, len(t or "")) for d, t, s in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+def test_near_copies_keep_their_lines(spark):
+    """A crowd of near copies over 2 % of its source keeps its text; a line of unlike pages goes."""
+    import corpus_pipeline as P
+
+    crowd = [" ".join(f"w{i}x{j}" for j in range(10)) for i in range(8)]
+    rows = [(i, "\n".join([*crowd, f"the one line of copy {i}"]), "a") for i in range(10)]
+    rows += [(100 + i, "Read more here\n" + " ".join(f"own{i}x{j}" for j in range(30)), "a") for i in range(30)]
+    out = {r.doc_id: r.text for r in P.line_deduplication(spark, rows_of(spark, rows), SF).collect()}
+    assert all(out[d] == (t if d < 100 else t.split("\n")[1]) for d, t, _ in rows)
+
+
 def test_stages(spark):
     import corpus_pipeline as P
     from arborlex.llm import common, near_dedup
