@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, byte_slices, mix64, shingles, shuffle_parts, written
+from .common import WS_CLASS, bounded, byte_slices, mix64, shingles, shuffle_parts, written
 from .components import connected_components
 
 TREES, DEPTH = 16, 8
@@ -318,6 +318,23 @@ def members(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: i
         "doc_id", "n_shingles", "digest", "root", "component_id")
 
 
+def survivors(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of each component: the one of smallest (doc_id, MD5 of the text, other columns), null
+    doc_ids last.  Rows without shingles all stay."""
+    rows = members(docs, **options).where("root is not null").groupBy("root", "doc_id", "digest").agg(
+        F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "copies"))
+    chosen = written(rows.groupBy("root").agg(first.alias("x")).select(
+        F.col("x.doc_id").alias("_id"), F.col("x.digest").alias("_digest"), F.col("x.copies").alias("_copies")), "chosen")
+    words = F.coalesce(F.col("text").rlike(f"[^{WS_CLASS}]"), F.lit(False))
+    kept = docs.withColumn("_text_digest", F.unhex(F.md5(F.col("text")))).join(
+        chosen, (F.col("_text_digest") == F.col("_digest")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")))
+    # rows of the same id and text: one of them
+    again = kept.where(words & (F.col("_copies") > 1)).groupBy("_digest").agg(
+        F.min(F.struct(*docs.columns)).alias("_doc")).select("_doc.*")
+    return docs.where(~words).unionByName(kept.where(words & (F.col("_copies") == 1)).select(*docs.columns)).unionByName(again)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: int = TREES,
                     depth: int = DEPTH) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs(doc_id, text, ...)``.

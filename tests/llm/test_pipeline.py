@@ -28,6 +28,23 @@ def test_near_copies_keep_their_lines(spark):
     assert all(out[d] == (t if d < 100 else t.split("\n")[1]) for d, t, _ in rows)
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Null and repeated ids: each group keeps exactly one row, rows without words all stay."""
+    import corpus_pipeline as P
+
+    text = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(4)]
+    near = [t + " changed" for t in text]
+    rows = [(None, text[0], "a"), (None, near[0], "a"), (None, "", "a"), (None, None, "b"), (None, text[1], "a"), (7, near[1], "a"),
+            (5, text[2], "a"), (5, near[2], "a"), (5, text[2], "b"), (9, near[2], "a"), (6, text[3], "c"), (6, text[3], "c"),
+            (None, "a unique text with no id at all", "a")]
+    got = [(r.doc_id, r.text, r.source) for r in P.near_deduplication(spark, rows_of(spark, rows), SF).collect()]
+    smallest = lambda *ts: min(ts, key=lambda t: hashlib.md5(t.encode()).digest())
+    low = smallest(text[2], near[2])
+    expected = [(None, smallest(text[0], near[0]), "a"), (None, "", "a"), (None, None, "b"), (7, near[1], "a"), (5, low, "a"),
+                (6, text[3], "c"), (None, "a unique text with no id at all", "a")]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_stages(spark):
     import corpus_pipeline as P
     from arborlex.llm import common, near_dedup
