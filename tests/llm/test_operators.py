@@ -451,6 +451,15 @@ def test_secret_scan(spark, empty):
     assert secret_scan.secrets(empty).collect() == []
 
 
+def test_windows_cover_long_candidates():
+    text = "see " + "a1/" * 50 + "sEcReT0123456789" + "/b2" * 50 + " end"
+    start, end = 4, len(text) - 4
+    inside = [w[secret_scan.BEFORE:][:secret_scan.INSIDE] for w in secret_scan.pieces(text, start, end)]
+    assert any("sEcReT0123456789" in w for w in inside)
+    assert inside[0] == text[start:start + 40] and inside[-1] == text[end - 40:end]
+    assert secret_scan.pieces(text, 4, 24) == [secret_scan.window(text, 4, 24)]
+
+
 def test_network_gradients():
     net, rng = secret_scan.Network(), np.random.default_rng(0)
     x, y = rng.integers(0, 128, (3, secret_scan.WIDTH)), np.array([1.0, 0, 1])
