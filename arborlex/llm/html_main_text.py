@@ -1,16 +1,18 @@
 """Operator 10: main text of web pages by consensus host paths.
 
 Each page's elements are scored as containers: the text of paragraphs, less the text of their links, counts for
-the element that holds them.  The best container's *generalised path* (tags with their classes,
+the element that holds them, and ``SHARE`` of it for the element above, and so on up, so that the common holder of
+a split article wins unless one part has nearly all.  The best container's *generalised path* (tags with their classes,
 digits as ``#``, from the body down) is the page's vote.  Votes are counted per host in Spark, and the pages
-are extracted again at their host's winning path.  A page without such an element falls back on
-its own best container, then on its body.
+are extracted again at their host's winning path.  A page whose elements of that path hold less than half the text of
+its own best container falls back on that, then on its body.
 
 Inside the container, menus, headers, footers, sidebars, notices, adverts, forms, comments of
 readers, scripts and styles are left out by tag, role and class.  Character references are
 decoded, white space inside a block becomes one blank, and blocks are joined by one blank.
 
-Edge cases.  Null and empty pages give the empty text.  A null or odd url makes the empty host.  Broken
+Edge cases.  Null and empty pages give the empty text.  A null or odd url makes the empty host, whose pages
+each follow their own best container.  Broken
 markup is read as browsers do: unclosed elements end with their parent, stray end tags count for
 nothing, an unclosed comment or script goes to the end of the page.  Ties of votes go to the
 longer text, then to the path that sorts last.
@@ -46,6 +48,9 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "option": ({"option"}, {"select"
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"})}
 
+#: What of an element's text counts for the element above it.
+SHARE = 0.75
+
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
 _LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"(?i)\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -157,7 +162,10 @@ def best_container(pieces: list[tuple[Node, str]]) -> Node | None:
             holder = x.parent if x.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "li") and x.parent else x
             if holder.tag in ("ul", "ol", "blockquote") and holder.parent:
                 holder = holder.parent
-            holder.text += -amount if node.link else amount
+            amount = -amount if node.link else amount
+            while holder is not None and abs(amount) >= 1:
+                holder.text += amount
+                holder, amount = holder.parent, amount * SHARE
     best, seen = None, set()
     for node, _ in pieces:
         x = node
@@ -187,18 +195,24 @@ def _inside(node: Node, path: str, known: dict[int, bool]) -> bool:
 
 def vote(page: str) -> tuple[str, int] | None:
     best = best_container(parse(page))
-    return (best.path, best.text) if best else None
+    return (best.path, int(best.text)) if best else None
+
+
+def _held(pieces: list[tuple[Node, str]], path: str) -> str:
+    known: dict[int, bool] = {}
+    return _SPACE.sub(" ", "".join(t or " " for n, t in pieces if not n.drop and _inside(n, path, known))).strip()
 
 
 def main_text(page: str, path: str | None) -> str:
-    """The text at the host's path, or in the page's own best container, or in the page."""
+    """The text at the host's path if it is at least half as long as that in the page's own best container, else
+    that, or the text of the page."""
     pieces = parse(page)
-    if path is None or not any(n.path == path and not n.drop for n, _ in pieces):
-        best = best_container(pieces)
-        path = best.path if best else ""
-    known: dict[int, bool] = {}
-    text = "".join(t or " " for n, t in pieces if not n.drop and _inside(n, path, known))
-    return _SPACE.sub(" ", text).strip()
+    best = best_container(pieces)
+    own = _held(pieces, best.path if best else "")
+    if path is None or best and path == best.path:
+        return own
+    text = _held(pieces, path)
+    return text if text and 2 * len(text) >= len(own) else own
 
 
 def host(url: Column) -> Column:
@@ -215,7 +229,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
                                               pa.array([votes[i][0] for i in keep], pa.string()),
                                               pa.array([votes[i][1] for i in keep], pa.int64())], names=["host", "path", "score"])
 
-    votes = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, score bigint")
+    votes = pages.select(host(F.col("url")).alias("host"), "html").where("host <> ''").mapInArrow(run, "host string, path string, score bigint")
     votes = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score"))
     return votes.groupBy("host").agg(F.max(F.struct("n", "score", "path")).alias("best")).select("host", F.col("best.path").alias("path"))
 

@@ -520,3 +520,16 @@ def test_html_main_text(spark):
     assert [out[i].text for i in range(10, 17)] == ["text", "no host", "", "", "plain <text>", "", ""]
     assert all(r.n_chars == len(r.text) for r in out.values()) and out[12].url == "x"
     assert html_main_text.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
+
+
+def test_html_two_templates_and_a_split_article(spark):
+    body = [" ".join(f"p{i}w{j}" for j in range(40)) for i in range(3)]
+    big = f'<body><div class="story"><p>{body[0]}</p></div></body>'
+    small = f'<body><div class="story">x</div><article><p>{body[1]}</p></article></body>'
+    split = "<body><div class='post'>" + "".join(f'<div class="{c}"><p>{b}</p></div>' for c, b in zip(
+        ("lead", "text", "rest"), body, strict=True)) + "</div></body>"
+    rows = [(i, "http://two.example/a", big) for i in range(3)] + [(3, "http://two.example/b", small)]
+    rows += [(4, "http://split.example/", split), (5, None, big), (6, None, big), (7, "odd", small)]
+    out = {r.page_id: r.text for r in html_main_text.extract(
+        spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert out == {**dict.fromkeys((0, 1, 2, 5, 6), body[0]), 3: body[1], 4: " ".join(body), 7: body[1]}
