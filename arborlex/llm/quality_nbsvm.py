@@ -3,7 +3,8 @@
 Features are n-gram indicators of a text in a fixed space of ``2 * HALF`` hashed places: byte
 1- to 3-grams, and 1- to 5-grams of word forms (a word's first and last character class, whether
 it is upper-case, and whether it repeats the word one or two places before).  Each indicator is scaled by
-its class log-count ratio, counted over *all* labelled training rows in Spark.  A linear
+its class log-count ratio, counted in Spark over a bounded sample of the labelled training rows
+(``RATIO_ROWS`` a class, those of smallest hash).  A linear
 hinge-loss model is then fitted by dual coordinate descent on a bounded sample of the training
 rows (``SAMPLE_ROWS`` a class, those of smallest hash), interpolated with the mean weight, and
 calibrated by a logistic curve on a part of the sample that the fit didn't see.
