@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table, and SQL where it can say the same."""
+"""The registered queries of the operators, each over its whole table, and SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from . import (
     exact_dedup,
     html_main_text,
+    lexical_search,
     line_dedup,
     mixing,
     near_dedup,
@@ -62,10 +63,14 @@ def op10_html_main_text(spark, sf_dir):
     return html_main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_sentencepieces, op4_quality_classifier, op5_warc, op6_line_dedup,
-        op7_mixing, op8_secret_scan, op9_quality_rules, op10_html_main_text)}
+        op7_mixing, op8_secret_scan, op9_quality_rules, op10_html_main_text, op13_lexical_search)}
 
 
 _WS = r"[\x20\x09-\x0D]"
@@ -96,6 +101,25 @@ ORACLE = {
                  regexp_replace(x, '^{_WS}+|{_WS}+$', '', 'g'))) AS s FROM split)
         SELECT doc_id, coalesce(len(a), 0)::BIGINT AS n_lines, coalesce(len(a) - len(s), 0)::BIGINT AS n_dropped,
                array_to_string(s, chr(10)) AS text FROM stay""",
+    "op13_lexical_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        i AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+        size AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+        q AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+        p AS (SELECT rid, doc_id, n, term, count(*)::BIGINT AS tf
+              FROM (SELECT rid, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d)
+              WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+              FROM p, size GROUP BY term, n_docs),
+        s AS (SELECT item, item_id, rid, doc_id, sum(times * weight * ((1000000000 * tf) //
+                     (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+              FROM p JOIN w USING (term) JOIN q USING (term), size GROUP BY ALL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 20""",
 }
 
 
