@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
+    collocations,
     exact_dedup,
     html_main_text,
     lexical_search,
@@ -63,6 +64,10 @@ def op10_html_main_text(spark, sf_dir):
     return html_main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark, sf_dir):
     return lexical_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
 
@@ -70,7 +75,7 @@ def op13_lexical_search(spark, sf_dir):
 def queries():
     return {f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_sentencepieces, op4_quality_classifier, op5_warc, op6_line_dedup,
-        op7_mixing, op8_secret_scan, op9_quality_rules, op10_html_main_text, op13_lexical_search)}
+        op7_mixing, op8_secret_scan, op9_quality_rules, op10_html_main_text, op11_collocations, op13_lexical_search)}
 
 
 _WS = r"[\x20\x09-\x0D]"
@@ -101,6 +106,29 @@ ORACLE = {
                  regexp_replace(x, '^{_WS}+|{_WS}+$', '', 'g'))) AS s FROM split)
         SELECT doc_id, coalesce(len(a), 0)::BIGINT AS n_lines, coalesce(len(a) - len(s), 0)::BIGINT AS n_dropped,
                array_to_string(s, chr(10)) AS text FROM stay""",
+    "op11_collocations": r"""
+        WITH p AS (SELECT row_number() OVER () AS pid, lang, piece FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        w AS (SELECT lang, pid, unnest(ws) AS w1, generate_subscripts(ws, 1) AS i
+              FROM (SELECT lang, pid, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p)),
+        t AS (SELECT lang, w1, lead(w1, 1) OVER x AS w2, lead(w1, 2) OVER x AS w3 FROM w WINDOW x AS (PARTITION BY pid ORDER BY i)),
+        f AS (SELECT lang, 1 AS k, w1 AS phrase, count(*)::HUGEINT AS f FROM t GROUP BY ALL
+              UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM t WHERE w2 IS NOT NULL GROUP BY ALL
+              UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM t WHERE w3 IS NOT NULL GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 10),
+        cuts AS (SELECT c.lang, c.k, c.phrase, c.a, c.ws, x.cut, l.f AS l, r.f AS r, (1000000 * a * a) // (l.f * r.f) AS score
+                 FROM c JOIN (VALUES (1), (2)) AS x(cut) ON x.cut < c.k
+                 JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(ws[:x.cut], ' ')
+                 JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(ws[x.cut + 1:], ' ')),
+        low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        longer AS (SELECT lang, phrase, max(a) AS longer FROM (
+                     SELECT lang, a, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase FROM c WHERE k = 3) GROUP BY ALL),
+        kept AS (SELECT low.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+                 FROM low LEFT JOIN longer USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM kept JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_lexical_search": r"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
