@@ -12,6 +12,7 @@ from . import (
     line_dedup,
     mixing,
     near_dedup,
+    pii,
     quality_nbsvm,
     quality_rules,
     secret_scan,
@@ -68,6 +69,10 @@ def op11_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark, sf_dir):
     return lexical_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
 
@@ -75,7 +80,7 @@ def op13_lexical_search(spark, sf_dir):
 def queries():
     return {f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_sentencepieces, op4_quality_classifier, op5_warc, op6_line_dedup,
-        op7_mixing, op8_secret_scan, op9_quality_rules, op10_html_main_text, op11_collocations, op13_lexical_search)}
+        op7_mixing, op8_secret_scan, op9_quality_rules, op10_html_main_text, op11_collocations, op12_pii, op13_lexical_search)}
 
 
 _WS = r"[\x20\x09-\x0D]"
