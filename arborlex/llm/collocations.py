@@ -28,7 +28,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, written
@@ -234,6 +234,13 @@ def triples(r2: DataFrame, pairs_found: DataFrame) -> DataFrame:
         run, "p1 bigint, p2 bigint, n bigint")
 
 
+def score(a: str, left: str, right: str) -> Column:
+    """floor(1000000 * a * a / (left * right)) of three columns, in decimals."""
+    n = f"cast({a} as decimal(18,0))"
+    return F.expr(f"(cast(1000000 as decimal(7,0)) * cast({n} * {n} as decimal(31,0))) div "
+                  f"(cast({left} as decimal(19,0)) * cast({right} as decimal(19,0)))").cast("bigint")
+
+
 def phrases(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Candidates (lang, phrase, words, a, l, r, n, score) before any is dropped, and the largest count of a
     longer candidate around each phrase of two words: (lang, phrase, longer)."""
@@ -251,9 +258,6 @@ def phrases(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> tuple[Da
     a, b = two.toDF("p1", "c1", "lang", "x1", "x2", "u1", "u2"), two.toDF("p2", "c2", "lang_", "x2_", "x3", "u2_", "u3")
     three = written(three.join(a, "p1").join(b, "p2").select("lang", "x1", "x2", "x3", "a", "c1", "c2", "u1", "u3"), "three")
 
-    score = lambda n, x, y: F.expr(
-        f"(cast(1000000 as decimal(7,0)) * cast(cast({n} as decimal(18,0)) * cast({n} as decimal(18,0)) as decimal(31,0))) div "
-        f"(cast({x} as decimal(19,0)) * cast({y} as decimal(19,0)))").cast("bigint")
     found = two.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), F.lit(2).alias("words"), F.col("f").alias("a"),
                        F.col("f1").alias("l"), F.col("f2").alias("r"), score("f", "f1", "f2").alias("score"))
     cuts = F.least(*(F.struct(score("a", x, y).alias("score"), F.lit(k).alias("k"), F.col(x).alias("l"), F.col(y).alias("r"))

@@ -12,7 +12,7 @@ the best segmentation, so boundaries and kinds are chosen together; a segment co
 probability under the field reaches ``SURE``.  An added span overlaps no base finding of its kind.
 
 Training.  A sample of regions, at most ``SAMPLE`` of each kind and of regions without findings, is labelled by
-its base findings.  Every sampled region gives its labelled text, and rules (``_variant``) rewrite findings: side by
+its base findings; regions where numbers ran together in a pattern are no examples.  Every sampled region gives its labelled text, and rules (``_variant``) rewrite findings: side by
 side, without a plus, with other separators, masked signs.  Decoys (dates, versions, amounts, times, decimal numbers) are
 labelled as nothing.  The field is fitted by the gradient of the conditional likelihood, with forward and backward sums
 over the same segments.  Samples, rewriting and fitting are seeded: equal input gives equal spans.
@@ -92,6 +92,11 @@ def base_findings(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def run_on(text: str) -> bool:
+    """Whether a pattern failed for too many digits only: whatever stands there ran together, and is no example of anything."""
+    return any(len(_NOT_DIGIT.sub("", m[0])) > most for pattern, most in ((_CARD, 19), (_PHONE, 15)) for m in pattern.finditer(text))
+
+
 def spans_text(spans) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
@@ -418,7 +423,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 areas = regions(text)
                 cuts = [_cut(text, base, a, b) for a, b in areas]
                 rows.append((doc_id, spans_text(base), *(sum(k == kind for _, _, k in base) for kind in KINDS), [a for a, _ in areas],
-                             [x for x, _ in cuts], ["+".join(sorted({k for _, _, k in g})) for _, g in cuts], [spans_text(g) for _, g in cuts]))
+                             [x for x, _ in cuts], ["?" if run_on(x) else "+".join(sorted({k for _, _, k in g})) for x, g in cuts], [spans_text(g) for _, g in cuts]))
             columns = list(zip(*rows, strict=True)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
