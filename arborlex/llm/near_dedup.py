@@ -9,13 +9,16 @@ agree on ``min_depth`` values at least, and where an order is dense the nearest
 agree on ever more values, so a sparse region is searched shallow and a dense one deep.
 
 Candidates are confirmed on the full sets by exact integer arithmetic, and the links' components
-come from distributed star steps.  Further passes over the same orders look only at neighbours
-of *different* components, up and down.  A run of one component takes one place in the window, so
+come from distributed star steps.  A second pass over the same orders, up and down, looks only at neighbours
+of *different* components.  A run of one component takes one place in the window, so
 a class whose only partner stands behind a crowd of already joined copies is still compared with
-the crowd, row by row.  A pass that finds no new link but whose windows left out rows that share
-``min_depth`` values is repeated with windows ``WIDER`` times as large, so refused pairs and rows of
-other sizes hide nothing for good; the passes end when one finds no new link and left nothing out.
-A dense region of classes that don't link thus makes up to all its pairs.
+the crowd, row by row.
+
+The windows have one size.  A class whose windows left out others that share ``min_depth`` values with it is *cut*,
+and so is then each class that it wasn't compared with.  The cut classes are completed exactly: each one's rarest shingles
+(``n - ceil(n * similarity) + 1`` of them, so that two linked classes share one) make an index, and classes of
+different components that meet there, fit in size and could still share enough by the places of the shingle
+are confirmed like the others.  No link between classes that share ``min_depth`` values in any tree is lost.
 
 Edge cases.  Null text counts as empty.  Empty sets link with nothing.  Rows of equal sets are
 one class however many there are (repeated doc_ids included).  A null doc_id never becomes a
@@ -36,7 +39,7 @@ from .common import WS_CLASS, bounded, byte_slices, mix64, shingles, shuffle_par
 from .components import connected_components
 
 TREES, DEPTH = 16, 8
-MIN_DEPTH, REACH, WIDER = 3, 2, 8
+MIN_DEPTH, REACH = 3, 2
 
 
 def _constants(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,10 +121,10 @@ def _found(rows) -> pa.RecordBatch:
 class _Window:
     """The rows before a row in its sorted order that it is compared with.
 
-    Rows are (tree, label, node, n, comp).  Only rows of the latest row's *region* are held: those of
+    Rows are (tree, label, node, n, comp, folded).  Only rows of the latest row's *region* are held: those of
     its tree that share ``min_depth`` values with it.  Up to ``reach`` nearest rows that could reach the
     similarity by their sizes are partners; four times as many rows are held.  With ``across``, rows of
-    one component are no partners, and a run of them takes one place.  ``lost`` tells that rows of the
+    one component are no partners, and a run of them takes one place, which is then *folded*.  ``lost`` tells that rows of the
     region have left the window, ``whole`` that the region began with the window.
     """
 
@@ -138,20 +141,28 @@ class _Window:
                 self.rows.clear()
                 self.lost, self.whole = False, False
 
-    def partners(self, row, rows=None, most: int | None = None) -> tuple[list[bytes], bool]:
-        """The partners among the held rows (or ``rows``), and whether there is one more than ``most``."""
-        out, most = [], self.reach if most is None else most
-        for q in reversed(self.rows if rows is None else rows):
+    def partners(self, row, rows=None, most: int | None = None, inner: bool | None = None) -> tuple[list[bytes], bool]:
+        """The partners among the held rows (or ``rows``), and whether the row is cut: it has one more than ``most``, or stands
+        inside a run (``inner``) and meets a folded place, so that inner rows of two runs aren't compared."""
+        out, most, cut = [], self.reach if most is None else most, False
+        rows = self.rows if rows is None else rows
+        if inner is None:
+            inner = bool(rows) and rows[-1][4] == row[4]
+        for q in reversed(rows):
             small, large = (row[3], q[3]) if row[3] < q[3] else (q[3], row[3])
-            if self.den * small >= self.num * large and not (self.across and row[4] == q[4]) and row[2] != q[2]:
+            other = not (self.across and row[4] == q[4]) and row[2] != q[2]
+            if other and self.across and inner and q[5]:
+                cut = True
+            if other and self.den * small >= self.num * large:
                 if len(out) == most:
                     return out, True
                 out.append(q[2])
-        return out, False
+        return out, cut
 
     def push(self, row) -> None:
         if self.across and self.rows and self.rows[-1][4] == row[4]:
             self.rows.pop()
+            row = (*row[:5], True)
         self.rows.append(row)
         if len(self.rows) > 4 * self.reach:
             self.rows.popleft()
@@ -161,30 +172,32 @@ class _Window:
 def _neighbours(reach: int, min_depth: int, num: int, den: int, across: bool):
     """Candidate pairs of a sorted partition (kind ``pair``).  Rows that the windows of partitions before
     could add partners to come out as ``head``, with the partners and places that are left to them and the
-    component that the partition began with; the last window comes out as ``tail``; one ``cut`` tells that
-    a row had more partners than the window gave it.  Without ``across``, ``beside`` names the classes that
-    share a region with another (or could, at the ends of a partition)."""
+    component that the partition began with; the last window comes out as ``tail``; ``cut`` names the rows that
+    the window left something out for.  Without ``across``, ``beside`` names the classes that
+    share a region with another (or could, at the ends of a partition), and none is cut."""
     def run(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        window, any_cut = _Window(reach, min_depth, num, den, across), False
+        window = _Window(reach, min_depth, num, den, across)
         for batch in batches:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                row = (*row, False)
                 window.enter(row)
                 if not across and (window.rows or window.whole):
                     out += [("beside", r[2], *[None] * 9) for r in [row, *([window.rows[0]] if len(window.rows) == 1 else [])]]
                 found, cut = window.partners(row)
                 out += [("pair", row[2], q, *[None] * 8) for q in found]
                 if cut or window.lost:
-                    any_cut = True
+                    if across:
+                        out.append(("cut", row[2], *[None] * 9))
                 elif window.whole:
                     out.append(("head", row[2], None, part, row[0], row[1], row[3], row[4], reach - len(found),
                                 4 * reach - len(window.rows), window.rows[0][4] if window.rows else None))
                 window.push(row)
             yield _found(out)
-        yield _found([("tail", r[2], None, part, r[0], r[1], r[3], r[4], int(window.lost), None, None) for r in window.rows]
-                     + [("beside", r[2], *[None] * 9) for r in window.rows if not across] + [("cut", *[None] * 10)] * any_cut)
+        yield _found([("tail", r[2], None, part, r[0], r[1], r[3], r[4], int(window.lost), int(r[5]), None) for r in window.rows]
+                     + [("beside", r[2], *[None] * 9) for r in window.rows if not across])
 
     return run
 
@@ -193,7 +206,7 @@ def _incoming(tails, make, down: bool) -> dict:
     """The window that each partition begins with, by folding the last windows of those before it in order."""
     parts: dict = {}
     for r in tails:
-        parts.setdefault(r.part, []).append(((r.tree, bytes(r.label), bytes(r.a), r.n, r.comp and bytes(r.comp)), r.left))
+        parts.setdefault(r.part, []).append(((r.tree, bytes(r.label), bytes(r.a), r.n, r.comp and bytes(r.comp), bool(r.room)), r.left))
     window, out = make(), {}
     for part in sorted(parts):
         out[part] = (list(window.rows), window.lost)
@@ -205,14 +218,14 @@ def _incoming(tails, make, down: bool) -> dict:
 
 
 def _over_boundaries(make, incoming: dict):
-    """Pairs of ``head`` rows with the window their partition begins with; a pair without b tells of a cut."""
+    """Pairs of ``head`` rows with the window their partition begins with; a pair without b tells of a cut row."""
     def run(batches):
         window = make()
         for batch in batches:
             out = []
             for _, node, _, part, tree, label, n, comp, left, room, joins in zip(
                     *(c.to_pylist() for c in batch.columns), strict=True):
-                row = (tree, label, node, n, comp)
+                row = (tree, label, node, n, comp, False)
                 rows, lost = incoming[part]
                 if not rows or rows[-1][0] != tree or rows[-1][1][:4 * window.min_depth] != label[:4 * window.min_depth]:
                     continue
@@ -220,9 +233,9 @@ def _over_boundaries(make, incoming: dict):
                 if window.across and room < 4 * window.reach and rows[-1][4] == joins:
                     rows = rows[:-1]
                 held = rows[max(0, len(rows) - room):]
-                found, cut = window.partners(row, held, left)
+                found, cut = window.partners(row, held, left, inner=True)
                 out += [(node, q) for q in found]
-                if cut or lost or len(held) < len(rows):
+                if window.across and (cut or lost or len(held) < len(rows)):
                     out.append((node, None))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
@@ -230,10 +243,9 @@ def _over_boundaries(make, incoming: dict):
 
 
 def look(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH, across: bool = False,
-         down: bool = False) -> tuple[DataFrame, bool, DataFrame]:
-    """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp)``,
-    whether any row has more neighbours of ``min_depth`` common values than it was compared with, and
-    (without ``across``) every class that has such neighbours at all.
+         down: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp)``, and
+    classes: with ``across`` those that are cut, else every class that shares ``min_depth`` values with another at all.
 
     The orders are range-partitioned and sorted here, descending with ``down``.  The windows go on over
     partition boundaries, however many a region or a run covers: the last windows (4 * ``reach`` rows a
@@ -250,10 +262,10 @@ def look(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: in
 
     incoming = _incoming(found.where("kind = 'tail'").collect(), make, down)
     over = written(found.where("kind = 'head'").mapInArrow(_over_boundaries(make, incoming), "a binary, b binary"), "over")
-    cut = not found.where("kind = 'cut'").isEmpty() or not over.where("b is null").isEmpty()
     pairs = found.where("kind = 'pair'").select("a", "b").unionByName(over.where("b is not null"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), cut, (
-        found.where("kind = 'beside'").select(F.col("a").alias("node")).distinct())
+    named = found.where("kind in ('cut', 'beside')").select(F.col("a").alias("node")).unionByName(
+        over.where("b is null").select(F.col("a").alias("node")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), named.distinct()
 
 
 def candidates(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH,
@@ -279,6 +291,41 @@ def confirm(pairs: DataFrame, values: DataFrame, num: int, den: int) -> DataFram
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def completed(classes: DataFrame, values: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a < b) of ``classes(node, comp)`` of different components, all those that link among them.
+
+    Shingles are ordered by the number of classes that have them.  Two linked classes share one among the first
+    ``n - ceil(n * num / den) + 1`` of each, and where they first meet, at places x and y from 0, they can have
+    ``1 + min(n - x, m - y) - 1`` in common at most, which has to be enough.  Shingles of one class alone hold
+    their places but make no posting.
+    """
+    rows = written(classes.join(values, "node").withColumn("row", F.monotonically_increasing_id()), "cut-sets")
+
+    def spread(batches):
+        for batch in batches:
+            for row, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.frombuffer(data, np.int64)
+                for at in range(0, len(found), 1 << 16):
+                    part = found[at:at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), row)), pa.array(part)], names=["row", "s"])
+
+    shingles_ = rows.select("row", "values").mapInArrow(spread, "row bigint, s bigint")
+    often = shingles_.groupBy("s").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    n = (F.octet_length("values") / 8).cast("bigint")
+    ordered = shingles_.join(often, "s").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("times", "s"))).alias("shared"))
+    ordered = ordered.join(rows.select("row", "node", "comp", n.alias("n")), "row").withColumn(
+        "alone", F.col("n") - F.size("shared")).withColumn(
+        "wanted", F.col("n") - F.ceil(F.col("n") * num / F.lit(den)).cast("bigint") + 1 - F.col("alone"))
+    post = written(ordered.where("wanted > 0").select(
+        "row", "node", "comp", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), F.col("wanted").cast("int"))).alias("i", "x")).select(
+        F.col("x.s").alias("s"), "row", "node", "comp", "n", (F.col("alone") + F.col("i")).alias("place")), "postings")
+    left, right = (post.select("s", *(F.col(c).alias(f"{c}{i}") for c in ("row", "node", "comp", "n", "place"))) for i in (1, 2))
+    enough = (num + den) * F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) >= num * (F.col("n1") + F.col("n2"))
+    sizes = den * F.least("n1", "n2") >= num * F.greatest("n1", "n2")
+    met = left.join(right, "s").where((F.col("row1") < F.col("row2")) & (F.col("comp1") != F.col("comp2")) & sizes & enough)
+    return met.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+
+
 def members(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
     """(doc_id, n_shingles, digest, root, component_id) of every row: its text's MD5, its component's class and
     smallest doc_id (both null for a row without shingles)."""
@@ -286,7 +333,7 @@ def members(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: i
     classes = written(rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
     order = forest(classes, trees, depth)
-    first, _, beside = look(order.withColumn("comp", F.lit(None).cast("binary")), num, den)
+    first, beside = look(order.withColumn("comp", F.lit(None).cast("binary")), num, den)
     first, ids = written(first, "pairs"), written(beside, "beside")
     wanted = ids.join(classes.select("node", "doc_id"), "node").select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
@@ -294,21 +341,16 @@ def members(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: i
                        F.col("doc_id").eqNullSafe(F.col("_want")), "left_semi")
     values = written(sets(texts, k), "sets").dropDuplicates(["node"])
     roots = connected_components(written(confirm(first, values, num, den), "confirmed"))
-    # further looks, at neighbours of different components, until one finds no new link and leaves nothing out
-    seen, reach = first, 2 * REACH
-    while True:
-        joined = written(order.join(ids, "node", "left_semi").join(roots, "node", "left").select(
-            "tree", "label", "node", "n", F.coalesce("root", "node").alias("comp")), "joined")
-        (up, cut_up, _), (down, cut_down, _) = (look(joined, num, den, reach, across=True, down=x) for x in (False, True))
-        fresh = written(up.unionByName(down).distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
-        links = written(confirm(fresh, values, num, den), "confirmed")
-        if not links.isEmpty():
-            roots = connected_components(links.unionByName(roots.toDF("a", "b")))
-        elif not (cut_up or cut_down):
-            break
-        else:
-            reach *= WIDER
-        seen = seen.unionByName(fresh)
+    joined = written(order.join(ids, "node", "left_semi").join(roots, "node", "left").select(
+        "tree", "label", "node", "n", F.coalesce("root", "node").alias("comp")), "joined")
+    (up, cut_up), (down, cut_down) = (look(joined, num, den, 2 * REACH, across=True, down=x) for x in (False, True))
+    cut = written(cut_up.unionByName(cut_down).distinct(), "cut")
+    comps = cut.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
+    met = completed(comps, values, num, den)
+    fresh = up.unionByName(down).unionByName(met).distinct().join(first, ["a", "b"], "left_anti")
+    links = written(confirm(written(fresh, "pairs"), values, num, den), "confirmed")
+    if not links.isEmpty():
+        roots = connected_components(links.unionByName(roots.toDF("a", "b")))
     # smallest doc_id of each component, then back to the rows
     comp = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     comp = written(comp, "membership")
@@ -326,13 +368,15 @@ def survivors(docs: DataFrame, **options) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "copies"))
     chosen = written(rows.groupBy("root").agg(first.alias("x")).select(
         F.col("x.doc_id").alias("_id"), F.col("x.digest").alias("_digest"), F.col("x.copies").alias("_copies")), "chosen")
-    words = F.coalesce(F.col("text").rlike(f"[^{WS_CLASS}]"), F.lit(False))
-    kept = docs.withColumn("_text_digest", F.unhex(F.md5(F.col("text")))).join(
-        chosen, (F.col("_text_digest") == F.col("_digest")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")))
+    # the row travels as one struct, so that no column of it can clash with those made here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    words = F.coalesce(F.col("_doc.text").rlike(f"[^{WS_CLASS}]"), F.lit(False))
+    kept = rows.where(words).withColumn("_text_digest", F.unhex(F.md5(F.col("_doc.text")))).join(
+        chosen, (F.col("_text_digest") == F.col("_digest")) & F.col("_doc.doc_id").cast("bigint").eqNullSafe(F.col("_id")))
     # rows of the same id and text: one of them
-    again = kept.where(words & (F.col("_copies") > 1)).groupBy("_digest").agg(
-        F.min(F.struct(*docs.columns)).alias("_doc")).select("_doc.*")
-    return docs.where(~words).unionByName(kept.where(words & (F.col("_copies") == 1)).select(*docs.columns)).unionByName(again)
+    again = kept.where(F.col("_copies") > 1).groupBy("_digest").agg(F.min("_doc").alias("_doc"))
+    whole = [F.col("_doc").getField(c).alias(c) for c in docs.columns]
+    return rows.where(~words).unionByName(kept.where(F.col("_copies") == 1).select("_doc")).unionByName(again.select("_doc")).select(*whole)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: int = TREES,

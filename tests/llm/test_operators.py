@@ -221,8 +221,46 @@ def test_cut_windows_are_told(spark):
             for i in range(20)]
     order = spark.createDataFrame(rows, "tree int, label binary, node binary, n bigint, comp binary")
     wide, narrow = (near_dedup.look(order, 95, 100, reach, across=True) for reach in (8, 2))
-    assert (bytes([0]), bytes([19])) in {(bytes(r.a), bytes(r.b)) for r in wide[0].collect()} and not wide[1]
-    assert narrow[1]
+    assert (bytes([0]), bytes([19])) in {(bytes(r.a), bytes(r.b)) for r in wide[0].collect()} and wide[1].isEmpty()
+    down = near_dedup.look(order, 95, 100, 2, across=True, down=True)[1]
+    assert {bytes([0]), bytes([19])} <= {bytes(r.node) for r in narrow[1].unionByName(down).collect()}
+
+
+def test_inner_rows_of_two_runs_are_cut(spark):
+    """Two joined components in one region: rows inside both runs, which no window compares, are told in one of the directions."""
+    rows = [(0, bytes([0, 0, 0, 1] * 3) + bytes(4), bytes([i]), 10, b"x" if i < 5 else b"y") for i in range(10)]
+    order = spark.createDataFrame(rows, "tree int, label binary, node binary, n bigint, comp binary")
+    looks = [near_dedup.look(order, 95, 100, 4, across=True, down=down) for down in (False, True)]
+    met = {(r.a[0], r.b[0]) for pairs, _ in looks for r in pairs.collect()}
+    cut = {r.node[0] for _, named in looks for r in named.collect()}
+    assert all((a, b) in met or {a, b} <= cut for a in range(5) for b in range(5, 10))
+
+
+def test_completion_is_exact_and_grows_with_its_links(spark):
+    """Near copies of one base: linked ones meet, those with many words changed hardly ever."""
+    rng = random.Random(6)
+    base = words(rng, 120, 9000)
+
+    def copies(n, changes):
+        out = []
+        for i in range(n):
+            text = list(base)
+            for at in rng.sample(range(120), changes):
+                text[at] = f"c{rng.randrange(10**9)}"
+            out.append(common.shingles([" ".join(text).encode()], 3)[0])
+        return out
+
+    def met(found):
+        rows = [(near_dedup.set_digest(v), near_dedup.set_digest(v), v.tobytes()) for v in found]
+        table = spark.createDataFrame(rows, "node binary, comp binary, values binary").dropDuplicates(["node"])
+        pairs = near_dedup.completed(table.select("node", "comp"), table.select("node", "values"), 85, 100)
+        return {(bytes(r.a), bytes(r.b)) for r in pairs.collect()}
+
+    near = [*copies(30, 1), *copies(30, 2), *copies(30, 3)]
+    links = {tuple(sorted((near_dedup.set_digest(a), near_dedup.set_digest(b)))) for a, b in itertools.combinations(near, 2)
+             if 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) and near_dedup.set_digest(a) != near_dedup.set_digest(b)}
+    assert links <= met(near) and len(links) > 300
+    assert len(met(copies(400, 7))) < 400
 
 
 def test_components(spark):
