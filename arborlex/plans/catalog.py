@@ -148,7 +148,7 @@ def tree_dataset_digest(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # import for registration side effects
-    from . import catalog_more  # noqa: F401
+    from . import catalog_models, catalog_more  # noqa: F401
     return dict(QUERIES)
 
 

@@ -223,5 +223,5 @@ SELECT sum(n)::BIGINT AS n_sentences, md5(string_agg(b || ':' || d, chr(10) ORDE
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_more  # noqa: F401
+    from . import oracle_models, oracle_more  # noqa: F401
     return dict(SQL)
