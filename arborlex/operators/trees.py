@@ -121,19 +121,31 @@ def _kinds_and_open(a: DataFrame) -> DataFrame:
         "pid",
         F.when(k.isin("B", "E"), 0).when(k == "O", F.col("d_before")).otherwise(F.col("d_after")),
     )
-    # The stack top for a closer is the latest opener on the closer's level: first inside
-    # the chunk, else carried from earlier chunks through a per-chunk map level -> opener.
+    # The stack top for a closer is the latest opener on the closer's level: first inside the chunk, else
+    # carried from earlier chunks.  A closer without an opener in its chunk takes the depth below all that the chunk
+    # has seen, so such closers stand on consecutive levels downwards, one each: what they need is a stack, and a
+    # closer finds its opener in it by its place.
     opener = F.when(k == "O", F.struct(F.col("pos").alias("p"), F.col("name").alias("nm")))
     w_lvl = Window.partitionBy("sent_id", "pid", "chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     a = a.withColumn("loc_open", F.last(opener, ignorenulls=True).over(w_lvl))
-    last_o = a.groupBy("sent_id", "pid", "chunk").agg(F.max(opener).alias("last_o"))
+    wants = (k == "C") & F.col("loc_open").isNull()
+    last_o = a.groupBy("sent_id", "pid", "chunk").agg(F.max(opener).alias("last_o"), F.bool_or(wants).alias("wants"))
     w_prev = Window.partitionBy("sent_id", "pid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last_o.select("sent_id", "pid", "chunk", F.last("last_o", ignorenulls=True).over(w_prev).alias("c_o"))
-    omap = carried.where(F.col("c_o").isNotNull()).groupBy("sent_id", "chunk").agg(
-        F.map_from_entries(F.collect_list(F.struct("pid", "c_o"))).alias("omap"))
-    a = a.join(omap, ["sent_id", "chunk"], "left")
-    op = F.coalesce(F.col("loc_open"), F.try_element_at(F.col("omap"), F.col("pid")))
-    return a.withColumn("open_name", op["nm"]).withColumn("open_pos", op["p"]).drop("loc_open", "omap")
+    stack = _stacked(last_o.select("sent_id", "pid", "chunk", "wants", F.last("last_o", ignorenulls=True).over(w_prev).alias("v")), "pid")
+    a = a.join(stack, ["sent_id", "chunk"], "left")
+    op = F.coalesce(F.col("loc_open"), F.when(wants, _at_level(F.col("pid"))))
+    return a.withColumn("open_name", op["nm"]).withColumn("open_pos", op["p"]).drop("loc_open", "top", "stack")
+
+
+def _stacked(carried: DataFrame, level: str) -> DataFrame:
+    """``(sent_id, chunk, top, stack)``: the carried values ``v`` of the levels that want one, from the highest level
+    ``top`` down.  These levels are consecutive, so a stack is as long as its chunk at most, however deep the tree is."""
+    return carried.where("wants").groupBy("sent_id", "chunk").agg(
+        F.max(level).alias("top"), F.sort_array(F.collect_list(F.struct((-F.col(level)).alias("down"), "v"))).alias("stack"))
+
+
+def _at_level(level: Column) -> Column:
+    return F.get("stack", F.col("top") - level)["v"]
 
 
 def _error(a: DataFrame) -> Column:
@@ -237,8 +249,9 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
 
     <s> lives to the end; an opener dies at its own closer; a terminal or closer dies
     at the closer of its parent (next closer one level up).  ``death = n_in`` means never.
-    The "next closer on a level" scan runs inside ``(sent_id, level, chunk)``; the first
-    closer of later chunks is carried back through a per-chunk map level -> index.
+    The "next closer on a level" scan runs inside ``(sent_id, level, chunk)``; keys without one there
+    stand on the consecutive levels that are open at the chunk's end (each has an opener, or is the lowest), so the first
+    closers of later chunks are carried back as a stack for each chunk.
     """
     k, pid = F.col("kind"), F.col("pid")
     probe = lambda lvl: F.struct(lvl.alias("level"), F.lit(True).alias("probe"))
@@ -256,13 +269,12 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
     closer_idx = F.when(~F.col("probe"), F.col("idx"))
     w = Window.partitionBy("sent_id", "level", "chunk").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
     r = r.withColumn("loc_nxt", F.min(closer_idx).over(w))
-    first_c = r.groupBy("sent_id", "level", "chunk").agg(F.min(closer_idx).alias("first_c"))
+    wants = F.col("probe") & F.col("loc_nxt").isNull()
+    first_c = r.groupBy("sent_id", "level", "chunk").agg(F.min(closer_idx).alias("first_c"), F.bool_or(wants).alias("wants"))
     w_next = Window.partitionBy("sent_id", "level").orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
-    carried = first_c.select("sent_id", "level", "chunk", F.min("first_c").over(w_next).alias("c_c"))
-    cmap = carried.where(F.col("c_c").isNotNull()).groupBy("sent_id", "chunk").agg(
-        F.map_from_entries(F.collect_list(F.struct("level", "c_c"))).alias("cmap"))
-    r = r.where(F.col("probe")).join(cmap, ["sent_id", "chunk"], "left")
-    death = F.coalesce(F.col("loc_nxt"), F.try_element_at(F.col("cmap"), F.col("level")), F.col("n_in"))
+    stack = _stacked(first_c.select("sent_id", "level", "chunk", "wants", F.min("first_c").over(w_next).alias("v")), "level")
+    r = r.where(F.col("probe")).join(stack, ["sent_id", "chunk"], "left")
+    death = F.coalesce(F.col("loc_nxt"), F.when(wants, _at_level(F.col("level"))), F.col("n_in"))
     return r.select("sent_id", F.col("idx").alias("ki"), "kind", death.cast("int").alias("death"), "n_in")
 
 

@@ -1,10 +1,16 @@
-"""Registered queries: trained BPE models."""
+"""Registered queries: trained BPE models, block-sparse masks and their hash tree, many keywords."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .catalog import _t, query
+from ..operators import batching as B
+from ..operators import tiles as L
+from ..operators import trees as T
+from ..operators import vocab as V
+from .catalog import _t, order_actions, query
+
+KEYWORD_LETTERS = 6  # keywords are the benchmark's words of this length at least
 
 
 @query("bpe_train")
@@ -28,3 +34,53 @@ def bpe_encode_trained(spark, d):
     return enc.select("doc_id", F.size(pieces).cast("bigint").alias("n_tokens"), F.size("pieces").cast("bigint").alias("n_pretokens"),
                       F.coalesce(longest, F.lit(0)).cast("bigint").alias("longest"),
                       F.md5(F.array_join(pieces, " ")).alias("pieces_md5"))
+
+
+def order_tiles(spark, d):
+    """The order trees' tokens and the tiles of their masks, each written once."""
+    inp = T.materialize(T.expand(order_actions(spark, d)))
+    return inp, T.materialize(L.mask_tiles(inp, T.materialize(T.mask_intervals(inp))))
+
+
+@query("tree_mask_tiles")
+def tree_mask_tiles(spark, d):
+    """T10 as tiles: the set cells of every order-tree mask in squares of 32."""
+    return order_tiles(spark, d)[1].select("sent_id", "tile_row", "tile_col", "ones", L.tile_text(F.col("columns")).alias("cells"))
+
+
+@query("tree_mask_refs")
+def tree_mask_refs(spark, d):
+    """What each example holds of its mask ``[1, n, n]``."""
+    refs = L.references(*order_tiles(spark, d))
+    return refs.select("sent_id", F.array_join(F.col("shape").cast("array<string>"), "x").alias("shape"), "n_tiles", "ones")
+
+
+@query("batch_masks")
+def batch_masks(spark, d):
+    """Batches of 16 order trees with the shape of the stacked masks and their examples' tiles."""
+    refs = T.materialize(L.references(*order_tiles(spark, d)))
+    batches = B.assign_batches(refs.select("sent_id", "n"), [F.col("sent_id")]).select("batch_id", "sent_id", "max_len")
+    ref = lambda x: F.concat_ws(":", *(x[c].cast("string") for c in ("sent_id", "n", "n_tiles", "ones")))
+    return L.batch_masks(batches, refs).select(
+        "batch_id", F.array_join(F.col("shape").cast("array<string>"), "x").alias("shape"),
+        F.array_join(F.transform("masks", ref), ";").alias("masks"))
+
+
+@query("tree_hash_tree")
+def tree_hash_tree(spark, d):
+    """T14 as a hash tree over tiles: every node from the examples to the root."""
+    inp, tiles = order_tiles(spark, d)
+    return L.hash_tree(L.example_hashes(L.row_hashes(inp, tiles)))
+
+
+@query("keyword_scan")
+def keyword_scan(spark, d):
+    """C4 with a long list: the benchmark's longer words that each document holds anywhere, case aside."""
+    from ..operators import keywords as W
+    docs = _t(spark, d, "documents")
+    words = _t(spark, d, "benchmark").select(F.explode(V.split_words(F.col("text"))).alias("keyword")).where(
+        F.length("keyword") >= KEYWORD_LETTERS)
+    hits = W.keyword_hits(docs, words, "doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_list("keyword")).alias("k"))
+    return docs.select("doc_id").join(hits, "doc_id", "left").select(
+        "doc_id", F.coalesce(F.size("k"), F.lit(0)).cast("bigint").alias("n_keywords"),
+        F.md5(F.coalesce(F.array_join("k", " "), F.lit(""))).alias("keywords_md5"))

@@ -335,14 +335,16 @@ def chat_refusal(spark, d):
 @query("chat_keyword")
 def chat_keyword(spark, d):
     """Does any assistant reply mention a word of the first user message, for each of its words?"""
+    from ..operators.keywords import own_keyword_hits
     t = turns(spark, d)
-    first_user = t.where(F.col("role") == "user").groupBy("conv_id").agg(
-        F.min_by("text", "turn").alias("q")).select(
-            "conv_id", F.explode(F.array_distinct(V.split_words(F.col("q")))).alias("keyword"))
-    replies = t.where(F.col("role") == "assistant").select("conv_id", "text")
-    j = first_user.join(replies, "conv_id", "left")
-    return j.groupBy("conv_id", "keyword").agg(
-        F.coalesce(F.bool_or(C.has_keyword(F.col("text"), F.col("keyword"))), F.lit(False)).alias("found"))
+    asked = t.where(F.col("role") == "user").groupBy("conv_id").agg(F.min_by("text", "turn").alias("q")).select(
+        "conv_id", F.array_distinct(V.split_words(F.col("q"))).alias("keywords"))
+    # one pass over each reply for all words of its conversation
+    replies = t.where(F.col("role") == "assistant").select("conv_id", "text").join(asked, "conv_id")
+    hits = replies.select("conv_id", F.explode(own_keyword_hits(F.col("keywords"), F.col("text"))).alias("i")).distinct()
+    words = asked.select("conv_id", F.posexplode("keywords").alias("i", "keyword"))
+    return words.join(hits.withColumn("found", F.lit(True)), ["conv_id", "i"], "left").select(
+        "conv_id", "keyword", F.coalesce("found", F.lit(False)).alias("found"))
 
 
 @query("chat_append")

@@ -1,10 +1,12 @@
-"""DuckDB oracle SQL: trained BPE models."""
+"""DuckDB oracle SQL: trained BPE models, block-sparse masks and their hash tree, many keywords."""
 
 from __future__ import annotations
 
 from ..operators.bpe_train import BATCH, CANDIDATES, LEAST, ROUNDS
-from .oracle import SQL
-from .oracle_more import SQL as _MORE  # noqa: F401  (its texts are registered first)
+from ..operators.tiles import FAN, TILE
+from .catalog_models import KEYWORD_LETTERS
+from .oracle import ORDER_ACTS, SQL, TREE_CHAIN, _with
+from .oracle_more import words
 
 # pre-tokens of every document with their place, and the distinct ones with their numbers
 _PRETOKENS = SQL["bpe_encode"].split("bytes AS MATERIALIZED")[0]
@@ -72,3 +74,40 @@ done AS (SELECT doc_id, sum(len(t)) AS n_tokens, count(*) AS n_pretokens, max(li
 SELECT d.doc_id, coalesce(n_tokens, 0)::BIGINT AS n_tokens, coalesce(n_pretokens, 0)::BIGINT AS n_pretokens,
        coalesce(longest, 0)::BIGINT AS longest, md5(coalesce(t, '')) AS pieces_md5
 FROM documents d LEFT JOIN done USING (doc_id)"""
+
+# ------------------------------------------------------------------ tiles and the hash tree
+
+_TILES = f"""
+bits AS (SELECT sent_id, qi // {TILE} AS tile_row, ki // {TILE} AS tile_col, ki % {TILE} AS col,
+                sum(1::BIGINT << (qi % {TILE}))::BIGINT AS rows, count(*) AS ones FROM edges GROUP BY ALL),
+tiles AS (SELECT sent_id, tile_row, tile_col, sum(ones)::BIGINT AS ones, string_agg(col || ':' || rows, ',' ORDER BY col) AS cells
+          FROM bits GROUP BY ALL),
+refs AS (SELECT sent_id, n_in AS n, coalesce(n_tiles, 0) AS n_tiles, coalesce(ones, 0) AS ones
+         FROM (SELECT DISTINCT sent_id, n_in FROM inp) LEFT JOIN
+              (SELECT sent_id, count(*) AS n_tiles, sum(ones)::BIGINT AS ones FROM tiles GROUP BY sent_id) USING (sent_id))"""
+
+SQL["tree_mask_tiles"] = _with(ORDER_ACTS, TREE_CHAIN, _TILES) + "\nSELECT sent_id, tile_row, tile_col, ones, cells FROM tiles"
+SQL["tree_mask_refs"] = _with(ORDER_ACTS, TREE_CHAIN, _TILES) + """
+SELECT sent_id, '1x' || n || 'x' || n AS shape, n_tiles::BIGINT AS n_tiles, ones FROM refs"""
+SQL["batch_masks"] = _with(ORDER_ACTS, TREE_CHAIN, _TILES) + """
+SELECT batch_id::BIGINT AS batch_id, count(*) || 'x1x' || max(n) || 'x' || max(n) AS shape,
+       string_agg(sent_id || ':' || n || ':' || n_tiles || ':' || ones, ';' ORDER BY sent_id) AS masks
+FROM (SELECT *, (row_number() OVER (ORDER BY sent_id) - 1) // 16 AS batch_id FROM refs) GROUP BY batch_id"""
+
+_LEVELS = 6  # enough for 16**6 examples
+SQL["tree_hash_tree"] = _with(ORDER_ACTS, TREE_CHAIN, _TILES) + f""",
+places AS (SELECT sent_id, idx // {TILE} AS tile_row, md5(string_agg(tok || chr(9) || label || chr(9) || pid, chr(10) ORDER BY idx)) AS places
+           FROM inp GROUP BY ALL),
+held AS (SELECT sent_id, tile_row, string_agg(md5(tile_col || '|' || cells), '' ORDER BY tile_col) AS tiles FROM tiles GROUP BY ALL),
+rws AS (SELECT sent_id, tile_row, md5(places || coalesce(tiles, '')) AS hash FROM places LEFT JOIN held USING (sent_id, tile_row)),
+l0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sent_id) - 1 AS i, sent_id, md5(string_agg(hash, '' ORDER BY tile_row)) AS hash
+                    FROM rws GROUP BY sent_id)""" + "".join(f""",
+l{k + 1} AS MATERIALIZED (SELECT i // {FAN} AS i, NULL::BIGINT AS sent_id, md5(string_agg(hash, '' ORDER BY i)) AS hash
+                    FROM l{k} WHERE (SELECT count(*) FROM l{k}) > 1 GROUP BY i // {FAN})""" for k in range(_LEVELS)) + "".join(
+    f"\n{'UNION ALL ' if k else ''}SELECT {k} AS level, i, sent_id, hash FROM l{k}" for k in range(_LEVELS + 1))
+
+SQL["keyword_scan"] = f"""
+WITH k AS (SELECT DISTINCT lower(w) AS keyword FROM (SELECT unnest({words('text')}) AS w FROM benchmark) WHERE length(w) >= {KEYWORD_LETTERS}),
+h AS (SELECT doc_id, count(*) AS n, string_agg(keyword, ' ' ORDER BY keyword) AS t
+      FROM (SELECT doc_id, lower(text) AS text FROM documents) JOIN k ON contains(text, keyword) GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_keywords, md5(coalesce(t, '')) AS keywords_md5 FROM documents LEFT JOIN h USING (doc_id)"""
