@@ -79,3 +79,20 @@ def running_total(df: DataFrame, order: list[Column], value: str, name: str = "c
     out = local.join(F.broadcast(offs), "_part").withColumn(
         name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local"))
     return out.drop("_part", "_local", "_off")
+
+
+def carried_last(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """Add ``name`` = the latest non-null ``value`` at or before each row in the total ``order`` (ascending columns).
+
+    An as-of merge: the rows are range-sorted once, each partition carries its own last value on, and the value that enters a
+    partition comes from a table with one row per partition (so the broadcast is bounded by the partition count).
+    """
+    cols = [F.col(c) for c in order]
+    keyed = _sorted_parts(df, cols)
+    local = keyed.withColumn("_local", F.last(value, ignorenulls=True).over(
+        Window.partitionBy("_part").orderBy(*cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ends = keyed.groupBy("_part").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*cols))).alias("_end"))
+    enters = ends.select("_part", F.last("_end", ignorenulls=True).over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_enters"))
+    out = local.join(F.broadcast(enters), "_part").withColumn(name, F.coalesce("_local", "_enters"))
+    return out.drop("_part", "_local", "_enters")

@@ -1,10 +1,13 @@
-"""Registered queries: trained BPE models, block-sparse masks and their hash tree, many keywords."""
+"""Registered queries: trained BPE models, block-sparse masks and their hash tree, many keywords, files, callers' functions."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import batching as B
+from ..operators import counts as K
 from ..operators import tiles as L
 from ..operators import trees as T
 from ..operators import vocab as V
@@ -84,3 +87,88 @@ def keyword_scan(spark, d):
     return docs.select("doc_id").join(hits, "doc_id", "left").select(
         "doc_id", F.coalesce(F.size("k"), F.lit(0)).cast("bigint").alias("n_keywords"),
         F.md5(F.coalesce(F.array_join("k", " "), F.lit(""))).alias("keywords_md5"))
+
+
+# ------------------------------------------------------------------ files
+
+def _folder(spark) -> str:
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex[:12]}"
+
+
+@query("file_lines")
+def file_lines(spark, d):
+    """S1 by file: every line of the documents written to text files and read back with its global number."""
+    from ..sources import text as X
+    path = _folder(spark)
+    X.write_lines(X.split_lines(_t(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id"),
+                  path, ["doc_id", "line_no"])
+    return X.read_lines(spark, path)
+
+
+@query("merge_file")
+def merge_file(spark, d):
+    """S3 by file: the trained merges written as a merge list and read back by rank."""
+    from ..operators import bpe_train as P
+    from ..sources import text as X
+    path = _folder(spark)
+    merges = P.train(_t(spark, d, "documents")).select("rank", F.concat_ws(" ", "a", "b").alias("text"))
+    head = spark.createDataFrame([(-1, "#version: 0.2")], "rank bigint, text string")
+    X.write_lines(head.unionByName(merges), path, ["rank"])
+    return X.read_merges(spark, path)
+
+
+@query("dataset_sink")
+def dataset_sink(spark, d):
+    """The order trees' inputs saved twice, read back once, and what the manifest says of them."""
+    from ..sources import text as X
+    path = _folder(spark)
+    rows = T.materialize(T.expand(order_actions(spark, d)).select("sent_id", "idx", "kind", "tok", "label", "pid"))
+    X.write_dataset(rows.where("idx < 2"), path)  # a write that a later one takes the place of
+    version = X.write_dataset(rows, path)
+    held = spark.read.parquet(f"{path}/manifest").where(F.col("version") == version).agg(F.sum("n_rows")).first()[0]
+    per = X.read_dataset(spark, path).groupBy("sent_id").agg(
+        F.count(F.lit(1)).alias("n"), F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(
+            F.struct("idx", F.concat_ws(" ", "kind", "tok", "label", F.col("pid").cast("string")).alias("t")))), lambda x: x["t"]), "|")).alias("rows_md5"))
+    return per.withColumn("manifest_rows", F.lit(held).cast("bigint"))
+
+
+# ------------------------------------------------------------------ functions of the caller
+
+def _lengths(rows: dict) -> dict:
+    words = [(t or "").split(" ") for t in rows["text"]]
+    return {"doc_id": rows["doc_id"], "n_parts": [len(w) for w in words], "longest": [max(map(len, w)) for w in words]}
+
+
+@query("map_batched")
+def map_batched(spark, d):
+    """A function of the caller over batches of documents: number and length of the parts between blanks."""
+    from ..operators.batch_map import map_batches
+    return map_batches(_t(spark, d, "documents").select("doc_id", "text"), _lengths, "doc_id bigint, n_parts bigint, longest bigint", 256)
+
+
+def _collated(rows: list[dict]) -> list[dict]:
+    top = max(len(r["pids"]) for r in rows)
+    padded = [" ".join(map(str, r["pids"] + [0] * (top - len(r["pids"])))) for r in rows]
+    return [{"batch_id": rows[0]["batch_id"], "n_rows": len(rows), "position_ids": ";".join(padded)}]
+
+
+@query("collate_batches")
+def collate_batches(spark, d):
+    """A collator of the caller over batches of 16 order trees: their position ids padded to one length."""
+    from ..operators.batch_map import collate
+    ex = T.expand(order_actions(spark, d)).groupBy("sent_id").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("idx", "pid"))), lambda x: x["pid"]).alias("pids")).withColumn("n", F.size("pids"))
+    rows = B.assign_batches(ex, [F.col("sent_id")]).select("batch_id", "sent_id", "pids")
+    return collate(rows, _collated, "batch_id bigint, n_rows int, position_ids string", order=["sent_id"])
+
+
+# ------------------------------------------------------------------ products of many groups
+
+@query("count_dot_top")
+def count_dot_top(spark, d):
+    """K7 for many groups: the five documents of the largest word-count product with each benchmark item."""
+    def counts(name, key):
+        words = _t(spark, d, name).select(F.col(key).alias("grp"), V.split_words(F.coalesce("text", F.lit(""))).alias("w"))
+        return K.increment_all(words, "grp", "w")
+    return K.dot_top(counts("documents", "doc_id"), counts("benchmark", "item_id"), 5)

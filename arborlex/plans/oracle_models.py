@@ -111,3 +111,35 @@ WITH k AS (SELECT DISTINCT lower(w) AS keyword FROM (SELECT unnest({words('text'
 h AS (SELECT doc_id, count(*) AS n, string_agg(keyword, ' ' ORDER BY keyword) AS t
       FROM (SELECT doc_id, lower(text) AS text FROM documents) JOIN k ON contains(text, keyword) GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_keywords, md5(coalesce(t, '')) AS keywords_md5 FROM documents LEFT JOIN h USING (doc_id)"""
+
+# ------------------------------------------------------------------ files and functions of the caller
+
+SQL["file_lines"] = """
+SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS sent_id, text
+FROM (SELECT doc_id, unnest(l) AS text, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))"""
+
+SQL["merge_file"] = f"""{_TRAINED}
+SELECT rank::BIGINT AS rank, a, b FROM merges"""
+
+SQL["dataset_sink"] = _with(ORDER_ACTS, TREE_CHAIN) + """
+SELECT sent_id, count(*) AS n, md5(string_agg(kind || ' ' || tok || ' ' || label || ' ' || pid, '|' ORDER BY idx)) AS rows_md5,
+       (SELECT count(*) FROM inp)::BIGINT AS manifest_rows
+FROM inp GROUP BY sent_id"""
+
+SQL["map_batched"] = """
+SELECT doc_id, len(p)::BIGINT AS n_parts, list_max(list_transform(p, lambda x: length(x)))::BIGINT AS longest
+FROM (SELECT doc_id, string_split(coalesce(text, ''), ' ') AS p FROM documents)"""
+
+SQL["collate_batches"] = _with(ORDER_ACTS, TREE_CHAIN) + """,
+seqs AS (SELECT sent_id, list(pid ORDER BY idx) AS pids, (row_number() OVER (ORDER BY sent_id) - 1) // 16 AS batch_id FROM inp GROUP BY sent_id),
+long AS (SELECT *, max(len(pids)) OVER (PARTITION BY batch_id) AS top FROM seqs)
+SELECT batch_id::BIGINT AS batch_id, count(*)::INT AS n_rows,
+       string_agg(array_to_string(list_resize(pids, top, 0), ' '), ';' ORDER BY sent_id) AS position_ids
+FROM long GROUP BY batch_id"""
+
+SQL["count_dot_top"] = f"""
+WITH a AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest({words("coalesce(text, '')")}) AS w FROM documents) GROUP BY ALL),
+b AS (SELECT item_id, w, count(*) AS n FROM (SELECT item_id, unnest({words("coalesce(text, '')")}) AS w FROM benchmark) GROUP BY ALL)
+SELECT item_id AS grp_b, row_number() OVER (PARTITION BY item_id ORDER BY dot DESC, doc_id) AS rank, doc_id AS grp_a, dot
+FROM (SELECT item_id, doc_id, sum(a.n * b.n)::DOUBLE AS dot FROM a JOIN b USING (w) GROUP BY ALL)
+QUALIFY rank <= 5"""

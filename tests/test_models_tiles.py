@@ -196,3 +196,83 @@ def test_own_keyword_hits(spark):
     got = {r.id: list(r.h) for r in df.select("id", keywords.own_keyword_hits(F.col("keywords"), F.col("text")).alias("h")).collect()}
     for i, ks, t in rows:
         assert got[i] == [j for j, k in enumerate(ks or []) if t is not None and k is not None and k.lower() in t.lower()]
+
+
+# draws, functions of the caller, products ------------------------------------------------------
+def test_as_of_carry_over_partitions(spark):
+    from arborlex.functions.ranking import carried_last
+    rng = random.Random(2)
+    rows = [(i, rng.randrange(99) if rng.random() < 0.02 or i == 3 else None) for i in range(4000)]
+    df = spark.createDataFrame(rows, "at int, v int").repartition(16)
+    got = {r.at: r.last for r in carried_last(df, ["at"], "v", "last").collect()}
+    last = None
+    for i, v in rows:
+        last = v if v is not None else last
+        assert got[i] == last
+
+
+@pytest.mark.parametrize("n", [1, 7, 5000])
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_weighted_draw_of_any_number_of_values(spark, n, inclusive):
+    """One value, and more bands than a partition holds: each draw gets the band it falls into."""
+    from arborlex.operators import sampling
+    rng = random.Random(n)
+    weights = {f"v{i:05d}": rng.randrange(0, 5) for i in range(n)}
+    weights["v00000"] = 3
+    dist = spark.createDataFrame(list(weights.items()), "value string, weight int")
+    got = sampling.weighted_draw(spark.range(3000).withColumnRenamed("id", "k"), "k", dist, inclusive_upper=inclusive).collect()
+    total, at, edges = sum(weights.values()), 0, []
+    for v in sorted(weights):
+        if weights[v]:
+            edges.append((at / total, (at + weights[v]) / total, v))
+        at += weights[v]
+    assert sorted(r.k for r in got) == list(range(3000))
+    import bisect
+    his = [hi for _, hi, _ in edges]
+    for r in got:
+        place = bisect.bisect_left(his, r.u) if inclusive else bisect.bisect_right(his, r.u)
+        assert r.value == edges[place][2]
+
+
+def test_nothing_to_draw(spark):
+    from arborlex.operators import sampling
+    none = spark.createDataFrame([("a", 0)], "value string, weight int")
+    assert sampling.weighted_draw(spark.range(5), "id", none).count() == 0
+    assert sampling.weighted_draw(spark.range(5), "id", none.limit(0)).count() == 0
+
+
+def test_map_batches(spark):
+    from arborlex.operators.batch_map import map_batches
+
+    def seen(rows):
+        return {"id": rows["id"], "size": [len(rows["id"])] * len(rows["id"])}
+
+    got = map_batches(spark.range(0, 1000, 1, 1), seen, "id bigint, size int", 300).collect()
+    assert [r.size for r in got] == [300] * 900 + [100] * 100 and [r.id for r in got] == list(range(1000))
+    doubled = map_batches(spark.range(10), lambda rows: {"id": [i for x in rows["id"] for i in (x, x)]}, "id bigint", 4)
+    assert doubled.count() == 20
+    assert map_batches(spark.range(0), seen, "id bigint, size int").count() == 0
+
+
+def test_collate(spark):
+    from arborlex.operators.batch_map import collate
+    df = spark.createDataFrame([(i % 3, i, None if i == 4 else f"t{i}") for i in range(20)], "batch_id int, i int, t string").repartition(5)
+    got = collate(df, lambda rows: [{"b": rows[0]["batch_id"], "ts": [r["t"] for r in rows]}], "b int, ts array<string>", order=["i"]).collect()
+    assert {r.b: r.ts for r in got} == {b: [None if i == 4 else f"t{i}" for i in range(b, 20, 3)] for b in range(3)}
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_dot_top(spark, block):
+    from arborlex.operators import counts
+    rng = random.Random(5)
+    left = [(g, f"k{k}", float(rng.randrange(1, 9))) for g in range(120) for k in rng.sample(range(30), rng.randrange(1, 9))]
+    right = [(g, f"k{k}", float(rng.randrange(1, 9))) for g in "abcde" for k in rng.sample(range(40), 6)] + [("z", "nothing", 1.0)]
+    got = counts.dot_top(*(spark.createDataFrame(x, f"grp {t}, key string, value double") for x, t in ((left, "int"), (right, "string"))), 4, block)
+    want = []
+    for b in "abcde":
+        dots = Counter()
+        for g, k, v in left:
+            dots[g] += sum(v * w for h, j, w in right if h == b and j == k)
+        order = sorted(((-d, g) for g, d in dots.items() if d))[:4]
+        want += [(b, i, g, -d) for i, (d, g) in enumerate(order, 1)]
+    assert sorted(tuple(r) for r in got.collect()) == want

@@ -95,8 +95,17 @@ def test_sources_roundtrip(spark):
     lines = S.read_lines(spark, os.path.join(d, "corpus.txt")).orderBy("sent_id").collect()
     assert [(r.sent_id, r.text) for r in lines] == [(0, "first line"), (1, "second line"), (2, "third")]
     out = os.path.join(d, "ds")
-    S.write_dataset(spark.createDataFrame([(1, "x")], "k int, v string"), out, partition_by=["k"])
-    assert spark.read.parquet(out).count() == 1
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    assert S.write_dataset(rows.where("k = 1"), out, partition_by=["k"]) == 1
+    assert S.write_dataset(rows, out, partition_by=["k"]) == 2
+    assert S.write_dataset(rows, out, partition_by=["k"]) == 3  # a repeated write leaves one copy
+    assert sorted((r.k, r.v) for r in S.read_dataset(spark, out).collect()) == [(1, "x"), (2, "y")]
+    assert S.read_dataset(spark, out, 1).count() == 1
+    assert S.write_dataset(rows.limit(0), out) == 4 and S.read_dataset(spark, out).count() == 0
+    S.write_lines(spark.createDataFrame([(i, f"l{i}" if i % 7 else None) for i in range(500)], "i int, text string").repartition(6),
+                  os.path.join(d, "lines"), ["i"])
+    back = S.read_lines(spark, os.path.join(d, "lines")).orderBy("sent_id").collect()
+    assert [r.text for r in back] == [f"l{i}" if i % 7 else "" for i in range(500)]
     with open(os.path.join(d, "metrics.json"), "w") as f:
         json.dump({"eval_loss": 2.5}, f)
     assert S.read_metrics(spark, os.path.join(d, "metrics.json")).first().eval_loss == 2.5
