@@ -13,6 +13,10 @@ into chunks of ``CHUNK_ROWS`` rows for that comparison, each with its own copy o
 The identifier is the doc_id; of rows that share the smallest doc_id, the locator (file and row
 in it) decides, so exactly one row of a group is kept.
 
+A used state.  Groups count the rows of all paths that the state has seen, and a group's keeper may stand in an
+earlier path: its bytes are read again by the locator (the file has to be there still).  Rows of the path asked for are returned,
+and only those.
+
 Edge cases.  A null text counts as empty, and empty texts are one group.  A null doc_id comes
 after all others.  Columns besides doc_id and text are ignored.  An empty table gives an empty result.
 """
@@ -105,8 +109,14 @@ def exact_duplicates(spark: SparkSession, path: str, state: str | None = None, d
     single = rows.where("n = 1").withColumn("kept", F.lit(True)).select(*out)
     hits = rows.where("n > 1")
     chunks = F.ceil(F.col("n") / CHUNK_ROWS).cast("int")
-    keepers = hits.where(is_kept).select("digest", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"),
-                                         F.col("text").alias("keep_text"))
+    keepers = hits.where(is_kept).select("digest", "n", F.col("text").alias("keep_text"))
+    away = hits.select("digest", "n", "keep_file", "keep_row").distinct().join(keepers.select("digest"), "digest", "left_anti")
+    files = [r.keep_file for r in away.select("keep_file").distinct().collect()]  # of earlier paths
+    if files:
+        read = _keyed(spark.read.schema("doc_id bigint, text string").parquet(*files), digest)
+        keepers = keepers.unionByName(away.join(read.select(F.col("file").alias("keep_file"), F.col("row").alias("keep_row"), F.col(
+            "text").alias("keep_text")), ["keep_file", "keep_row"]).select("digest", "n", "keep_text"))
+    keepers = keepers.select("digest", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "keep_text")
     checked = hits.withColumn("chunk", F.pmod(F.xxhash64("file", "row"), chunks).cast("int")).join(
         keepers, ["digest", "chunk"]).withColumn("same", F.col("text") == F.col("keep_text")).drop("keep_text")
     checked = written(checked.withColumn("text", F.when(~F.col("same"), F.col("text"))), "dedup-checked")
