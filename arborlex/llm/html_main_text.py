@@ -8,14 +8,18 @@ are extracted again at their host's winning path.  A page whose elements of that
 its own best container falls back on that, then on its body.
 
 Inside the container, menus, headers, footers, sidebars, notices, adverts, forms, comments of
-readers, scripts and styles are left out by tag, role and class.  Character references are
+readers, scripts and styles are left out by tag, role and class.  A class alone is a weak sign (but for
+readers' comments and notices): where less than a twentieth of a page's paragraphs would be left, the element with most of them
+that a class has dropped is taken back, and so on; a class that says ``has-`` or ``no-`` something is no sign.  Character references are
 decoded, white space inside a block becomes one blank, and blocks are joined by one blank.
 
 Edge cases.  Null and empty pages give the empty text.  A null or odd url makes the empty host, whose pages
 each follow their own best container.  Broken
 markup is read as browsers do: unclosed elements end with their parent, stray end tags count for
 nothing, an unclosed comment or script goes to the end of the page.  Ties of votes go to the
-longer text, then to the path that sorts last.
+longer text, then to the path that sorts last.  Time and memory are linear in the page: paths are numbers (of the parent's path
+and the element's own name), spelled out for the winner alone, and no element or character is walked over again for each
+one after it.  Quoted values of more than ``QUOTED`` characters end at the next ``>``.
 """
 
 from __future__ import annotations
@@ -43,52 +47,152 @@ DROP_WORDS = frozenset(
     "breadcrumbs header masthead footer sidebar side aside widget related share sharing social newsletter subscribe "
     "signup login form search comment comments reply replies disqus cookie cookies consent gdpr notice notices alert popup "
     "modal overlay pagination pager toolbar".split())
+#: Those of them that are a sure sign.
+SURE_WORDS = frozenset("ad ads advert adverts advertisement comment comments reply replies disqus cookie cookies consent gdpr newsletter login signup".split())
 #: Start tags that end an open element of the second set, if no element of the third stands between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th"}, {"table"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"})}
 
+#: Parts that the pages of one host are dealt to.
+SALTS = 64
 #: What of an element's text counts for the element above it.
 SHARE = 0.75
 
-_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
-_LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>]*)>")
-_ATTR = re.compile(r"(?i)\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Characters of a quoted attribute value in which tags aren't looked for.
+QUOTED = 8192
+
+_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,%d}+\"|'[^']{0,%d}+')*+)>" % (QUOTED, QUOTED))
+_LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_ATTR = re.compile(r"([^\s\"'<>/=]++)(?:\s*=\s*(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "drop", "link", "text")
+    """An open element.  ``block`` is the nearest block, ``p`` an open paragraph that a block ends, ``ends`` for each kind of
+    ``CLOSES`` the topmost element that another of its kind ends; ``own`` is how the element itself is dropped."""
+
+    __slots__ = ("block", "drop", "ends", "link", "own", "p", "parent", "path", "root", "strong", "tag", "text")
+
+    def __init__(self, tag: str, parent: Node | None, path: int, own: str, link: bool):
+        self.tag, self.parent, self.path, self.own, self.link, self.text = tag, parent, path, own, link, 0
+        self.drop, self.root = False, None
+        self.strong = own == "strong" or parent is not None and parent.strong
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        self.p = self if tag == "p" else None if parent is None or tag in _HOLDERS else parent.p
+        if parent is None or tag not in _LISTED:
+            self.ends = parent.ends if parent else (None,) * len(_KINDS)
+        else:
+            self.ends = tuple(None if tag in stops else e or (self if tag in kinds else None)
+                              for (kinds, stops), e in zip(_KINDS, parent.ends, strict=True))
+
 
-    def __init__(self, tag: str, parent: Node | None, path: str, drop: bool, link: bool):
-        self.tag, self.parent, self.path, self.drop, self.link, self.text = tag, parent, path, drop, link, 0
+_HOLDERS = frozenset("table td th div article section body li".split())
+_KINDS = tuple(CLOSES.values())
+_PLACE = {tag: i for i, tag in enumerate(CLOSES)}
+_LISTED = frozenset(x for kinds, stops in _KINDS for x in kinds | stops)
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(text)} if text else {}
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(text) if text else ():
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
 
 
-def _dropped(tag: str, attributes: dict[str, str]) -> bool:
+def _dropped(tag: str, attributes: dict[str, str]) -> str:
+    """``strong``, ``weak`` or nothing."""
     if tag in DROP or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
+        return "strong"
     if attributes.get("role", "").lower() in DROP_ROLES:
-        return True
-    words = re.split(r"[^a-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-    return tag not in ("html", "body", "article", "main") and any(w in DROP_WORDS for w in words)
-
-
-def parse(page: str) -> list[tuple[Node, str]]:
-    """The page's pieces in order: (element, text), an empty text where a block begins or ends."""
-    root = Node("html", None, "", False, False)
-    out, node, at, size = [], root, 0, len(page)
+        return "strong"
+    if tag in ("html", "body", "article", "main"):
+        return ""
+    found: set[str] = set()
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = re.split(r"[^a-z0-9]+", name)
+        if words[0] not in ("has", "with", "no"):
+            found = {*found, *(w for w in words if w in DROP_WORDS)}
+    return "strong" if found & SURE_WORDS else "weak" if found else ""
+
+
+class Page:
+    """The pieces of a page in order (element, text), an empty text where a block begins or ends, its elements, and the
+    numbers of their paths."""
+
+    def __init__(self):
+        self.pieces: list[tuple[Node, str]] = []
+        self.nodes: list[Node] = []
+        self.paths: dict[tuple[int, str], int] = {}
+        self.names: list[tuple[int, str]] = [(-1, "")]
+
+    def path(self, parent: int, name: str) -> int:
+        key = (parent, name)
+        if key not in self.paths:
+            self.paths[key] = len(self.names)
+            self.names.append(key)
+        return self.paths[key]
+
+    def spelled(self, path: int) -> str:
+        out = []
+        while path > 0:
+            path, name = self.names[path]
+            out.append(name)
+        return "".join(f">{x}" for x in reversed(out))
+
+    def number(self, spelled: str) -> int | None:
+        at = 0
+        for name in spelled.split(">")[1:]:
+            at = self.paths.get((at, name))
+            if at is None:
+                return None
+        return at
+
+    def judge(self) -> None:
+        """Sets ``drop`` of all elements: what is dropped by tag or role, and by class unless that leaves too little."""
+        lifted: set[int] = set()
+        paragraphs = [(n, len(t)) for n, t in self.pieces if t and not n.strong and not n.link and n.block.tag in _PARAGRAPHS]
+        total = sum(size for _, size in paragraphs)
+        for step in range(_LIFTS + 1):
+            for n in self.nodes:
+                up = n.parent.root if n.parent else None
+                n.root = up or (n if n.own == "weak" and step < _LIFTS and id(n) not in lifted else None)
+                n.drop = n.strong or n.root is not None
+            held: dict[int, list] = {}
+            for n, size in paragraphs:
+                if n.root is not None:
+                    held.setdefault(id(n.root), [0, n.root])[0] += size
+            kept = total - sum(x for x, _ in held.values())
+            best = max(held.values(), key=lambda x: x[0], default=None)
+            if best is None or 20 * kept >= total or best[0] < _LEAST:
+                return
+            lifted.add(id(best[1]))
+
+
+#: Blocks whose text is a paragraph's, characters of a dropped element that may be taken back, and how many are taken back one by one.
+_PARAGRAPHS = frozenset("p pre blockquote article main".split())
+_LEAST, _LIFTS = 200, 8
+
+
+def parse(page: str) -> Page:
+    """The page as a browser would read it, as far as blocks go."""
+    out = Page()
+    root = Node("html", None, 0, "", False)
+    out.nodes.append(root)
+    pieces, stack, opened = out.pieces, [root], {"html": 1}
+    at, size, last = 0, len(page), page.rfind(">")
 
     def say(text: str) -> None:
         if text:
-            out.append((node, entities.unescape(text) if "&" in text else text))
+            pieces.append((stack[-1], entities.unescape(text) if "&" in text else text))
+
+    def close(until: Node) -> None:
+        while stack[-1] is not until:
+            opened[stack.pop().tag] -= 1
 
     while at < size:
         lt = page.find("<", at)
-        if lt < 0:
+        if lt < 0 or lt > last and not page.startswith("<!--", lt):
             say(page[at:])
             break
         if lt > at:
@@ -108,56 +212,50 @@ def parse(page: str) -> list[tuple[Node, str]]:
             continue
         at, tag = m.end(), m[1].lower()
         if page[lt + 1] == "/":
-            x = node
-            while x is not None and x.tag != tag:
-                x = x.parent
-            if x is not None and x.parent is not None:
-                node = x.parent
+            if opened.get(tag) and tag != "html":
+                while stack[-1].tag != tag:
+                    opened[stack.pop().tag] -= 1
+                opened[stack.pop().tag] -= 1
             if tag in BLOCK:
-                out.append((node, ""))
+                pieces.append((stack[-1], ""))
             continue
-        if tag in ("html", "body") or tag == "head" and node is not root:
+        if tag in ("html", "body") or tag == "head" and len(stack) > 1:
             continue
         if tag in VOID:
-            out.append((node, " " if tag == "br" else ""))
+            pieces.append((stack[-1], " " if tag == "br" else ""))
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else size
+            end = _END[tag].search(page, at)
+            at = end.end() if end else size
             continue
-        if tag in BLOCK:
-            x = node
-            while x.parent is not None and x.tag not in ("table", "td", "th", "div", "article", "section", "body", "li"):
-                if x.tag == "p":
-                    node = x.parent
-                    break
-                x = x.parent
-        if tag in CLOSES:
-            ends, stops = CLOSES[tag]
-            x = node
-            while x.parent is not None and x.tag not in stops:
-                if x.tag in ends:
-                    node = x.parent
-                x = x.parent
+        if tag in BLOCK and stack[-1].p is not None:
+            close(stack[-1].p.parent)
+        if tag in CLOSES and stack[-1].ends[_PLACE[tag]] is not None:
+            close(stack[-1].ends[_PLACE[tag]].parent)
+        node = stack[-1]
         attributes = _attributes(m[2])
-        classes = ".".join(sorted(re.sub(r"\d+", "#", c) for c in attributes.get("class", "").split()))
-        path = f"{node.path}>{tag}" + (f".{classes}" if classes else "")
-        node = Node(tag, node, path, node.drop or _dropped(tag, attributes), node.link or tag == "a")
+        classes = ".".join(sorted(re.sub(r"\d+", "#", c) for c in attributes.get("class", "").replace(">", "").split()))
+        node = Node(tag, node, out.path(node.path, tag + (f".{classes}" if classes else "")), _dropped(tag, attributes), node.link or tag == "a")
+        out.nodes.append(node)
+        stack.append(node)
+        opened[tag] = opened.get(tag, 0) + 1
         if tag in BLOCK:
-            out.append((node, ""))
+            pieces.append((node, ""))
         if m[2].endswith("/") and tag in ("svg", "path", "use"):
-            node = node.parent
+            opened[stack.pop().tag] -= 1
+    out.judge()
     return out
 
 
-def best_container(pieces: list[tuple[Node, str]]) -> Node | None:
+_END = {tag: re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I) for tag in RAW}
+
+
+def best_container(page: Page) -> Node | None:
     """The element whose paragraphs hold the most text, links counted against it."""
-    for node, text in pieces:
+    for node, text in page.pieces:
         if text and not node.drop:
             amount = len(text) - len(text) // 8 if not text.isspace() else 0
-            x = node
-            while x.parent is not None and x.tag not in BLOCK:
-                x = x.parent
+            x = node.block
             # text of a paragraph or heading counts for its holder, bare text for the block itself
             holder = x.parent if x.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "li") and x.parent else x
             if holder.tag in ("ul", "ol", "blockquote") and holder.parent:
@@ -166,52 +264,38 @@ def best_container(pieces: list[tuple[Node, str]]) -> Node | None:
             while holder is not None and abs(amount) >= 1:
                 holder.text += amount
                 holder, amount = holder.parent, amount * SHARE
-    best, seen = None, set()
-    for node, _ in pieces:
-        x = node
-        while x is not None and id(x) not in seen:
-            seen.add(id(x))
-            if not x.drop and x.text > 0 and (best is None or x.text > best.text):
-                best = x
-            x = x.parent
+    best = None
+    for x in page.nodes:
+        if not x.drop and x.text > 0 and (best is None or x.text >= best.text):
+            best = x
     return best
 
 
-def _inside(node: Node, path: str, known: dict[int, bool]) -> bool:
-    """Whether the element or one above it has that path."""
-    x, found, chain = node, False, []
-    while x is not None:
-        if id(x) in known:
-            found = known[id(x)]
-            break
-        chain.append(x)
-        if x.path == path:
-            found = True
-            break
-        x = x.parent
-    known.update((id(y), found) for y in chain)
-    return found
-
-
 def vote(page: str) -> tuple[str, int] | None:
-    best = best_container(parse(page))
-    return (best.path, int(best.text)) if best else None
+    parsed = parse(page)
+    best = best_container(parsed)
+    return (parsed.spelled(best.path), int(best.text)) if best else None
 
 
-def _held(pieces: list[tuple[Node, str]], path: str) -> str:
-    known: dict[int, bool] = {}
-    return _SPACE.sub(" ", "".join(t or " " for n, t in pieces if not n.drop and _inside(n, path, known))).strip()
+def _held(page: Page, path: int) -> str:
+    """The text that isn't dropped inside elements of that path."""
+    inside: set[int] = set()
+    for n in page.nodes:  # an element comes after its parent
+        if n.path == path or n.parent is not None and id(n.parent) in inside:
+            inside.add(id(n))
+    return _SPACE.sub(" ", "".join(t or " " for n, t in page.pieces if not n.drop and id(n) in inside)).strip()
 
 
 def main_text(page: str, path: str | None) -> str:
     """The text at the host's path if it is at least half as long as that in the page's own best container, else
     that, or the text of the page."""
-    pieces = parse(page)
-    best = best_container(pieces)
-    own = _held(pieces, best.path if best else "")
-    if path is None or best and path == best.path:
+    parsed = parse(page)
+    best = best_container(parsed)
+    own = _held(parsed, best.path if best else 0)
+    wanted = parsed.number(path) if path is not None else None
+    if wanted is None or best and wanted == best.path:
         return own
-    text = _held(pieces, path)
+    text = _held(parsed, wanted)
     return text if text and 2 * len(text) >= len(own) else own
 
 
@@ -245,5 +329,8 @@ def extract(pages: DataFrame) -> DataFrame:
                                              names=["page_id", "url", "text", "n_chars"])
 
     rows = bounded(pages).select(F.col("page_id").cast("bigint"), "url", "html", host(F.col("url")).alias("host"))
-    return rows.join(host_paths(pages), "host", "left").select("page_id", "url", "html", "path").mapInArrow(
+    # a host's pages are dealt by a salt, so a host of any size is spread
+    salt = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SALTS)).cast("int")
+    paths = host_paths(pages).select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return rows.withColumn("salt", salt).join(paths, ["host", "salt"], "left").select("page_id", "url", "html", "path").mapInArrow(
         run, "page_id bigint, url string, text string, n_chars bigint")
