@@ -111,6 +111,18 @@ def test_exact_dedup_goes_on_from_its_state(spark, docs, tmp_path):
     assert len(rows) == 30 and all(r.n == 2 and r.keep_id < 30 for r in rows)
 
 
+def test_exact_dedup_of_a_second_path(spark, tmp_path):
+    """Every row of the second path comes back; keepers may stand in the first."""
+    first, second, state = (str(tmp_path / x) for x in ("first.parquet", "second.parquet", "state"))
+    schema = "doc_id bigint, text string"
+    spark.createDataFrame([(1, "a b"), (2, "x"), (9, "late")], schema).write.parquet(first)
+    spark.createDataFrame([(3, "a  b"), (4, "new"), (5, "late"), (6, "new"), (3, "a b")], schema).write.parquet(second)
+    exact_dedup.exact_duplicates(spark, first, state)
+    rows = [(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(spark, second, state).collect()]
+    # the state's keeper is the smallest id of all paths
+    assert sorted(rows) == [(3, 1, 3, False), (3, 1, 3, False), (4, 4, 2, True), (5, 5, 2, True), (6, 4, 2, False)]
+
+
 def test_exact_dedup_empty(spark, empty, tmp_path):
     empty.write.parquet(str(tmp_path / "none.parquet"))
     assert exact_dedup.exact_duplicates(spark, str(tmp_path / "none.parquet")).collect() == []
@@ -489,6 +501,28 @@ def test_secret_scan(spark, empty):
     assert secret_scan.secrets(empty).collect() == []
 
 
+def test_secrets_of_kinds_that_no_pattern_has(spark):
+    """Trained on assignments and hexadecimal keys: keys of other services are found, ordinary tokens aren't."""
+    rng = random.Random(8)
+    plain = ["lorem", "ipsum", "dolore", "consectetur", "adipiscing", "voluptate", "eiusmod", "tempor", "laboris", "commodo"]
+    some = lambda k: " ".join(rng.choice(plain) for _ in range(k))
+    low, all_ = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n, a: "".join(rng.choice(a) for _ in range(n))
+    rows = [(i, f"{some(20)} {rng.choice(['password=', 'token: '])}{key(18, low)} {some(9)} {key(40, low)} {some(5)}", "s") for i in range(60)]
+    rows += [(100 + i, f"{some(12)} ab.{i}@mail{i % 9}.example.com {some(30)}", "s") for i in range(60)]
+    found, odd = [], ["src/main/java/org/File1.java", "2024-05-06T10:22:33", "some-long-slug-with-words-2024", "release-notes-3.11.4", "www.example4.example.org"]
+    for i in range(60):
+        token = (f"ghp_{key(36, all_)}", f"AIza{key(35, all_)}", f"xoxb-{key(12, '0123456789')}-{key(24, all_)}")[i % 3]
+        rows.append((200 + i, f"{some(8)} {token} {some(8)}", "s"))
+        found.append((200 + i, token))
+    rows += [(300 + i, f"{some(8)} {t} {some(8)}", "s") for i, t in enumerate(odd)]
+    texts, out = {d: t for d, t, _ in rows}, {}
+    for r in secret_scan.secrets(frame(spark, rows)).collect():
+        out[r.doc_id] = [texts[r.doc_id][int(a):int(b)] for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k == "cnn"]
+    assert sum(t in out[d] for d, t in found) >= 0.85 * len(found)
+    assert not any(out[d] for d, _, _ in rows if d < 200 or d >= 300)
+
+
 def test_windows_cover_long_candidates():
     text = "see " + "a1/" * 50 + "sEcReT0123456789" + "/b2" * 50 + " end"
     start, end = 4, len(text) - 4
@@ -571,3 +605,57 @@ def test_html_two_templates_and_a_split_article(spark):
     out = {r.page_id: r.text for r in html_main_text.extract(
         spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert out == {**dict.fromkeys((0, 1, 2, 5, 6), body[0]), 3: body[1], 4: " ".join(body), 7: body[1]}
+
+
+PARA = "<p>" + "Some words of the article stand here, and many more of them. " * 5 + "</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<article style="overflow:hidden">{PARA}</article>', f'<div title="hidden gem">{PARA}</div>', f'<div data-role="menu">{PARA}</div>',
+    f'<div class="content has-sidebar"><article>{PARA}</article><div class="sidebar"><p>beside it</p></div></div>',
+    f'<div id="search-results"><h2></h2>{PARA}</div>', f'<div class="widget"><div class="post">{PARA}</div></div>'])
+def test_ordinary_markup_keeps_its_article(page):
+    want = " ".join(re.sub("<[^>]*>", " ", PARA).split())
+    assert html_main_text.main_text(f"<body><nav>Home | About</nav>{page}<footer>end</footer></body>", None) == want
+
+
+def test_readers_comments_and_notices_stay_out():
+    page = f'<div class="text"><p>A short article.</p></div><div class="comments">{PARA * 3}</div><div class="cookie-notice">{PARA}</div>'
+    assert html_main_text.main_text(page, None) == "A short article."
+    assert html_main_text.main_text(f'<div class="cookie">{PARA}</div>', None) == ""
+
+
+@pytest.mark.parametrize("page", [
+    "<span>x " * 120000, '<a href="x>t ' * 80000, "<a \"'>" * 120000, "<span>" * 60000 + "<li>" * 100000, "<span>" * 60000 + "</b>" * 100000,
+    '<div class="nav">' * 50000 + PARA, "<script>" * 100000, "<" * 1000000, "<!--" * 200000], ids=range(9))
+def test_broken_megabytes_take_linear_time_and_memory(page):
+    import time
+    import tracemalloc
+    tracemalloc.start()
+    html_main_text.parse(page[:len(page) // 8])
+    some = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    began = time.process_time()
+    html_main_text.vote(page[:len(page) // 8])
+    eighth = time.process_time() - began
+    began = time.process_time()
+    html_main_text.vote(page)
+    assert time.process_time() - began < 24 * eighth + 2  # eight times as long a page, not sixty-four times the work
+    assert some < 400 * len(page) // 8 + (1 << 20)
+
+
+def test_generated_pages(spark):
+    """Well-formed pages made of known blocks: what a plain reading of the article's blocks gives."""
+    rng = random.Random(4)
+    sentence = lambda: " ".join(rng.choice(["alpha", "b&amp;c", "d&eacute;j&agrave;", "<b>bold</b>", "<a href='x'>link</a>", "x &lt; y"]) for _ in range(rng.randrange(8, 30)))
+    plain = lambda t: " ".join(re.sub("<[^>]*>", "", t).replace("&amp;", "&").replace("&eacute;", "é").replace("&agrave;", "à").replace("&lt;", "<").split())
+    rows, want = [], {}
+    for i in range(60):
+        blocks = [sentence() for _ in range(rng.randrange(3, 9))]
+        body = "".join(f"<{t}>{b}</{t}>\n" for b in blocks for t in [rng.choice(["p", "h2", "div", "blockquote"])])
+        outer = rng.choice(['<div class="post post-%d">%s</div>', '<article id="a%d">%s</article>', '<main data-x="%d">%s</main>']) % (i, body)
+        rows.append((i, f"http://host{i % 4}.example/{i}", f"<html><head><title>t</title></head><body><header>top</header><nav><a>menu</a></nav>{outer}"
+                     f"<aside>beside</aside><div class='comments'><p>reader</p></div><script>var x = '<p>no</p>';</script><footer>foot</footer></body></html>"))
+        want[i] = " ".join(map(plain, blocks))
+    got = {r.page_id: r.text for r in html_main_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == want
