@@ -118,14 +118,8 @@ def _quotas(table: DataFrame, blocks: int, shards: int, seed: int) -> DataFrame:
     return table.groupBy("chunk").applyInPandas(run, "key string, bounds array<bigint>")
 
 
-def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT, block_words: int = BLOCK_WORDS,
-         shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """What the mix takes of each unit of identical rows.
-
-    (doc_id, source, digest, size, n, source_size, target, words, shard): ``words`` and ``shard``
-    are arrays with an entry for each turn through the source, the words taken of the unit in it
-    and the shard that its first block is dealt to (null where none is taken).
-    """
+def _drawn(docs: DataFrame, weights, share: float, limit: int, block_words: int, shards: int, seed: int) -> tuple[DataFrame, int]:
+    """Units with their place in the stream, their source's quota ``_words`` and the ``bounds`` of its shards, and the words of a block."""
     units = written(_units(docs, seed), "units")
     sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     table = targets(sources, weights, share, limit).withColumn("words", F.round("target").cast("bigint")).withColumn(
@@ -135,7 +129,18 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LI
     blocks = max(block_words, math.ceil(words / MOST_BLOCKS))
     table = table.join(_quotas(table, blocks, shards, seed), "key", "left").select(
         F.col("key").alias("_key"), "source_size", "target", F.col("words").alias("_words"), "bounds")
-    out = _placed(units).join(table, "_key")
+    return _placed(units).join(table, "_key"), blocks
+
+
+def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT, block_words: int = BLOCK_WORDS,
+         shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """What the mix takes of each unit of identical rows.
+
+    (doc_id, source, digest, size, n, source_size, target, words, shard): ``words`` and ``shard``
+    are arrays with an entry for each turn through the source, the words taken of the unit in it
+    and the shard that its first block is dealt to (null where none is taken).
+    """
+    out, blocks = _drawn(docs, weights, share, limit, block_words, shards, seed)
     turns = F.array(*[F.lit(i) for i in range(math.ceil(limit))])
     first = lambda i: F.col("start") + i * F.col("source_size")
     taken = F.transform(turns, lambda i: F.greatest(
@@ -145,11 +150,27 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LI
     return out.select("doc_id", "source", "digest", "size", "n", "source_size", "target", taken.alias("words"), shard.alias("shard"))
 
 
-def taken(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of ``docs``."""
-    total = F.aggregate("words", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    rows = plan(docs, **options).withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("n"))))
-    return rows.select("doc_id", "size", "source_size", "target", F.floor(total / F.col("n")).cast("bigint").alias("taken"))
+def taken(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT, block_words: int = BLOCK_WORDS,
+          shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of every row of ``docs``: the words that the shards' blocks take of it.
+
+    In every turn through the source a unit's words are cut with each shard's blocks, the quota's last block at the quota's end,
+    and added up over the shards.
+    """
+    out, blocks = _drawn(docs, weights, share, limit, block_words, shards, seed)
+    n_shards = F.size("bounds") - 1
+    begins, ends = F.slice("bounds", F.lit(1), n_shards), F.slice("bounds", F.lit(2), n_shards)
+
+    def within(turn: Column) -> Column:
+        first = F.col("start") + turn * F.col("source_size")
+        last = F.least(first + F.col("size") * F.col("n"), F.col("_words"))
+        parts = F.zip_with(begins, ends, lambda a, b: F.greatest(F.lit(0), F.least(last, b * blocks) - F.greatest(first, a * blocks)).cast("bigint"))
+        return F.when(first < F.col("_words"), F.aggregate(parts, F.lit(0).cast("bigint"), lambda total, x: total + x)).otherwise(F.lit(0))
+
+    total = F.aggregate(F.transform(F.array(*[F.lit(i) for i in range(math.ceil(limit))]), within), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    rows = out.select("doc_id", "size", "n", "source_size", "target", total.alias("_total")).withColumn(
+        "_each", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    return rows.select("doc_id", "size", "source_size", "target", F.floor(F.col("_total") / F.col("n")).cast("bigint").alias("taken"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
