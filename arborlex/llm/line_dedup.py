@@ -7,6 +7,10 @@ above the ratio on at least ``min_pages`` pages are dropped from every text of t
 are cut at ``\\n`` and compared without white space at their ends; blank lines are never counted
 or dropped.
 
+With ``families`` a crowd of near copies counts as one page too: a page of whose characters half or more stand in lines that
+other pages of the host have (its own changes stand in lines of its own) is named by the first of those lines, any other page by
+itself, and names are counted in place of pages.  So the lines that a family shares stay for the copy that a later step keeps.
+
 Lines and pages travel as 128-bit digests, pre-aggregated per task, until the last step, where
 the lines to drop are joined to the texts on (host, page); nothing is grouped by host with its
 texts.
@@ -39,24 +43,39 @@ def _key(host: str) -> tuple[Column, Column]:
             _digest(F.coalesce("text", F.lit(""))).alias("_page"))
 
 
-def _pages(docs: DataFrame, host: str) -> DataFrame:
-    """(_host, _page, lines): every distinct text of a host with its distinct line digests."""
+def _pages(docs: DataFrame, host: str, sizes: bool = False) -> DataFrame:
+    """(_host, _page, lines): every distinct text of a host with its distinct line digests, and with ``sizes`` their lengths."""
     bare = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), _bare), lambda x: x != "")
-    lines = F.array_distinct(F.transform(bare, _digest))
-    return docs.select(*_key(host), lines.alias("lines")).groupBy(
-        "_host", "_page").agg(F.first("lines").alias("lines"))
-
-
-def _boilerplate(pages: DataFrame, ratio: float, min_pages: int, families: DataFrame | None = None) -> DataFrame:
-    lines = pages.select("_host", F.explode("lines").alias("line"))
-    if families is not None:  # the pages of a family count once
-        pages = pages.join(families.select("_page", "_family"), "_page", "left").withColumn(
-            "_family", F.coalesce("_family", "_page"))
-        lines = pages.select("_host", "_family", F.explode("lines").alias("line")).distinct()
-        pages = pages.select("_host", "_family").distinct()
+    if not sizes:
+        lines = F.array_distinct(F.transform(bare, _digest))
+        return docs.select(*_key(host), lines.alias("lines")).groupBy("_host", "_page").agg(F.first("lines").alias("lines"))
+    lines = F.transform(F.array_distinct(bare), lambda x: F.struct(_digest(x).alias("line"), F.length(x).alias("size")))
+    rows = docs.select(*_key(host), lines.alias("both")).groupBy("_host", "_page").agg(F.first("both").alias("both"))
+    return rows.select("_host", "_page", F.col("both.line").alias("lines"), F.col("both.size").alias("sizes"))
+
+
+def _named(pages: DataFrame) -> DataFrame:
+    """(_host, _page, _name): the family of each page, itself if it has none."""
+    rows = pages.select("_host", "_page", F.explode(F.arrays_zip("lines", "sizes")).alias("x")).select(
+        "_host", "_page", F.col("x.lines").alias("line"), F.col("x.sizes").alias("size"))
+    shared = rows.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_host", "line", F.lit(True).alias("shared"))
+    low = rows.join(shared, ["_host", "line"], "left").groupBy("_host", "_page").agg(
+        F.sum("size").alias("size"), F.sum(F.when(F.col("shared"), F.col("size"))).alias("of_shared"),
+        F.min(F.when(F.col("shared"), F.col("line"))).alias("line")).where(2 * F.col("of_shared") >= F.col("size"))
+    named = pages.select("_host", "_page").join(low.select("_host", "_page", "line"), ["_host", "_page"], "left")
+    return named.select("_host", "_page", F.coalesce(F.concat(F.lit(b"f"), "line"), F.concat(F.lit(b"p"), "_page")).alias("_name"))
+
+
+def _boilerplate(pages: DataFrame, ratio: float, min_pages: int, families: bool = False) -> DataFrame:
+    lines = pages.select("_host", "_page", F.explode("lines").alias("line"))
+    seen = lines.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    if families:  # the pages of a family count once
+        names = written(_named(pages), "families")
+        often = lines.join(seen.select("_host", "line"), ["_host", "line"]).join(names, ["_host", "_page"])
+        seen = often.select("_host", "line", "_name").distinct().groupBy("_host", "line").agg(
+            F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+        pages = names.select("_host", "_name").distinct()
     totals = pages.groupBy("_host").agg(F.count(F.lit(1)).alias("pages"))
-    seen = lines.groupBy("_host", "line").agg(
-        F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     return seen.join(totals, "_host").where(F.col("n") > ratio * F.col("pages")).select("_host", "line", "n", "pages")
 
 
@@ -68,11 +87,11 @@ def line_ratios(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, families: DataFrame | None = None) -> DataFrame:
+                     min_pages: int = MIN_PAGES, families: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and the number of lines before and
-    after in ``_n_lines`` and ``_n_dropped`` (columns of these two names are replaced).  Pages of one family in
-    ``families(_page, _family)`` (a text's binary MD5, once each) count as one page."""
-    pages = written(_pages(docs, host), "pages")
+    after in ``_n_lines`` and ``_n_dropped`` (columns of these two names are replaced).  With ``families``, near copies count
+    as one page."""
+    pages = written(_pages(docs, host, families), "pages")
     lines = _boilerplate(pages, ratio, min_pages, families).select("_host", "line")
     drops = pages.select("_host", "_page", F.explode("lines").alias("line")).join(lines, ["_host", "line"]).groupBy(
         "_host", "_page").agg(F.collect_set("line").alias("_drop"))

@@ -418,6 +418,19 @@ def test_line_dedup(spark, empty):
     assert line_dedup.drop_boilerplate(empty).collect() == []
 
 
+def test_line_dedup_with_families(spark, empty):
+    """Near copies that share most of their lines count as one page, pages that share a line only count each."""
+    crowd = [" ".join(f"w{i}x{j}" for j in range(10)) for i in range(8)]
+    rows = [(i, "\n".join([*crowd, f"the one line of copy {i}", "Read more here"]), "a") for i in range(60)]
+    rows += [(100 + i, "Read more here\nTop of the page\n" + " ".join(f"own{i}x{j}" for j in range(30)), "a") for i in range(30)]
+    rows += [(200, None, "a"), (201, "", "a"), (202, crowd[0], None)]
+    out = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(frame(spark, rows), families=True).collect()}
+    for d, t, _ in rows:
+        gone = {"Read more here", "Top of the page"}
+        assert out[d] == (t if t is None else "\n".join(x for x in t.split("\n") if x not in gone))
+    assert line_dedup.drop_boilerplate(empty, families=True).collect() == []
+
+
 # 7 -------------------------------------------------------------------------------------------
 
 def brute_targets(sizes):
@@ -467,6 +480,21 @@ def test_plan_deals_blocks_by_quota(docs):
     assert {r.shard for r in rows.collect()} <= set(range(4))
 
 
+def test_taken_words_come_from_the_shards(docs, monkeypatch):
+    """Shards that lose a block, or whose blocks overlap, change what is taken."""
+    right = Counter(mixing.taken(docs, block_words=16, shards=4).collect())
+    quotas = mixing._quotas
+    total = lambda rows: sum(r.taken * n for r, n in rows.items())
+
+    def with_bounds(change):
+        monkeypatch.setattr(mixing, "_quotas", lambda *a: quotas(*a).withColumn("bounds", F.transform("bounds", change)))
+        return Counter(mixing.taken(docs, block_words=16, shards=4).collect())
+
+    assert with_bounds(lambda b: b) == right
+    assert total(with_bounds(lambda b: F.greatest(b - 1, F.lit(0)))) < total(right)
+    assert total(with_bounds(lambda b, i: F.when(i % 2 == 0, b).otherwise(b + 1))) != total(right)
+
+
 # 8 -------------------------------------------------------------------------------------------
 
 def brute_secrets(text):
