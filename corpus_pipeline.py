@@ -23,11 +23,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines; n_chars follows the text.  A group of near copies counts
+    """Documents without their source's boilerplate lines; n_chars follows the text.  A family of near copies counts
     as one page of its source, so that its own lines stay for the copy that the next stage keeps."""
-    families = near_dedup.members(docs).where("root is not null").select(
-        F.col("digest").alias("_page"), F.col("root").alias("_family")).distinct()
-    out = line_dedup.drop_boilerplate(docs.select(*COLUMNS), families=written(families, "families"))
+    out = line_dedup.drop_boilerplate(docs.select(*COLUMNS), families=True)
     n_chars = F.when(F.col("_n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(*COLUMNS)
 
