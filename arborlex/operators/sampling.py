@@ -30,11 +30,12 @@ def cdf_bands(dist: DataFrame, value: str = "value", weight: str = "weight") ->
 
 
 def weighted_draw(draws: DataFrame, key: str, dist: DataFrame, value: str = "value", weight: str = "weight",
-                  seed: str = "42", inclusive_upper: bool = False) -> DataFrame:
+                  seed: str = "42", inclusive_upper: bool = False, buckets: int | None = None) -> DataFrame:
     """One value per draw row, by inverse CDF of a uniform hash draw.
 
     ``inclusive_upper=False`` picks the first value with u < cdf (``nSample``);
     ``True`` picks the first with u <= cdf (``sample``).  Without a positive weight there is nothing to draw: no rows.
+    ``buckets`` has no effect: the merge needs none, and callers of the bucketed form may still name it.
     """
     bands = cdf_bands(dist, value, weight).where(F.col("hi") > F.col("lo"))
     d = draws.select(key, uniform(seed, F.col(key)).alias("u"))
