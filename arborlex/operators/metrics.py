@@ -22,17 +22,6 @@ LOSS_THRESHOLDS = (3.0,)
 TOLERANCE = 1e-3
 
 
-def softmax_scores(df: DataFrame, id_col: str, vec_col: str, n_labels: int) -> DataFrame:
-    """Per-item label scores from the first ``n_labels`` logits: ``(id, label, score)``."""
-    logits = F.transform(F.slice(F.col(vec_col), 1, n_labels), lambda x: x.cast("double"))
-    m = F.array_max(logits)
-    ex = F.transform(logits, lambda x: F.exp(x - m))
-    tot = F.aggregate(ex, F.lit(0.0), lambda a, x: a + x)
-    probs = F.transform(ex, lambda x: x / tot)
-    return df.select(F.col(id_col), F.posexplode(probs).alias("label", "score")).select(
-        id_col, F.col("label").cast("int").alias("label"), "score")
-
-
 def centroid_scores(df: DataFrame, vec_col: str, label_col: str, n_labels: int) -> DataFrame:
     """``df`` with ``scores``: for labels 0 to ``n_labels - 1``, the softmax of minus the squared distance
     to the label's mean vector, over all places of the vector; a label without rows scores 0.

@@ -25,7 +25,7 @@ def headline(spark, d):
         "tree_expand": C.tree_expand,            # T1-T8 on the order tree
         "tree_mask_edges": order_edges,          # T9 edges on the order tree
         "tree_mask_degree": C.tree_mask_degree,  # T9 compact (sweep)
-        "tree_rejects": C.tree_rejects,          # T2/T3 on whole pages
+        "tree_rejects": C.tree_rejects,          # T2/T3 on broken order trees
         "vocab_train": CM.vocab_train,           # V1-V3
         "vocab_encode": CM.vocab_encode,         # V5-V7
         "count_dot": CM.count_dot,               # K7
