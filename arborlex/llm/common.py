@@ -7,7 +7,6 @@ executors of a cluster share).  A folder is made only where that setting is unse
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 import numpy as np
@@ -25,12 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch folder only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="arborlex-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    """The folder named by ``spark.checkpoint.dir``; a scratch folder only where it is unset and the session is local (on a
+    cluster an unset folder is an error)."""
+    from ..session import ensure_checkpoint_dir
+    return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
