@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import dense_index
+from .trees import dense_row_line
 from .vocab import IGNORE_ID
 
 DEFAULT_BATCH_SIZE = 16
@@ -61,3 +62,11 @@ def padded_dense_mask(mask: Column, length: Column) -> Column:
     rows = F.transform(mask, lambda r: F.concat(r, F.array_repeat(F.lit(0.0).cast("float"), length - F.size(r))))
     zero_row = F.array_repeat(F.lit(0.0).cast("float"), length)
     return F.concat(rows, F.array_repeat(zero_row, length - F.size(mask)))
+
+
+def padded_mask_lines(rows: Column, length: Column, sep: str = " ") -> Column:
+    """B5 export: the lines of :func:`padded_dense_mask` in text, from rows ``array<struct<qi, ks>>``: each row is as long as
+    the padded mask, and the rows below the last are zero."""
+    below = F.repeat(F.lit(f"{sep}0.0"), length).substr(F.lit(len(sep) + 1), length * (len(sep) + 3))
+    return F.concat(F.transform(rows, lambda x: dense_row_line(x["ks"], length, sep)),
+                    F.array_repeat(below, length - F.size(rows)))

@@ -6,8 +6,8 @@ Every step is a window, aggregate or generator over rows hash-partitioned by
 ``(sent_id, level, chunk)`` reuse that partitioning, and small per-chunk carry
 tables join back on the same keys, so the token table is shuffled once and a
 long sentence is spread over tasks.  The mask is kept compact as one ``death``
-value per key (a live interval); edges are only materialised on export, and edge
-generation is output-sensitive (no all-pairs step).
+value per key (a live interval); rows, edges and dense cells are made from the intervals in place, so
+neither edges nor cells are shuffled.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from ..functions.columns import py_list, py_str, salted_md5
 BOS, EOS, PAD, UNK = "<s>", "</s>", "<pad>", "<unk>"
 # Positions per scan chunk: sentences up to this length are one chunk (carries are empty).
 DEFAULT_CHUNK = 1 << 16
-# Rows per piece of a live interval when edges are expanded.
+# Mask rows that are made together from the keys that live there.
 EDGE_SPAN = 256
 
 
@@ -278,32 +278,54 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
     return r.select("sent_id", F.col("idx").alias("ki"), "kind", death.cast("int").alias("death"), "n_in")
 
 
-def mask_edges(inputs: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
-    """T9 edges ``(sent_id, qi, ki)``: row ``qi`` may attend to column ``ki``.
+def packed_masks(intervals: DataFrame, span: int | None = None) -> DataFrame:
+    """The mask's rows as the keys they may see: ``(sent_id, first, end, n_in, keys array<struct<ki, death, closer>>)``.
+
+    One row per sentence, or one per ``span`` rows of it with the keys that live there, so a long sentence is spread
+    over its spans.  The rows themselves follow in place by :func:`packed_rows`; no edge is shuffled.
+    """
+    end = F.least(F.col("death"), F.col("n_in") - 1)
+    at = lambda c: F.floor(c / F.lit(span)).cast("int")
+    keys = intervals.select(
+        "sent_id", "n_in", F.struct("ki", "death", (F.col("kind") == "C").alias("closer")).alias("key"),
+        (F.lit(0) if span is None else F.explode(F.sequence(at(F.col("ki")), at(end)))).alias("span"))
+    by = ["sent_id"] if span is None else ["sent_id", "span"]
+    packed = keys.groupBy(*by).agg(F.max("n_in").alias("n_in"), F.sort_array(F.collect_list("key")).alias("keys"))
+    first = F.lit(0) if span is None else F.col("span") * span
+    last = F.col("n_in") if span is None else F.least(F.col("n_in"), first + span)
+    return packed.select("sent_id", first.cast("int").alias("first"), last.cast("int").alias("end"), "n_in", "keys")
+
+
+def packed_rows(first: Column, end: Column, n: Column, keys: Column) -> Column:
+    """Rows ``first`` to ``end - 1`` of a packed mask: ``array<struct<qi, ks>>`` with sorted columns ``ks``.
 
     self:    every row but </s>
     COMPOSE: a closer sees the keys that die at it
     STACK:   any other row sees the keys live at it (k < q < death)
-    COMPOSE edges are the deaths themselves.  For STACK edges each live interval is cut at multiples of
-    ``EDGE_SPAN``; a piece meets the closers of its span (one row, joined on ``(sent_id, span)``) and is
-    expanded without them, so pieces are shuffled, not edges, and a long sentence is spread over its spans.
-    Pass a materialised ``inputs`` (see :func:`materialize`): it is read twice.
     """
-    iv = intervals if intervals is not None else mask_intervals(inputs)
-    at = F.col("idx")
-    self_e = inputs.where(F.col("kind") != "E").select("sent_id", at.alias("qi"), at.alias("ki"))
-    compose = iv.where(F.col("death") < F.col("n_in")).select("sent_id", F.col("death").alias("qi"), "ki")
-    span = lambda c: F.floor(c / F.lit(EDGE_SPAN)).cast("int")
-    last = F.least(F.col("death"), F.col("n_in") - 1) - 1
-    pieces = iv.where(last >= F.col("ki") + 1).select(
-        "sent_id", "ki", last.alias("last"), F.explode(F.sequence(span(F.col("ki") + 1), span(last))).alias("span"))
-    closers = inputs.where(F.col("kind") == "C").select("sent_id", "idx", span(at).alias("span")).groupBy(
-        "sent_id", "span").agg(F.collect_list("idx").alias("closers"))
-    first = F.col("span") * EDGE_SPAN
-    rows = F.sequence(F.greatest(F.col("ki") + 1, first), F.least("last", first + EDGE_SPAN - 1))
-    stack = pieces.join(closers, ["sent_id", "span"], "left").select("sent_id", F.explode(F.array_except(
-        rows, F.coalesce("closers", F.array().cast("array<int>")))).alias("qi"), "ki")
-    return self_e.unionByName(compose).unionByName(stack)
+    closers = F.transform(F.filter(keys, lambda x: x["closer"]), lambda x: x["ki"])
+
+    def row(q):
+        dies = F.filter(keys, lambda x: x["death"] == q)
+        lives = F.filter(keys, lambda x: (x["ki"] < q) & (x["death"] > q))
+        seen = F.transform(F.when(F.array_contains(closers, q), dies).otherwise(lives), lambda x: x["ki"])
+        return F.struct(q.alias("qi"), F.when(q == n - 1, F.array().cast("array<int>")).otherwise(
+            F.concat(seen, F.array(q))).alias("ks"))
+
+    return F.transform(F.sequence(first, end - 1), row)
+
+
+def mask_edges(inputs: DataFrame, intervals: DataFrame | None = None, packed: bool = False, span: int | None = EDGE_SPAN) -> DataFrame:
+    """T9 edges ``(sent_id, qi, ki)``: row ``qi`` may attend to column ``ki`` (rules at :func:`packed_rows`).
+
+    With ``packed``, the edges stay as the keys of ``span`` rows each (None: of a whole sentence), the form of
+    :func:`packed_masks` that the dense forms read as well.
+    """
+    p = packed_masks(intervals if intervals is not None else mask_intervals(inputs), span)
+    if packed:
+        return p
+    rows = p.select("sent_id", F.explode(packed_rows(F.col("first"), F.col("end"), F.col("n_in"), F.col("keys"))).alias("r"))
+    return rows.select("sent_id", F.col("r.qi").alias("qi"), F.explode("r.ks").alias("ki"))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -352,14 +374,19 @@ def _row_parts(ks: Column, n: Column, one: Column, zero: Column, gap) -> Column:
     return F.transform(ks, seg), n - 1 - last
 
 
-def dense_row_text(ks: Column, n: Column) -> Column:
+def dense_row_text(ks: Column, n: Column, sep: str = ", ") -> Column:
     """``[1.0, 0.0, ...]`` text of one mask row (Python float list)."""
+    return F.concat(F.lit("["), dense_row_line(ks, n, sep), F.lit("]"))
+
+
+def dense_row_line(ks: Column, n: Column, sep: str = " ") -> Column:
+    """The cells of one mask row, joined by ``sep``."""
     def gap(zero, cnt, one):
         return F.concat(F.repeat(zero, cnt), one)
-    segs, tail = _row_parts(ks, n, F.lit("1.0"), F.lit("0.0, "), gap)
-    body = F.concat(F.array_join(segs, ", "), F.repeat(F.lit(", 0.0"), tail))
-    all_zero = F.array_join(F.array_repeat(F.lit("0.0"), n), ", ")
-    return F.concat(F.lit("["), F.when(F.size(ks) == 0, all_zero).otherwise(body), F.lit("]"))
+    segs, tail = _row_parts(ks, n, F.lit("1.0"), F.lit(f"0.0{sep}"), gap)
+    body = F.concat(F.array_join(segs, sep), F.repeat(F.lit(f"{sep}0.0"), tail))
+    all_zero = F.when(n > 0, F.concat(F.repeat(F.lit(f"0.0{sep}"), n - 1), F.lit("0.0"))).otherwise("")
+    return F.when(F.size(ks) == 0, all_zero).otherwise(body)
 
 
 def dense_row(ks: Column, n: Column) -> Column:
@@ -371,17 +398,28 @@ def dense_row(ks: Column, n: Column) -> Column:
 
 
 def _mask_rows(inputs: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(sent_id, qi, n_in, ks)`` of edges, packed or not."""
+    if "keys" in edges.columns:
+        rows = packed_rows(F.col("first"), F.col("end"), F.col("n_in"), F.col("keys"))
+        return edges.select("sent_id", "n_in", F.explode(rows).alias("r")).select("sent_id", "r.qi", "n_in", "r.ks")
     rows = edges.groupBy("sent_id", "qi").agg(F.array_sort(F.collect_set("ki")).alias("ks"))
     cells = inputs.select("sent_id", F.col("idx").alias("qi"), "n_in").join(rows, ["sent_id", "qi"], "left")
     return cells.withColumn("ks", F.coalesce(F.col("ks"), F.array().cast("array<int>")))
 
 
+def _sentence_rows(inputs: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(sent_id, n_in, rows array<struct<qi, ks>>)``: the sorted columns of every row, dense cells only where they are used.
+    Edges packed by sentence have no further shuffle."""
+    if "keys" in edges.columns:
+        return edges.select("sent_id", "n_in", packed_rows(F.col("first"), F.col("end"), F.col("n_in"), F.col("keys")).alias("rows"))
+    return _mask_rows(inputs, edges).groupBy("sent_id").agg(
+        F.max("n_in").alias("n_in"), F.array_sort(F.collect_list(F.struct("qi", "ks"))).alias("rows"))
+
+
 def dense_mask(inputs: DataFrame, edges: DataFrame) -> DataFrame:
     """One row per sentence with the n x n float mask (export only; n^2 per sentence)."""
-    per = _mask_rows(inputs, edges).select("sent_id", "qi", dense_row(F.col("ks"), F.col("n_in")).alias("row"))
-    return per.groupBy("sent_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("qi", "row"))), lambda x: x["row"]).alias("mask")
-    )
+    return _sentence_rows(inputs, edges).select(
+        "sent_id", F.transform("rows", lambda x: dense_row(x["ks"], F.col("n_in"))).alias("mask"))
 
 
 def dense_mask_text(inputs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -409,24 +447,24 @@ def row_texts(inputs: DataFrame, edges: DataFrame) -> DataFrame:
     """Python-style text of the four example columns, one row per sentence.
 
     ``text`` is ``str(inputs)\\nstr(labels)\\nstr(position_ids)\\nstr(mask)``; the salted
-    MD5 of these lines joined in sentence order is the reference's dataset hash.
+    MD5 of these lines joined in sentence order is the reference's dataset hash.  What is shuffled of a mask are its
+    packed keys or the columns of its rows: its text is made last, beside the sentence's other texts.
     """
-    mrows = dense_mask_text(inputs, edges).withColumnRenamed("row_text", "r")
-    mask_txt = mrows.groupBy("sent_id").agg(
-        py_list(F.transform(F.array_sort(F.collect_list(F.struct("qi", "r"))), lambda x: x["r"])).alias("mask_text")
-    )
     seqs = inputs.groupBy("sent_id").agg(
-        F.array_sort(F.collect_list(F.struct("idx", "tok", "label", "pid"))).alias("s")
-    ).select(
-        "sent_id",
-        py_list(F.transform("s", lambda x: py_str(x["tok"]))).alias("inputs_text"),
-        py_list(F.transform("s", lambda x: py_str(x["label"]))).alias("labels_text"),
-        py_list(F.transform("s", lambda x: x["pid"].cast("string"))).alias("positions_text"),
-    )
-    out = seqs.join(mask_txt, "sent_id")
+        F.sort_array(F.collect_list(F.struct("idx", "tok", "label", "pid"))).alias("s"))
+    packed = "keys" in edges.columns
+    masks = edges.drop("first") if packed else _sentence_rows(inputs, edges)
+    out = seqs.join(masks, "sent_id")
+    rows = packed_rows(F.lit(0), F.col("end"), F.col("n_in"), F.col("keys")) if packed else F.col("rows")
     return out.select(
         "sent_id",
-        F.concat_ws("\n", "inputs_text", "labels_text", "positions_text", "mask_text").alias("text"),
+        F.concat_ws(
+            "\n",
+            py_list(F.transform("s", lambda x: py_str(x["tok"]))),
+            py_list(F.transform("s", lambda x: py_str(x["label"]))),
+            py_list(F.transform("s", lambda x: x["pid"].cast("string"))),
+            py_list(F.transform(rows, lambda x: dense_row_text(x["ks"], F.col("n_in")))),
+        ).alias("text"),
     )
 
 

@@ -120,21 +120,21 @@ def tree_mask_degree(spark, d):
 def tree_dense_mask(spark, d):
     """T10/T11 + K13 export: every dense row as Python-style float text, order trees."""
     inp = T.materialize(T.expand(order_actions(spark, d)))
-    return T.dense_mask_text(inp, T.mask_edges(inp))
+    return T.dense_mask_text(inp, T.mask_edges(inp, packed=True))
 
 
 @query("tree_example")
 def tree_example(spark, d):
     """The four example columns per order tree, as Python-style text."""
     inp = T.materialize(T.expand(order_actions(spark, d)))
-    return T.row_texts(inp, T.mask_edges(inp)).select("sent_id", "text")
+    return T.row_texts(inp, T.mask_edges(inp, packed=True, span=None)).select("sent_id", "text")
 
 
 @query("tree_fingerprint")
 def tree_fingerprint(spark, d):
     """T14 + K15: salted MD5 of each order-tree example (parallel form of the dataset hash)."""
     inp = T.materialize(T.expand(order_actions(spark, d)))
-    return T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp)))
+    return T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp, packed=True, span=None)))
 
 
 @query("tree_dataset_digest")
@@ -142,7 +142,7 @@ def tree_dataset_digest(spark, d):
     """T14 at scale, order tree: hashes of the examples folded in order, per bucket of ids and then
     over the buckets, so that swapping two examples changes the digest."""
     inp = T.materialize(T.expand(order_actions(spark, d)))
-    fp = T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp)))
+    fp = T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp, packed=True, span=None)))
     return T.ordered_digest(fp)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import manhattan, nearest_int, sign
@@ -139,12 +139,16 @@ def merge_audit(spark, d):
 def order_examples(spark, d) -> DataFrame:
     """Order trees as id sequences: vocabulary trained on the tree tokens themselves."""
     acts = order_actions(spark, d)
+    return examples_of(acts, T.expand(acts))
+
+
+def examples_of(acts: DataFrame, inp: DataFrame) -> DataFrame:
     vocab = V.train_word_vocab(acts.select(F.col("tok").alias("text")))  # tokens hold no white space
-    inp = T.expand(acts)
-    ids = V.encode(V.encode(inp, vocab, tok_col="tok").withColumnRenamed("token_id", "input_id"),
-                   vocab, tok_col="label").withColumnRenamed("token_id", "label_id")
     pad_id = V.SPECIALS.index(T.PAD)
-    seq = ids.groupBy("sent_id").agg(F.array_sort(F.collect_list(F.struct("idx", "input_id", "label_id", "pid")))
+    # a label is its token, or the pad token of a closer's copy: one lookup gives both ids
+    ids = V.encode(inp, vocab, tok_col="tok").withColumnRenamed("token_id", "input_id").withColumn(
+        "label_id", F.when(F.col("kind") == "D", F.lit(pad_id).cast("bigint")).otherwise(F.col("input_id")))
+    seq = ids.groupBy("sent_id").agg(F.sort_array(F.collect_list(F.struct("idx", "input_id", "label_id", "pid")))
                                      .alias("s"))
     return seq.select(
         "sent_id",
@@ -154,6 +158,18 @@ def order_examples(spark, d) -> DataFrame:
     )
 
 
+def order_masks(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The padded examples of the order trees and their masks, packed by sentence, from one set of expanded tokens."""
+    acts = order_actions(spark, d)
+    inp = T.materialize(T.expand(acts))
+    return B.pad_batches(examples_of(acts, inp), V.SPECIALS.index(T.PAD)), T.mask_edges(inp, packed=True, span=None)
+
+
+def mask_lines(keys, n, length) -> Column:
+    """The lines of a packed mask, padded to ``length``."""
+    return B.padded_mask_lines(T.packed_rows(F.lit(0), n, n, keys), length)
+
+
 @query("pad_batches")
 def pad_batches(spark, d):
     """B1-B4 (+V7/V8): order-tree examples padded per batch of 16."""
@@ -179,13 +195,9 @@ def batch_stack(spark, d):
 @query("batch_mask_padded")
 def batch_mask_padded(spark, d):
     """Dense order-tree masks zero-padded on both axes to their batch length."""
-    pad_id = V.SPECIALS.index(T.PAD)
-    lens = B.pad_batches(order_examples(spark, d), pad_id).select("sent_id", "max_len")
-    inp = T.materialize(T.expand(order_actions(spark, d)))
-    dm = T.dense_mask(inp, T.mask_edges(inp)).join(lens, "sent_id")
-    padded = dm.select("sent_id", F.posexplode(B.padded_dense_mask(F.col("mask"), F.col("max_len"))).alias("qi", "r"))
-    return padded.select("sent_id", F.col("qi").cast("int").alias("qi"),
-                         F.array_join(F.col("r").cast("array<string>"), " ").alias("row_text"))
+    ex, masks = order_masks(spark, d)
+    dm = masks.join(ex.select("sent_id", "max_len"), "sent_id")
+    return dm.select("sent_id", F.posexplode(mask_lines(F.col("keys"), F.col("n_in"), F.col("max_len"))).alias("qi", "row_text"))
 
 
 # ------------------------------------------------------------------ metrics
@@ -527,22 +539,22 @@ def bpe_encode(spark, d):
 @query("batch_full")
 def batch_full(spark, d):
     """B6 with T11: one row per batch with all four columns, the mask of each example padded on both axes."""
-    pad_id = V.SPECIALS.index(T.PAD)
-    rows = batch_mask_padded(spark, d).groupBy("sent_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("qi", "row_text"))), lambda x: x["row_text"]), "|").alias("mask"))
-    ex = B.pad_batches(order_examples(spark, d), pad_id).join(rows, "sent_id")
+    ex, masks = order_masks(spark, d)
+    ex = ex.join(masks.select("sent_id", "n_in", "keys"), "sent_id")
 
     def txt(c):
         return F.array_join(F.col(c).cast("array<string>"), " ").alias(c)
 
     def stacked(c):
         return F.array_join(F.transform("r", lambda x: x[c]), ";")
-    ex = ex.select("batch_id", "sent_id", txt("input_ids"), txt("labels"), txt("position_ids"), "mask")
-    st = ex.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct(
-        "sent_id", "input_ids", "labels", "position_ids", "mask"))).alias("r"))
+    ex = ex.select("batch_id", "sent_id", "max_len", txt("input_ids"), txt("labels"), txt("position_ids"), "n_in", "keys")
+    st = ex.groupBy("batch_id").agg(F.max("max_len").alias("max_len"), F.sort_array(F.collect_list(F.struct(
+        "sent_id", "input_ids", "labels", "position_ids", "n_in", "keys"))).alias("r"))
+    # the dense masks are made beside their batch: what is shuffled are their keys
+    masks = F.array_join(F.transform("r", lambda x: F.array_join(mask_lines(x["keys"], x["n_in"], F.col("max_len")), "|")), ";")
     return st.select("batch_id", F.size("r").alias("n_rows"), stacked("input_ids").alias("input_ids"),
                      stacked("labels").alias("labels"), stacked("position_ids").alias("position_ids"),
-                     F.md5(stacked("mask")).alias("attention_mask_md5"))
+                     F.md5(masks).alias("attention_mask_md5"))
 
 
 @query("text_classifier")

@@ -131,3 +131,24 @@ def test_coordinates_transpose_and_padding(spark):
     dm = spark.createDataFrame([([[1.0, 0.0], [1.0, 1.0]],)], "m array<array<float>>")
     out = dm.select(B.padded_dense_mask(F.col("m"), F.lit(3)).alias("p")).first().p
     assert out == [[1.0, 0.0, 0.0], [1.0, 1.0, 0.0], [0.0, 0.0, 0.0]]
+
+
+def test_packed_masks_are_the_edges(spark):
+    """Rows, texts and padded lines made in place from packed keys equal those made from shuffled edges."""
+    rng = random.Random(4)
+    seqs = [["<s>"] + [t for _ in range(3) for t in random_tree(rng)] + ["</s>"] for _ in range(8)] + [["<s>", "</s>"]]
+    acts = T.from_arrays(spark.createDataFrame(list(enumerate(seqs)), "sent_id bigint, actions array<string>"))
+    inp = T.materialize(T.expand(acts))
+    edges = T.mask_edges(inp)
+    assert {tuple(r) for r in edges.collect()} == {
+        (i, q, k) for i, seq in enumerate(seqs) for q, row in enumerate(simulate(seq)[3]) for k in row}
+    lines = {tuple(r) for r in T.dense_mask_text(inp, edges).collect()}
+    for span in (None, 3, 256):
+        packed = T.mask_edges(inp, packed=True, span=span)
+        assert {tuple(r) for r in T.dense_mask_text(inp, packed).collect()} == lines
+    whole = T.mask_edges(inp, packed=True, span=None)
+    assert set(T.row_texts(inp, whole).collect()) == set(T.row_texts(inp, edges).collect())
+    masks = T.dense_mask(inp, edges).join(whole, "sent_id").select(
+        F.transform(B.padded_dense_mask(F.col("mask"), F.col("n_in") + 4), lambda r: F.array_join(r.cast("array<string>"), " ")).alias("a"),
+        B.padded_mask_lines(T.packed_rows(F.lit(0), F.col("end"), F.col("n_in"), F.col("keys")), F.col("n_in") + 4).alias("b"))
+    assert all(r.a == r.b for r in masks.collect())
