@@ -67,6 +67,19 @@ def grouped_index(df: DataFrame, group: list[str], order: list[Column], start: i
     return out.drop("_part", "_local", "_off")
 
 
+def grouped_total(df: DataFrame, group: list[str], order: list[Column], value: str, name: str = "before") -> DataFrame:
+    """Sum of ``value`` over the rows before each row of its group, for groups of any size (see :func:`grouped_index`)."""
+    gcols = [F.col(g) for g in group]
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    keyed = _sorted_parts(df, [*gcols, *order])
+    local = keyed.withColumn("_local", F.sum(value).over(before(Window.partitionBy("_part", *group).orderBy(*order))))
+    pieces = keyed.groupBy("_part", *group).agg(F.sum(value).alias("_s"))
+    offs = pieces.select("_part", *group, F.sum("_s").over(before(Window.partitionBy(*group).orderBy("_part"))).alias("_off"))
+    out = local.join(offs, ["_part", *group]).withColumn(
+        name, (F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))).cast("bigint"))
+    return out.drop("_part", "_local", "_off")
+
+
 def running_total(df: DataFrame, order: list[Column], value: str, name: str = "cum") -> DataFrame:
     """Inclusive running sum of ``value`` over a total ``order`` without a single-task window."""
     keyed = _sorted_parts(df, order)

@@ -21,6 +21,8 @@ from ..functions.columns import py_list, py_str, salted_md5
 BOS, EOS, PAD, UNK = "<s>", "</s>", "<pad>", "<unk>"
 # Positions per scan chunk: sentences up to this length are one chunk (carries are empty).
 DEFAULT_CHUNK = 1 << 16
+# Token rows that a task sorts.
+ROWS_PER_TASK = 400_000
 # Mask rows that are made together from the keys that live there.
 EDGE_SPAN = 256
 
@@ -50,34 +52,23 @@ def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
 
     Two-level scans: windows run inside ``(sent_id, chunk)`` with ``chunk = pos div chunk``;
     per-chunk summaries carry depth, closer counts, the next chunk's first token and the
-    latest opener of every level across chunk borders.  Both carry tables are joined on
+    latest opener of every level across chunk borders.  All carries are joined on
     ``(sent_id, chunk)``, the partitioning the windows already use, so a sentence of any
-    length is split over tasks and the token table is shuffled once.  Every input takes this plan.
+    length is split over tasks and the token table is shuffled once.  What only passes chunk borders is
+    gathered from the sentences that have some.  Every input takes this plan.
     """
     tok = F.col("tok")
     opens = tok.startswith("(") & ~tok.endswith(")")
     closes = tok.endswith(")") & ~tok.startswith("(")
-    delta = F.when(opens, 1).when(closes, -1).otherwise(0)
-    is_c = F.when(closes, 1).otherwise(0)
-
-    w_loc = Window.partitionBy("sent_id", "chunk").orderBy("pos")
-    run = w_loc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     a = actions.select(
         "sent_id", "pos", "tok", (F.col("pos") / F.lit(chunk)).cast("int").alias("chunk"),
-        delta.alias("delta"), is_c.alias("is_c"),
-    )
-    a = a.select(
-        "*",
-        F.sum("delta").over(run).alias("loc_d"),
-        F.sum("is_c").over(run).alias("loc_c"),
-        F.lead("tok").over(w_loc).alias("loc_next"),
-        F.lead("pos").over(w_loc).isNull().alias("chunk_end"),
+        F.when(opens, 1).when(closes, -1).otherwise(0).alias("delta"), F.when(closes, 1).otherwise(0).alias("is_c"),
     )
     # carry table: one row per chunk
     cs = a.groupBy("sent_id", "chunk").agg(
-        F.sum("delta").alias("d_tot"), F.sum("is_c").alias("c_tot"), F.count(F.lit(1)).alias("n_ch"),
-        F.min_by("tok", "pos").alias("first_tok"),
-    )
+        F.sum("delta").alias("d_tot"), F.sum("is_c").alias("c_tot"), F.count(F.lit(1)).alias("n_ch"))
+    long = _of_long(a, chunk)
+    firsts = long.groupBy("sent_id", "chunk").agg(F.min_by("tok", "pos").alias("first_tok"))
     wc = Window.partitionBy("sent_id").orderBy("chunk")
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
     every = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -87,19 +78,47 @@ def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
         F.coalesce(F.sum("c_tot").over(before), F.lit(0)).alias("c_off"),
         F.sum("c_tot").over(every).alias("c_total"),
         F.sum("n_ch").over(every).alias("n"),
-        F.lead("first_tok").over(wc).alias("next_first"),
     )
-    a = a.join(carry, ["sent_id", "chunk"]).select(
+    nexts = firsts.select("sent_id", "chunk", F.lead("first_tok").over(wc).alias("next_first"))
+    carry = carry.join(nexts, ["sent_id", "chunk"], "left")
+    last_o = _levels(_scanned(long, carry)).groupBy("sent_id", "pid", "chunk").agg(
+        F.max("opener").alias("last_o"), F.bool_or("wants").alias("wants"))
+    w_prev = Window.partitionBy("sent_id", "pid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    stack = _stacked(last_o.select("sent_id", "pid", "chunk", "wants", F.last("last_o", ignorenulls=True).over(w_prev).alias("v")), "pid")
+    a = _levels(_scanned(a, carry)).join(stack, ["sent_id", "chunk"], "left")
+    op = F.coalesce(F.col("loc_open"), F.when(F.col("wants"), _at_level(F.col("pid"))))
+    return a.withColumn("open_name", op["nm"]).withColumn("open_pos", op["p"]).drop("loc_open", "opener", "wants", "top", "stack")
+
+
+def _of_long(rows: DataFrame, chunk: int) -> DataFrame:
+    """The rows of sentences with more than one chunk.  Each such sentence holds a position ``chunk`` or above and there is one id at
+    most for as many tokens, so the broadcast is bounded."""
+    ids = rows.where(F.col("pos") >= chunk).select("sent_id").distinct()
+    return rows.join(F.broadcast(ids), "sent_id", "left_semi")
+
+
+def _scanned(a: DataFrame, carry: DataFrame) -> DataFrame:
+    """Depths, closers before and next tokens: scans inside the chunk shifted by what the chunks before carry."""
+    w_loc = Window.partitionBy("sent_id", "chunk").orderBy("pos")
+    run = w_loc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    a = a.select(
+        "*",
+        F.sum("delta").over(run).alias("loc_d"),
+        F.sum("is_c").over(run).alias("loc_c"),
+        F.lead("tok").over(w_loc).alias("loc_next"),
+        F.lead("pos").over(w_loc).isNull().alias("chunk_end"),
+    )
+    return a.join(carry, ["sent_id", "chunk"]).select(
         "sent_id", "pos", "tok", "chunk", "delta", "is_c",
         (F.col("d_off") + F.col("loc_d")).alias("d_after"),
         (F.col("c_off") + F.col("loc_c") - F.col("is_c")).alias("c_before"),
         "c_total", "n",
         F.when(F.col("chunk_end"), F.col("next_first")).otherwise(F.col("loc_next")).alias("next_tok"),
     )
-    return _kinds_and_open(a)
 
 
-def _kinds_and_open(a: DataFrame) -> DataFrame:
+def _levels(a: DataFrame) -> DataFrame:
+    """Kinds, names, position ids and the latest opener of the token's level in its chunk."""
     tok = F.col("tok")
     pos, n = F.col("pos"), F.col("n")
     kind = (
@@ -126,15 +145,10 @@ def _kinds_and_open(a: DataFrame) -> DataFrame:
     # has seen, so such closers stand on consecutive levels downwards, one each: what they need is a stack, and a
     # closer finds its opener in it by its place.
     opener = F.when(k == "O", F.struct(F.col("pos").alias("p"), F.col("name").alias("nm")))
-    w_lvl = Window.partitionBy("sent_id", "pid", "chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    a = a.withColumn("loc_open", F.last(opener, ignorenulls=True).over(w_lvl))
-    wants = (k == "C") & F.col("loc_open").isNull()
-    last_o = a.groupBy("sent_id", "pid", "chunk").agg(F.max(opener).alias("last_o"), F.bool_or(wants).alias("wants"))
-    w_prev = Window.partitionBy("sent_id", "pid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    stack = _stacked(last_o.select("sent_id", "pid", "chunk", "wants", F.last("last_o", ignorenulls=True).over(w_prev).alias("v")), "pid")
-    a = a.join(stack, ["sent_id", "chunk"], "left")
-    op = F.coalesce(F.col("loc_open"), F.when(wants, _at_level(F.col("pid"))))
-    return a.withColumn("open_name", op["nm"]).withColumn("open_pos", op["p"]).drop("loc_open", "top", "stack")
+    # sorted by chunk first: what follows per chunk needs no other sort
+    w_lvl = Window.partitionBy("sent_id", "chunk", "pid").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    a = a.withColumn("opener", opener).withColumn("loc_open", F.last("opener", ignorenulls=True).over(w_lvl))
+    return a.withColumn("wants", (k == "C") & F.col("loc_open").isNull())
 
 
 def _stacked(carried: DataFrame, level: str) -> DataFrame:
@@ -183,14 +197,16 @@ def _error(a: DataFrame) -> Column:
 def with_errors(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Annotated rows plus ``err`` (row candidate) and ``n_err`` (errors in the sentence).
 
-    The sentence count is summed over per-chunk counts and joined back on
-    ``(sent_id, chunk)``, so no window spans a whole sentence.
+    Errors are counted inside ``(sent_id, chunk)``; sentences with more chunks take the sum of theirs, one
+    row a sentence, so no window spans a whole sentence.
     """
     a = annotate(actions, chunk)
     a = a.withColumn("err", _error(a))
-    per = a.groupBy("sent_id", "chunk").agg(F.count("err").alias("e"))
-    tot = per.select("sent_id", "chunk", F.sum("e").over(Window.partitionBy("sent_id")).alias("n_err"))
-    return a.join(tot, ["sent_id", "chunk"])
+    long = annotate(_of_long(actions, chunk), chunk)
+    tot = long.withColumn("err", _error(long)).groupBy("sent_id").agg(F.count("err").alias("_e"))
+    a = a.withColumn("n_err", F.count("err").over(Window.partitionBy("sent_id", "chunk")))
+    return a.where("sent_id is not null").join(F.broadcast(tot), "sent_id", "left").withColumn(
+        "n_err", F.coalesce("_e", "n_err")).drop("_e")
 
 
 def validate(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
@@ -267,7 +283,7 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
     ).select("sent_id", "idx", "kind", "n_in", "chunk", F.col("p.level").alias("level"),
              F.col("p.probe").alias("probe"))
     closer_idx = F.when(~F.col("probe"), F.col("idx"))
-    w = Window.partitionBy("sent_id", "level", "chunk").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
+    w = Window.partitionBy("sent_id", "chunk", "level").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
     r = r.withColumn("loc_nxt", F.min(closer_idx).over(w))
     wants = F.col("probe") & F.col("loc_nxt").isNull()
     first_c = r.groupBy("sent_id", "level", "chunk").agg(F.min(closer_idx).alias("first_c"), F.bool_or(wants).alias("wants"))
@@ -334,6 +350,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def spread(tokens: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """A materialised token table dealt by ``(sent_id, chunk)`` to as many tasks as its rows need.
+
+    Sorted tokens take some fifty times the bytes of their shuffle blocks, so a number of tasks that follows the blocks'
+    size, as Spark would choose it, lets a task's memory grow with the input.
+    """
+    tasks = max(tokens.sparkSession.sparkContext.defaultParallelism, -(-tokens.count() // ROWS_PER_TASK))
+    at = F.col("chunk") if "chunk" in tokens.columns else (F.col("pos") / F.lit(chunk)).cast("int")
+    return tokens.repartition(tasks, "sent_id", at)
+
+
 def mask_degree(inputs: DataFrame, intervals: DataFrame | None = None, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Row sums of the mask ``(sent_id, qi, degree)`` without materialising edges.
 

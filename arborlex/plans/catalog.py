@@ -32,7 +32,12 @@ def _t(spark, d, name):
 
 def order_actions(spark, d):
     """Derived once and cut from its lineage: the tokens and the carries between their chunks read it."""
-    return T.materialize(I.order_tree(_t(spark, d, "orders"), _t(spark, d, "lineitem")))
+    return T.spread(T.materialize(I.order_tree(_t(spark, d, "orders"), _t(spark, d, "lineitem"))))
+
+
+def order_inputs(spark, d):
+    """The expanded order trees, derived once: tokens, intervals and texts read them."""
+    return T.spread(T.materialize(T.expand(order_actions(spark, d))))
 
 
 def page_actions(spark, d):
@@ -42,7 +47,7 @@ def page_actions(spark, d):
 # ---------------------------------------------------------------- trees
 
 def broken_actions(spark, d):
-    return T.materialize(I.broken_order_tree(order_actions(spark, d)))
+    return I.broken_order_tree(order_actions(spark, d))
 
 
 @query("tree_rejects")
@@ -107,33 +112,33 @@ def tree_mask_intervals(spark, d):
 @query("tree_mask_edges")
 def tree_mask_edges(spark, d):
     """T9 edges on the order trees."""
-    return T.mask_edges(T.materialize(T.expand(order_actions(spark, d))))
+    return T.mask_edges(order_inputs(spark, d))
 
 
 @query("tree_mask_degree")
 def tree_mask_degree(spark, d):
     """Row sums of the order-tree mask, computed by a sweep (no edge expansion)."""
-    return T.mask_degree(T.materialize(T.expand(order_actions(spark, d))))
+    return T.mask_degree(order_inputs(spark, d))
 
 
 @query("tree_dense_mask")
 def tree_dense_mask(spark, d):
     """T10/T11 + K13 export: every dense row as Python-style float text, order trees."""
-    inp = T.materialize(T.expand(order_actions(spark, d)))
+    inp = order_inputs(spark, d)
     return T.dense_mask_text(inp, T.mask_edges(inp, packed=True))
 
 
 @query("tree_example")
 def tree_example(spark, d):
     """The four example columns per order tree, as Python-style text."""
-    inp = T.materialize(T.expand(order_actions(spark, d)))
+    inp = order_inputs(spark, d)
     return T.row_texts(inp, T.mask_edges(inp, packed=True, span=None)).select("sent_id", "text")
 
 
 @query("tree_fingerprint")
 def tree_fingerprint(spark, d):
     """T14 + K15: salted MD5 of each order-tree example (parallel form of the dataset hash)."""
-    inp = T.materialize(T.expand(order_actions(spark, d)))
+    inp = order_inputs(spark, d)
     return T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp, packed=True, span=None)))
 
 
@@ -141,7 +146,7 @@ def tree_fingerprint(spark, d):
 def tree_dataset_digest(spark, d):
     """T14 at scale, order tree: hashes of the examples folded in order, per bucket of ids and then
     over the buckets, so that swapping two examples changes the digest."""
-    inp = T.materialize(T.expand(order_actions(spark, d)))
+    inp = order_inputs(spark, d)
     fp = T.sentence_fingerprints(T.row_texts(inp, T.mask_edges(inp, packed=True, span=None)))
     return T.ordered_digest(fp)
 

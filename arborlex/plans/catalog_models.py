@@ -11,7 +11,7 @@ from ..operators import counts as K
 from ..operators import tiles as L
 from ..operators import trees as T
 from ..operators import vocab as V
-from .catalog import _t, order_actions, query
+from .catalog import _t, order_actions, order_inputs, query
 
 KEYWORD_LETTERS = 6  # keywords are the benchmark's words of this length at least
 
@@ -41,7 +41,7 @@ def bpe_encode_trained(spark, d):
 
 def order_tiles(spark, d):
     """The order trees' tokens and the tiles of their masks, each written once."""
-    inp = T.materialize(T.expand(order_actions(spark, d)))
+    inp = order_inputs(spark, d)
     return inp, T.materialize(L.mask_tiles(inp, T.materialize(T.mask_intervals(inp))))
 
 

@@ -13,7 +13,7 @@ from ..operators import metrics as M
 from ..operators import sampling as S
 from ..operators import trees as T
 from ..operators import vocab as V
-from .catalog import _t, order_actions, query
+from .catalog import _t, order_actions, order_inputs, query
 
 N_TOPICS = 10
 SAMPLE_K = 83          # size of the seeded evaluation sample
@@ -161,7 +161,7 @@ def examples_of(acts: DataFrame, inp: DataFrame) -> DataFrame:
 def order_masks(spark, d) -> tuple[DataFrame, DataFrame]:
     """The padded examples of the order trees and their masks, packed by sentence, from one set of expanded tokens."""
     acts = order_actions(spark, d)
-    inp = T.materialize(T.expand(acts))
+    inp = T.spread(T.materialize(T.expand(acts)))
     return B.pad_batches(examples_of(acts, inp), V.SPECIALS.index(T.PAD)), T.mask_edges(inp, packed=True, span=None)
 
 
@@ -504,7 +504,7 @@ def bernoulli(spark, d):
 @query("transpose")
 def transpose(spark, d):
     """K13 + K14: the order-tree masks' ones are kept as coordinates (the edges), transposed."""
-    inp = T.materialize(T.expand(order_actions(spark, d)))
+    inp = order_inputs(spark, d)
     return S.transpose(T.mask_edges(inp).select("sent_id", F.col("qi").alias("row"), F.col("ki").alias("col")))
 
 

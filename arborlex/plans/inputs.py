@@ -10,11 +10,12 @@ All outputs are long-form ``actions(sent_id, pos, tok)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import grouped_index
+from ..functions.ranking import grouped_total
 from ..operators.trees import BOS, EOS, frame
+from ..session import cut_lineage
 
 # Fixed patterns for the HTML-to-bracket mapping (mirrored in the DuckDB oracle).
 PIECE_RE = r"<[^>]*>|[^<]+"
@@ -27,36 +28,40 @@ DROP_RE = (
 
 
 def order_tree(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One sentence per customer; orders by key, parts by line number."""
-    o = orders.select(F.col("o_orderkey").alias("okey"), F.col("o_custkey").alias("sent_id"))
+    """One sentence per customer; orders by key, parts by line number (then part and supplier: line numbers repeat
+    within an order).
+
+    A token's place is that of its order in the customer plus its rank in the order.  Orders are placed by a distributed running
+    total of their sizes, so a customer holding a large share of all orders is no single task, and the lines, shuffled once by
+    order, are ranked where they meet their order.  An order key that a customer has ``m`` times has its brackets and
+    lines ``m`` times.
+    """
+    o = orders.select(F.col("o_orderkey").alias("okey"), F.col("o_custkey").cast("bigint").alias("sent_id")).where(
+        "sent_id is not null").groupBy("sent_id", "okey").agg(F.count(F.lit(1)).alias("m"))
     li = lineitem.select(F.col("l_orderkey").alias("okey"), F.col("l_linenumber").alias("ln"),
-                         F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"))
-    zero = F.lit(0)
-
-    # line numbers repeat within an order, so part and supplier keys complete the order
-    def key(a, b, c, d, e=zero, f=zero):
-        return F.struct(F.lit(a).alias("k1"), b.cast("bigint").alias("k2"), F.lit(c).alias("k3"),
-                        d.cast("bigint").alias("k4"), e.cast("bigint").alias("k5"), f.cast("bigint").alias("k6"))
-
-    leaves = li.join(o, "okey").select(
-        "sent_id", key(2, F.col("okey"), 1, F.col("ln"), F.col("pk"), F.col("sk")).alias("k"),
-        F.concat(F.lit("p"), F.col("pk")).alias("tok"))
-    brackets = o.select("sent_id", F.explode(F.array(
-        F.struct(key(2, F.col("okey"), 0, zero).alias("k"), F.lit("(O").alias("tok")),
-        F.struct(key(2, F.col("okey"), 2, zero).alias("k"), F.lit("O)").alias("tok")),
-    )).alias("r")).select("sent_id", "r.k", "r.tok")
-    ends = o.select("sent_id").distinct().select("sent_id", F.explode(F.array(
-        F.struct(key(0, zero, 0, zero).alias("k"), F.lit(BOS).alias("tok")),
-        F.struct(key(1, zero, 0, zero).alias("k"), F.lit("(C").alias("tok")),
-        F.struct(key(3, zero, 0, zero).alias("k"), F.lit("C)").alias("tok")),
-        F.struct(key(4, zero, 0, zero).alias("k"), F.lit(EOS).alias("tok")),
-    )).alias("r")).select("sent_id", "r.k", "r.tok")
-    allt = leaves.unionByName(brackets).unionByName(ends)
-    # positions by a distributed per-customer numbering: a customer holding a large share
-    # of all orders is spread over the range partitions instead of one window task
-    ranked = grouped_index(allt, ["sent_id"], [F.col("k")], start=0, name="pos")
-    return ranked.select(F.col("sent_id").cast("bigint").alias("sent_id"), F.col("pos").cast("int").alias("pos"),
-                         "tok")
+                         F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk")).where("okey is not null")
+    lines = li.groupBy("okey").agg(F.count(F.lit(1)).alias("n"))
+    sized = o.join(lines, "okey", "left").select(
+        "sent_id", "okey", "m", (F.col("m") * F.coalesce("n", F.lit(0))).alias("inner"),
+        (F.col("m") * (F.coalesce("n", F.lit(0)) + 2)).alias("size"))
+    placed = cut_lineage(grouped_total(sized, ["sent_id"], [F.col("okey")], "size").select(
+        "sent_id", "okey", "m", "inner", "size", (F.col("before") + 2).alias("at")))
+
+    rank = F.row_number().over(Window.partitionBy("okey").orderBy("ln", "pk", "sk")) - 1
+    leaves = li.select("okey", F.concat(F.lit("p"), F.col("pk")).alias("tok"), rank.alias("r")).join(
+        placed.select("sent_id", "okey", "m", "at"), "okey")
+    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1)).alias("c")
+    leaves = leaves.select("sent_id", "tok", (F.col("at") + F.col("m") * (F.col("r") + 1)).alias("at"), copy).select(
+        "sent_id", (F.col("at") + F.col("c")).alias("pos"), "tok")
+    first, last = F.col("at") + F.col("c"), F.col("at") + F.col("m") + F.col("inner") + F.col("c")
+    brackets = placed.select("*", copy).select("sent_id", F.inline(F.array(
+        F.struct(first.alias("pos"), F.lit("(O").alias("tok")), F.struct(last.alias("pos"), F.lit("O)").alias("tok")))))
+    end = F.col("end")
+    ends = placed.groupBy("sent_id").agg((F.sum("size") + 2).alias("end")).select("sent_id", F.inline(F.array(
+        F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit(BOS).alias("tok")),
+        F.struct(F.lit(1).cast("bigint").alias("pos"), F.lit("(C").alias("tok")),
+        F.struct(end.alias("pos"), F.lit("C)").alias("tok")), F.struct((end + 1).alias("pos"), F.lit(EOS).alias("tok")))))
+    return leaves.unionByName(brackets).unionByName(ends).select("sent_id", F.col("pos").cast("int").alias("pos"), "tok")
 
 
 def broken_order_tree(acts: DataFrame) -> DataFrame:

@@ -152,3 +152,32 @@ def test_packed_masks_are_the_edges(spark):
         F.transform(B.padded_dense_mask(F.col("mask"), F.col("n_in") + 4), lambda r: F.array_join(r.cast("array<string>"), " ")).alias("a"),
         B.padded_mask_lines(T.packed_rows(F.lit(0), F.col("end"), F.col("n_in"), F.col("keys")), F.col("n_in") + 4).alias("b"))
     assert all(r.a == r.b for r in masks.collect())
+
+
+def test_order_trees_of_repeated_and_missing_keys(spark):
+    from arborlex.plans import inputs as I
+
+    orders = [(1, 7), (2, 7), (2, 7), (3, 8), (None, 8), (4, None), (5, 9), (2, 9)]
+    lines = [(1, 2, 20, 5), (1, 1, 21, 5), (2, 1, 30, 1), (2, 1, 30, 0), (2, None, 31, 4), (2, 3, None, 4), (4, 1, 1, 1), (None, 1, 2, 2), (6, 1, 1, 1)]
+    got = I.order_tree(spark.createDataFrame(orders, "o_orderkey long, o_custkey long"), spark.createDataFrame(
+        lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")).collect()
+    low = lambda t: [(x is not None, x or 0) for x in t]
+    for cust in {c for _, c in orders if c is not None}:
+        want = ["<s>", "(C"]
+        for key in sorted({k for k, c in orders if c == cust}, key=lambda k: (k is not None, k or 0)):
+            m = orders.count((key, cust))
+            parts = sorted(((n, p, s) for k, n, p, s in lines if k == key and k is not None for _ in range(m)), key=low)
+            want += ["(O"] * m + [None if p is None else f"p{p}" for _, p, _ in parts] + ["O)"] * m
+        want += ["C)", "</s>"]
+        rows = sorted(((r.pos, r.tok) for r in got if r.sent_id == cust), key=lambda x: x[0])
+        assert [p for p, _ in rows] == list(range(len(want))) and [t for _, t in rows] == want
+    assert {r.sent_id for r in got} == {7, 8, 9}
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """The rows of a task stay the same however many there are."""
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 10)
+    acts = T.spread(T.materialize(T.from_arrays(spark.createDataFrame(
+        [(i, ["<s>", "(S", "a", "S)", "</s>"]) for i in range(100)], "sent_id bigint, actions array<string>"))))
+    assert acts.rdd.getNumPartitions() == 50
+    assert T.expand(acts).count() == 600
