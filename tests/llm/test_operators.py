@@ -551,6 +551,16 @@ def test_secrets_of_kinds_that_no_pattern_has(spark):
     assert not any(out[d] for d, _, _ in rows if d < 200 or d >= 300)
 
 
+def test_every_candidate_is_scored(spark):
+    """Tokens of an ordinary form and hosts after an at-sign have windows for the network too."""
+    texts = ["see release-notes-3.11.4-beta now", "to ab@mail7.example.com.internal", "key Zx9Qw8Er7Ty6Ui5Op4As3 end", "no candidates"]
+    rows = {r.doc_id: r for r in secret_scan.scan(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert [len(rows[i].windows) for i in range(4)] == [1, 1, 1, 0] and [rows[i].n_windows for i in range(4)] == [[1], [1], [1], []]
+    assert [rows[i].usual for i in range(4)] == [[True], [True], [False], []]
+    assert [texts[i][rows[i].starts[0]:rows[i].ends[0]] for i in range(3)] == [
+        "release-notes-3.11.4-beta", "mail7.example.com.internal", "Zx9Qw8Er7Ty6Ui5Op4As3"]
+
+
 def test_windows_cover_long_candidates():
     text = "see " + "a1/" * 50 + "sEcReT0123456789" + "/b2" * 50 + " end"
     start, end = 4, len(text) - 4
