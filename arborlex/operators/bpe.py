@@ -123,12 +123,15 @@ def pair_model(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Data
 
 def bpe_rows(docs: DataFrame, vocab: DataFrame, merges: DataFrame, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """``(doc_id, pieces)``: for each pre-token of the text its pieces, in one narrow pass over the rows."""
+    """``(doc_id, pieces)``: for each pre-token of the text its pieces, in one narrow pass over the rows.
+    Arrow batches are bounded in bytes, so a Python worker's memory follows neither the rows of a task nor their length."""
     spark = docs.sparkSession
     toks, ranks = _model(vocab, merges)
     bc = spark.sparkContext.broadcast((toks, ranks, byte_alphabet()))
     encode = F.pandas_udf(make_encoder(bc), returnType=Tp.ArrayType(Tp.ArrayType(Tp.StringType())))
-    return docs.select(F.col(id_col).alias("doc_id"), encode(
+    from ..session import bounded
+
+    return bounded(docs).select(F.col(id_col).alias("doc_id"), encode(
         F.regexp_extract_all(F.col(text_col), F.lit(PRETOKEN_RE), F.lit(0))).alias("pieces"))
 
 

@@ -276,3 +276,13 @@ def test_dot_top(spark, block):
         order = sorted(((-d, g) for g, d in dots.items() if d))[:4]
         want += [(b, i, g, -d) for i, (d, g) in enumerate(order, 1)]
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_encoding_bounds_its_batches(spark):
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("ab", 2)], "token string, id long")
+    merges = spark.createDataFrame([(0, "a", "b")], "rank long, a string, b string")
+    rows = bpe.bpe_rows(spark.createDataFrame([(1, "ab ba"), (2, None)], "doc_id long, text string"), vocab, merges).collect()
+    assert {r.doc_id: r.pieces for r in rows} == {1: [["ab"], ["b", "a"]], 2: []}
+    assert 0 < int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
