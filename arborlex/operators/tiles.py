@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import dense_index
 from ..session import cut_lineage
+from .trees import packed_masks
 
 TILE = 32   # a column's rows in one long, sign bit unused
 FAN = 16    # children of a node above the examples
@@ -42,28 +43,24 @@ def _bits(first: Column, last: Column) -> Column:
 def mask_tiles(inputs: DataFrame, intervals: DataFrame) -> DataFrame:
     """``(sent_id, tile_row, tile_col, columns array<struct<col, rows>>, ones)`` of every tile with a set cell.
 
-    ``inputs`` and ``intervals`` are the expanded tokens and the live intervals of their keys (read twice:
-    pass materialised tables).  Rules as for the edges: a row but ``</s>`` sees itself, a closer what dies at it, any other row
-    what lives at it.
+    ``intervals`` are the live intervals of the keys of ``inputs``, the expanded tokens.  Rules as for the edges: a row but
+    ``</s>`` sees itself, a closer what dies at it, any other row what lives at it.  The keys are shuffled once, to the rows of tiles
+    that they live in; there a column's bits follow from its key and the closers' bits, and tiles are cut in place.
     """
-    at = F.col("idx")
-    itself = inputs.where(F.col("kind") != "E").select(
-        "sent_id", _tile(at).alias("tile_row"), at.alias("ki"), _bit(at).alias("rows"))
-    dies = intervals.where(F.col("death") < F.col("n_in")).select(
-        "sent_id", _tile(F.col("death")).alias("tile_row"), "ki", _bit(F.col("death")).alias("rows"))
-    closers = inputs.where(F.col("kind") == "C").select("sent_id", _tile(at).alias("tile_row"), _bit(at).alias("b")).groupBy(
-        "sent_id", "tile_row").agg(F.bit_or("b").alias("closers"))
-    last = F.least(F.col("death"), F.col("n_in") - 1) - 1
-    born = F.col("ki") + 1
-    lives = intervals.where(last >= born).select(
-        "sent_id", "ki", last.alias("last"), F.explode(F.sequence(_tile(born), _tile(last))).alias("tile_row"))
-    top = F.col("tile_row") * TILE
-    span = _bits(F.greatest(born - top, F.lit(0)), F.least(F.col("last") - top, F.lit(TILE - 1)))
-    lives = lives.join(closers, ["sent_id", "tile_row"], "left").select(
-        "sent_id", "tile_row", "ki", span.bitwiseAND(F.bitwise_not(F.coalesce("closers", F.lit(0).cast("bigint")))).alias("rows"))
-    cells = itself.unionByName(dies).unionByName(lives.where(F.col("rows") != 0))
-    # a column of a tile has a row from each of the three rules at most
-    columns = cells.groupBy("sent_id", "tile_row", "ki").agg(F.bit_or("rows").alias("rows"))
+    top, end, n = F.col("first"), F.col("end"), F.col("n_in")
+    zero = F.lit(0).cast("bigint")
+    place = lambda at: F.when((at >= top) & (at < end), _bit(at)).otherwise(zero)
+    closers = F.aggregate("keys", zero, lambda acc, x: F.when(x["closer"], acc.bitwiseOR(place(x["ki"]))).otherwise(acc))
+    rows = packed_masks(intervals, TILE).select("sent_id", F.col("span").alias("tile_row"), "first", "end", "n_in", "keys",
+                                               F.bitwise_not(closers).alias("others"))
+    x = F.col("x")
+    rows = rows.select("sent_id", "tile_row", "first", "end", "n_in", "others", F.explode("keys").alias("x"))
+    born, last = F.greatest(x["ki"] + 1, top), F.least(x["death"], n - 1, end) - 1
+    lives = F.when(last >= born, _bits(born - top, last - top).bitwiseAND(F.col("others"))).otherwise(zero)
+    dies = F.when(x["death"] < n, place(x["death"])).otherwise(zero)
+    own = F.struct(x["ki"].alias("ki"), lives.bitwiseOR(dies).bitwiseOR(place(x["ki"])).alias("rows"))
+    copy = F.struct((x["ki"] + 1).alias("ki"), place(x["ki"] + 1).alias("rows"))  # a closer's copy sees itself and is no key
+    columns = rows.select("sent_id", "tile_row", F.inline(F.when(x["closer"], F.array(own, copy)).otherwise(F.array(own)))).where("rows != 0")
     cell = F.struct((F.col("ki") % TILE).cast("int").alias("col"), F.col("rows"))
     return columns.groupBy("sent_id", "tile_row", _tile(F.col("ki")).alias("tile_col")).agg(
         F.sort_array(F.collect_list(cell)).alias("columns"), F.sum(F.bit_count("rows")).cast("bigint").alias("ones"))

@@ -309,7 +309,7 @@ def packed_masks(intervals: DataFrame, span: int | None = None) -> DataFrame:
     packed = keys.groupBy(*by).agg(F.max("n_in").alias("n_in"), F.sort_array(F.collect_list("key")).alias("keys"))
     first = F.lit(0) if span is None else F.col("span") * span
     last = F.col("n_in") if span is None else F.least(F.col("n_in"), first + span)
-    return packed.select("sent_id", first.cast("int").alias("first"), last.cast("int").alias("end"), "n_in", "keys")
+    return packed.select("sent_id", *by[1:], first.cast("int").alias("first"), last.cast("int").alias("end"), "n_in", "keys")
 
 
 def packed_rows(first: Column, end: Column, n: Column, keys: Column) -> Column:

@@ -42,7 +42,7 @@ def bpe_encode_trained(spark, d):
 def order_tiles(spark, d):
     """The order trees' tokens and the tiles of their masks, each written once."""
     inp = order_inputs(spark, d)
-    return inp, T.materialize(L.mask_tiles(inp, T.materialize(T.mask_intervals(inp))))
+    return inp, T.materialize(L.mask_tiles(inp, T.mask_intervals(inp)))
 
 
 @query("tree_mask_tiles")

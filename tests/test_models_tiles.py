@@ -286,3 +286,10 @@ def test_encoding_bounds_its_batches(spark):
     rows = bpe.bpe_rows(spark.createDataFrame([(1, "ab ba"), (2, None)], "doc_id long, text string"), vocab, merges).collect()
     assert {r.doc_id: r.pieces for r in rows} == {1: [["ab"], ["b", "a"]], 2: []}
     assert 0 < int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_tiles_shuffle_keys_once(masks):
+    """Tiles come from the keys of their row: one exchange of keys, none of cells or closers."""
+    inp = masks[0]
+    plan = tiles.mask_tiles(inp, T.materialize(T.mask_intervals(inp)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
