@@ -36,6 +36,8 @@ from .common import bounded, byte_slices, mix64, word_hashes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA, SEED = 1.5, 3
 MARK = "▁"
+# Bytes of the texts that a task encodes at once, and places of the lattices that it keeps: what bounds its memory.
+SLICE, KEPT_PLACES = 1 << 19, 1_000_000
 
 
 class Vocabulary:
@@ -207,7 +209,7 @@ class Lattices:
     """Lattices of the distinct units met so far in a process, laid end to end; begun anew when
     they hold ``most`` places.  They only save work: a unit's lattice is the same whenever it is made."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 4_000_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = KEPT_PLACES):
         self.vocabulary, self.most = vocabulary, most
         self._clear()
 
@@ -316,7 +318,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, key: str = "do
         lattices = Lattices(v)
         for batch in batches:
             keys, texts = np.array([x or 0 for x in batch.column(0).to_pylist()], np.int64), _bytes(batch.column(1))
-            for lo, hi in byte_slices(texts, 1 << 21):
+            for lo, hi in byte_slices(texts, SLICE):
                 counts, ids = encode_texts(lattices, texts[lo:hi], keys[lo:hi].view(np.uint64), seed)
                 stops = np.concatenate([[0], np.cumsum(counts)])
                 spelled = np.concatenate([[0], np.cumsum(is_byte[ids])])[stops]
