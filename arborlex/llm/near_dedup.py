@@ -14,6 +14,10 @@ of *different* components.  A run of one component takes one place in the window
 a class whose only partner stands behind a crowd of already joined copies is still compared with
 the crowd, row by row.
 
+Where a group's members are near but unlinked, most neighbours are no links.  In the second pass a class therefore carries the
+parities of its set, whose difference bounds the sets' own from below: a pair that they hold apart is no link, takes
+no place of a window and is never joined with its sets.
+
 The windows have one size.  A class whose windows left out others that share ``min_depth`` values with it is *cut*,
 and so is then each class that it wasn't compared with.  The cut classes are completed exactly: each one's rarest shingles
 (``n - ceil(n * similarity) + 1`` of them, so that two linked classes share one) make an index, and classes of
@@ -40,6 +44,7 @@ from .components import connected_components
 
 TREES, DEPTH = 16, 8
 MIN_DEPTH, REACH = 3, 2
+MOST_BITS = 4096  # parities of a set
 
 
 def _constants(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +64,23 @@ def set_digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """The parities of a set's members by their low bits, 64 to a long: a power of two of them, as many as the set has
+    members or more, up to ``MOST_BITS``.  Half as many follow by folding, see :func:`apart`."""
+    m = max(64, min(MOST_BITS, 1 << (len(values) - 1).bit_length()))
+    odd = np.bincount((values & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def apart(x: tuple[int, int], y: tuple[int, int]) -> int:
+    """A lower bound of the members that one of two sets has alone, from their parities (number of bits, bits)."""
+    (m, x), (k, y) = (x, y) if x[0] >= y[0] else (y, x)
+    while m > k:
+        m //= 2
+        x = (x >> m) ^ (x & ((1 << m) - 1))
+    return (x ^ y).bit_count()
+
+
 def _texts(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
@@ -84,17 +106,18 @@ def signatures(docs: DataFrame, k: int, trees: int = TREES, depth: int = DEPTH)
 
 
 def sets(docs: DataFrame, k: int) -> DataFrame:
-    """(node, values): the sorted distinct shingle hashes of every non-empty row, 8 bytes each."""
+    """(node, values, bits): the sorted distinct shingle hashes of every non-empty row, 8 bytes each, and their parities."""
     def run(batches):
         for batch in batches:
             texts = _texts(batch.column(0))
             for lo, hi in byte_slices(texts):
                 found = [s for s in shingles(texts[lo:hi], k) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in found], pa.binary()),
-                                                  pa.array([s.tobytes() for s in found], pa.binary())],
-                                                 names=["node", "values"])
+                                                  pa.array([s.tobytes() for s in found], pa.binary()),
+                                                  pa.array([parity(s) for s in found], pa.list_(pa.int64()))],
+                                                 names=["node", "values", "bits"])
 
-    return docs.select("text").mapInArrow(run, "node binary, values binary")
+    return docs.select("text").mapInArrow(run, "node binary, values binary, bits array<bigint>")
 
 
 def forest(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
@@ -107,10 +130,10 @@ def forest(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFr
 
 
 _FOUND_SCHEMA = ("kind string, a binary, b binary, part int, tree int, label binary, n bigint, comp binary, left bigint, "
-                 "room bigint, joins binary")
+                 "room bigint, joins binary, bits array<bigint>")
 _FOUND = [c.split()[0] for c in _FOUND_SCHEMA.split(", ")]
 _FOUND_TYPES = [pa.string(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64(),
-                pa.int64(), pa.binary()]
+                pa.int64(), pa.binary(), pa.list_(pa.int64())]
 
 
 def _found(rows) -> pa.RecordBatch:
@@ -118,12 +141,20 @@ def _found(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _FOUND_TYPES, strict=True)], names=_FOUND)
 
 
+def _packed(bits: list[int] | None) -> tuple[int, int] | None:
+    return None if bits is None else (64 * len(bits), int.from_bytes(np.array(bits, "<i8").tobytes(), "little"))
+
+
+def _unpacked(bits: tuple[int, int] | None) -> list[int] | None:
+    return None if bits is None else np.frombuffer(bits[1].to_bytes(bits[0] // 8, "little"), "<i8").tolist()
+
+
 class _Window:
     """The rows before a row in its sorted order that it is compared with.
 
-    Rows are (tree, label, node, n, comp, folded).  Only rows of the latest row's *region* are held: those of
+    Rows are (tree, label, node, n, comp, folded, bits).  Only rows of the latest row's *region* are held: those of
     its tree that share ``min_depth`` values with it.  Up to ``reach`` nearest rows that could reach the
-    similarity by their sizes are partners; four times as many rows are held.  With ``across``, rows of
+    similarity by their sizes, and by their parities where they have some, are partners; four times as many rows are held.  With ``across``, rows of
     one component are no partners, and a run of them takes one place, which is then *folded*.  ``lost`` tells that rows of the
     region have left the window, ``whole`` that the region began with the window.
     """
@@ -153,16 +184,22 @@ class _Window:
             other = not (self.across and row[4] == q[4]) and row[2] != q[2]
             if other and self.across and inner and q[5]:
                 cut = True
-            if other and self.den * small >= self.num * large:
+            if other and self.den * small >= self.num * large and self.near(row, q):
                 if len(out) == most:
                     return out, True
                 out.append(q[2])
         return out, cut
 
+    def near(self, row, q) -> bool:
+        """Linked sets hold (den - num) / (den + num) of their sizes' sum at most apart."""
+        if row[6] is None or q[6] is None:
+            return True
+        return (self.den + self.num) * apart(row[6], q[6]) <= (self.den - self.num) * (row[3] + q[3])
+
     def push(self, row) -> None:
         if self.across and self.rows and self.rows[-1][4] == row[4]:
             self.rows.pop()
-            row = (*row[:5], True)
+            row = (*row[:5], True, row[6])
         self.rows.append(row)
         if len(self.rows) > 4 * self.reach:
             self.rows.popleft()
@@ -182,22 +219,22 @@ def _neighbours(reach: int, min_depth: int, num: int, den: int, across: bool):
         for batch in batches:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                row = (*row, False)
+                row, bits = (*row[:5], False, _packed(row[5])), row[5]
                 window.enter(row)
                 if not across and (window.rows or window.whole):
-                    out += [("beside", r[2], *[None] * 9) for r in [row, *([window.rows[0]] if len(window.rows) == 1 else [])]]
+                    out += [("beside", r[2], *[None] * 10) for r in [row, *([window.rows[0]] if len(window.rows) == 1 else [])]]
                 found, cut = window.partners(row)
-                out += [("pair", row[2], q, *[None] * 8) for q in found]
+                out += [("pair", row[2], q, *[None] * 9) for q in found]
                 if cut or window.lost:
                     if across:
-                        out.append(("cut", row[2], *[None] * 9))
+                        out.append(("cut", row[2], *[None] * 10))
                 elif window.whole:
                     out.append(("head", row[2], None, part, row[0], row[1], row[3], row[4], reach - len(found),
-                                4 * reach - len(window.rows), window.rows[0][4] if window.rows else None))
+                                4 * reach - len(window.rows), window.rows[0][4] if window.rows else None, bits))
                 window.push(row)
             yield _found(out)
-        yield _found([("tail", r[2], None, part, r[0], r[1], r[3], r[4], int(window.lost), int(r[5]), None) for r in window.rows]
-                     + [("beside", r[2], *[None] * 9) for r in window.rows if not across])
+        yield _found([("tail", r[2], None, part, r[0], r[1], r[3], r[4], int(window.lost), int(r[5]), None, _unpacked(r[6])) for r in window.rows]
+                     + [("beside", r[2], *[None] * 10) for r in window.rows if not across])
 
     return run
 
@@ -206,7 +243,8 @@ def _incoming(tails, make, down: bool) -> dict:
     """The window that each partition begins with, by folding the last windows of those before it in order."""
     parts: dict = {}
     for r in tails:
-        parts.setdefault(r.part, []).append(((r.tree, bytes(r.label), bytes(r.a), r.n, r.comp and bytes(r.comp), bool(r.room)), r.left))
+        parts.setdefault(r.part, []).append(((r.tree, bytes(r.label), bytes(r.a), r.n, r.comp and bytes(r.comp), bool(r.room),
+                                              _packed(r.bits)), r.left))
     window, out = make(), {}
     for part in sorted(parts):
         out[part] = (list(window.rows), window.lost)
@@ -223,9 +261,9 @@ def _over_boundaries(make, incoming: dict):
         window = make()
         for batch in batches:
             out = []
-            for _, node, _, part, tree, label, n, comp, left, room, joins in zip(
+            for _, node, _, part, tree, label, n, comp, left, room, joins, bits in zip(
                     *(c.to_pylist() for c in batch.columns), strict=True):
-                row = (tree, label, node, n, comp, False)
+                row = (tree, label, node, n, comp, False, _packed(bits))
                 rows, lost = incoming[part]
                 if not rows or rows[-1][0] != tree or rows[-1][1][:4 * window.min_depth] != label[:4 * window.min_depth]:
                     continue
@@ -244,7 +282,7 @@ def _over_boundaries(make, incoming: dict):
 
 def look(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: int = MIN_DEPTH, across: bool = False,
          down: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp)``, and
+    """Distinct pairs (a < b) of neighbours in the sorted orders of ``order(tree, label, node, n, comp[, bits])``, and
     classes: with ``across`` those that are cut, else every class that shares ``min_depth`` values with another at all.
 
     The orders are range-partitioned and sorted here, descending with ``down``.  The windows go on over
@@ -253,7 +291,8 @@ def look(order: DataFrame, num: int, den: int, reach: int = REACH, min_depth: in
     """
     parts = 4 * shuffle_parts(order.sparkSession)
     keys = [F.col(c).desc() if down else F.col(c) for c in ("tree", "label", "node")]
-    order = (order.select("tree", "label", "node", "n", "comp").repartitionByRange(parts, *keys)
+    bits = F.col("bits") if "bits" in order.columns else F.lit(None).cast("array<bigint>").alias("bits")
+    order = (order.select("tree", "label", "node", "n", "comp", bits).repartitionByRange(parts, *keys)
              .sortWithinPartitions(*keys))
     found = written(order.mapInArrow(_neighbours(reach, min_depth, num, den, across), _FOUND_SCHEMA), "neighbours")
 
@@ -291,14 +330,24 @@ def confirm(pairs: DataFrame, values: DataFrame, num: int, den: int) -> DataFram
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def _apart(x, y):
+    """:func:`apart` in Spark; 0 of sets without parities, or whose numbers of them are more than a factor of two apart."""
+    m = F.least(F.size(x), F.size(y))
+    at = lambda c, i: F.get(c, i).bitwiseXOR(F.coalesce(F.get(c, i + m), F.lit(0).cast("bigint")))
+    found = F.aggregate(F.sequence(F.lit(0), m - 1), F.lit(0), lambda sum_, i: sum_ + F.bit_count(at(x, i).bitwiseXOR(at(y, i))))
+    return F.when(x.isNotNull() & y.isNotNull() & (F.greatest(F.size(x), F.size(y)) <= 2 * m), found).otherwise(0)
+
+
 def completed(classes: DataFrame, values: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a < b) of ``classes(node, comp)`` of different components, all those that link among them.
 
     Shingles are ordered by the number of classes that have them.  Two linked classes share one among the first
     ``n - ceil(n * num / den) + 1`` of each, and where they first meet, at places x and y from 0, they can have
-    ``1 + min(n - x, m - y) - 1`` in common at most, which has to be enough.  Shingles of one class alone hold
-    their places but make no posting.
+    ``1 + min(n - x, m - y) - 1`` in common at most, which has to be enough; so has what their parities leave in common.
+    Shingles of one class alone hold their places but make no posting.
     """
+    if "bits" not in values.columns:
+        values = values.withColumn("bits", F.lit(None).cast("array<bigint>"))
     rows = written(classes.join(values, "node").withColumn("row", F.monotonically_increasing_id()), "cut-sets")
 
     def spread(batches):
@@ -313,16 +362,18 @@ def completed(classes: DataFrame, values: DataFrame, num: int, den: int) -> Data
     often = shingles_.groupBy("s").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     n = (F.octet_length("values") / 8).cast("bigint")
     ordered = shingles_.join(often, "s").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("times", "s"))).alias("shared"))
-    ordered = ordered.join(rows.select("row", "node", "comp", n.alias("n")), "row").withColumn(
+    ordered = ordered.join(rows.select("row", "node", "comp", n.alias("n"), "bits"), "row").withColumn(
         "alone", F.col("n") - F.size("shared")).withColumn(
         "wanted", F.col("n") - F.ceil(F.col("n") * num / F.lit(den)).cast("bigint") + 1 - F.col("alone"))
     post = written(ordered.where("wanted > 0").select(
-        "row", "node", "comp", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), F.col("wanted").cast("int"))).alias("i", "x")).select(
-        F.col("x.s").alias("s"), "row", "node", "comp", "n", (F.col("alone") + F.col("i")).alias("place")), "postings")
-    left, right = (post.select("s", *(F.col(c).alias(f"{c}{i}") for c in ("row", "node", "comp", "n", "place"))) for i in (1, 2))
+        "row", "node", "comp", "n", "bits", "alone", F.posexplode(F.slice("shared", F.lit(1), F.col("wanted").cast("int"))).alias("i", "x")).select(
+        F.col("x.s").alias("s"), "row", "node", "comp", "n", "bits", (F.col("alone") + F.col("i")).alias("place")), "postings")
+    left, right = (post.select("s", *(F.col(c).alias(f"{c}{i}") for c in ("row", "node", "comp", "n", "bits", "place"))) for i in (1, 2))
     enough = (num + den) * F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) >= num * (F.col("n1") + F.col("n2"))
     sizes = den * F.least("n1", "n2") >= num * F.greatest("n1", "n2")
-    met = left.join(right, "s").where((F.col("row1") < F.col("row2")) & (F.col("comp1") != F.col("comp2")) & sizes & enough)
+    near = (num + den) * _apart(F.col("bits1"), F.col("bits2")) <= (den - num) * (F.col("n1") + F.col("n2"))
+    met = left.join(right, "s").where(
+        (F.col("row1") < F.col("row2")) & (F.col("comp1") != F.col("comp2")) & sizes & enough & near)
     return met.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
 
 
@@ -341,8 +392,9 @@ def members(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, trees: i
                        F.col("doc_id").eqNullSafe(F.col("_want")), "left_semi")
     values = written(sets(texts, k), "sets").dropDuplicates(["node"])
     roots = connected_components(written(confirm(first, values, num, den), "confirmed"))
-    joined = written(order.join(ids, "node", "left_semi").join(roots, "node", "left").select(
-        "tree", "label", "node", "n", F.coalesce("root", "node").alias("comp")), "joined")
+    bits = ids.join(values.select("node", "bits"), "node", "left")
+    joined = written(order.join(bits, "node").join(roots, "node", "left").select(
+        "tree", "label", "node", "n", F.coalesce("root", "node").alias("comp"), "bits"), "joined")
     (up, cut_up), (down, cut_down) = (look(joined, num, den, 2 * REACH, across=True, down=x) for x in (False, True))
     cut = written(cut_up.unionByName(cut_down).distinct(), "cut")
     comps = cut.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))

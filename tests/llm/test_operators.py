@@ -7,6 +7,7 @@ import itertools
 import os
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -275,6 +276,40 @@ def test_completion_is_exact_and_grows_with_its_links(spark):
     assert len(met(copies(400, 7))) < 400
 
 
+def test_parities_bound_what_sets_have_alone():
+    rng = np.random.default_rng(4)
+    for n, m, both in ((1, 1, 0), (5, 5, 3), (60, 70, 50), (90, 150, 80), (700, 1300, 600), (9000, 5000, 4900)):
+        values = rng.integers(0, 2**63, n + m - both, dtype=np.uint64)
+        x, y = values[:n], values[n - both:]
+        bits = [near_dedup._packed(near_dedup.parity(v).tolist()) for v in (x, y)]
+        assert near_dedup.apart(*bits) == near_dedup.apart(*bits[::-1]) <= n + m - 2 * both
+        assert near_dedup.apart(bits[0], bits[0]) == 0
+        assert near_dedup._packed(near_dedup._unpacked(bits[0])) == bits[0]
+
+
+def test_near_but_unlinked_group_makes_few_pairs(spark, monkeypatch):
+    rng, made = random.Random(8), []
+    base = [f"w{i}" for i in range(120)]
+
+    def text(changes):
+        words = list(base)
+        for at in rng.sample(range(120), changes):
+            words[at] = f"c{rng.randrange(10**9)}"
+        return " ".join(words)
+
+    rows = [(i, text(9)) for i in range(240)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 240, 40)]
+    sets = {i: common.shingles([t.encode()], 3)[0] for i, t in rows}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2)
+             if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))]
+    confirm = near_dedup.confirm
+    monkeypatch.setattr(near_dedup, "confirm", lambda pairs, *a: made.append(pairs.count()) or confirm(pairs, *a))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85, 100).collect()}
+    assert len(links) >= 6 and all(got[a] == got[b] for a, b in links)
+    assert len(set(got.values())) == 240 and made[1] < 240
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(50)]
@@ -310,6 +345,21 @@ def test_pieces_round_trip_and_reproducible(spark, docs, texts, empty):
     assert sentencepieces.encode(empty).collect() == []
 
 
+def test_pieces_of_many_words_take_bounded_memory():
+    pieces = {i: p.encode() for i, p in enumerate([" ", *"abcdefghijklmnopqrstuvwxyz", " a", "ab", "xyz"])}
+    lattices = sentencepieces.Lattices(sentencepieces.Vocabulary(pieces, np.arange(40, 296)))
+    rng = np.random.default_rng(3)
+    letters = rng.integers(97, 123, (3, 1 << 21), dtype=np.uint8)
+    letters[:, ::8] = 32  # hardly a word comes twice
+    texts = [x[i:i + 4096].tobytes() for x in letters for i in range(0, 1 << 21, 4096)]
+    tracemalloc.start()
+    for lo, hi in common.byte_slices(texts, sentencepieces.SLICE):
+        sentencepieces.encode_texts(lattices, texts[lo:hi], np.arange(lo, hi, dtype=np.uint64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 256 << 20
+
+
 def test_pieces_are_drawn_with_their_share():
     pieces = {i: p.encode() for i, p in enumerate([" ", "a", "b", "ab", " a", "ba", " ab", "é", "aba"])}
     v = sentencepieces.Vocabulary(pieces, np.arange(20, 276), theta=0.7)
