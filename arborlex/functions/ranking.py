@@ -12,24 +12,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _sorted_parts(df: DataFrame, order: list[Column]) -> DataFrame:
+# Narrow rows that a task sorts, where their number is known.
+ROWS_PER_TASK = 400_000
+
+
+def tasks_for(df: DataFrame, rows: int, each: int | None = None) -> int:
+    """Tasks for so many narrow rows.  Sorted rows take many times the bytes of their shuffle blocks, so a number of tasks that
+    follows the blocks' size, as Spark would choose it, lets a task's memory grow with the input.  With fewer tasks than
+    shuffle partitions, Spark would deal the rows out again for a join and choose."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // (each or ROWS_PER_TASK)))
+
+
+def _sorted_parts(df: DataFrame, order: list[Column], tasks: int | None = None) -> DataFrame:
     """Range-sorted rows tagged with their sorted partition, materialised once.
 
     The partition tag is read by two branches (local numbering and per-partition
     counts); a reliable checkpoint fixes it, whatever AQE or re-sampling would do on
-    a recomputation.
+    a recomputation.  With ``tasks``, there are so many partitions.
     """
     from ..session import cut_lineage
-    return cut_lineage(df.orderBy(*order).withColumn("_part", F.spark_partition_id()))
+    parts = df.orderBy(*order) if tasks is None else df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    return cut_lineage(parts.withColumn("_part", F.spark_partition_id()))
+
 
+def _dealt(keyed: DataFrame, tasks: int | None, *by: str) -> DataFrame:
+    return keyed if tasks is None else keyed.repartition(tasks, *by)
 
-def dense_index(df: DataFrame, order: list[Column], start: int = 0, name: str = "id") -> DataFrame:
-    """Add ``name`` = start + 0-based position of each row in the total ``order``.
+
+def dense_index(df: DataFrame, order: list[Column], start: int = 0, name: str = "id", tasks: int | None = None) -> DataFrame:
+    """Add ``name`` = start + 0-based position of each row in the total ``order``, in ``tasks`` tasks if given.
 
     ``order`` must be a total order (break ties by a unique column).
     """
-    keyed = _sorted_parts(df, order)
-    local = keyed.withColumn(
+    keyed = _sorted_parts(df, order, tasks)
+    local = _dealt(keyed, tasks, "_part").withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     )
     sizes = keyed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -67,11 +84,13 @@ def grouped_index(df: DataFrame, group: list[str], order: list[Column], start: i
     return out.drop("_part", "_local", "_off")
 
 
-def grouped_total(df: DataFrame, group: list[str], order: list[Column], value: str, name: str = "before") -> DataFrame:
-    """Sum of ``value`` over the rows before each row of its group, for groups of any size (see :func:`grouped_index`)."""
+def grouped_total(df: DataFrame, group: list[str], order: list[Column], value: str, name: str = "before",
+                  tasks: int | None = None) -> DataFrame:
+    """Sum of ``value`` over the rows before each row of its group, for groups of any size (see :func:`grouped_index`),
+    in ``tasks`` tasks if given."""
     gcols = [F.col(g) for g in group]
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    keyed = _sorted_parts(df, [*gcols, *order])
+    keyed = _dealt(_sorted_parts(df, [*gcols, *order], tasks), tasks, "_part", *group)
     local = keyed.withColumn("_local", F.sum(value).over(before(Window.partitionBy("_part", *group).orderBy(*order))))
     pieces = keyed.groupBy("_part", *group).agg(F.sum(value).alias("_s"))
     offs = pieces.select("_part", *group, F.sum("_s").over(before(Window.partitionBy(*group).orderBy("_part"))).alias("_off"))

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import dense_index
+from ..functions.ranking import dense_index, tasks_for
+from ..session import cut_lineage
 from .trees import dense_row_line
 from .vocab import IGNORE_ID
 
@@ -24,9 +25,14 @@ def pad(arr: Column, length: Column, fill) -> Column:
 
 def assign_batches(examples: DataFrame, order: list[Column], batch_size: int = DEFAULT_BATCH_SIZE,
                    length_col: str = "n") -> DataFrame:
-    """B1: ``batch_id`` and the batch's longest example ``max_len``."""
-    idx = dense_index(examples, order, name="_i")
-    b = idx.withColumn("batch_id", F.floor(F.col("_i") / batch_size).cast("bigint"))
+    """B1: ``batch_id`` and the batch's longest example ``max_len``.
+
+    The examples are made once (sorting them samples them first), and tasks follow the sum of their lengths.
+    """
+    examples = cut_lineage(examples)
+    tasks = tasks_for(examples, examples.agg(F.sum(F.greatest(F.col(length_col), F.lit(1))).cast("bigint")).first()[0] or 0)
+    idx = dense_index(examples, order, name="_i", tasks=tasks)
+    b = idx.withColumn("batch_id", F.floor(F.col("_i") / batch_size).cast("bigint")).repartition(tasks, "batch_id")
     # a batch has at most batch_size rows: this window is bounded
     return b.withColumn("max_len", F.max(length_col).over(Window.partitionBy("batch_id"))).drop("_i")
 
@@ -47,7 +53,7 @@ def pad_batches(examples: DataFrame, pad_id: int, batch_size: int = DEFAULT_BATC
 
 def stack_batches(padded: DataFrame) -> DataFrame:
     """One row per batch with ordered lists of the padded columns (bounded by batch size)."""
-    s = F.array_sort(F.collect_list(F.struct("sent_id", "input_ids", "labels", "position_ids")))
+    s = F.sort_array(F.collect_list(F.struct("sent_id", "input_ids", "labels", "position_ids")))
     return padded.groupBy("batch_id").agg(s.alias("rows"), F.max("max_len").alias("max_len")).select(
         "batch_id", "max_len",
         F.transform("rows", lambda r: r["sent_id"]).alias("sent_ids"),

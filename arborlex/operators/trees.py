@@ -16,13 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import py_list, py_str, salted_md5
+from ..functions.ranking import ROWS_PER_TASK, tasks_for
 
 # Fixed values (reserved tokens and the ignored-label marker).
 BOS, EOS, PAD, UNK = "<s>", "</s>", "<pad>", "<unk>"
 # Positions per scan chunk: sentences up to this length are one chunk (carries are empty).
 DEFAULT_CHUNK = 1 << 16
-# Token rows that a task sorts.
-ROWS_PER_TASK = 400_000
 # Mask rows that are made together from the keys that live there.
 EDGE_SPAN = 256
 
@@ -353,10 +352,9 @@ def materialize(df: DataFrame) -> DataFrame:
 def spread(tokens: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """A materialised token table dealt by ``(sent_id, chunk)`` to as many tasks as its rows need.
 
-    Sorted tokens take some fifty times the bytes of their shuffle blocks, so a number of tasks that follows the blocks'
-    size, as Spark would choose it, lets a task's memory grow with the input.
+    Sorted tokens take some fifty times the bytes of their shuffle blocks, see :func:`tasks_for`.
     """
-    tasks = max(tokens.sparkSession.sparkContext.defaultParallelism, -(-tokens.count() // ROWS_PER_TASK))
+    tasks = tasks_for(tokens, tokens.count(), ROWS_PER_TASK)
     at = F.col("chunk") if "chunk" in tokens.columns else (F.col("pos") / F.lit(chunk)).cast("int")
     return tokens.repartition(tasks, "sent_id", at)
 

@@ -81,7 +81,7 @@ def tree_expand(spark, d):
 
 def _seq_text(inputs: DataFrame, col: str, out: str) -> DataFrame:
     return inputs.groupBy("sent_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.col(col).cast("string").alias("v")))),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", F.col(col).cast("string").alias("v")))),
                                  lambda x: x["v"]), " ").alias(out))
 
 

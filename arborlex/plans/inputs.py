@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import grouped_total
+from ..functions.ranking import grouped_total, tasks_for
 from ..operators.trees import BOS, EOS, frame
 from ..session import cut_lineage
 
@@ -34,22 +34,23 @@ def order_tree(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     A token's place is that of its order in the customer plus its rank in the order.  Orders are placed by a distributed running
     total of their sizes, so a customer holding a large share of all orders is no single task, and the lines, shuffled once by
     order, are ranked where they meet their order.  An order key that a customer has ``m`` times has its brackets and
-    lines ``m`` times.
+    lines ``m`` times.  Both tables are dealt by order to as many tasks as their rows need, and their steps keep to that.
     """
+    tasks = tasks_for(lineitem, lineitem.count() + orders.count())
     o = orders.select(F.col("o_orderkey").alias("okey"), F.col("o_custkey").cast("bigint").alias("sent_id")).where(
-        "sent_id is not null").groupBy("sent_id", "okey").agg(F.count(F.lit(1)).alias("m"))
+        "sent_id is not null").repartition(tasks, "okey").groupBy("sent_id", "okey").agg(F.count(F.lit(1)).alias("m"))
     li = lineitem.select(F.col("l_orderkey").alias("okey"), F.col("l_linenumber").alias("ln"),
-                         F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk")).where("okey is not null")
+                         F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk")).where("okey is not null").repartition(tasks, "okey")
     lines = li.groupBy("okey").agg(F.count(F.lit(1)).alias("n"))
     sized = o.join(lines, "okey", "left").select(
         "sent_id", "okey", "m", (F.col("m") * F.coalesce("n", F.lit(0))).alias("inner"),
         (F.col("m") * (F.coalesce("n", F.lit(0)) + 2)).alias("size"))
-    placed = cut_lineage(grouped_total(sized, ["sent_id"], [F.col("okey")], "size").select(
+    placed = cut_lineage(grouped_total(sized, ["sent_id"], [F.col("okey")], "size", tasks=tasks).select(
         "sent_id", "okey", "m", "inner", "size", (F.col("before") + 2).alias("at")))
 
     rank = F.row_number().over(Window.partitionBy("okey").orderBy("ln", "pk", "sk")) - 1
     leaves = li.select("okey", F.concat(F.lit("p"), F.col("pk")).alias("tok"), rank.alias("r")).join(
-        placed.select("sent_id", "okey", "m", "at"), "okey")
+        placed.select("sent_id", "okey", "m", "at").repartition(tasks, "okey"), "okey")
     copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1)).alias("c")
     leaves = leaves.select("sent_id", "tok", (F.col("at") + F.col("m") * (F.col("r") + 1)).alias("at"), copy).select(
         "sent_id", (F.col("at") + F.col("c")).alias("pos"), "tok")

@@ -28,3 +28,21 @@ def test_dense_index_and_running_total(spark):
         acc += k % 5
         ref[k] = acc
     assert cum == ref
+
+
+def test_tasks_follow_rows_whatever_the_blocks_size(spark, monkeypatch):
+    from arborlex.functions import ranking
+    from arborlex.operators.batching import assign_batches
+    from arborlex.plans.inputs import order_tree
+    monkeypatch.setattr(ranking, "ROWS_PER_TASK", 40)
+    rows = spark.range(600).select((F.col("id") * 7 % 600).alias("sent_id"), (F.col("id") % 5 + 1).alias("n"))
+    got = assign_batches(rows, [F.col("sent_id")])
+    assert got.rdd.getNumPartitions() >= 600 * 3 // 40
+    assert {(r.sent_id, r.batch_id) for r in got.collect()} == {(i, i // 16) for i in range(600)}
+    orders = spark.range(300).select(F.col("id").alias("o_orderkey"), (F.col("id") % 9).alias("o_custkey"))
+    lines = spark.range(900).select((F.col("id") % 300).alias("l_orderkey"), (F.col("id") / 300).cast("int").alias("l_linenumber"),
+                                    F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"))
+    tree = order_tree(orders, lines)
+    assert max(len(p) for p in tree.rdd.glom().collect()) <= 300 and tree.count() == 900 + 600 + 9 * 4
+    per = {r.sent_id: (r.n, r.m) for r in tree.groupBy("sent_id").agg(F.count("pos").alias("n"), F.max("pos").alias("m")).collect()}
+    assert all(n == m + 1 for n, m in per.values()) and len(per) == 9
