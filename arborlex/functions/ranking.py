@@ -24,8 +24,8 @@ def tasks_for(df: DataFrame, rows: int, each: int | None = None) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // (each or ROWS_PER_TASK)))
 
 
-def _sorted_parts(df: DataFrame, order: list[Column], tasks: int | None = None) -> DataFrame:
-    """Range-sorted rows tagged with their sorted partition, materialised once.
+def _sorted_parts(df: DataFrame, order: list[Column], tasks: int | None = None, **tags: Column) -> DataFrame:
+    """Range-sorted rows tagged with their sorted partition and with ``tags``, materialised once.
 
     The partition tag is read by two branches (local numbering and per-partition
     counts); a reliable checkpoint fixes it, whatever AQE or re-sampling would do on
@@ -33,7 +33,7 @@ def _sorted_parts(df: DataFrame, order: list[Column], tasks: int | None = None)
     """
     from ..session import cut_lineage
     parts = df.orderBy(*order) if tasks is None else df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
-    return cut_lineage(parts.withColumn("_part", F.spark_partition_id()))
+    return cut_lineage(parts.withColumns({"_part": F.spark_partition_id(), **tags}))
 
 
 def _dealt(keyed: DataFrame, tasks: int | None, *by: str) -> DataFrame:
@@ -45,19 +45,17 @@ def dense_index(df: DataFrame, order: list[Column], start: int = 0, name: str =
 
     ``order`` must be a total order (break ties by a unique column).
     """
-    keyed = _sorted_parts(df, order, tasks)
-    local = _dealt(keyed, tasks, "_part").withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    )
+    # the place in the sorted partition: the bits above hold the partition
+    keyed = _sorted_parts(df, order, tasks, _place=F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = keyed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offs = sizes.select(
         "_part",
         (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
     )
-    out = local.join(F.broadcast(offs), "_part").withColumn(
-        name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local") + F.lit(start)).cast("bigint")
+    out = keyed.join(F.broadcast(offs), "_part").withColumn(
+        name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_place") + F.lit(start)).cast("bigint")
     )
-    return out.drop("_part", "_local", "_off")
+    return out.drop("_part", "_place", "_off")
 
 
 def grouped_index(df: DataFrame, group: list[str], order: list[Column], start: int = 0,

@@ -46,7 +46,7 @@ def frame(tokens: Column) -> Column:
     return F.concat(F.array(F.lit(BOS)), tokens, F.array(F.lit(EOS)))
 
 
-def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK, long: DataFrame | None = None) -> DataFrame:
     """T1 + T4 + T5: token kind, running depth, position id and the open name a closer must match.
 
     Two-level scans: windows run inside ``(sent_id, chunk)`` with ``chunk = pos div chunk``;
@@ -54,19 +54,19 @@ def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     latest opener of every level across chunk borders.  All carries are joined on
     ``(sent_id, chunk)``, the partitioning the windows already use, so a sentence of any
     length is split over tasks and the token table is shuffled once.  What only passes chunk borders is
-    gathered from the sentences that have some.  Every input takes this plan.
+    gathered from the sentences that have some (``long``, if the caller has made them).  Every input takes this plan.
     """
+    long = _of_long(actions, chunk) if long is None else long
     tok = F.col("tok")
     opens = tok.startswith("(") & ~tok.endswith(")")
     closes = tok.endswith(")") & ~tok.startswith("(")
-    a = actions.select(
+    a, long = (x.select(
         "sent_id", "pos", "tok", (F.col("pos") / F.lit(chunk)).cast("int").alias("chunk"),
         F.when(opens, 1).when(closes, -1).otherwise(0).alias("delta"), F.when(closes, 1).otherwise(0).alias("is_c"),
-    )
+    ) for x in (actions, long))
     # carry table: one row per chunk
     cs = a.groupBy("sent_id", "chunk").agg(
         F.sum("delta").alias("d_tot"), F.sum("is_c").alias("c_tot"), F.count(F.lit(1)).alias("n_ch"))
-    long = _of_long(a, chunk)
     firsts = long.groupBy("sent_id", "chunk").agg(F.min_by("tok", "pos").alias("first_tok"))
     wc = Window.partitionBy("sent_id").orderBy("chunk")
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
@@ -89,11 +89,11 @@ def annotate(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     return a.withColumn("open_name", op["nm"]).withColumn("open_pos", op["p"]).drop("loc_open", "opener", "wants", "top", "stack")
 
 
-def _of_long(rows: DataFrame, chunk: int) -> DataFrame:
-    """The rows of sentences with more than one chunk.  Each such sentence holds a position ``chunk`` or above and there is one id at
-    most for as many tokens, so the broadcast is bounded."""
-    ids = rows.where(F.col("pos") >= chunk).select("sent_id").distinct()
-    return rows.join(F.broadcast(ids), "sent_id", "left_semi")
+def _of_long(rows: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """The rows of sentences with more than one chunk, made once.  Each such sentence holds a position ``chunk`` or above and there is
+    one id at most for as many tokens, so the broadcast is bounded."""
+    ids = rows.where(F.col("chunk") > 0 if "chunk" in rows.columns else F.col("pos") >= chunk).select("sent_id").distinct()
+    return materialize(rows.join(F.broadcast(ids), "sent_id", "left_semi"), dealt=True)
 
 
 def _scanned(a: DataFrame, carry: DataFrame) -> DataFrame:
@@ -199,9 +199,10 @@ def with_errors(actions: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     Errors are counted inside ``(sent_id, chunk)``; sentences with more chunks take the sum of theirs, one
     row a sentence, so no window spans a whole sentence.
     """
-    a = annotate(actions, chunk)
+    of_long = _of_long(actions, chunk)
+    a = annotate(actions, chunk, of_long)
     a = a.withColumn("err", _error(a))
-    long = annotate(_of_long(actions, chunk), chunk)
+    long = annotate(of_long, chunk, of_long)
     tot = long.withColumn("err", _error(long)).groupBy("sent_id").agg(F.count("err").alias("_e"))
     a = a.withColumn("n_err", F.count("err").over(Window.partitionBy("sent_id", "chunk")))
     return a.where("sent_id is not null").join(F.broadcast(tot), "sent_id", "left").withColumn(
@@ -266,8 +267,19 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
     at the closer of its parent (next closer one level up).  ``death = n_in`` means never.
     The "next closer on a level" scan runs inside ``(sent_id, level, chunk)``; keys without one there
     stand on the consecutive levels that are open at the chunk's end (each has an opener, or is the lowest), so the first
-    closers of later chunks are carried back as a stack for each chunk.
+    closers of later chunks are carried back as a stack for each chunk.  The carry is made of the sentences that have later chunks.
     """
+    r, long = _next_closers(inputs), _next_closers(_of_long(inputs.select("sent_id", "idx", "kind", "pid", "n_in", "chunk")))
+    first_c = long.groupBy("sent_id", "level", "chunk").agg(F.min("closer_idx").alias("first_c"), F.bool_or("wants").alias("wants"))
+    w_next = Window.partitionBy("sent_id", "level").orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
+    stack = _stacked(first_c.select("sent_id", "level", "chunk", "wants", F.min("first_c").over(w_next).alias("v")), "level")
+    r = r.where(F.col("probe")).join(stack, ["sent_id", "chunk"], "left")
+    death = F.coalesce(F.col("loc_nxt"), F.when(F.col("wants"), _at_level(F.col("level"))), F.col("n_in"))
+    return r.select("sent_id", F.col("idx").alias("ki"), "kind", death.cast("int").alias("death"), "n_in")
+
+
+def _next_closers(inputs: DataFrame) -> DataFrame:
+    """Keys (``probe``) and closers by the level they wait for or close, each with the next closer of its level and chunk."""
     k, pid = F.col("kind"), F.col("pid")
     probe = lambda lvl: F.struct(lvl.alias("level"), F.lit(True).alias("probe"))
     closer = F.struct(pid.alias("level"), F.lit(False).alias("probe"))
@@ -281,16 +293,11 @@ def mask_intervals(inputs: DataFrame) -> DataFrame:
         "sent_id", "idx", "kind", "n_in", "chunk", F.explode(parts).alias("p")
     ).select("sent_id", "idx", "kind", "n_in", "chunk", F.col("p.level").alias("level"),
              F.col("p.probe").alias("probe"))
-    closer_idx = F.when(~F.col("probe"), F.col("idx"))
-    w = Window.partitionBy("sent_id", "chunk", "level").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
-    r = r.withColumn("loc_nxt", F.min(closer_idx).over(w))
-    wants = F.col("probe") & F.col("loc_nxt").isNull()
-    first_c = r.groupBy("sent_id", "level", "chunk").agg(F.min(closer_idx).alias("first_c"), F.bool_or(wants).alias("wants"))
-    w_next = Window.partitionBy("sent_id", "level").orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
-    stack = _stacked(first_c.select("sent_id", "level", "chunk", "wants", F.min("first_c").over(w_next).alias("v")), "level")
-    r = r.where(F.col("probe")).join(stack, ["sent_id", "chunk"], "left")
-    death = F.coalesce(F.col("loc_nxt"), F.when(wants, _at_level(F.col("level"))), F.col("n_in"))
-    return r.select("sent_id", F.col("idx").alias("ki"), "kind", death.cast("int").alias("death"), "n_in")
+    r = r.withColumn("closer_idx", F.when(~F.col("probe"), F.col("idx")))
+    # from the last place back, so that a row's frame is what was read so far
+    w = Window.partitionBy("sent_id", "chunk", "level").orderBy(F.col("idx").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    r = r.withColumn("loc_nxt", F.last("closer_idx", ignorenulls=True).over(w))
+    return r.withColumn("wants", F.col("probe") & F.col("loc_nxt").isNull())
 
 
 def packed_masks(intervals: DataFrame, span: int | None = None) -> DataFrame:
@@ -343,20 +350,23 @@ def mask_edges(inputs: DataFrame, intervals: DataFrame | None = None, packed: bo
     return rows.select("sent_id", F.col("r.qi").alias("qi"), F.explode("r.ks").alias("ki"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage once for a table read by several branches (reliable checkpoint)."""
+def materialize(df: DataFrame, dealt: bool = False) -> DataFrame:
+    """Cut lineage once for a table read by several branches (reliable checkpoint); with ``dealt``, readers know by what its rows
+    are partitioned."""
     from ..session import cut_lineage
-    return cut_lineage(df)
+    return cut_lineage(df, dealt)
 
 
-def spread(tokens: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """A materialised token table dealt by ``(sent_id, chunk)`` to as many tasks as its rows need.
+def spread(tokens: DataFrame, rows: int | None = None, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """A token table dealt by ``(sent_id, chunk)`` to as many tasks as its rows need, sorted, and materialised so: what scans
+    it by these keys shuffles nothing.  ``rows`` is their number, if known; else the table is counted, so it should be materialised.
 
     Sorted tokens take some fifty times the bytes of their shuffle blocks, see :func:`tasks_for`.
     """
-    tasks = tasks_for(tokens, tokens.count(), ROWS_PER_TASK)
+    tasks = tasks_for(tokens, tokens.count() if rows is None else rows, ROWS_PER_TASK)
     at = F.col("chunk") if "chunk" in tokens.columns else (F.col("pos") / F.lit(chunk)).cast("int")
-    return tokens.repartition(tasks, "sent_id", at)
+    return materialize(tokens.repartition(tasks, "sent_id", at).sortWithinPartitions(
+        "sent_id", at, "idx" if "idx" in tokens.columns else "pos"), dealt=True)
 
 
 def mask_degree(inputs: DataFrame, intervals: DataFrame | None = None, chunk: int = DEFAULT_CHUNK) -> DataFrame:

@@ -28,8 +28,12 @@ def split_words(text: Column) -> Column:
     return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
 
 
-def word_counts(corpus: DataFrame, text_col: str = "text") -> DataFrame:
-    """Token frequencies; the partial aggregate runs map-side before the shuffle."""
+def word_counts(corpus: DataFrame, text_col: str = "text", repeated: bool = False) -> DataFrame:
+    """Token frequencies; the partial aggregate runs map-side before the shuffle.  With ``repeated``, equal texts are counted first and each
+    is split once (for short texts that come often)."""
+    if repeated:
+        texts = corpus.groupBy(F.col(text_col).alias("_text")).agg(F.count(F.lit(1)).alias("_n"))
+        return texts.select(F.explode(split_words(F.col("_text"))).alias("token"), "_n").groupBy("token").agg(F.sum("_n").alias("count"))
     return (
         corpus.select(F.explode(split_words(F.col(text_col))).alias("token"))
         .groupBy("token")
@@ -38,14 +42,14 @@ def word_counts(corpus: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def train_word_vocab(corpus: DataFrame, text_col: str = "text", vocab_size: int | None = None,
-                     specials: tuple[str, ...] = SPECIALS) -> DataFrame:
+                     specials: tuple[str, ...] = SPECIALS, repeated: bool = False) -> DataFrame:
     """V2/V3: specials get ids 0..k-1, learned words follow by (count desc, token asc).
 
     ``vocab_size`` is an optional size limit (specials included); with a limit the learned
     part is a top-k, without one (the default) it is numbered by a distributed sort.
     """
     spark = corpus.sparkSession
-    counts = word_counts(corpus, text_col).where(~F.col("token").isin(*specials))
+    counts = word_counts(corpus, text_col, repeated).where(~F.col("token").isin(*specials))
     order = [F.col("count").desc(), F.col("token").asc()]
     k = len(specials)
     if vocab_size is not None:

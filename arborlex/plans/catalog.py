@@ -31,13 +31,13 @@ def _t(spark, d, name):
 
 
 def order_actions(spark, d):
-    """Derived once and cut from its lineage: the tokens and the carries between their chunks read it."""
-    return T.spread(T.materialize(I.order_tree(_t(spark, d, "orders"), _t(spark, d, "lineitem"))))
+    """Derived once, dealt and cut from its lineage: the tokens and the carries between their chunks read it."""
+    return I.order_tree(_t(spark, d, "orders"), _t(spark, d, "lineitem"), T.spread)
 
 
 def order_inputs(spark, d):
     """The expanded order trees, derived once: tokens, intervals and texts read them."""
-    return T.spread(T.materialize(T.expand(order_actions(spark, d))))
+    return T.materialize(T.expand(order_actions(spark, d)), dealt=True)
 
 
 def page_actions(spark, d):

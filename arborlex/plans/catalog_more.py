@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import manhattan, nearest_int, sign
@@ -13,6 +13,7 @@ from ..operators import metrics as M
 from ..operators import sampling as S
 from ..operators import trees as T
 from ..operators import vocab as V
+from ..session import release
 from .catalog import _t, order_actions, order_inputs, query
 
 N_TOPICS = 10
@@ -143,31 +144,32 @@ def order_examples(spark, d) -> DataFrame:
 
 
 def examples_of(acts: DataFrame, inp: DataFrame) -> DataFrame:
-    vocab = V.train_word_vocab(acts.select(F.col("tok").alias("text")))  # tokens hold no white space
+    vocab = V.train_word_vocab(acts.select(F.col("tok").alias("text")), repeated=True)  # tokens hold no white space
     pad_id = V.SPECIALS.index(T.PAD)
     # a label is its token, or the pad token of a closer's copy: one lookup gives both ids
-    ids = V.encode(inp, vocab, tok_col="tok").withColumnRenamed("token_id", "input_id").withColumn(
-        "label_id", F.when(F.col("kind") == "D", F.lit(pad_id).cast("bigint")).otherwise(F.col("input_id")))
-    seq = ids.groupBy("sent_id").agg(F.sort_array(F.collect_list(F.struct("idx", "input_id", "label_id", "pid")))
-                                     .alias("s"))
+    ids = V.encode(inp, vocab, tok_col="tok").select("sent_id", "idx", F.col("token_id").alias("input_id"), (F.col("kind") == "D").alias("copy"), "pid")
+    seq = ids.repartition("sent_id").groupBy("sent_id").agg(F.sort_array(F.collect_list(F.struct("idx", "input_id", "copy", "pid")))
+                                                            .alias("s"))
+    label = lambda x: F.when(x["copy"], F.lit(pad_id).cast("bigint")).otherwise(x["input_id"])
     return seq.select(
         "sent_id",
         F.transform("s", lambda x: x["input_id"]).alias("input_ids"),
-        V.mask_labels(F.transform("s", lambda x: x["label_id"]), pad_id).alias("labels"),
+        V.mask_labels(F.transform("s", label), pad_id).alias("labels"),
         F.transform("s", lambda x: x["pid"].cast("bigint")).alias("position_ids"),
     )
 
 
-def order_masks(spark, d) -> tuple[DataFrame, DataFrame]:
-    """The padded examples of the order trees and their masks, packed by sentence, from one set of expanded tokens."""
+def order_masks(spark, d, together: bool = True) -> DataFrame:
+    """The padded examples of the order trees with their masks, packed by sentence, from one set of expanded tokens.  A mask meets its
+    example before the examples get their batches, so that both are moved once."""
     acts = order_actions(spark, d)
-    inp = T.spread(T.materialize(T.expand(acts)))
-    return B.pad_batches(examples_of(acts, inp), V.SPECIALS.index(T.PAD)), T.mask_edges(inp, packed=True, span=None)
-
-
-def mask_lines(keys, n, length) -> Column:
-    """The lines of a packed mask, padded to ``length``."""
-    return B.padded_mask_lines(T.packed_rows(F.lit(0), n, n, keys), length)
+    inp = T.materialize(T.expand(acts).drop("label"), dealt=True)  # the label's id follows from kind
+    examples = examples_of(acts, inp)
+    release(acts)
+    masks = T.mask_edges(inp, packed=True, span=None).select("sent_id", "n_in", "keys")
+    padded = B.pad_batches(examples.join(masks, "sent_id"), V.SPECIALS.index(T.PAD), cells=True, together=together)
+    release(inp)
+    return padded
 
 
 @query("pad_batches")
@@ -195,9 +197,7 @@ def batch_stack(spark, d):
 @query("batch_mask_padded")
 def batch_mask_padded(spark, d):
     """Dense order-tree masks zero-padded on both axes to their batch length."""
-    ex, masks = order_masks(spark, d)
-    dm = masks.join(ex.select("sent_id", "max_len"), "sent_id")
-    return dm.select("sent_id", F.posexplode(mask_lines(F.col("keys"), F.col("n_in"), F.col("max_len"))).alias("qi", "row_text"))
+    return B.padded_mask_rows(order_masks(spark, d, together=False))
 
 
 # ------------------------------------------------------------------ metrics
@@ -539,8 +539,7 @@ def bpe_encode(spark, d):
 @query("batch_full")
 def batch_full(spark, d):
     """B6 with T11: one row per batch with all four columns, the mask of each example padded on both axes."""
-    ex, masks = order_masks(spark, d)
-    ex = ex.join(masks.select("sent_id", "n_in", "keys"), "sent_id")
+    ex = order_masks(spark, d)
 
     def txt(c):
         return F.array_join(F.col(c).cast("array<string>"), " ").alias(c)
@@ -551,10 +550,9 @@ def batch_full(spark, d):
     st = ex.groupBy("batch_id").agg(F.max("max_len").alias("max_len"), F.sort_array(F.collect_list(F.struct(
         "sent_id", "input_ids", "labels", "position_ids", "n_in", "keys"))).alias("r"))
     # the dense masks are made beside their batch: what is shuffled are their keys
-    masks = F.array_join(F.transform("r", lambda x: F.array_join(mask_lines(x["keys"], x["n_in"], F.col("max_len")), "|")), ";")
-    return st.select("batch_id", F.size("r").alias("n_rows"), stacked("input_ids").alias("input_ids"),
-                     stacked("labels").alias("labels"), stacked("position_ids").alias("position_ids"),
-                     F.md5(masks).alias("attention_mask_md5"))
+    return B.padded_masks_md5(st.select(
+        "batch_id", F.size("r").alias("n_rows"), stacked("input_ids").alias("input_ids"), stacked("labels").alias("labels"),
+        stacked("position_ids").alias("position_ids"), "max_len", F.transform("r", lambda x: F.struct(x["n_in"], x["keys"])).alias("masks")))
 
 
 @query("text_classifier")

@@ -10,12 +10,14 @@ All outputs are long-form ``actions(sent_id, pos, tok)``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import grouped_total, tasks_for
 from ..operators.trees import BOS, EOS, frame
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 
 # Fixed patterns for the HTML-to-bracket mapping (mirrored in the DuckDB oracle).
 PIECE_RE = r"<[^>]*>|[^<]+"
@@ -27,7 +29,7 @@ DROP_RE = (
 )
 
 
-def order_tree(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def order_tree(orders: DataFrame, lineitem: DataFrame, dealt: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """One sentence per customer; orders by key, parts by line number (then part and supplier: line numbers repeat
     within an order).
 
@@ -35,6 +37,7 @@ def order_tree(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     total of their sizes, so a customer holding a large share of all orders is no single task, and the lines, shuffled once by
     order, are ranked where they meet their order.  An order key that a customer has ``m`` times has its brackets and
     lines ``m`` times.  Both tables are dealt by order to as many tasks as their rows need, and their steps keep to that.
+    ``dealt`` takes the tokens and their number (but for the four that frame a sentence), and gives them back materialised.
     """
     tasks = tasks_for(lineitem, lineitem.count() + orders.count())
     o = orders.select(F.col("o_orderkey").alias("okey"), F.col("o_custkey").cast("bigint").alias("sent_id")).where(
@@ -62,7 +65,12 @@ def order_tree(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit(BOS).alias("tok")),
         F.struct(F.lit(1).cast("bigint").alias("pos"), F.lit("(C").alias("tok")),
         F.struct(end.alias("pos"), F.lit("C)").alias("tok")), F.struct((end + 1).alias("pos"), F.lit(EOS).alias("tok")))))
-    return leaves.unionByName(brackets).unionByName(ends).select("sent_id", F.col("pos").cast("int").alias("pos"), "tok")
+    tokens = leaves.unionByName(brackets).unionByName(ends).select("sent_id", F.col("pos").cast("int").alias("pos"), "tok")
+    if dealt is None:
+        return tokens
+    tokens = dealt(tokens, placed.agg(F.sum("size")).first()[0] or 0)
+    release(placed)
+    return tokens
 
 
 def broken_order_tree(acts: DataFrame) -> DataFrame:

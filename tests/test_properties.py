@@ -4,6 +4,7 @@ import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from arborlex.operators import batching as B
@@ -181,3 +182,49 @@ def test_tasks_follow_the_rows(spark, monkeypatch):
         [(i, ["<s>", "(S", "a", "S)", "</s>"]) for i in range(100)], "sent_id bigint, actions array<string>"))))
     assert acts.rdd.getNumPartitions() == 50
     assert T.expand(acts).count() == 600
+
+
+def test_dealt_tokens_are_scanned_where_they_lie(spark):
+    """Checkpoints keep their partitioning: what scans sentences by their chunks shuffles nothing; long sentences are whole."""
+    seqs = [["<s>", "(S", *(f"w{i}" for i in range(n)), "(T", "x", "T)", "S)", "</s>"] for n in (1, 40, 300)]
+    acts = T.spread(T.from_arrays(spark.createDataFrame(list(enumerate(seqs)), "sent_id bigint, actions array<string>")), rows=400)
+    inp = T.materialize(T.expand(acts), dealt=True)
+    plan = T._next_closers(inp)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" in plan
+    for chunk in (T.DEFAULT_CHUNK, 16):
+        assert {tuple(r) for r in T.mask_edges(T.expand(acts, chunk=chunk)).collect()} == {
+            (i, q, k) for i, seq in enumerate(seqs) for q, row in enumerate(simulate(seq)[3]) for k in row}
+
+
+def test_released_cuts_leave_no_files(spark):
+    import os
+
+    from arborlex.session import cut_lineage, release
+    a = cut_lineage(spark.range(100))
+    file = a._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:")
+    b = cut_lineage(a.where("id > 4"))
+    release(a)
+    assert not os.path.exists(file) and b.count() == 95
+
+
+def test_masks_by_blocks_are_the_lines(spark, monkeypatch):
+    """Padded lines and digests made in blocks equal those of the row functions, also where a mask takes several blocks."""
+    import hashlib
+    rng = random.Random(6)
+    seqs = [["<s>"] + [t for _ in range(1 + i % 3) for t in random_tree(rng)] + ["</s>"] for i in range(7)] + [["<s>", "</s>"]]
+    inp = T.materialize(T.expand(T.from_arrays(spark.createDataFrame(list(enumerate(seqs)), "sent_id bigint, actions array<string>"))))
+    longest = inp.agg(F.max("n_in")).first()[0] + 3
+    padded = T.mask_edges(inp, packed=True, span=None).select("sent_id", "n_in", "keys", F.lit(longest).alias("max_len")).cache()
+    want = {r.sent_id: r.lines for r in padded.select("sent_id", B.padded_mask_lines(
+        T.packed_rows(F.lit(0), F.col("n_in"), F.col("n_in"), F.col("keys")), F.col("max_len")).alias("lines")).collect()}
+    batches = padded.groupBy(F.lit(5).alias("batch_id")).agg(F.max("max_len").alias("max_len"), F.sort_array(F.collect_list(
+        F.struct("sent_id", "n_in", "keys"))).alias("r")).select("batch_id", "max_len", F.transform("r", lambda x: F.struct(x["n_in"], x["keys"])).alias("masks"))
+    text = ";".join("|".join(want[i]) for i in sorted(want))
+    for block in (B.BLOCK, 1000):
+        monkeypatch.setattr(B, "BLOCK", block)
+        rows = pa.Table.from_batches(B._mask_batches(padded.select("sent_id", "max_len", "n_in", "keys.ki", "keys.death", "keys.closer").toArrow().to_batches()))
+        assert {(s, q): x for s, q, x in zip(*(rows[c].to_pylist() for c in rows.column_names), strict=True)} == {
+            (s, q): x for s, lines in want.items() for q, x in enumerate(lines)}
+    assert {(r.sent_id, r.qi, r.row_text) for r in B.padded_mask_rows(padded).collect()} == {
+        (s, q, x) for s, lines in want.items() for q, x in enumerate(lines)}
+    assert [(r.batch_id, r.attention_mask_md5) for r in B.padded_masks_md5(batches).collect()] == [(5, hashlib.md5(text.encode()).hexdigest())]
