@@ -620,6 +620,32 @@ def test_windows_cover_long_candidates():
     assert secret_scan.pieces(text, 4, 24) == [secret_scan.window(text, 4, 24)]
 
 
+def test_secrets_are_learnt_from_every_finding(spark, monkeypatch):
+    """No finding, word or ordinary token is left out, whatever the least number of rows and however many shards there are."""
+    rng = random.Random(21)
+    key = lambda n, a="0123456789abcdef": "".join(rng.choice(a) for _ in range(n))
+    word = lambda: key(8, "abcdefghijklmnop")
+    rows = [(i, f"{word()} {word()} token = {key(30)} {word()} {word()}-{i}.example.com", "s") for i in range(120)]
+    found = secret_scan.scan(frame(spark, rows)).cache()
+    held = found.collect()
+    want = {w for r in held for w in [*r.findings, *r.plain, r.word]}
+    kinds = [{w for r in held for w in ws(r)} for ws in (lambda r: r.findings, lambda r: [r.word], lambda r: r.plain)]
+    pos, neg = secret_scan.examples(*map(sorted, kinds), sample=10)
+    inside = lambda ws: {w[secret_scan.BEFORE:] for w in ws}
+    assert inside(kinds[0]) <= inside(pos) and kinds[1] | kinds[2] <= set(neg) and len(want) > 200
+    monkeypatch.setattr(secret_scan, "SHARD", 100)
+    monkeypatch.setattr(secret_scan, "LEAST", 5)
+    made, deal = [], secret_scan._dealt
+    monkeypatch.setattr(secret_scan, "_dealt", lambda *a: made.append(deal(*a).cache()) or made[0])
+    net = secret_scan.train(found, sample=10)
+    table = made[0].collect()
+    assert len({r.shard for r in table}) == -(-len(want) // 100) > 2
+    codes = {bytes(c)[secret_scan.BEFORE:] for c in secret_scan.codes(sorted(want))}
+    assert codes <= {bytes(r.x)[secret_scan.BEFORE:] for r in table}
+    scores = net.scores([w for r in held for w in r.findings]), net.scores([r.word for r in held])
+    assert np.median(scores[0]) > 0.9 > 0.1 > np.median(scores[1])
+
+
 def test_network_gradients():
     net, rng = secret_scan.Network(), np.random.default_rng(0)
     x, y = rng.integers(0, 128, (3, secret_scan.WIDTH)), np.array([1.0, 0, 1])
