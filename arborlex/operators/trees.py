@@ -93,7 +93,13 @@ def _of_long(rows: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """The rows of sentences with more than one chunk, made once.  Each such sentence holds a position ``chunk`` or above and there is
     one id at most for as many tokens, so the broadcast is bounded."""
     ids = rows.where(F.col("chunk") > 0 if "chunk" in rows.columns else F.col("pos") >= chunk).select("sent_id").distinct()
-    return materialize(rows.join(F.broadcast(ids), "sent_id", "left_semi"), dealt=True)
+    return _renewed(materialize(_renewed(rows).join(F.broadcast(ids), "sent_id", "left_semi"), dealt=True))
+
+
+def _renewed(rows: DataFrame) -> DataFrame:
+    """The same columns as attributes of their own: a checkpoint keeps those of its plan, and a join with what they came from
+    can't tell the two apart."""
+    return rows.select(*(F.col(c).alias(c, metadata={}) for c in rows.columns))
 
 
 def _scanned(a: DataFrame, carry: DataFrame) -> DataFrame:
